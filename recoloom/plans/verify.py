@@ -1,0 +1,103 @@
+"""Spark-vs-DuckDB comparison used by the tests and ``python -m recoloom.plans.verify``.
+
+Mirrors the driver's gate: row count, column names, and an order-insensitive
+hash of the values (doubles rounded to 6 places, columns sorted by name).
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+import decimal
+import hashlib
+import math
+import sys
+import time
+
+import duckdb
+
+from ..sources.tables import TABLES, table_path
+
+
+def duck_connect(sf_dir: str):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{table_path(sf_dir, t)}')")
+    return con
+
+
+def _norm(v):
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return str(int(v))
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "NaN"
+        r = round(v, 6)
+        return repr(0.0 if r == 0 else r)
+    if isinstance(v, decimal.Decimal):
+        return _norm(float(v))
+    if isinstance(v, int):
+        return str(v)
+    if isinstance(v, _dt.datetime):
+        return v.replace(tzinfo=None).isoformat(sep=" ")
+    if isinstance(v, (list, tuple)):
+        return "[" + ",".join(_norm(x) for x in v) + "]"
+    return str(v)
+
+
+def table_digest(cols, rows):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    lines = sorted("|".join(_norm(r[i]) for i in order) for r in rows)
+    h = hashlib.sha256("\n".join(lines).encode()).hexdigest()
+    return [cols[i] for i in order], len(lines), h, lines
+
+
+def compare(spark, name: str, sf_dir: str, con=None, show: int = 5) -> dict:
+    from . import ORACLES, QUERIES
+    con = con or duck_connect(sf_dir)
+    t0 = time.time()
+    sdf = QUERIES[name](spark, sf_dir)
+    srows = [tuple(r) for r in sdf.collect()]
+    t1 = time.time()
+    rel = con.execute(ORACLES[name])
+    dcols = [d[0] for d in rel.description]
+    drows = rel.fetchall()
+    t2 = time.time()
+    sc, sn, sh, sl = table_digest(sdf.columns, srows)
+    dc, dn, dh, dl = table_digest(dcols, drows)
+    res = {"name": name, "cols": sc == dc, "rows": (sn, dn), "hash": sh == dh,
+           "spark_s": round(t1 - t0, 2), "duck_s": round(t2 - t1, 2)}
+    if sc != dc:
+        res["col_diff"] = (sc, dc)
+    elif sh != dh and show:
+        a, b = set(sl), set(dl)
+        res["only_spark"] = sorted(a - b)[:show]
+        res["only_duck"] = sorted(b - a)[:show]
+    return res
+
+
+def main(argv):
+    from ..session import local_session
+    from . import ORACLES
+    sf_dir = "/root/testdata/sf0.01"
+    names = [a for a in argv if not a.startswith("/")] or sorted(ORACLES)
+    for a in argv:
+        if a.startswith("/"):
+            sf_dir = a
+    spark = local_session(8, 8)
+    con = duck_connect(sf_dir)
+    bad = 0
+    for n in names:
+        try:
+            r = compare(spark, n, sf_dir, con)
+        except Exception as e:  # report and continue
+            r = {"name": n, "error": repr(e)[:600]}
+        ok = r.get("cols") and r.get("hash") and r["rows"][0] == r["rows"][1]
+        bad += not ok
+        print(("OK  " if ok else "BAD ") + str(r), flush=True)
+    print(f"{len(names) - bad}/{len(names)} match")
+
+
+if __name__ == "__main__":
+    main(sys.argv[1:])
