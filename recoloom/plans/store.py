@@ -1,2 +1,166 @@
-"""placeholder"""
-from .registry import register  # noqa: F401
+"""Feature-store queries: as-of retrieval, materialisation, online reads (§2.11)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import aggregates as A
+from ..operators import asof
+from ..operators.store import Entity, FeatureService, FeatureStore, FeatureView, OnDemandView, Source
+from ..sources import views as V
+from . import sqlviews as S
+from .registry import register
+
+USER = Entity("user", ("user_id",))
+POST = Entity("post", ("post_id",))
+
+
+def feature_store(spark, d, spend_ttl: str | None = None) -> FeatureStore:
+    """The engine's feature definitions over the canonical views (F-1)."""
+    spend = FeatureView("user_spend", (USER,),
+                        Source(lambda: V.feature_rows(spark, d), "feature_ts", "created"),
+                        ("spend",), ttl=spend_ttl)
+    post_stats = FeatureView(
+        "post_stats", (POST,),
+        Source(lambda: A.post_aggregates(V.interactions(spark, d), V.posts(spark, d, with_text=False)),
+               "event_timestamp"),
+        ("num_likes_on_post", "num_views_on_post", "num_comments_on_post"))
+    user_stats = FeatureView(
+        "user_stats", (USER,),
+        Source(lambda: A.user_aggregates(V.interactions(spark, d), V.posts(spark, d, with_text=False),
+                                         V.users(spark, d)), "event_timestamp"),
+        ("count_likes_given", "count_comments_given", "distinct_categories_interacted"))
+    request = OnDemandView("request_features", {
+        # stored feature + request-time value (F-6): the entity row carries val_to_add
+        "spend_plus_val": lambda: F.col("user_spend__spend") + F.col("val_to_add"),
+        "spend_plus_val_2": lambda: F.col("user_spend__spend") + F.col("val_to_add") * 2,
+    })
+    return FeatureStore([spend, post_stats, user_stats], [request])
+
+
+ASOF_SQL = S.with_views("""
+SELECT e.event_id, e.user_id, e.event_ts, e.post_id, e.label, f.spend, f.feature_ts
+FROM entity_rows e LEFT JOIN feature_rows f ON f.user_id = e.user_id AND f.feature_ts <= e.event_ts {ttl}
+QUALIFY row_number() OVER (PARTITION BY e.event_id ORDER BY f.feature_ts DESC NULLS LAST, f.created DESC NULLS LAST) = 1
+""", S.ENTITY_ROWS, S.FEATURE_ROWS)
+
+
+@register("asof_features", ASOF_SQL.format(ttl=""))
+def asof_features(spark, d):
+    return asof.point_in_time_join(V.entity_rows(spark, d), V.feature_rows(spark, d), "user_id",
+                                   "event_ts", "feature_ts", ["spend"], created_col="created")
+
+
+@register("asof_features_ttl",
+          ASOF_SQL.format(ttl="AND f.feature_ts >= e.event_ts - INTERVAL 1 DAY"))
+def asof_features_ttl(spark, d):
+    return asof.point_in_time_join(V.entity_rows(spark, d), V.feature_rows(spark, d), "user_id",
+                                   "event_ts", "feature_ts", ["spend"], created_col="created", ttl="1 day")
+
+
+@register("asof_features_unbucketed", ASOF_SQL.format(ttl=""))
+def asof_features_unbucketed(spark, d):
+    """Same join with a single window per key (no time buckets) — cross-check of the bucketed path."""
+    return asof.point_in_time_join(V.entity_rows(spark, d), V.feature_rows(spark, d), "user_id",
+                                   "event_ts", "feature_ts", ["spend"], created_col="created", bucket=None)
+
+
+_POST_STATS = """
+, ps AS (
+  SELECT p.post_id, p.creation_timestamp AS event_timestamp,
+         count(i.post_id) FILTER (WHERE i.interaction_type = 'like') AS num_likes_on_post,
+         count(i.post_id) FILTER (WHERE i.interaction_type = 'view_full') AS num_views_on_post,
+         count(i.post_id) FILTER (WHERE i.interaction_type = 'comment') AS num_comments_on_post
+  FROM posts p LEFT JOIN interactions i USING (post_id) GROUP BY p.post_id, p.creation_timestamp)"""
+
+MULTI_SQL = "WITH " + ",\n".join([S.ENTITY_ROWS, S.FEATURE_ROWS, S.INTERACTIONS, S.POSTS]) + _POST_STATS + """
+, us AS (
+  SELECT e.event_id, f.spend FROM entity_rows e
+  LEFT JOIN feature_rows f ON f.user_id = e.user_id AND f.feature_ts <= e.event_ts
+  QUALIFY row_number() OVER (PARTITION BY e.event_id ORDER BY f.feature_ts DESC NULLS LAST, f.created DESC NULLS LAST) = 1),
+pj AS (
+  SELECT e.event_id, s.num_likes_on_post, s.num_views_on_post FROM entity_rows e
+  LEFT JOIN ps s ON s.post_id = e.post_id AND s.event_timestamp <= e.event_ts)
+SELECT e.event_id, e.user_id, e.post_id, e.event_ts AS event_timestamp, e.label,
+       us.spend AS user_spend__spend,
+       CAST(pj.num_likes_on_post AS BIGINT) AS post_stats__num_likes_on_post,
+       CAST(pj.num_views_on_post AS BIGINT) AS post_stats__num_views_on_post
+FROM entity_rows e JOIN us USING (event_id) JOIN pj USING (event_id)
+"""
+
+
+def _entities(spark, d):
+    return V.entity_rows(spark, d).withColumnRenamed("event_ts", "event_timestamp")
+
+
+@register("asof_multi_view", MULTI_SQL)
+def asof_multi_view(spark, d):
+    fs = feature_store(spark, d)
+    return fs.get_historical_features(
+        _entities(spark, d),
+        ["user_spend:spend", "post_stats:num_likes_on_post", "post_stats:num_views_on_post"])
+
+
+ON_DEMAND_SQL = S.with_views("""
+, us AS (
+  SELECT e.event_id, f.spend FROM entity_rows e
+  LEFT JOIN feature_rows f ON f.user_id = e.user_id AND f.feature_ts <= e.event_ts
+  QUALIFY row_number() OVER (PARTITION BY e.event_id ORDER BY f.feature_ts DESC NULLS LAST, f.created DESC NULLS LAST) = 1)
+SELECT e.event_id, e.user_id, e.post_id, e.event_ts AS event_timestamp, e.label, e.post_id AS val_to_add,
+       us.spend AS user_spend__spend,
+       us.spend + e.post_id AS request_features__spend_plus_val,
+       us.spend + e.post_id * 2 AS request_features__spend_plus_val_2
+FROM entity_rows e JOIN us USING (event_id)""", S.ENTITY_ROWS, S.FEATURE_ROWS).replace("\n, us AS", ",\nus AS")
+
+
+@register("on_demand_features", ON_DEMAND_SQL)
+def on_demand_features(spark, d):
+    fs = feature_store(spark, d)
+    ent = _entities(spark, d).withColumn("val_to_add", F.col("post_id"))
+    return fs.get_historical_features(
+        ent, ["user_spend:spend", "request_features:spend_plus_val", "request_features:spend_plus_val_2"])
+
+
+SERVICE_SQL = "WITH " + ",\n".join([S.ENTITY_ROWS, S.INTERACTIONS, S.POSTS]) + _POST_STATS + """
+SELECT e.event_id, e.post_id, e.event_ts AS event_timestamp,
+       CAST(s.num_comments_on_post AS BIGINT) AS post_stats__num_comments_on_post
+FROM entity_rows e LEFT JOIN ps s ON s.post_id = e.post_id AND s.event_timestamp <= e.event_ts
+"""
+
+
+@register("feature_service_select", SERVICE_SQL)
+def feature_service_select(spark, d):
+    """A named bundle with a per-view sub-selection (F-7)."""
+    fs = feature_store(spark, d)
+    svc = FeatureService("post_engagement_v1", ("post_stats:num_comments_on_post",))
+    ent = _entities(spark, d).select("event_id", "post_id", "event_timestamp")
+    return fs.get_historical_features(ent, svc)
+
+
+LATEST_SQL = S.with_views("""
+SELECT user_id, spend, feature_ts FROM feature_rows {where}
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY feature_ts DESC, created DESC) = 1
+""", S.FEATURE_ROWS)
+
+
+@register("latest_features", LATEST_SQL.format(where=""))
+def latest_features(spark, d):
+    return feature_store(spark, d).materialize("user_spend")
+
+
+@register("materialize_range", LATEST_SQL.format(
+    where="WHERE feature_ts >= TIMESTAMP '2024-01-10 00:00:00' AND feature_ts <= TIMESTAMP '2024-01-20 00:00:00'"))
+def materialize_range(spark, d):
+    return feature_store(spark, d).materialize(
+        "user_spend", F.lit("2024-01-10 00:00:00").cast("timestamp_ntz"),
+        F.lit("2024-01-20 00:00:00").cast("timestamp_ntz"))
+
+
+@register("online_lookup", S.with_views("""
+, latest AS (SELECT user_id, spend, feature_ts FROM feature_rows
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY feature_ts DESC, created DESC) = 1)
+SELECT c.c_custkey AS user_id, l.spend, l.feature_ts FROM customer c LEFT JOIN latest l ON l.user_id = c.c_custkey
+""", S.FEATURE_ROWS).replace("\n, latest AS", ",\nlatest AS"))
+def online_lookup(spark, d):
+    keys = V.users(spark, d).select("user_id")
+    return feature_store(spark, d).get_online_features(keys, "user_spend")
