@@ -92,7 +92,7 @@ def main(argv):
         try:
             r = compare(spark, n, sf_dir, con)
         except Exception as e:  # report and continue
-            r = {"name": n, "error": repr(e)[:600]}
+            r = {"name": n, "error": (getattr(e, "getMessage", lambda: None)() or repr(e))[:400]}
         ok = r.get("cols") and r.get("hash") and r["rows"][0] == r["rows"][1]
         bad += not ok
         print(("OK  " if ok else "BAD ") + str(r), flush=True)
