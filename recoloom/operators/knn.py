@@ -118,3 +118,22 @@ def count_better(queries: DataFrame, items: DataFrame, item_block: int = 4096,
     part = (qt.groupBy("g", "blk", "qc").cogroup(itt.groupBy("g", "blk", "qc"))
             .applyInPandas(kernel, schema))
     return part.groupBy("qid").agg(F.sum("n_better").alias("n_better"))
+
+
+def ivf_knn(queries: DataFrame, items: DataFrame, k: int, n_cells: int = 16, nprobe: int = 4,
+            seed: int = 42, max_iter: int = 20, **blocks) -> DataFrame:
+    """M-2 approximate retrieval, IVF style: k-means cells over the items
+    (MLlib, distributed), each query probes its ``nprobe`` nearest cells, and
+    the exact tile kernel runs only inside those cells.  Centroids are
+    ``n_cells × dim`` numbers — a bounded table."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+    spark = items.sparkSession
+    iv = items.select("item_id", "ivec", array_to_vector("ivec").alias("__v"))
+    model = KMeans(k=n_cells, seed=seed, maxIter=max_iter, featuresCol="__v",
+                   predictionCol="cell").fit(iv)
+    centers = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
+    cdf = spark.createDataFrame(centers, "item_id int, ivec array<double>")
+    probes = knn(queries, cdf, nprobe, "l2").select("qid", F.col("item_id").cast("string").alias("g"))
+    cells = model.transform(iv).select("item_id", "ivec", F.col("cell").cast("string").alias("g"))
+    return knn(queries, cells, k, "l2", query_groups=probes, **blocks)

@@ -1,2 +1,236 @@
-"""placeholder"""
-from .registry import register  # noqa: F401
+"""Serving queries: candidates → seen filter → features → score → boost →
+diverse top-N, set-oriented over all users (§2.12, X-14..X-16)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import vectors as VX
+from ..operators import knn as K
+from ..operators import rerank as R
+from ..sources import views as V
+from . import sqlviews as S
+from .registry import register
+from .retrieval import L2SQ, UV_SQL, category_prefilter, user_vectors
+
+TOP_N = 50            # candidates per user
+FINAL_N = 20          # recommendations per user (re-rank config)
+BOOST_HOURS, BOOST_FACTOR, DIVERSITY = 48.0, 1.2, 0.3
+REF_TS = "2023-12-13 12:00:00"   # the serving "now" — a parameter, never the wall clock
+
+
+def query_vectors(spark, d):
+    """Personal mean vector, else the cold-start vector of the selected categories."""
+    users = V.users(spark, d)
+    posts = V.posts(spark, d, with_text=False)
+    warm = user_vectors(spark, d)
+    cold = R.cold_start_vectors(users, posts)
+    return (users.select("user_id").join(warm, "user_id", "left").join(cold, "user_id", "left")
+            .select(F.col("user_id").alias("qid"),
+                    F.coalesce("user_vector", "cold_vector").alias("qvec"))
+            .where(F.col("qvec").isNotNull()))
+
+
+def candidates(spark, d, top_n=TOP_N):
+    """(user_id, post_id, distance, cand_rank): category-pre-filtered kNN."""
+    items = V.posts(spark, d, with_text=False).select(
+        F.col("post_id").alias("item_id"), F.col("embedding").alias("ivec"), F.col("category_id").alias("g"))
+    res = K.knn(query_vectors(spark, d), items, top_n, "l2", query_groups=category_prefilter(spark, d))
+    return res.select(F.col("qid").alias("user_id"), F.col("item_id").alias("post_id"),
+                      F.col("score").alias("distance"), F.col("rank").alias("cand_rank"))
+
+
+def filtered(spark, d):
+    return R.seen_filter(candidates(spark, d), V.seen_store(spark, d))
+
+
+def scored(spark, d):
+    """Features for each surviving candidate, smoke score, freshness boost."""
+    users = V.users(spark, d).select("user_id", "onboarding_category_ids")
+    posts = V.posts(spark, d, with_text=False).select("post_id", "category_id", "creation_timestamp")
+    f = filtered(spark, d).join(users, "user_id").join(posts, "post_id")
+    flag = R.in_list_flag(F.col("category_id"), F.col("onboarding_category_ids"))
+    base = R.smoke_score(flag)
+    ref = F.lit(REF_TS).cast("timestamp_ntz")
+    return f.select("user_id", "post_id", "cand_rank", "category_id",
+                    R.freshness_boost(base, F.col("creation_timestamp"), ref, BOOST_HOURS, BOOST_FACTOR)
+                    .alias("score"))
+
+
+def recommendations(spark, d):
+    return R.diverse_rerank(scored(spark, d), n=FINAL_N, factor=DIVERSITY)
+
+
+# ---------------------------------------------------------------- oracle SQL
+SERVE_CTES = UV_SQL + [S.USERS, S.SEEN, """cold AS (
+  SELECT user_id, list(v ORDER BY dim) AS cold_vector FROM (
+    SELECT u.user_id, pe.dim, avg(pe.v) AS v
+    FROM users u JOIN (SELECT category_id, unnest(range(len(embedding))) AS dim, unnest(embedding) AS v FROM posts) pe
+      ON list_contains(u.onboarding_category_ids, pe.category_id)
+    GROUP BY u.user_id, pe.dim) GROUP BY user_id)""", """qv AS (
+  SELECT u.user_id, coalesce(uv.user_vector, cold.cold_vector) AS user_vector, u.onboarding_category_ids AS prefs
+  FROM users u LEFT JOIN uv USING (user_id) LEFT JOIN cold USING (user_id)
+  WHERE coalesce(uv.user_vector, cold.cold_vector) IS NOT NULL)""", f"""cand AS (
+  SELECT user_id, post_id, dist AS distance, rk AS cand_rank FROM (
+    SELECT uv.user_id, e.post_id, {L2SQ} AS dist,
+           row_number() OVER (PARTITION BY uv.user_id ORDER BY {L2SQ}, e.post_id) AS rk
+    FROM qv uv JOIN posts e ON len(uv.prefs) = 0 OR list_contains(uv.prefs, e.category_id)) t
+  WHERE rk <= {TOP_N})""", """filt AS (
+  SELECT c.* FROM cand c WHERE NOT EXISTS (
+    SELECT 1 FROM seen_store s WHERE s.user_id = c.user_id AND s.post_id = c.post_id
+      AND s.interaction_type IN ('seen', 'disliked', 'reported')))""", f"""sc AS (
+  SELECT f.user_id, f.post_id, f.cand_rank, p.category_id,
+         CASE WHEN p.creation_timestamp IS NOT NULL
+                   AND epoch_us(TIMESTAMP '{REF_TS}') - epoch_us(p.creation_timestamp) <= {int(BOOST_HOURS * 3600 * 10**6)}
+              THEN (CASE WHEN list_contains(u.onboarding_category_ids, p.category_id) THEN 0.8 ELSE 0.3 END) * {BOOST_FACTOR}
+              ELSE (CASE WHEN list_contains(u.onboarding_category_ids, p.category_id) THEN 0.8 ELSE 0.3 END) END AS score
+  FROM filt f JOIN users u USING (user_id) JOIN posts p USING (post_id))"""]
+
+
+def serve_sql(body: str) -> str:
+    return "WITH " + ",\n".join(SERVE_CTES) + "\n" + body
+
+
+@register("seen_filter", serve_sql("SELECT user_id, post_id, cand_rank FROM filt"))
+def seen_filter(spark, d):
+    """M-4 / J-5 / SRC-6: candidates minus any seen/disliked/reported row."""
+    return filtered(spark, d).select("user_id", "post_id", "cand_rank")
+
+
+@register("freshness_boost", serve_sql("SELECT user_id, post_id, round(score, 6) AS score FROM sc"))
+def freshness_boost(spark, d):
+    return scored(spark, d).select("user_id", "post_id", F.round("score", 6).alias("score"))
+
+
+@register("rank_candidates", serve_sql("""
+SELECT user_id, post_id, round(score, 6) AS score,
+       CAST(row_number() OVER (PARTITION BY user_id ORDER BY score DESC, cand_rank) AS BIGINT) AS rank
+FROM sc"""))
+def rank_candidates(spark, d):
+    """W-2 / ORD-2: per-user order by boosted score, ties by candidate order."""
+    r = R.rank_by_score(scored(spark, d))
+    return r.select("user_id", "post_id", F.round("score", 6).alias("score"), "rank")
+
+
+@register("stage_funnel", serve_sql(f"""
+SELECT c.user_id, c.n_candidates, coalesce(f.n_filtered, 0) AS n_filtered,
+       c.n_candidates - coalesce(f.n_filtered, 0) AS n_removed,
+       coalesce(f.n_filtered, 0) AS n_scored, least({FINAL_N}, coalesce(f.n_filtered, 0)) AS n_final
+FROM (SELECT user_id, count(*) AS n_candidates FROM cand GROUP BY user_id) c
+LEFT JOIN (SELECT user_id, count(*) AS n_filtered FROM filt GROUP BY user_id) f USING (user_id)"""))
+def stage_funnel(spark, d):
+    """A-14: per-user counts through the four stages, one table."""
+    c = candidates(spark, d).groupBy("user_id").agg(F.count(F.lit(1)).alias("n_candidates"))
+    f = filtered(spark, d).groupBy("user_id").agg(F.count(F.lit(1)).alias("n_filtered"))
+    s = scored(spark, d).groupBy("user_id").agg(F.count(F.lit(1)).alias("n_scored"))
+    r = recommendations(spark, d).groupBy("user_id").agg(F.count(F.lit(1)).alias("n_final"))
+    out = c.join(f, "user_id", "left").join(s, "user_id", "left").join(r, "user_id", "left").fillna(0)
+    return out.select("user_id", "n_candidates", "n_filtered",
+                      (F.col("n_candidates") - F.col("n_filtered")).alias("n_removed"), "n_scored", "n_final")
+
+
+@register("recommend")
+def recommend(spark, d):
+    """M-13: end-to-end top-20 per user (M-1/M-3 → M-4 → E-7/M-15 → M-10 → M-11)."""
+    return recommendations(spark, d).select("user_id", "rank", "post_id", F.round("score", 6).alias("score"),
+                                            "category_id")
+
+
+@register("diverse_rerank")
+def diverse_rerank(spark, d):
+    """M-11 over unfiltered kNN candidates (many categories), default factor 0.2."""
+    users = V.users(spark, d).select("user_id", "onboarding_category_ids")
+    posts = V.posts(spark, d, with_text=False).select("post_id", "category_id")
+    items = V.posts(spark, d, with_text=False).select(F.col("post_id").alias("item_id"),
+                                                      F.col("embedding").alias("ivec"))
+    c = K.knn(query_vectors(spark, d), items, TOP_N, "l2").select(
+        F.col("qid").alias("user_id"), F.col("item_id").alias("post_id"), F.col("rank").alias("cand_rank"))
+    s = c.join(users, "user_id").join(posts, "post_id").withColumn(
+        "score", R.smoke_score(R.in_list_flag(F.col("category_id"), F.col("onboarding_category_ids"))))
+    return R.diverse_rerank(s, n=FINAL_N, factor=0.2)
+
+
+CAT_FLAG_SQL = S.with_views("""
+SELECT DISTINCT i.user_id, i.post_id,
+       CAST(coalesce(list_contains(u.onboarding_category_ids, p.category_id), false) AS INTEGER)
+         AS is_post_category_in_onboarding,
+       CASE WHEN coalesce(list_contains(u.onboarding_category_ids, p.category_id), false) THEN 0.8 ELSE 0.3 END
+         AS smoke_score
+FROM interactions i LEFT JOIN users u USING (user_id) LEFT JOIN posts p USING (post_id)""",
+                            S.INTERACTIONS, S.POSTS, S.USERS)
+
+
+@register("category_in_onboarding", CAT_FLAG_SQL)
+def category_in_onboarding(spark, d):
+    """E-7 / SF-15 / M-15 on every distinct interacted pair (one shared expression)."""
+    pairs = V.interactions(spark, d).select("user_id", "post_id").distinct()
+    users = V.users(spark, d).select("user_id", "onboarding_category_ids")
+    posts = V.posts(spark, d, with_text=False).select("post_id", "category_id")
+    j = pairs.join(users, "user_id", "left").join(posts, "post_id", "left")
+    flag = R.in_list_flag(F.col("category_id"), F.col("onboarding_category_ids"))
+    return j.select("user_id", "post_id", flag.alias("is_post_category_in_onboarding"),
+                    R.smoke_score(flag).alias("smoke_score"))
+
+
+@register("cold_start_vector", "WITH " + ",\n".join(UV_SQL + [S.USERS, SERVE_CTES[len(UV_SQL) + 2]]) + """
+SELECT user_id, CAST(dim AS BIGINT) AS dim, round(v, 6) AS value
+FROM (SELECT user_id, unnest(range(len(cold_vector))) AS dim, unnest(cold_vector) AS v FROM cold)""")
+def cold_start_vector(spark, d):
+    """X-14: mean vector of the selected categories' posts for every user."""
+    cv = R.cold_start_vectors(V.users(spark, d), V.posts(spark, d, with_text=False))
+    return cv.select("user_id", F.posexplode("cold_vector").alias("dim", "v")).select(
+        "user_id", F.col("dim").cast("bigint").alias("dim"), F.round("v", 6).alias("value"))
+
+
+@register("cold_start_popular", S.with_views("""
+, likes AS (SELECT post_id, count(*) AS likes FROM interactions WHERE interaction_type = 'like' GROUP BY post_id),
+p AS (SELECT p.post_id, p.category_id, p.creation_timestamp, coalesce(l.likes, 0) AS likes
+      FROM posts p LEFT JOIN likes l USING (post_id)),
+top AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY category_id
+          ORDER BY likes DESC, creation_timestamp DESC, post_id) <= 10),
+up AS (SELECT DISTINCT user_id, unnest(onboarding_category_ids) AS category_id FROM users)
+SELECT user_id, CAST(rk AS BIGINT) AS rank, post_id, category_id, likes FROM (
+  SELECT up.user_id, t.post_id, t.category_id, t.likes,
+         row_number() OVER (PARTITION BY up.user_id ORDER BY t.likes DESC, t.creation_timestamp DESC, t.post_id) AS rk
+  FROM up JOIN top t USING (category_id)) WHERE rk <= 10""", S.INTERACTIONS, S.POSTS, S.USERS
+).replace("\n, likes AS", ",\nlikes AS"))
+def cold_start_popular(spark, d):
+    """X-15: popular (then recent) posts of the selected categories, top 10 per user."""
+    return R.popular_in_categories(V.users(spark, d), V.posts(spark, d, with_text=False),
+                                   V.interactions(spark, d), n=10)
+
+
+@register("interleave", "WITH " + ",\n".join(UV_SQL) + f""",
+c AS (
+  SELECT user_id, post_id, dist FROM (
+    SELECT uv.user_id, e.post_id, {L2SQ} AS dist,
+           row_number() OVER (PARTITION BY uv.user_id ORDER BY {L2SQ}, e.post_id) AS rk
+    FROM uv CROSS JOIN posts e) t WHERE rk <= 20),
+r AS (SELECT c.*, p.category_id, -c.dist AS score,
+             row_number() OVER (PARTITION BY c.user_id, p.category_id ORDER BY -c.dist DESC, c.post_id) AS rnd
+      FROM c JOIN posts p USING (post_id))
+SELECT user_id, post_id, category_id,
+       CAST(row_number() OVER (PARTITION BY user_id ORDER BY rnd, score DESC, post_id) AS BIGINT) AS rank
+FROM r""")
+def interleave(spark, d):
+    """X-16: round-robin across categories over each user's top-20 kNN list."""
+    uv = user_vectors(spark, d).select(F.col("user_id").alias("qid"), F.col("user_vector").alias("qvec"))
+    items = V.posts(spark, d, with_text=False).select(F.col("post_id").alias("item_id"),
+                                                      F.col("embedding").alias("ivec"))
+    c = K.knn(uv, items, 20, "l2").select(F.col("qid").alias("user_id"), F.col("item_id").alias("post_id"),
+                                         (-F.col("score")).alias("score"))
+    c = c.join(V.posts(spark, d, with_text=False).select("post_id", "category_id"), "post_id")
+    return R.interleave(c).select("user_id", "post_id", "category_id", "rank")
+
+
+@register("knn_ivf")
+def knn_ivf(spark, d):
+    """M-2: approximate top-10 (k-means cells, 4 of 16 probed); checked by recall vs exact."""
+    uv = user_vectors(spark, d).select(F.col("user_id").alias("qid"), F.col("user_vector").alias("qvec"))
+    items = V.posts(spark, d, with_text=False).select(F.col("post_id").alias("item_id"),
+                                                      F.col("embedding").alias("ivec"))
+    res = K.ivf_knn(uv, items, 10, n_cells=16, nprobe=4)
+    return res.select(F.col("qid").alias("user_id"), F.col("item_id").alias("post_id"),
+                      F.round("score", 6).alias("distance"), "rank")
+
+
