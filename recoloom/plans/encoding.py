@@ -1,2 +1,136 @@
-"""placeholder"""
-from .registry import register  # noqa: F401
+"""Encoding queries (§2.9 E-*, SF-3..SF-5, SF-16..SF-18, PRJ-8, PRJ-10)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import vectors as VX
+from ..operators import encoding as E
+from ..sources import views as V
+from . import sqlviews as S
+from .registry import register
+from .retrieval import UV_SQL, user_vectors
+
+
+@register("vocab_encode", S.with_views("""
+, v AS (SELECT category_id AS value, dense_rank() OVER (ORDER BY category_id) AS idx
+        FROM (SELECT DISTINCT category_id FROM posts WHERE category_id IS NOT NULL))
+SELECT i.interaction_id, i.post_id, CAST(coalesce(v.idx, 0) AS BIGINT) AS category_index
+FROM interactions i LEFT JOIN posts p USING (post_id) LEFT JOIN v ON v.value = p.category_id
+""", S.INTERACTIONS, S.POSTS).replace("\n, v AS", ",\nv AS"))
+def vocab_encode(spark, d):
+    """E-1 / E-9 / J-8: sorted vocabulary from 1, unknown → 0, applied to interactions."""
+    posts = V.posts(spark, d, with_text=False).select("post_id", "category_id")
+    vocab = E.vocabulary(posts, "category_id")
+    inter = V.interactions(spark, d).select("interaction_id", "post_id").join(posts, "post_id", "left")
+    return E.apply_vocabulary(inter, "category_id", vocab, "category_index").select(
+        "interaction_id", "post_id", "category_index")
+
+
+@register("category_codes", S.with_views("""
+, v AS (SELECT interaction_type AS value, dense_rank() OVER (ORDER BY interaction_type) - 1 AS idx
+        FROM (SELECT DISTINCT interaction_type FROM interactions))
+SELECT i.interaction_id, CAST(coalesce(v.idx, -1) AS BIGINT) AS interaction_type_code
+FROM interactions i LEFT JOIN v ON v.value = i.interaction_type""", S.INTERACTIONS).replace("\n, v AS", ",\nv AS"))
+def category_codes(spark, d):
+    """E-3: alphabetical integer codes, null → −1."""
+    inter = V.interactions(spark, d).select("interaction_id", "interaction_type")
+    return E.category_codes(inter, "interaction_type").select("interaction_id", "interaction_type_code")
+
+
+_CLASSES = [f"cat_{i:02d}" for i in range(10)]
+
+
+@register("multi_hot", S.with_views("SELECT user_id, " + ", ".join(
+    f"CAST(list_contains(onboarding_category_ids, '{c}') AS INTEGER) AS onboarding_category_ids_{c}"
+    for c in _CLASSES) + " FROM users", S.USERS))
+def multi_hot(spark, d):
+    """E-4: one 0/1 column per onboarding category (classes discovered from the data)."""
+    u = V.users(spark, d).select("user_id", "onboarding_category_ids")
+    return E.multi_hot(u, "onboarding_category_ids")
+
+
+@register("flatten_embedding", "WITH " + S.POSTS + "\nSELECT post_id, " + ", ".join(
+    f"round(CAST(embedding[{i + 1}] AS DOUBLE), 6) AS embedding_dim_{i}" for i in range(64)) + " FROM posts")
+def flatten_embedding(spark, d):
+    """E-5 / SF-17: one column per vector dimension."""
+    p = V.posts(spark, d, with_text=False).select("post_id", "embedding")
+    flat = VX.flatten(p, "embedding", 64)
+    return flat.select("post_id", *[F.round(F.col(f"embedding_dim_{i}").cast("double"), 6)
+                                    .alias(f"embedding_dim_{i}") for i in range(64)])
+
+
+@register("zero_impute", "WITH " + ",\n".join(UV_SQL + [S.USERS]) + """
+SELECT u.user_id, CAST(uv.user_vector IS NULL AS INTEGER) AS imputed,
+       CAST(len(coalesce(uv.user_vector, list_transform(range(64), lambda x: 0.0))) AS BIGINT) AS dim,
+       round(sqrt(list_sum(list_transform(coalesce(uv.user_vector, list_transform(range(64), lambda x: 0.0)),
+                                          lambda x: x * x))), 6) AS norm
+FROM users u LEFT JOIN uv USING (user_id)""")
+def zero_impute(spark, d):
+    """PRJ-8 / SF-16: missing or wrong-length vectors → zero vector of the modal dimension."""
+    uv = user_vectors(spark, d)
+    u = V.users(spark, d).select("user_id").join(uv, "user_id", "left")
+    u = u.withColumn("__dim", VX.modal_dim(uv, "user_vector"))
+    v = VX.zero_impute("user_vector", F.col("__dim"))
+    return u.select("user_id", F.col("user_vector").isNull().cast("int").alias("imputed"),
+                    F.size(v).cast("bigint").alias("dim"), F.round(VX.norm(v), 6).alias("norm"))
+
+
+@register("parse_lists", S.with_views("""
+SELECT user_id, CAST(len(onboarding_category_ids) AS BIGINT) AS n_items,
+       array_to_string(onboarding_category_ids, ',') AS items
+FROM users""", S.USERS))
+def parse_lists(spark, d):
+    """SF-3: users' category lists written as Python-style literals and parsed back."""
+    u = V.users(spark, d).select("user_id", "onboarding_category_ids")
+    text = F.concat(F.lit("['"), F.array_join("onboarding_category_ids", "', '"), F.lit("']"))
+    parsed = E.parse_string_list(text)
+    return u.select("user_id", F.size(parsed).cast("bigint").alias("n_items"),
+                    F.array_join(parsed, ",").alias("items"))
+
+
+@register("parse_vectors", "WITH " + S.POSTS + """
+SELECT post_id, round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 4) AS vsum,
+       CAST(len(embedding) AS BIGINT) AS dim FROM posts""")
+def parse_vectors(spark, d):
+    """SF-4: embedding vectors rendered as text and parsed back into array<float>."""
+    p = V.posts(spark, d, with_text=False).select("post_id", "embedding")
+    text = F.concat(F.lit("["), F.array_join(F.transform("embedding", lambda x: x.cast("string")), ", "), F.lit("]"))
+    v = E.parse_float_list(text)
+    s = F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double"))
+    return p.select("post_id", F.round(s, 4).alias("vsum"), F.size(v).cast("bigint").alias("dim"))
+
+
+@register("parse_times", """
+WITH t AS (
+  SELECT event_id, date_trunc('second', ts) AS ts_s,
+         CASE event_id % 5
+           WHEN 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ')
+           WHEN 1 THEN CAST(CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS VARCHAR)
+           WHEN 2 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') || '.000000+0000'
+           WHEN 3 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
+           ELSE 'bad-' || CAST(event_id AS VARCHAR) END AS raw
+  FROM events)
+SELECT event_id, raw, CASE WHEN event_id % 5 = 4 THEN NULL ELSE ts_s END AS parsed FROM t""")
+def parse_times(spark, d):
+    """SF-5 / SF-6: mixed timestamp text (ISO with Z, epoch seconds, offset with
+    fraction, naive ISO, junk) → UTC timestamps or null."""
+    ev = spark.read.parquet(f"{d}/events.parquet").select("event_id", "ts")
+    ts_s = F.date_trunc("second", "ts")
+    m = F.col("event_id") % 5
+    raw = (F.when(m == 0, F.date_format(ts_s, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+           .when(m == 1, F.unix_timestamp(ts_s.cast("timestamp")).cast("string"))
+           .when(m == 2, F.concat(F.date_format(ts_s, "yyyy-MM-dd HH:mm:ss"), F.lit(".000000+0000")))
+           .when(m == 3, F.date_format(ts_s, "yyyy-MM-dd'T'HH:mm:ss"))
+           .otherwise(F.concat(F.lit("bad-"), F.col("event_id").cast("string"))))
+    return ev.select("event_id", raw.alias("raw")).select("event_id", "raw",
+                                                          E.parse_timestamp(F.col("raw")).alias("parsed"))
+
+
+@register("type_coercion", """
+SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events""")
+def type_coercion(spark, d):
+    """PRJ-10: a string column becomes numeric because every value parses."""
+    ev = spark.read.parquet(f"{d}/events.parquet").select(
+        "event_id", F.get_json_object("props", "$.k").alias("k"))
+    return E.coerce_numeric(ev, "k")
