@@ -206,3 +206,43 @@ def weighted_hash_key(weight: Column, *parts: str, seed: int = 42) -> Column:
     """Efraimidis–Spirakis key −ln(u)/w: smallest keys = weighted sample w/o replacement."""
     from ..functions.hashing import unit_uniform
     return -F.log(unit_uniform(*parts, seed=seed)) / weight
+
+
+def exclusive_prefix_sums(df: DataFrame, order_cols: list[str], value_cols: list[str],
+                          prefix: str = "before_") -> DataFrame:
+    """Global running totals in ``order_cols`` order, distributed.
+
+    Sort (range partitions) → checkpoint → per-partition running sums in one
+    Arrow pass (``mapInPandas`` keeps the partitioning, no shuffle) →
+    per-partition totals (one row per partition) → offsets added back.
+    """
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    srt = df.orderBy(*order_cols).withColumn("__pid", F.spark_partition_id()).checkpoint(eager=True)
+    fields = list(srt.schema.fields) + [T.StructField(prefix + c, T.DoubleType()) for c in value_cols]
+    schema = T.StructType(fields)
+
+    def local(batches):
+        run = {c: 0.0 for c in value_cols}
+        for pdf in batches:
+            out = pdf.copy()
+            for c in value_cols:
+                v = pd.to_numeric(pdf[c]).astype("float64").fillna(0.0)
+                cs = v.cumsum() + run[c]
+                out[prefix + c] = cs - v
+                if len(v):
+                    run[c] = float(cs.iloc[-1])
+            yield out
+
+    loc = srt.mapInPandas(local, schema)
+    totals = srt.groupBy("__pid").agg(*[F.sum(F.col(c).cast("double")).alias("__t_" + c) for c in value_cols])
+    w = Window.orderBy("__pid")
+    offs = totals.select("__pid", *[(F.sum("__t_" + c).over(w) - F.col("__t_" + c)).alias("__o_" + c)
+                                    for c in value_cols])   # one row per partition
+    res = loc.join(F.broadcast(offs), "__pid")
+    for c in value_cols:
+        res = res.withColumn(prefix + c, F.col(prefix + c) + F.coalesce(F.col("__o_" + c), F.lit(0.0)))
+    return res.drop("__pid", *["__o_" + c for c in value_cols])

@@ -1,2 +1,98 @@
-"""placeholder"""
-from .registry import register  # noqa: F401
+"""Metrics and model queries (A-11, X-31, X-32, M-5..M-9, E-8, E-10, X-33)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import vectors as VX
+from ..operators import metrics as MT
+from ..operators import sampling as SM
+from ..sources import views as V
+from .registry import register
+from .retrieval import L2SQ, UV_SQL, user_vectors
+from . import sqlviews as S
+from .training import PAIRS_CTES
+
+
+def pair_predictions(spark, d):
+    """Retrieval pairs scored by (cosine(user vector, post vector) + 1) / 2."""
+    pairs = SM.retrieval_pairs(V.interactions(spark, d))
+    emb = V.posts(spark, d, with_text=False).select("post_id", "embedding")
+    uv = user_vectors(spark, d)
+    return (pairs.join(uv, "user_id", "left").join(emb, "post_id", "left")
+            .select("user_id", "post_id", "label",
+                    ((VX.cosine("user_vector", "embedding") + 1.0) / 2.0).alias("score")))
+
+
+PRED_CTES = PAIRS_CTES + [S.POSTS, """rpos AS (
+  SELECT DISTINCT user_id, post_id FROM interactions
+  WHERE interaction_type IN ('like', 'bookmark', 'view_full'))""", UV_SQL[3].replace("FROM pos p", "FROM rpos p"),
+    """pred AS (
+  SELECT pr.user_id, pr.post_id, pr.label,
+         (CASE WHEN uv.user_vector IS NULL OR e.embedding IS NULL THEN 0.0
+               ELSE coalesce(list_cosine_similarity(uv.user_vector, CAST(e.embedding AS DOUBLE[])), 0.0) END
+          + 1.0) / 2.0 AS score
+  FROM pairs pr LEFT JOIN uv USING (user_id) LEFT JOIN posts e USING (post_id))"""]
+
+BIN_SQL = "WITH " + ",\n".join(PRED_CTES) + """,
+rk AS (SELECT label, rank() OVER (ORDER BY score) AS r0, count(*) OVER (PARTITION BY score) AS ties FROM pred),
+auc AS (SELECT (sum(CASE WHEN label = 1 THEN r0 + (ties - 1) / 2.0 END)
+                - count(*) FILTER (WHERE label = 1) * (count(*) FILTER (WHERE label = 1) + 1) / 2.0)
+               / (count(*) FILTER (WHERE label = 1) * count(*) FILTER (WHERE label = 0)) AS roc_auc FROM rk),
+m AS (SELECT count(*) AS n,
+             avg(-(label * ln(greatest(least(score, 1 - 1e-15), 1e-15))
+                   + (1 - label) * ln(1 - greatest(least(score, 1 - 1e-15), 1e-15)))) AS log_loss,
+             avg(CASE WHEN (score >= 0.5) = (label = 1) THEN 1.0 ELSE 0.0 END) AS accuracy,
+             count(*) FILTER (WHERE score >= 0.5 AND label = 1) AS tp,
+             count(*) FILTER (WHERE score >= 0.5 AND label = 0) AS fp,
+             count(*) FILTER (WHERE score < 0.5 AND label = 1) AS fn FROM pred),
+pr AS (SELECT *, coalesce(tp / nullif(tp + fp, 0), 0.0) AS precision, coalesce(tp / nullif(tp + fn, 0), 0.0) AS recall FROM m)
+SELECT n, round(roc_auc, 6) AS roc_auc, round(log_loss, 6) AS log_loss, round(accuracy, 6) AS accuracy,
+       round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(coalesce(2 * precision * recall / nullif(precision + recall, 0), 0.0), 6) AS f1
+FROM pr, auc"""
+
+
+@register("binary_metrics", BIN_SQL)
+def binary_metrics(spark, d):
+    """A-11 / X-31 / M-14: AUC (exact, tie-correct), log-loss, accuracy, precision, recall, F1 at 0.5."""
+    m = MT.binary_metrics(pair_predictions(spark, d))
+    return m.select("n", *[F.round(c, 6).alias(c) for c in
+                           ("roc_auc", "log_loss", "accuracy", "precision", "recall", "f1")])
+
+
+RANK_SQL = "WITH " + ",\n".join(UV_SQL) + f""",
+recs AS (
+  SELECT user_id, post_id, rk AS rank FROM (
+    SELECT uv.user_id, e.post_id,
+           row_number() OVER (PARTITION BY uv.user_id ORDER BY {L2SQ}, e.post_id) AS rk
+    FROM uv CROSS JOIN posts e) t WHERE rk <= 10),
+nrel AS (SELECT user_id, count(*) AS n_rel FROM pos GROUP BY user_id),
+per AS (
+  SELECT r.user_id, count(p.post_id) AS hits,
+         sum(CASE WHEN p.post_id IS NOT NULL THEN 1.0 / log2(r.rank + 1) ELSE 0.0 END) AS dcg,
+         min(CASE WHEN p.post_id IS NOT NULL THEN r.rank END) AS first_hit
+  FROM recs r LEFT JOIN pos p USING (user_id, post_id) GROUP BY r.user_id)
+SELECT count(*) AS n_users,
+       round(avg(hits / 10.0), 6) AS precision_at_k,
+       round(avg(hits / n_rel), 6) AS recall_at_k,
+       round(avg(dcg / list_sum(list_transform(range(1, least(n_rel, 10) + 1), lambda i: 1.0 / log2(i + 1)))), 6)
+         AS ndcg_at_k,
+       round(avg(coalesce(1.0 / first_hit, 0.0)), 6) AS mrr
+FROM per JOIN nrel USING (user_id)"""
+
+
+@register("ranking_metrics", RANK_SQL)
+def ranking_metrics(spark, d):
+    """X-32: Precision@10, Recall@10, NDCG@10, MRR of kNN recommendations against positives."""
+    from ..operators import knn as K
+    uv = user_vectors(spark, d).select(F.col("user_id").alias("qid"), F.col("user_vector").alias("qvec"))
+    items = V.posts(spark, d, with_text=False).select(F.col("post_id").alias("item_id"),
+                                                      F.col("embedding").alias("ivec"))
+    recs = K.knn(uv, items, 10, "l2").select(F.col("qid").alias("user_id"), F.col("item_id").alias("post_id"),
+                                             "rank")
+    rel = (V.interactions(spark, d).where(F.col("interaction_type").isin("like", "bookmark", "view_full"))
+           .select("user_id", "post_id"))
+    m = MT.ranking_metrics(recs, rel, 10)
+    return m.select("n_users", *[F.round(c, 6).alias(c) for c in
+                                 ("precision_at_k", "recall_at_k", "ndcg_at_k", "mrr")])

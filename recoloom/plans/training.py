@@ -107,25 +107,25 @@ def ranking_negatives(spark, d):
     return SM.ranking_negatives(pos, V.posts(spark, d, with_text=False), ratio=4, seed=42)
 
 
-PAIRS_SQL = "WITH " + S.INTERACTIONS + f""",
-uidx AS (SELECT post_id, row_number() OVER (ORDER BY post_id) - 1 AS idx
-         FROM (SELECT DISTINCT post_id FROM interactions WHERE post_id IS NOT NULL)),
-pos AS (SELECT DISTINCT user_id, post_id FROM interactions
-        WHERE interaction_type IN ('like', 'bookmark', 'view_full')),
-pin AS (SELECT * FROM pos WHERE post_id IN (SELECT post_id FROM uidx)),
-stats AS (
+PAIRS_CTES = [S.INTERACTIONS, """uidx AS (SELECT post_id, row_number() OVER (ORDER BY post_id) - 1 AS idx
+         FROM (SELECT DISTINCT post_id FROM interactions WHERE post_id IS NOT NULL))""",
+              """pos AS (SELECT DISTINCT user_id, post_id FROM interactions
+        WHERE interaction_type IN ('like', 'bookmark', 'view_full'))""",
+              """pin AS (SELECT * FROM pos WHERE post_id IN (SELECT post_id FROM uidx))""",
+              """stats AS (
   SELECT s.user_id, s.n_pos, coalesce(i.n_in, 0) AS n_in, (SELECT count(*) FROM uidx) AS p
   FROM (SELECT user_id, count(*) AS n_pos FROM pos GROUP BY user_id) s
-  LEFT JOIN (SELECT user_id, count(*) AS n_in FROM pin GROUP BY user_id) i USING (user_id)),
-pa AS {_params_sql('(SELECT * FROM stats WHERE p - n_in > 0)', 'least(p - n_in, n_pos * 5)',
-                   'least(least(p - n_in, n_pos * 5) + n_pos, p)')},
-pb AS {_params_sql('(SELECT * FROM stats WHERE p - n_in <= 0)', 'least(p, 5)', 'least(p, 5)')},
-na AS {_walk_sql('pa', 'uidx', 'pin')},
-nb AS {_walk_sql('pb', 'uidx', None)}
-SELECT user_id, post_id, 1 AS label FROM pos
-UNION ALL SELECT user_id, post_id, 0 FROM na
-UNION ALL SELECT user_id, post_id, 0 FROM nb
-"""
+  LEFT JOIN (SELECT user_id, count(*) AS n_in FROM pin GROUP BY user_id) i USING (user_id))""",
+              "pa AS " + _params_sql('(SELECT * FROM stats WHERE p - n_in > 0)', 'least(p - n_in, n_pos * 5)',
+                                     'least(least(p - n_in, n_pos * 5) + n_pos, p)'),
+              "pb AS " + _params_sql('(SELECT * FROM stats WHERE p - n_in <= 0)', 'least(p, 5)', 'least(p, 5)'),
+              "na AS " + _walk_sql('pa', 'uidx', 'pin'),
+              "nb AS " + _walk_sql('pb', 'uidx', None),
+              """pairs AS (
+  SELECT user_id, post_id, 1 AS label FROM pos
+  UNION ALL SELECT user_id, post_id, 0 FROM na
+  UNION ALL SELECT user_id, post_id, 0 FROM nb)"""]
+PAIRS_SQL = "WITH " + ",\n".join(PAIRS_CTES) + "\nSELECT user_id, post_id, label FROM pairs"
 
 
 @register("retrieval_pairs", PAIRS_SQL)
