@@ -96,3 +96,160 @@ def ranking_metrics(spark, d):
     m = MT.ranking_metrics(recs, rel, 10)
     return m.select("n_users", *[F.round(c, 6).alias(c) for c in
                                  ("precision_at_k", "recall_at_k", "ndcg_at_k", "mrr")])
+
+
+# ------------------------------------------------------------------ ranking model
+NUMERIC = ["user_spend__spend", "post_stats__num_likes_on_post", "post_stats__num_views_on_post",
+           "post_stats__num_comments_on_post", "cosine_similarity_user_post_embedding",
+           "is_post_category_in_onboarding"]
+CATEGORICAL = ["media_type"]
+
+
+def ranking_datasets(spark, d):
+    """E-12: (train, validation) ranking sets — split → positives (one row per
+    interaction, N-3) ∪ sampled negatives (N-1) → point-in-time features from
+    two views (J-6b) → pair features (E-6, E-7) → null policy (PRJ-7)."""
+    from ..operators import rerank as R
+    from .store import feature_store
+    inter = V.interactions(spark, d)
+    split = SM.chronological_split(inter, "timestamp", "interaction_id")
+    posts = V.posts(spark, d, with_text=False)
+    users = V.users(spark, d).select("user_id", "onboarding_category_ids")
+    fs = feature_store(spark, d)
+    # user vectors from the training split only (no look-ahead into validation)
+    train_pos = split.where((F.col("split") == "train") & F.col("interaction_type").isin("like", "bookmark",
+                                                                                           "view_full"))
+    uv = VX.mean_vector(train_pos.select("user_id", "post_id").distinct()
+                        .join(posts.select("post_id", "embedding"), "post_id"), "user_id", "embedding",
+                        "user_vector")
+    out = []
+    for name in ("train", "validation"):
+        pos = (split.where((F.col("split") == name) & F.col("interaction_type").isin("like", "bookmark"))
+               .select("user_id", "post_id", "timestamp", F.lit(1).alias("label")))
+        neg = SM.ranking_negatives(pos, posts, ratio=4, seed=42)
+        ent = pos.unionByName(neg.select("user_id", "post_id", "timestamp", "label")).withColumnRenamed(
+            "timestamp", "event_timestamp")
+        # cut the sampling lineage (reliable checkpoint in spark.checkpoint.dir): the
+        # feature joins below then plan against a scan, and a lost executor does
+        # not replay the sampling stages
+        ent = ent.checkpoint(eager=True)
+        f = fs.get_historical_features(ent, ["user_spend:spend", "post_stats:num_likes_on_post",
+                                             "post_stats:num_views_on_post", "post_stats:num_comments_on_post"])
+        f = (f.join(uv, "user_id", "left")
+             .join(posts.select("post_id", "embedding", "category_id", "media_type"), "post_id", "left")
+             .join(users, "user_id", "left"))
+        f = f.select(
+            "user_id", "post_id", "event_timestamp", "label", "media_type",
+            *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in NUMERIC[:4]],
+            VX.cosine("user_vector", "embedding").alias("cosine_similarity_user_post_embedding"),
+            R.in_list_flag(F.col("category_id"), F.col("onboarding_category_ids"))
+            .cast("double").alias("is_post_category_in_onboarding"))
+        out.append(f.withColumn("split", F.lit(name)))
+    return out[0], out[1]
+
+
+def _matrices(spark, d):
+    from ..operators import models as M
+    from pyspark import StorageLevel
+    tr, va = ranking_datasets(spark, d)
+    # both sets feed several estimator passes: keep them instead of recomputing the plan
+    tr, va = tr.persist(StorageLevel.MEMORY_AND_DISK), va.persist(StorageLevel.MEMORY_AND_DISK)
+    _, trm, vam = M.fit_transform(tr, va, CATEGORICAL, NUMERIC)
+    return trm, vam
+
+
+@register("feature_matrix")
+def feature_matrix(spark, d):
+    """E-10/E-11: train-fitted encoding pipeline applied to train and validation."""
+    from pyspark.ml.functions import vector_to_array
+    trm, vam = _matrices(spark, d)
+    both = trm.unionByName(vam)
+    return both.select("split", "user_id", "post_id", "event_timestamp", "label",
+                       F.array_join(F.transform(vector_to_array("features"),
+                                                lambda x: F.format_number(x, 6)), ",").alias("features"))
+
+
+@register("train_rank")
+def train_rank(spark, d):
+    """M-5 + M-14: GBT with the reference hyper-parameters (validation-based
+    early stopping), evaluated on train and validation."""
+    from ..operators import models as M
+    trm, vam = _matrices(spark, d)
+    trm, vam = trm.cache(), vam.cache()
+    model = M.train_gbt(trm, vam)
+    rows = []
+    for name, df in (("train", trm), ("validation", vam)):
+        m = MT.binary_metrics(M.score(model, df).select("label", "score"))
+        rows.append(m.select(F.lit(name).alias("split"), "*"))
+    return rows[0].unionByName(rows[1])
+
+
+@register("feature_importance")
+def feature_importance(spark, d):
+    """X-33: importance of each assembled feature slot, sorted descending."""
+    from ..operators import models as M
+    trm, vam = _matrices(spark, d)
+    model = M.train_gbt(trm.cache(), vam.cache())
+    return M.feature_importance(model, M.assembled_names(trm), spark)
+
+
+@register("score_candidates")
+def score_candidates(spark, d):
+    """M-9: the trained ranker scores the validation pairs (probability of class 1)."""
+    from ..operators import models as M
+    trm, vam = _matrices(spark, d)
+    model = M.train_logistic(trm)
+    return M.score(model, vam).select("user_id", "post_id", "label", F.round("score", 6).alias("score"))
+
+
+@register("als_vectors")
+def als_vectors(spark, d):
+    """M-6/M-7/M-8: implicit-ALS user and post vectors (rank 64), long form with norms."""
+    from ..operators import models as M
+    _, uf, pf = M.als_vectors(V.interactions(spark, d))
+    u = uf.select(F.lit("user").alias("entity"), F.col("user_id").alias("id"), "vector")
+    p = pf.select(F.lit("post").alias("entity"), F.col("post_id").alias("id"), "vector")
+    return u.unionByName(p).select("entity", "id", F.size("vector").cast("bigint").alias("dim"),
+                                   F.round(VX.norm("vector"), 4).alias("norm"))
+
+
+@register("text_vectors")
+def text_vectors(spark, d):
+    """E-8: 384-d TF-IDF text vectors of every post's full description text."""
+    from ..operators import models as M
+    p = V.posts(spark, d, with_text=True).select("post_id", "description_text")
+    tv = M.text_vectors(p, "description_text")
+    return tv.select("post_id", F.size(vector_to_array_col("text_vector")).cast("bigint").alias("dim"),
+                     F.round(VX.norm(vector_to_array_col("text_vector")), 6).alias("norm"))
+
+
+def vector_to_array_col(c):
+    from pyspark.ml.functions import vector_to_array
+    return vector_to_array(c)
+
+
+@register("batch_infer")
+def batch_infer(spark, d):
+    """M-7 / SF-13: two dense ReLU layers over every post vector in batches of
+    256.  Layer 1 is the class-logit layer of a multinomial model fitted on
+    (embedding → category); layer 2 maps it back to 64-d with the class
+    centroid matrix — both learned from the data."""
+    import numpy as np
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import StringIndexer
+    from pyspark.ml.functions import array_to_vector
+
+    from ..operators import models as M
+    from ..operators import rerank as R
+    posts = V.posts(spark, d, with_text=False).select("post_id", "category_id", "embedding")
+    lab = StringIndexer(inputCol="category_id", outputCol="y", stringOrderType="alphabetAsc").fit(posts)
+    tr = lab.transform(posts).withColumn("x", array_to_vector("embedding"))
+    lr = LogisticRegression(featuresCol="x", labelCol="y", family="multinomial", maxIter=30).fit(tr)
+    w1 = lr.coefficientMatrix.toArray()
+    b1 = lr.interceptVector.toArray()
+    cents = {r["category_id"]: np.asarray(r["vsum"]) / r["n"]
+             for r in R.category_vector_stats(posts).collect()}          # one row per class: bounded
+    w2 = np.stack([cents[c] for c in lab.labels]).T                     # 64 × n_classes
+    tower = M.dense_tower(posts, "embedding", [(w1, b1), (w2, np.zeros(w2.shape[0]))])
+    return tower.select("post_id", F.size("tower_vector").cast("bigint").alias("dim"),
+                        F.round(VX.norm("tower_vector"), 4).alias("norm"))
