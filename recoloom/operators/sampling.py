@@ -89,36 +89,38 @@ def hash_split(df: DataFrame, key_cols: list[str], fractions=(0.8, 0.1, 0.1),
 
 
 def _permutation_sample(params: DataFrame, universe_idx: DataFrame, exclude: DataFrame | None,
-                        chunk: int) -> DataFrame:
-    """Core walk.  ``params``: (user_id, k, m, b, s, P) per user; ``universe_idx``:
-    (post_id, idx); ``exclude``: (user_id, post_id) pairs to skip or None.
-    Returns (user_id, post_id, j) — the first k admissible candidates of the walk.
+                        chunk: int, group: str | None = None) -> DataFrame:
+    """Core walk.  ``params``: (user_id, [group], k, m, b, s, P) per walk;
+    ``universe_idx``: (post_id, [group], idx); ``exclude``: (user_id, post_id)
+    pairs to skip or None.  Returns (user_id, [group], post_id, j) — the first k
+    admissible candidates of each walk.
     """
+    walk = ["user_id"] + ([group] if group else [])
     starts = (params.where(F.col("m") > 0)
               .select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("m") - 1,
                                                 F.lit(chunk).cast("bigint"))).alias("c0"))
-              .repartition("user_id", "c0"))          # spread a hot user's chunks over tasks
+              .repartition(*walk, "c0"))          # spread a hot user's chunks over tasks
     cand = starts.select(
-        "user_id", "k", "c0",
+        *walk, "k", "c0",
         F.explode(F.sequence(F.col("c0"), F.least(F.col("c0") + chunk, F.col("m")) - 1)).alias("j"),
         "b", "s", "P")
-    cand = cand.select("user_id", "k", "c0", "j",
+    cand = cand.select(*walk, "k", "c0", "j",
                        ((F.col("b") + F.col("j") * (F.col("s") % F.col("P"))) % F.col("P")).alias("idx"))
-    cand = cand.join(universe_idx, "idx")
+    cand = cand.join(universe_idx, ([group] if group else []) + ["idx"])
     if exclude is not None:
         cand = cand.join(exclude, ["user_id", "post_id"], "left_anti")
-    per_chunk = cand.groupBy("user_id", "c0").agg(F.count(F.lit(1)).alias("n_c"))
+    per_chunk = cand.groupBy(*walk, "c0").agg(F.count(F.lit(1)).alias("n_c"))
     before = per_chunk.select(
-        "user_id", "c0",
-        (F.sum("n_c").over(Window.partitionBy("user_id").orderBy("c0")) - F.col("n_c")).alias("before"))
-    ranked = (cand.join(before, ["user_id", "c0"])
+        *walk, "c0",
+        (F.sum("n_c").over(Window.partitionBy(*walk).orderBy("c0")) - F.col("n_c")).alias("before"))
+    ranked = (cand.join(before, walk + ["c0"])
               .withColumn("r", F.col("before") + F.row_number().over(
-                  Window.partitionBy("user_id", "c0").orderBy("j"))))
-    return ranked.where(F.col("r") <= F.col("k")).select("user_id", "post_id", "j")
+                  Window.partitionBy(*walk, "c0").orderBy("j"))))
+    return ranked.where(F.col("r") <= F.col("k")).select(*walk, "post_id", "j")
 
 
-def _walk_params(users: DataFrame, P: Column, seed: int) -> DataFrame:
-    h = md5_bigint("user_id", seed=seed)
+def _walk_params(users: DataFrame, P: Column, seed: int, key: tuple = ("user_id",)) -> DataFrame:
+    h = md5_bigint(*key, seed=seed)
     primes = F.array(*[F.lit(p).cast("bigint") for p in STRIDE_PRIMES])
     return users.select("*", (h % P).alias("b"),
                         F.element_at(primes, (F.shiftright(h, 8) % len(STRIDE_PRIMES) + 1).cast("int")).alias("s"),
@@ -246,3 +248,31 @@ def exclusive_prefix_sums(df: DataFrame, order_cols: list[str], value_cols: list
     for c in value_cols:
         res = res.withColumn(prefix + c, F.col(prefix + c) + F.coalesce(F.col("__o_" + c), F.lit(0.0)))
     return res.drop("__pid", *["__o_" + c for c in value_cols])
+
+
+def hard_negatives(positives: DataFrame, users: DataFrame, posts: DataFrame, per_category: int = 3,
+                   prefs: str = "onboarding_category_ids", seed: int = 42, chunk: int = 4096) -> DataFrame:
+    """X-12: negatives biased to the user's preferred categories — for every
+    (user with positives, preferred category), ``min(per_category, n_avail)``
+    non-positive posts of that category, drawn by a permutation walk over the
+    category's own dense post index (so a hot category is never paired
+    wholesale with its users)."""
+    gidx = dense_index(posts.select("category_id", "post_id").distinct(), ["category_id", "post_id"], "gi")
+    first = gidx.groupBy("category_id").agg(F.min("gi").alias("g0"), F.count(F.lit(1)).alias("P"))
+    uidx = gidx.join(first, "category_id").select("category_id", "post_id", (F.col("gi") - F.col("g0")).alias("idx"))
+    pos = positives.select("user_id", "post_id").distinct()
+    pos_cat = pos.join(posts.select("post_id", "category_id"), "post_id")
+    n_in = pos_cat.groupBy("user_id", "category_id").agg(F.count(F.lit(1)).alias("n_in"))
+    active = pos.select("user_id").distinct()
+    uc = (users.join(active, "user_id", "left_semi")
+          .select("user_id", F.explode(F.array_distinct(prefs)).alias("category_id"))
+          .join(first.select("category_id", "P"), "category_id")
+          .join(n_in, ["user_id", "category_id"], "left").fillna(0, ["n_in"]))
+    k = F.least(F.lit(per_category).cast("bigint"), F.col("P") - F.col("n_in"))
+    params = uc.select("user_id", "category_id", "P", k.alias("k"), F.least(k + F.col("n_in"), F.col("P")).alias("m"))
+    h = md5_bigint("user_id", "category_id", seed=seed)
+    primes = F.array(*[F.lit(p).cast("bigint") for p in STRIDE_PRIMES])
+    params = params.select("*", (h % F.col("P")).alias("b"),
+                           F.element_at(primes, (F.shiftright(h, 8) % len(STRIDE_PRIMES) + 1).cast("int")).alias("s"))
+    got = _permutation_sample(params, uidx, pos, chunk, group="category_id")
+    return got.select("user_id", "category_id", "post_id", F.lit(0).alias("label"))
