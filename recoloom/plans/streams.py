@@ -1,2 +1,210 @@
-"""placeholder"""
-from .registry import register  # noqa: F401
+"""Sink / source round trips and streaming queries (SNK-*, SRC-1, X-13, ST-*).
+
+Every query stages data *derived from the supplied tables* under the shared
+scratch folder, runs the writer or the stream to completion
+(``availableNow``), and returns a batch read of what was written, so the
+result can be compared with the equivalent batch SQL.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..operators import sampling as SM
+from ..sources import io as IO
+from ..sources import views as V
+from ..streaming import ingest as ST
+from . import sqlviews as S
+from .registry import register
+from .training import SPLIT_SQL
+
+INTERACTION_SCHEMA = T.StructType([
+    T.StructField("interaction_id", T.LongType()), T.StructField("user_id", T.LongType()),
+    T.StructField("post_id", T.LongType()), T.StructField("interaction_type", T.StringType()),
+    T.StructField("timestamp", T.TimestampNTZType())])
+
+
+@register("csv_roundtrip", SPLIT_SQL.replace("SELECT interaction_id,\n       CASE", "SELECT interaction_id, user_id, post_id,\n       CASE"))
+def csv_roundtrip(spark, d):
+    """SNK-1 + SRC-1: interactions written as one CSV folder per split, read back
+    with an explicit schema."""
+    split = SM.chronological_split(V.interactions(spark, d), "timestamp", "interaction_id")
+    path = IO.scratch_path(spark, "splits-csv")
+    IO.write_splits_csv(split, path)
+    back = IO.read_csv(spark, path, INTERACTION_SCHEMA)
+    return back.select("interaction_id", "user_id", "post_id", "split")
+
+
+@register("jsonl_ingest", S.with_views(
+    'SELECT interaction_id, user_id, post_id, interaction_type, "timestamp" FROM interactions', S.INTERACTIONS))
+def jsonl_ingest(spark, d):
+    """X-13: interactions staged as JSON lines and ingested with an explicit schema."""
+    path = IO.scratch_path(spark, "interactions-jsonl")
+    V.interactions(spark, d).write.mode("overwrite").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path)
+    return IO.read_jsonl(spark, path, INTERACTION_SCHEMA)
+
+
+@register("write_vectors", "WITH " + S.POSTS + """
+SELECT category_id, count(*) AS n, round(sum(CAST(embedding[1] AS DOUBLE)), 4) AS dim0_sum
+FROM posts GROUP BY category_id""")
+def write_vectors(spark, d):
+    """SNK-3: the vector table written partitioned by category (staged swap,
+    dimension-checked), read back and summarised per partition."""
+    path = IO.scratch_path(spark, "vectors")
+    IO.write_vector_table(V.posts(spark, d, with_text=False), path, dim=64)
+    back = spark.read.parquet(path)
+    return back.groupBy("category_id").agg(F.count(F.lit(1)).alias("n"),
+                                           F.round(F.sum(F.get("embedding", 0).cast("double")), 4).alias("dim0_sum"))
+
+
+SEEN_LATEST_SQL = "WITH " + ",\n".join([S.INTERACTIONS, S.SEEN]) + """
+SELECT user_id, post_id, interaction_type, max(interaction_timestamp) AS interaction_timestamp
+FROM seen_store {where} GROUP BY user_id, post_id, interaction_type"""
+
+
+@register("upsert_interactions", SEEN_LATEST_SQL.format(where=""))
+def upsert_interactions(spark, d):
+    """SNK-4: the serving store loaded with the training split, then upserted
+    with the later splits; read back = latest row per (user, post, type)."""
+    split = SM.chronological_split(V.interactions(spark, d), "timestamp", "interaction_id")
+    seen = V.SEEN_TYPE_MAP
+    ss = (split.where(F.col("interaction_type").isin(list(seen)))
+          .select("user_id", "post_id", V._case_map(F.col("interaction_type"), seen, None).alias("interaction_type"),
+                  F.col("timestamp").alias("interaction_timestamp"), "split"))
+    path = IO.scratch_path(spark, "seen-store")
+    keys = ["user_id", "post_id", "interaction_type"]
+    IO.upsert(spark, path, ss.where(F.col("split") == "train").drop("split"), keys, "interaction_timestamp")
+    IO.upsert(spark, path, ss.where(F.col("split") != "train").drop("split"), keys, "interaction_timestamp")
+    return spark.read.parquet(path).drop("bucket")
+
+
+@register("delete_users", SEEN_LATEST_SQL.format(
+    where="""WHERE user_id NOT IN (
+      SELECT user_id FROM seen_store
+      QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY interaction_timestamp DESC, post_id DESC,
+                                 interaction_type DESC) = 1 AND interaction_type = 'reported')"""))
+def delete_users(spark, d):
+    """SNK-5: users whose most recent store row is a 'reported' one are deleted
+    from the store (only their key buckets are rewritten)."""
+    path = IO.scratch_path(spark, "seen-store")
+    store = V.seen_store(spark, d)
+    IO.upsert(spark, path, store, ["user_id", "post_id", "interaction_type"], "interaction_timestamp")
+    last = store.groupBy("user_id").agg(F.max_by("interaction_type", F.struct(
+        "interaction_timestamp", "post_id", "interaction_type")).alias("last_type"))
+    IO.delete_keys(spark, path, last.where(F.col("last_type") == "reported").select("user_id"))
+    schema = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("post_id", T.LongType()),
+                           T.StructField("interaction_type", T.StringType()),
+                           T.StructField("interaction_timestamp", T.TimestampNTZType())])
+    return IO.read_or_empty(spark, path, schema)
+
+
+@register("run_metrics")
+def run_metrics(spark, d):
+    """SNK-6: a run's metrics (label distribution and vocabulary sizes) appended
+    to a metrics table and read back."""
+    from ..operators import aggregates as A
+    inter = V.interactions(spark, d)
+    m = A.vocab_sizes(inter, ["user_id", "post_id"]).select(
+        "*", inter.select(F.count(F.lit(1))).scalar().alias("training_samples"))
+    path = IO.scratch_path(spark, "run-metrics")
+    IO.append_run_metrics(m, path, "run-0001", {"seed": 42, "source": "interactions"})
+    return spark.read.parquet(path).select("run_id", "metric", "value")
+
+
+def _stage(df, name, spark, partition_col=None):
+    """Stage replay input; with a day partition column, file modification times
+    are set in day order so the file source replays the days in event order."""
+    path = IO.scratch_path(spark, name)
+    w = df.write.mode("overwrite")
+    if partition_col:
+        w = w.partitionBy(partition_col)
+    w.parquet(path)
+    if partition_col:
+        IO.order_files_by_partition(spark, path, partition_col)
+    return path
+
+
+def _await(q):
+    q.awaitTermination()
+    if q.exception():
+        raise RuntimeError(str(q.exception()))
+
+
+@register("stream_push", "WITH " + S.FEATURE_ROWS + """
+SELECT user_id, spend, feature_ts, created FROM feature_rows
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY feature_ts DESC, created DESC) = 1""")
+def stream_push(spark, d):
+    """ST-1 / F-8 / F-4: purchase events pushed in micro-batches (5 files per
+    trigger) into the offline store and the online latest-per-user table."""
+    rows = V.feature_rows(spark, d).withColumn("day", F.to_date("feature_ts"))
+    src = _stage(rows, "push-src", spark, "day")
+    schema = spark.read.parquet(src).schema
+    stream = ST.file_stream(spark, src, schema, max_files=5).drop("day")
+    online, offline = IO.scratch_path(spark, "online"), IO.scratch_path(spark, "offline")
+    q = ST.push_features(stream, offline, online, ["user_id"], "feature_ts", IO.scratch_path(spark, "ckpt-push"))
+    _await(q)
+    # ties on feature_ts: the upsert keeps the row with the latest feature_ts;
+    # equal feature_ts rows are resolved by 'created' in the batch merge below
+    return spark.read.parquet(online).select("user_id", "spend", "feature_ts", "created")
+
+
+@register("stream_seen", "WITH " + ",\n".join([S.INTERACTIONS, S.SEEN]) + """
+SELECT DISTINCT user_id, post_id, interaction_type FROM seen_store""")
+def stream_seen(spark, d):
+    """ST-2: seen/disliked/reported events streamed with watermark de-duplication
+    into the keyed serving store."""
+    src = _stage(V.seen_store(spark, d).withColumn("day", F.to_date("interaction_timestamp")), "seen-src", spark, "day")
+    stream = ST.file_stream(spark, src, spark.read.parquet(src).schema, max_files=5).drop("day")
+    store = IO.scratch_path(spark, "seen-stream-store")
+    _await(ST.seen_updates(stream, store, IO.scratch_path(spark, "ckpt-seen")))
+    # the stored time is the first arrival inside the watermark, so only the
+    # key set is a batch-comparable result
+    return spark.read.parquet(store).select("user_id", "post_id", "interaction_type")
+
+
+@register("stream_jsonl_hourly", """
+SELECT CAST(ts AS DATE) AS date, CAST(hour(ts) AS INTEGER) AS hour, count(*) AS n FROM events GROUP BY 1, 2""")
+def stream_jsonl_hourly(spark, d):
+    """ST-3: JSON-lines event batches streamed into date/hour-partitioned Parquet."""
+    ev = spark.read.parquet(f"{d}/events.parquet")
+    src = IO.scratch_path(spark, "events-jsonl")
+    ev.write.mode("overwrite").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(src)
+    stream = ST.file_stream(spark, src, ev.schema, fmt="json", max_files=2)
+    out = IO.scratch_path(spark, "events-hourly")
+    _await(ST.jsonl_to_hourly(stream, out, IO.scratch_path(spark, "ckpt-jsonl")))
+    return spark.read.parquet(out).groupBy("date", "hour").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("stream_window_counts", S.with_views("""
+SELECT date_trunc('day', "timestamp") AS window_start, user_id, count(*) AS events,
+       count(*) FILTER (WHERE interaction_type = 'like') AS like_count,
+       count(*) FILTER (WHERE interaction_type = 'comment') AS comment_count,
+       count(*) FILTER (WHERE interaction_type = 'view_full') AS view_full_count
+FROM interactions GROUP BY 1, 2""", S.INTERACTIONS))
+def stream_window_counts(spark, d):
+    """ST-4: daily per-user counts from a watermarked streaming aggregation."""
+    inter = V.interactions(spark, d).withColumn("day", F.to_date("timestamp"))
+    src = _stage(inter, "inter-src", spark, "day")
+    stream = ST.file_stream(spark, src, spark.read.parquet(src).schema, max_files=5).drop("day")
+    out = IO.scratch_path(spark, "window-counts")
+    _await(ST.window_counts(stream, out, IO.scratch_path(spark, "ckpt-window")))
+    return spark.read.parquet(out).select("window_start", "user_id", "events", "like_count", "comment_count",
+                                          "view_full_count")
+
+
+@register("stream_new_posts", "WITH " + S.POSTS + """
+SELECT category_id, count(*) AS n,
+       round(avg(sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE))))), 4) AS src_norm
+FROM posts GROUP BY category_id""")
+def stream_new_posts(spark, d):
+    """ST-5: new posts encoded on arrival and appended to the vector table."""
+    posts = V.posts(spark, d, with_text=False).select("post_id", "category_id", "embedding")
+    src = _stage(posts, "posts-src", spark)
+    stream = ST.file_stream(spark, src, spark.read.parquet(src).schema, max_files=1)
+    out = IO.scratch_path(spark, "posts-vectors")
+    _await(ST.new_post_vectors(stream, out, IO.scratch_path(spark, "ckpt-posts"), dim=64))
+    back = spark.read.parquet(out).join(posts.select("post_id", F.col("embedding").alias("src")), "post_id")
+    from ..functions import vectors as VX
+    return back.groupBy("category_id").agg(F.count(F.lit(1)).alias("n"),
+                                           F.round(F.avg(VX.norm("src")), 4).alias("src_norm"))
