@@ -110,3 +110,20 @@ def online_lookup(keys_df: DataFrame, latest: DataFrame, keys: list[str] | str)
     """Multi-key online read: every requested key, null features when unknown (F-5)."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     return keys_df.join(latest, keys, "left")
+
+
+def materialize_incremental(spark, source: DataFrame, keys: list[str] | str, ts: str, cols: list[str],
+                            online_path: str, state_path: str, end, created_col: str | None = None) -> None:
+    """F-4: materialise rows with ``last_end < ts <= end`` into the online table
+    (latest per key wins, ties → greatest ``created_col``), then record ``end``
+    as the new high-water mark (a one-row Parquet table)."""
+    from ..sources import io as IO
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    src = source.where(F.col(ts) <= end)
+    if IO.path_exists(spark, state_path):
+        src = src.where(F.col(ts) > F.lit(spark.read.parquet(state_path).first()["end_ts"]))
+    extra = [created_col] if created_col else []
+    order = F.struct(F.col(ts), *[F.col(c) for c in extra]) if extra else F.col(ts)
+    rows = src.select(*keys, *[c for c in cols if c != ts], ts, *extra, order.alias("__ord"))
+    IO.upsert(spark, online_path, rows, keys, "__ord", bucket_col=keys[0])
+    spark.range(1).select(F.lit(end).alias("end_ts")).write.mode("overwrite").parquet(state_path)

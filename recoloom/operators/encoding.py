@@ -90,3 +90,12 @@ def coerce_numeric(df: DataFrame, col: str) -> DataFrame:
     changes the schema)."""
     ok = df.select(F.count(F.col(col)) == F.count(F.col(col).try_cast("double"))).first()[0]
     return df.withColumn(col, F.col(col).try_cast("double")) if ok else df
+
+
+def first_seen_vocabulary(df: DataFrame, col: str, order_col: str, start: int = 1) -> DataFrame:
+    """E-2: index values by first appearance (smallest ``order_col``), ``start``
+    upwards; 0 stays the out-of-vocabulary code."""
+    first = (df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("value"))
+             .agg(F.min(order_col).alias("__first")))
+    return (dense_index(first, ["__first", "value"], "index")
+            .select("value", (F.col("index") + start).alias("index")))

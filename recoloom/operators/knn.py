@@ -93,8 +93,6 @@ def knn(queries: DataFrame, items: DataFrame, k: int, metric: str = "l2",
             .applyInPandas(kernel, schema))
     order_col = F.col("score") if metric == "l2" else F.col("score").desc()
     w = Window.partitionBy("qid").orderBy(order_col, F.col("item_id"))
-    # the same item can reach a query through several groups: keep it once
-    part = part.dropDuplicates(["qid", "item_id"])
     return (part.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .withColumn("rank", F.col("rank").cast("bigint")))
 

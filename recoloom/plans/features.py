@@ -99,3 +99,68 @@ SELECT (SELECT count(*) FROM posts) AS row_count, column_name, null_count FROM (
   UNION ALL SELECT 'embedding', count(*) FILTER (WHERE embedding IS NULL) FROM posts) t""", S.POSTS))
 def column_profile(spark, d):
     return A.null_profile(V.posts(spark, d))
+
+
+@register("formatted_ids", S.with_views("""
+SELECT interaction_id, printf('i_%07d', interaction_id) AS interaction_key, printf('u_%04d', user_id) AS user_key,
+       printf('p_%05d', post_id) AS post_key FROM interactions""", S.INTERACTIONS))
+def formatted_ids(spark, d):
+    """SF-1: zero-padded string ids of the reference's id scheme."""
+    from ..operators.columns import format_id
+    i = V.interactions(spark, d)
+    return i.select("interaction_id", format_id("i_", 7, F.col("interaction_id")).alias("interaction_key"),
+                    format_id("u_", 4, F.col("user_id")).alias("user_key"),
+                    format_id("p_", 5, F.col("post_id")).alias("post_key"))
+
+
+@register("interaction_time_rules", S.with_views("""
+SELECT i.interaction_id,
+       i."timestamp" >= greatest(u.creation_timestamp, p.creation_timestamp) AS is_valid,
+       least(greatest(i."timestamp", u.creation_timestamp, p.creation_timestamp),
+             (SELECT max("timestamp") FROM interactions)) AS clamped_timestamp
+FROM interactions i JOIN users u USING (user_id) JOIN posts p USING (post_id)""",
+                                              S.INTERACTIONS, S.USERS, S.POSTS))
+def interaction_time_rules(spark, d):
+    """SF-9: an interaction must follow the user's and the post's creation;
+    times are clamped into [latest creation, end of range]."""
+    from ..operators.columns import time_rules
+    i = V.interactions(spark, d)
+    u = V.users(spark, d).select("user_id", F.col("creation_timestamp").alias("u_created"))
+    p = V.posts(spark, d, with_text=False).select("post_id", F.col("creation_timestamp").alias("p_created"))
+    end = i.select(F.max("timestamp")).scalar()
+    valid, clamped = time_rules(F.col("timestamp"), F.col("u_created"), F.col("p_created"), latest=end)
+    return i.join(u, "user_id").join(p, "post_id").select("interaction_id", valid.alias("is_valid"),
+                                                          clamped.alias("clamped_timestamp"))
+
+
+@register("vocab_first_seen", S.with_views("""
+, v AS (SELECT interaction_type AS value, row_number() OVER (ORDER BY min("timestamp"), interaction_type) AS idx
+        FROM interactions GROUP BY interaction_type)
+SELECT i.interaction_id, CAST(coalesce(v.idx, 0) AS BIGINT) AS type_index
+FROM interactions i LEFT JOIN v ON v.value = i.interaction_type""", S.INTERACTIONS).replace("\\n, v AS", ",\\nv AS"))
+def vocab_first_seen(spark, d):
+    """E-2: vocabulary in first-appearance order (by event time), OOV = 0."""
+    from ..operators import encoding as E
+    i = V.interactions(spark, d)
+    vocab = E.first_seen_vocabulary(i, "interaction_type", "timestamp")
+    return E.apply_vocabulary(i, "interaction_type", vocab, "type_index").select("interaction_id", "type_index")
+
+
+@register("aligned_features", """
+SELECT user_id, CAST(count_likes_given AS DOUBLE) AS count_likes_given,
+       CAST(num_posts_created AS DOUBLE) AS num_posts_created, 0.0 AS embedding_norm,
+       CAST(distinct_categories_interacted AS DOUBLE) AS distinct_categories_interacted
+FROM (""" + _user_agg_sql("interactions", "posts", "users", S.INTERACTIONS, S.POSTS, S.USERS) + ") t")
+def aligned_features(spark, d):
+    """PRJ-9: a frame forced onto a declared feature schema — order imposed,
+    an absent feature added as 0.0, types cast."""
+    from pyspark.sql import types as T
+
+    from ..operators.columns import align_to
+    ua = A.user_aggregates(V.interactions(spark, d), V.posts(spark, d, with_text=False), V.users(spark, d))
+    schema = T.StructType([T.StructField("user_id", T.LongType()),
+                           T.StructField("count_likes_given", T.DoubleType()),
+                           T.StructField("num_posts_created", T.DoubleType()),
+                           T.StructField("embedding_norm", T.DoubleType()),
+                           T.StructField("distinct_categories_interacted", T.DoubleType())])
+    return align_to(ua, schema, fill_missing=0.0)

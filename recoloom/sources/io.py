@@ -188,3 +188,21 @@ def append_run_metrics(metrics: DataFrame, path: str, run_id: str, params: dict)
         F.create_map().cast("map<string,string>")
     (long.select(F.lit(run_id).alias("run_id"), "metric", "value", pm.alias("params"))
      .write.mode("append").partitionBy("run_id").parquet(path))
+
+
+def lookup(spark: SparkSession, path: str, user_id, post_ids: list, types: list[str],
+           key: str = "user_id", buckets: int = 64) -> DataFrame:
+    """SRC-6: point lookup on the bucketed store — the bucket predicate prunes
+    to one partition folder and the remaining predicates are pushed into the
+    Parquet scan.  (The all-users form of this is the seen-filter anti join.)"""
+    store = spark.read.parquet(path)
+    kt = store.schema[key].dataType                      # hash the literal with the column's type
+    b = spark.range(1).select(key_bucket_value(F.lit(user_id).cast(kt), buckets)).first()[0]
+    return (store.where(F.col("bucket") == b).where(F.col(key) == user_id)
+            .where(F.col("post_id").isin(post_ids)).where(F.col("interaction_type").isin(types))
+            .select("post_id").distinct())
+
+
+def key_bucket_value(value, buckets: int):
+    v = value if hasattr(value, "cast") else F.lit(value)
+    return F.pmod(F.xxhash64(v), F.lit(buckets)).cast("int")
