@@ -99,7 +99,11 @@ def delete_users(spark, d):
     return IO.read_or_empty(spark, path, schema)
 
 
-@register("run_metrics")
+@register("run_metrics", S.with_views("""
+SELECT 'run-0001' AS run_id, metric, value FROM (
+  SELECT 'user_id_vocab_size' AS metric, CAST(count(DISTINCT user_id) + 2 AS DOUBLE) AS value FROM interactions
+  UNION ALL SELECT 'post_id_vocab_size', CAST(count(DISTINCT post_id) + 2 AS DOUBLE) FROM interactions
+  UNION ALL SELECT 'training_samples', CAST(count(*) AS DOUBLE) FROM interactions) t""", S.INTERACTIONS))
 def run_metrics(spark, d):
     """SNK-6: a run's metrics (label distribution and vocabulary sizes) appended
     to a metrics table and read back."""
