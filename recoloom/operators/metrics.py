@@ -16,31 +16,44 @@ from .sampling import exclusive_prefix_sums
 EPS = 1e-15
 
 
-def roc_auc(pred: DataFrame, label: str = "label", score: str = "score") -> Column:
-    g = pred.groupBy(F.col(score).alias("s")).agg(
+def score_histogram(pred: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """(s, pos, neg): positives and negatives per distinct score — the only pass over the predictions."""
+    return pred.groupBy(F.col(score).cast("double").alias("s")).agg(
         F.sum((F.col(label) == 1).cast("double")).alias("pos"),
         F.sum((F.col(label) == 0).cast("double")).alias("neg"))
-    ps = exclusive_prefix_sums(g, ["s"], ["neg"])
+
+
+def roc_auc(pred: DataFrame, label: str = "label", score: str = "score") -> Column:
+    ps = exclusive_prefix_sums(score_histogram(pred, label, score), ["s"], ["neg"])
     return ps.select(F.try_divide(F.sum(F.col("pos") * (F.col("before_neg") + 0.5 * F.col("neg"))),
                                   F.sum("pos") * F.sum("neg"))).scalar()
 
 
 def binary_metrics(pred: DataFrame, label: str = "label", score: str = "score",
                    threshold: float = 0.5) -> DataFrame:
-    """One row: n, roc_auc, log_loss, accuracy, precision, recall, f1 (0 when undefined)."""
-    y = F.col(label).cast("double")
-    p = F.least(F.greatest(F.col(score).cast("double"), F.lit(EPS)), F.lit(1 - EPS))
-    hat = (F.col(score) >= threshold).cast("double")
-    base = pred.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg(-(y * F.log(p) + (1 - y) * F.log(1 - p))).alias("log_loss"),
-        F.avg((hat == y).cast("double")).alias("accuracy"),
-        F.sum(hat * y).alias("tp"), F.sum(hat * (1 - y)).alias("fp"), F.sum((1 - hat) * y).alias("fn"))
+    """One row: n, roc_auc, log_loss, accuracy, precision, recall, f1 (0 when undefined).
+
+    Everything is derived from the per-score histogram (one aggregation of the
+    predictions), so the prediction plan runs once; AUC credits each score's
+    positives with the negatives below it (distributed prefix sum) plus half
+    the tied negatives."""
+    h = exclusive_prefix_sums(score_histogram(pred, label, score), ["s"], ["neg"])
+    p = F.least(F.greatest(F.col("s"), F.lit(EPS)), F.lit(1 - EPS))
+    hit = (F.col("s") >= threshold).cast("double")
+    base = h.agg(
+        F.sum(F.col("pos") + F.col("neg")).cast("bigint").alias("n"),
+        F.try_divide(F.sum(F.col("pos") * (F.col("before_neg") + 0.5 * F.col("neg"))),
+                     F.sum("pos") * F.sum("neg")).alias("roc_auc"),
+        (F.sum(-(F.col("pos") * F.log(p) + F.col("neg") * F.log(1 - p))) / F.sum(F.col("pos") + F.col("neg")))
+        .alias("log_loss"),
+        (F.sum(hit * F.col("pos") + (1 - hit) * F.col("neg")) / F.sum(F.col("pos") + F.col("neg"))).alias("accuracy"),
+        F.sum(hit * F.col("pos")).alias("tp"), F.sum(hit * F.col("neg")).alias("fp"),
+        F.sum((1 - hit) * F.col("pos")).alias("fn"))
     prec = F.coalesce(F.try_divide(F.col("tp"), F.col("tp") + F.col("fp")), F.lit(0.0))
     rec = F.coalesce(F.try_divide(F.col("tp"), F.col("tp") + F.col("fn")), F.lit(0.0))
     f1 = F.coalesce(F.try_divide(2 * prec * rec, prec + rec), F.lit(0.0))
-    return base.select("n", roc_auc(pred, label, score).alias("roc_auc"), "log_loss", "accuracy",
-                       prec.alias("precision"), rec.alias("recall"), f1.alias("f1"))
+    return base.select("n", "roc_auc", "log_loss", "accuracy", prec.alias("precision"), rec.alias("recall"),
+                       f1.alias("f1"))
 
 
 def ranking_metrics(recs: DataFrame, relevant: DataFrame, k: int) -> DataFrame:

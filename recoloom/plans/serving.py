@@ -129,14 +129,53 @@ def stage_funnel(spark, d):
                       (F.col("n_candidates") - F.col("n_filtered")).alias("n_removed"), "n_scored", "n_final")
 
 
-@register("recommend")
+def greedy_sql(scored: str, n: int, factor: float, window: int = 5) -> str:
+    """DuckDB text of the diversity rule: a ``list_reduce`` fold per user (independent of
+    the Spark ``aggregate`` fold; same rule, FIXTURES §4)."""
+    cap = R.diversity_cap(n, factor)
+    dom = repr(window * (1 - factor))
+    return f"""
+, arr AS (
+  SELECT user_id, list({{'post_id': post_id, 'score': score, 'tie': cand_rank,
+                         'cat': coalesce(category_id, '{R.UNKNOWN_CATEGORY}')}} ORDER BY score DESC, cand_rank) AS items
+  FROM {scored} GROUP BY user_id),
+st AS (
+  SELECT user_id, list_reduce(items, lambda acc, x:
+    CASE WHEN len(acc.chosen) >= {n} THEN acc
+         WHEN len(list_filter(acc.chosen, lambda c: c.cat = x.cat)) < {cap}
+              AND NOT (len(acc.chosen) >= {window}
+                       AND len(list_filter(acc.chosen[len(acc.chosen) - {window - 1}:len(acc.chosen)],
+                                           lambda c: c.cat = x.cat)) >= {dom})
+         THEN {{'chosen': list_append(acc.chosen, x), 'skipped': acc.skipped}}
+         ELSE {{'chosen': acc.chosen, 'skipped': list_append(acc.skipped, x)}} END,
+    {{'chosen': [items[1]][1:0], 'skipped': [items[1]][1:0]}}) AS s
+  FROM arr),
+fin AS (SELECT user_id, (s.chosen || s.skipped)[1:{n}] AS f FROM st)
+SELECT user_id, CAST(generate_subscripts(f, 1) AS BIGINT) AS rank, unnest(f).post_id AS post_id,
+       round(unnest(f).score, 6) AS score, unnest(f).cat AS category_id
+FROM fin"""
+
+
+@register("recommend", serve_sql("SELECT * FROM sc") .replace("\nSELECT * FROM sc", "") + greedy_sql("sc", FINAL_N, DIVERSITY))
 def recommend(spark, d):
     """M-13: end-to-end top-20 per user (M-1/M-3 → M-4 → E-7/M-15 → M-10 → M-11)."""
     return recommendations(spark, d).select("user_id", "rank", "post_id", F.round("score", 6).alias("score"),
                                             "category_id")
 
 
-@register("diverse_rerank")
+DIVERSE_SQL = "WITH " + ",\n".join(SERVE_CTES[:-3]) + f""",
+c50 AS (
+  SELECT user_id, post_id, rk AS cand_rank FROM (
+    SELECT uv.user_id, e.post_id,
+           row_number() OVER (PARTITION BY uv.user_id ORDER BY {L2SQ}, e.post_id) AS rk
+    FROM qv uv CROSS JOIN posts e) t WHERE rk <= {TOP_N}),
+s50 AS (
+  SELECT c.user_id, c.post_id, c.cand_rank, p.category_id,
+         CASE WHEN list_contains(u.onboarding_category_ids, p.category_id) THEN 0.8 ELSE 0.3 END AS score
+  FROM c50 c JOIN users u USING (user_id) JOIN posts p USING (post_id))""" + greedy_sql("s50", FINAL_N, 0.2)
+
+
+@register("diverse_rerank", DIVERSE_SQL)
 def diverse_rerank(spark, d):
     """M-11 over unfiltered kNN candidates (many categories), default factor 0.2."""
     users = V.users(spark, d).select("user_id", "onboarding_category_ids")
