@@ -97,20 +97,21 @@ def column_or_fallback(df: DataFrame, col: str, fallback, out: str | None = None
 # ------------------------------------------------------------------ sinks
 def write_staged(df: DataFrame, path: str, fmt: str = "parquet", partition_by=(), **options) -> int:
     """Write to ``path`` through a staging folder renamed into place (all or
-    nothing); returns the row count observed during the write (no re-scan)."""
-    from pyspark.sql import Observation
+    nothing); returns the number of rows written (for Parquet the count comes
+    from file footers, not a data scan)."""
     spark = df.sparkSession
-    obs = Observation("rows")
     staged = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex[:8]}"
-    w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").format(fmt).options(**options)
+    w = df.write.mode("overwrite").format(fmt).options(**options)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(staged)
+    reader = spark.read.format(fmt).options(**options)
+    n = reader.load(staged).count()
     fs, dst = _fs(spark, path)
     if fs.exists(dst):
         fs.delete(dst, True)
     fs.rename(_fs(spark, staged)[1], dst)
-    return int(obs.get["n"])
+    return int(n)
 
 
 def write_splits_csv(df: DataFrame, path: str, split_col: str = "split") -> int:
