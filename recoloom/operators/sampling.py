@@ -23,6 +23,23 @@ from ..functions.hashing import STRIDE_PRIMES, md5_bigint
 MID_BITS = 33
 
 
+def _partition_offsets(spark, totals: DataFrame, cols: dict[str, str]) -> DataFrame:
+    """Exclusive running totals over partition ids.  ``totals`` has one row per
+    partition (its size is the partition count, not the data), so — exactly as
+    ``RDD.zipWithIndex`` does — the totals are brought to the driver, summed
+    there, and returned as a small table to broadcast."""
+    rows = sorted(totals.collect(), key=lambda r: r["__pid"])
+    types = {c: totals.schema[c].dataType.simpleString() for c in cols}
+    run = {c: (0.0 if types[c] in ("double", "float") else 0) for c in cols}
+    out = []
+    for r in rows:
+        out.append([int(r["__pid"])] + [run[c] for c in cols])
+        for c in cols:
+            run[c] += r[c] or 0
+    schema = "__pid long, " + ", ".join(f"{o} {types[c]}" for c, o in cols.items())
+    return spark.createDataFrame(out, schema)
+
+
 def dense_index(df: DataFrame, order_cols: list[str], name: str = "idx") -> DataFrame:
     """Attach a 0-based dense rank over a total order, without a single-partition window.
 
@@ -39,8 +56,7 @@ def dense_index(df: DataFrame, order_cols: list[str], name: str = "idx") -> Data
            .checkpoint(eager=True))
     pid = F.shiftright("__mid", MID_BITS)
     counts = srt.groupBy(pid.alias("__pid")).agg(F.count(F.lit(1)).alias("__n"))
-    # one row per partition: a bounded table, safe to order globally and broadcast
-    offsets = counts.select("__pid", (F.sum("__n").over(Window.orderBy("__pid")) - F.col("__n")).alias("__off"))
+    offsets = _partition_offsets(spark, counts, {"__n": "__off"})
     return (srt.join(F.broadcast(offsets), pid == F.col("__pid"))
             .withColumn(name, F.col("__off") + F.col("__mid").bitwiseAND(F.lit((1 << MID_BITS) - 1)))
             .drop("__mid", "__pid", "__off"))
@@ -241,9 +257,7 @@ def exclusive_prefix_sums(df: DataFrame, order_cols: list[str], value_cols: list
 
     loc = srt.mapInPandas(local, schema)
     totals = srt.groupBy("__pid").agg(*[F.sum(F.col(c).cast("double")).alias("__t_" + c) for c in value_cols])
-    w = Window.orderBy("__pid")
-    offs = totals.select("__pid", *[(F.sum("__t_" + c).over(w) - F.col("__t_" + c)).alias("__o_" + c)
-                                    for c in value_cols])   # one row per partition
+    offs = _partition_offsets(df.sparkSession, totals, {"__t_" + c: "__o_" + c for c in value_cols})
     res = loc.join(F.broadcast(offs), "__pid")
     for c in value_cols:
         res = res.withColumn(prefix + c, F.col(prefix + c) + F.coalesce(F.col("__o_" + c), F.lit(0.0)))
