@@ -148,7 +148,7 @@ def vocab_first_seen(spark, d):
 
 @register("aligned_features", """
 SELECT user_id, CAST(count_likes_given AS DOUBLE) AS count_likes_given,
-       CAST(num_posts_created AS DOUBLE) AS num_posts_created, 0.0 AS embedding_norm,
+       CAST(num_posts_created AS DOUBLE) AS num_posts_created, CAST(0.0 AS DOUBLE) AS embedding_norm,
        CAST(distinct_categories_interacted AS DOUBLE) AS distinct_categories_interacted
 FROM (""" + _user_agg_sql("interactions", "posts", "users", S.INTERACTIONS, S.POSTS, S.USERS) + ") t")
 def aligned_features(spark, d):

@@ -82,8 +82,10 @@ SERVE_CTES = UV_SQL + [S.USERS, S.SEEN, """cold AS (
   SELECT f.user_id, f.post_id, f.cand_rank, p.category_id,
          CASE WHEN p.creation_timestamp IS NOT NULL
                    AND epoch_us(TIMESTAMP '{REF_TS}') - epoch_us(p.creation_timestamp) <= {int(BOOST_HOURS * 3600 * 10**6)}
-              THEN (CASE WHEN list_contains(u.onboarding_category_ids, p.category_id) THEN 0.8 ELSE 0.3 END) * {BOOST_FACTOR}
-              ELSE (CASE WHEN list_contains(u.onboarding_category_ids, p.category_id) THEN 0.8 ELSE 0.3 END) END AS score
+              THEN (CASE WHEN list_contains(u.onboarding_category_ids, p.category_id) THEN 0.8 ELSE 0.3 END)::DOUBLE
+                   * {BOOST_FACTOR}::DOUBLE
+              ELSE (CASE WHEN list_contains(u.onboarding_category_ids, p.category_id) THEN 0.8 ELSE 0.3 END)::DOUBLE
+         END AS score
   FROM filt f JOIN users u USING (user_id) JOIN posts p USING (post_id))"""]
 
 
@@ -171,7 +173,8 @@ c50 AS (
     FROM qv uv CROSS JOIN posts e) t WHERE rk <= {TOP_N}),
 s50 AS (
   SELECT c.user_id, c.post_id, c.cand_rank, p.category_id,
-         CASE WHEN list_contains(u.onboarding_category_ids, p.category_id) THEN 0.8 ELSE 0.3 END AS score
+         CAST(CASE WHEN list_contains(u.onboarding_category_ids, p.category_id) THEN 0.8 ELSE 0.3 END AS DOUBLE)
+           AS score
   FROM c50 c JOIN users u USING (user_id) JOIN posts p USING (post_id))""" + greedy_sql("s50", FINAL_N, 0.2)
 
 
@@ -193,8 +196,8 @@ CAT_FLAG_SQL = S.with_views("""
 SELECT DISTINCT i.user_id, i.post_id,
        CAST(coalesce(list_contains(u.onboarding_category_ids, p.category_id), false) AS INTEGER)
          AS is_post_category_in_onboarding,
-       CASE WHEN coalesce(list_contains(u.onboarding_category_ids, p.category_id), false) THEN 0.8 ELSE 0.3 END
-         AS smoke_score
+       CAST(CASE WHEN coalesce(list_contains(u.onboarding_category_ids, p.category_id), false)
+                 THEN 0.8 ELSE 0.3 END AS DOUBLE) AS smoke_score
 FROM interactions i LEFT JOIN users u USING (user_id) LEFT JOIN posts p USING (post_id)""",
                             S.INTERACTIONS, S.POSTS, S.USERS)
 

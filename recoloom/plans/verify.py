@@ -53,6 +53,19 @@ def table_digest(cols, rows):
     return [cols[i] for i in order], len(lines), h, lines
 
 
+SPARK_TO_DUCK = {"LongType": "BIGINT", "IntegerType": "INTEGER", "DoubleType": "DOUBLE", "StringType": "VARCHAR",
+                 "BooleanType": "BOOLEAN", "TimestampNTZType": "TIMESTAMP", "DateType": "DATE",
+                 "FloatType": "FLOAT", "ShortType": "SMALLINT", "ByteType": "TINYINT"}
+
+
+def type_mismatches(sdf, con, sql: str) -> dict:
+    """Columns whose Spark type does not map to the DuckDB oracle's type."""
+    st = {f.name: SPARK_TO_DUCK.get(type(f.dataType).__name__, f.dataType.simpleString()) for f in sdf.schema.fields}
+    rel = con.sql(sql)
+    dt = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    return {c: (st.get(c), dt.get(c)) for c in set(st) | set(dt) if st.get(c) != dt.get(c)}
+
+
 def compare(spark, name: str, sf_dir: str, con=None, show: int = 5) -> dict:
     from . import ORACLES, QUERIES
     con = con or duck_connect(sf_dir)
@@ -68,6 +81,10 @@ def compare(spark, name: str, sf_dir: str, con=None, show: int = 5) -> dict:
     dc, dn, dh, dl = table_digest(dcols, drows)
     res = {"name": name, "cols": sc == dc, "rows": (sn, dn), "hash": sh == dh,
            "spark_s": round(t1 - t0, 2), "duck_s": round(t2 - t1, 2)}
+    bad_types = type_mismatches(sdf, con, ORACLES[name])
+    res["types"] = not bad_types
+    if bad_types:
+        res["type_diff"] = bad_types
     if sc != dc:
         res["col_diff"] = (sc, dc)
     elif sh != dh and show:
@@ -93,7 +110,7 @@ def main(argv):
             r = compare(spark, n, sf_dir, con)
         except Exception as e:  # report and continue
             r = {"name": n, "error": (getattr(e, "getMessage", lambda: None)() or repr(e))[:400]}
-        ok = r.get("cols") and r.get("hash") and r["rows"][0] == r["rows"][1]
+        ok = r.get("cols") and r.get("hash") and r.get("types") and r["rows"][0] == r["rows"][1]
         bad += not ok
         print(("OK  " if ok else "BAD ") + str(r), flush=True)
     print(f"{len(names) - bad}/{len(names)} match")

@@ -22,10 +22,11 @@ def test_matches_duckdb_small(spark, name):
     assert r["cols"], r
     assert r["rows"][0] == r["rows"][1], r
     assert r["hash"], r
+    assert r["types"], r
 
 
 @pytest.mark.parametrize("name", ["user_aggregates", "asof_features", "ranking_negatives", "knn_category",
                                   "binary_metrics", "stage_funnel"])
 def test_matches_duckdb_sf001(spark, name):
     r = compare(spark, name, SF_ORACLE, _con(SF_ORACLE))
-    assert r["cols"] and r["hash"] and r["rows"][0] == r["rows"][1], r
+    assert r["cols"] and r["hash"] and r["types"] and r["rows"][0] == r["rows"][1], r
