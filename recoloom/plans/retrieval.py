@@ -160,3 +160,20 @@ def topk_accuracy(spark, d):
     return ranks.agg(F.count(F.lit(1)).alias("n_positives"),
                      *[F.round(F.avg((F.col("rk") <= k).cast("double")), 6).alias(f"top_{k}_accuracy")
                        for k in (1, 5, 10, 50, 100)])
+
+
+@register("mean_vector_cosine", "WITH " + ",\n".join(UV_SQL) + """,
+allpairs AS (SELECT DISTINCT user_id, post_id FROM interactions)
+SELECT a.user_id, a.post_id,
+       round(CASE WHEN uv.user_vector IS NULL OR e.embedding IS NULL THEN 0.0
+                  ELSE coalesce(list_cosine_similarity(uv.user_vector, CAST(e.embedding AS DOUBLE[])), 0.0) END, 6)
+         AS cosine
+FROM allpairs a LEFT JOIN uv USING (user_id) LEFT JOIN posts e USING (post_id)""")
+def mean_vector_cosine(spark, d):
+    """X-9: cosine(user mean vector, post vector) for every interacted pair of any
+    type; 0.0 when the user has no vector (no positives) or the post is unknown."""
+    uv = user_vectors(spark, d)
+    emb = V.posts(spark, d, with_text=False).select("post_id", "embedding")
+    pairs = V.interactions(spark, d).select("user_id", "post_id").distinct()
+    return (pairs.join(uv, "user_id", "left").join(emb, "post_id", "left")
+            .select("user_id", "post_id", F.round(VX.cosine("user_vector", "embedding"), 6).alias("cosine")))

@@ -276,3 +276,16 @@ def knn_ivf(spark, d):
                       F.round("score", 6).alias("distance"), "rank")
 
 
+
+
+@register("smoke_score", serve_sql("""
+SELECT f.user_id, f.post_id,
+       CAST(CASE WHEN list_contains(u.onboarding_category_ids, p.category_id) THEN 0.8 ELSE 0.3 END AS DOUBLE) AS score
+FROM cand f JOIN users u USING (user_id) JOIN posts p USING (post_id)"""))
+def smoke_score(spark, d):
+    """M-15: the reference's smoke scorer (no noise) over every retrieved candidate."""
+    users = V.users(spark, d).select("user_id", "onboarding_category_ids")
+    posts = V.posts(spark, d, with_text=False).select("post_id", "category_id")
+    c = candidates(spark, d).join(users, "user_id").join(posts, "post_id")
+    return c.select("user_id", "post_id", R.smoke_score(R.in_list_flag(F.col("category_id"),
+                                                                        F.col("onboarding_category_ids"))).alias("score"))
