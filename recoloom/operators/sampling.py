@@ -188,9 +188,11 @@ def retrieval_pairs(inter: DataFrame, universe: DataFrame | None = None,
     normal = stats.where(avail > 0).select("user_id", k.alias("k"), F.least(k + F.col("n_pos"), P).alias("m"))
     fallback = stats.where(avail <= 0).select("user_id", F.least(P, F.lit(per_positive)).alias("k"))
     fallback = fallback.select("user_id", "k", F.col("k").alias("m"))
-    neg_a = _permutation_sample(_walk_params(normal, P, seed), uidx, pos_in, chunk)
-    neg_b = _permutation_sample(_walk_params(fallback, P, seed), uidx, None, chunk)
-    negs = neg_a.unionByName(neg_b).select("user_id", "post_id", F.lit(0).alias("label"))
+    # one walk for both kinds of user: fallback users (positives cover the whole
+    # universe) sample from everything, so their positives are not excluded
+    exclude = pos_in.join(fallback.select("user_id"), "user_id", "left_anti")
+    walks = _walk_params(normal.unionByName(fallback), P, seed)
+    negs = _permutation_sample(walks, uidx, exclude, chunk).select("user_id", "post_id", F.lit(0).alias("label"))
     return pos.select("user_id", "post_id", F.lit(1).alias("label")).unionByName(negs)
 
 

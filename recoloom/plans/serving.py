@@ -40,15 +40,17 @@ def candidates(spark, d, top_n=TOP_N):
                       F.col("score").alias("distance"), F.col("rank").alias("cand_rank"))
 
 
-def filtered(spark, d):
-    return R.seen_filter(candidates(spark, d), V.seen_store(spark, d))
+def filtered(spark, d, cands=None):
+    cands = cands if cands is not None else candidates(spark, d)
+    return R.seen_filter(cands, V.seen_store(spark, d))
 
 
-def scored(spark, d):
+def scored(spark, d, filt=None):
     """Features for each surviving candidate, smoke score, freshness boost."""
     users = V.users(spark, d).select("user_id", "onboarding_category_ids")
     posts = V.posts(spark, d, with_text=False).select("post_id", "category_id", "creation_timestamp")
-    f = filtered(spark, d).join(users, "user_id").join(posts, "post_id")
+    filt = filt if filt is not None else filtered(spark, d)
+    f = filt.join(users, "user_id").join(posts, "post_id")
     flag = R.in_list_flag(F.col("category_id"), F.col("onboarding_category_ids"))
     base = R.smoke_score(flag)
     ref = F.lit(REF_TS).cast("timestamp_ntz")
@@ -57,8 +59,18 @@ def scored(spark, d):
                     .alias("score"))
 
 
-def recommendations(spark, d):
-    return R.diverse_rerank(scored(spark, d), n=FINAL_N, factor=DIVERSITY)
+def recommendations(spark, d, sc=None):
+    sc = sc if sc is not None else scored(spark, d)
+    return R.diverse_rerank(sc, n=FINAL_N, factor=DIVERSITY)
+
+
+def stages(spark, d):
+    """The four stages built on one another, so a query that reports several
+    of them plans the retrieval once (identical sub-plans → reused exchanges)."""
+    c = candidates(spark, d)
+    f = filtered(spark, d, c)
+    s = scored(spark, d, f)
+    return c, f, s, recommendations(spark, d, s)
 
 
 # ---------------------------------------------------------------- oracle SQL
@@ -122,10 +134,11 @@ FROM (SELECT user_id, count(*) AS n_candidates FROM cand GROUP BY user_id) c
 LEFT JOIN (SELECT user_id, count(*) AS n_filtered FROM filt GROUP BY user_id) f USING (user_id)"""))
 def stage_funnel(spark, d):
     """A-14: per-user counts through the four stages, one table."""
-    c = candidates(spark, d).groupBy("user_id").agg(F.count(F.lit(1)).alias("n_candidates"))
-    f = filtered(spark, d).groupBy("user_id").agg(F.count(F.lit(1)).alias("n_filtered"))
-    s = scored(spark, d).groupBy("user_id").agg(F.count(F.lit(1)).alias("n_scored"))
-    r = recommendations(spark, d).groupBy("user_id").agg(F.count(F.lit(1)).alias("n_final"))
+    c0, f0, s0, r0 = stages(spark, d)
+    c = c0.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_candidates"))
+    f = f0.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_filtered"))
+    s = s0.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_scored"))
+    r = r0.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_final"))
     out = c.join(f, "user_id", "left").join(s, "user_id", "left").join(r, "user_id", "left").fillna(0)
     return out.select("user_id", "n_candidates", "n_filtered",
                       (F.col("n_candidates") - F.col("n_filtered")).alias("n_removed"), "n_scored", "n_final")
