@@ -19,11 +19,6 @@ def md5_sql(*parts: str, seed: int | str = 42) -> str:
     return f"CAST('0x' || substr(md5({inner}), 1, 15) AS BIGINT)"
 
 
-def unit_uniform(*parts: Column | str, seed: int | str = 42) -> Column:
-    """Deterministic U(0,1) from the hash (for weighted sampling keys)."""
-    return (md5_bigint(*parts, seed=seed).cast("double") + F.lit(0.5)) / F.lit(float(2 ** 60))
-
-
 def _large_primes(count: int = 8, below: int = 2 ** 31) -> list[int]:
     """The ``count`` largest primes below ``below`` (rule-built stride table)."""
     out, n = [], below - 1

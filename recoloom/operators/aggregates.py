@@ -9,7 +9,6 @@ group-by/left-join passes).
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -131,7 +130,3 @@ def label_distribution(df: DataFrame, label: str = "label") -> DataFrame:
     pos = df.select(F.count_if(F.col(label) == 1)).scalar()
     neg = df.select(F.count_if(F.col(label) == 0)).scalar()
     return counts.select(label, "n", F.round(F.try_divide(neg.cast("double"), pos), 6).alias("neg_pos_ratio"))
-
-
-def union_all(dfs: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), dfs)

@@ -79,11 +79,6 @@ def parse_timestamp(c: Column) -> Column:
     return F.coalesce(iso, num).cast("timestamp_ntz")
 
 
-def all_numeric(df: DataFrame, col: str) -> Column:
-    """PRJ-10: scalar subquery — does every non-null value parse as a number?"""
-    return df.select(F.count(F.col(col)) == F.count(F.col(col).try_cast("double"))).scalar()
-
-
 def coerce_numeric(df: DataFrame, col: str) -> DataFrame:
     """String column → double when every value parses, else kept as string
     (decided by one aggregation, evaluated before the plan is built since it

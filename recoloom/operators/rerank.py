@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from ..functions import vectors as VX
 
 UNKNOWN_CATEGORY = "unknown_category"
 SEEN_TYPES = ("seen", "disliked", "reported")
@@ -155,7 +154,3 @@ def popular_in_categories(users: DataFrame, posts: DataFrame, inter: DataFrame,
                                                F.col("post_id"))
     return (cand.withColumn("rank", F.row_number().over(w2).cast("bigint")).where(F.col("rank") <= n)
             .select("user_id", "rank", "post_id", "category_id", "likes"))
-
-
-def cosine_feature(a: Column, b: Column) -> Column:
-    return VX.cosine(a, b)

@@ -222,12 +222,6 @@ def random_negatives(pos: DataFrame, users: DataFrame, posts: DataFrame, ratio:
             .select("src_user", "src_post", "r", "user_id", "post_id", F.lit(0).alias("label")))
 
 
-def weighted_hash_key(weight: Column, *parts: str, seed: int = 42) -> Column:
-    """Efraimidis–Spirakis key −ln(u)/w: smallest keys = weighted sample w/o replacement."""
-    from ..functions.hashing import unit_uniform
-    return -F.log(unit_uniform(*parts, seed=seed)) / weight
-
-
 def exclusive_prefix_sums(df: DataFrame, order_cols: list[str], value_cols: list[str],
                           prefix: str = "before_") -> DataFrame:
     """Global running totals in ``order_cols`` order, distributed.

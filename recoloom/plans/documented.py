@@ -10,7 +10,6 @@ from ..functions import text as TX
 from ..operators import aggregates as A
 from ..operators import features as FE
 from ..operators import knn as K
-from ..operators import rerank as R
 from ..sources import views as V
 from . import sqlviews as S
 from .registry import register

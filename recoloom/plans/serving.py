@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import vectors as VX
 from ..operators import knn as K
 from ..operators import rerank as R
 from ..sources import views as V

@@ -84,3 +84,8 @@ def test_shuffle_rows_repeatable(spark):
     a = [r.id for r in C.shuffle_rows(df, ["id"], seed=3, partitions=4).collect()]
     b = [r.id for r in C.shuffle_rows(df, ["id"], seed=3, partitions=4).collect()]
     assert a == b and sorted(a) == list(range(200)) and a != list(range(200))
+
+
+def test_select_features_order(spark):
+    df = spark.createDataFrame([(1, 2.0, "a")], "id long, f1 double, f2 string")
+    assert C.select_features(df, ["id"], ["f2", "f1"]).columns == ["id", "f2", "f1"]
