@@ -1,6 +1,6 @@
 """Vector retrieval without a users × items product (J-9, M-1..M-3, A-12).
 
-Items are cut into blocks of at most ~``item_block`` rows *within* each group
+Items are cut into blocks of about ``item_block`` rows *within* each group
 (category, IVF cell, or the catch-all group ``*``); a hot group simply gets
 more blocks.  Queries that probe a group are cut into chunks of ~``query_block``
 rows; each item block is replicated once per query chunk of its group.  A
@@ -54,16 +54,40 @@ def _stack(series: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in series.values])
 
 
+def _topk_rows(s: np.ndarray, k: int) -> np.ndarray:
+    """Column indices of the k smallest entries of every row, ties at the k-th
+    value resolved by column order (columns are sorted by item id).  O(n) per
+    row via ``argpartition``; rows with boundary ties take an exact slow path."""
+    n = s.shape[1]
+    if k >= n:
+        return np.argsort(s, axis=1, kind="stable")
+    part = np.argpartition(s, k - 1, axis=1)[:, :k]
+    kth = np.take_along_axis(s, part, 1).max(axis=1)
+    n_le = (s <= kth[:, None]).sum(axis=1)
+    tied = np.nonzero(n_le > k)[0]
+    if len(tied):
+        for r in tied:                     # rare: equal scores straddle the k-th place
+            part[r] = np.argsort(s[r], kind="stable")[:k]
+    return part
+
+
 def knn(queries: DataFrame, items: DataFrame, k: int, metric: str = "l2",
-        query_groups: DataFrame | None = None, item_block: int = 4096,
-        query_block: int = 1024) -> DataFrame:
+        query_groups: DataFrame | None = None, item_block: int = 16384,
+        query_block: int = 8192, sub_block: int = 512) -> DataFrame:
     """Top-k items per query.
 
     ``queries``: (qid, qvec); ``items``: (item_id, ivec[, g]); ``query_groups``:
     optional (qid, g) pre-filter rows (a query with no rows sees nothing; use
-    g='*' for "no filter").  ``metric``: 'l2' (squared Euclidean, ascending)
-    or 'ip' (inner product, descending).  Output (qid, item_id, score, rank);
-    ties broken by item_id.
+    g='*' alone for "no filter" — '*' already covers every group, so it is
+    never listed together with other groups, and each item lives in one
+    group, so no item reaches a query twice).  ``metric``: 'l2' (squared
+    Euclidean, ascending) or 'ip' (inner product, descending).  Output
+    (qid, item_id, score, rank); ties broken by item_id.
+
+    Tiles are up to ``query_block × item_block``; the kernel walks a tile in
+    slices of ``sub_block`` queries, so its memory stays at
+    ``sub_block × item_block`` scores however large the blocks are (large
+    blocks = fewer replicas of each vector in the shuffle).
     """
     qt, itt = _tile(queries.select("qid", "qvec"), items, query_groups, item_block, query_block)
     qtype = queries.schema["qid"].dataType
@@ -77,17 +101,24 @@ def knn(queries: DataFrame, items: DataFrame, k: int, metric: str = "l2",
             return pd.DataFrame({"qid": [], "item_id": [], "score": []})
         idf = idf.sort_values("item_id", kind="stable")
         Q, X = _stack(qdf["qvec"]), _stack(idf["ivec"])
-        if metric == "l2":
-            s = (Q * Q).sum(1)[:, None] + (X * X).sum(1)[None, :] - 2.0 * (Q @ X.T)
-            s = np.maximum(s, 0.0)
-        else:
-            s = Q @ X.T
+        x2 = (X * X).sum(1)
         kk = min(k, X.shape[0])
-        order = np.argsort(sign * s, axis=1, kind="stable")[:, :kk]
-        rows = np.repeat(np.arange(len(qdf)), kk)
-        cols = order.ravel()
-        return pd.DataFrame({"qid": qdf["qid"].values[rows], "item_id": idf["item_id"].values[cols],
-                             "score": s[rows, cols]})
+        qids, iids = qdf["qid"].values, idf["item_id"].values
+        out_q, out_i, out_s = [], [], []
+        for a in range(0, Q.shape[0], sub_block):
+            q = Q[a:a + sub_block]
+            if metric == "l2":
+                s = np.maximum((q * q).sum(1)[:, None] + x2[None, :] - 2.0 * (q @ X.T), 0.0)
+            else:
+                s = q @ X.T
+            cols = _topk_rows(sign * s, kk)
+            rows = np.repeat(np.arange(q.shape[0]), kk)
+            c = cols.ravel()
+            out_q.append(qids[a:a + sub_block][rows])
+            out_i.append(iids[c])
+            out_s.append(s[rows, c])
+        return pd.DataFrame({"qid": np.concatenate(out_q), "item_id": np.concatenate(out_i),
+                             "score": np.concatenate(out_s)})
 
     part = (qt.groupBy("g", "blk", "qc").cogroup(itt.groupBy("g", "blk", "qc"))
             .applyInPandas(kernel, schema))
@@ -97,8 +128,8 @@ def knn(queries: DataFrame, items: DataFrame, k: int, metric: str = "l2",
             .withColumn("rank", F.col("rank").cast("bigint")))
 
 
-def count_better(queries: DataFrame, items: DataFrame, item_block: int = 4096,
-                 query_block: int = 1024) -> DataFrame:
+def count_better(queries: DataFrame, items: DataFrame, item_block: int = 16384,
+                 query_block: int = 8192, sub_block: int = 512) -> DataFrame:
     """For each query (qid, qvec, threshold): number of items with inner product
     strictly above ``threshold`` — the exact rank of a true item over the whole
     catalogue without forming pairs (A-12).  Output (qid, n_better)."""
@@ -109,9 +140,12 @@ def count_better(queries: DataFrame, items: DataFrame, item_block: int = 4096,
     def kernel(qdf: pd.DataFrame, idf: pd.DataFrame) -> pd.DataFrame:
         if len(qdf) == 0 or len(idf) == 0:
             return pd.DataFrame({"qid": [], "n_better": []})
-        s = _stack(qdf["qvec"]) @ _stack(idf["ivec"]).T
-        thr = qdf["threshold"].to_numpy(dtype=np.float64)[:, None]
-        return pd.DataFrame({"qid": qdf["qid"].values, "n_better": (s > thr + 1e-12).sum(1).astype("int64")})
+        Q, X = _stack(qdf["qvec"]), _stack(idf["ivec"])
+        thr = qdf["threshold"].to_numpy(dtype=np.float64)
+        n = np.zeros(Q.shape[0], dtype=np.int64)
+        for a in range(0, Q.shape[0], sub_block):          # bounded score slice
+            n[a:a + sub_block] = ((Q[a:a + sub_block] @ X.T) > thr[a:a + sub_block, None] + 1e-12).sum(1)
+        return pd.DataFrame({"qid": qdf["qid"].values, "n_better": n})
 
     part = (qt.groupBy("g", "blk", "qc").cogroup(itt.groupBy("g", "blk", "qc"))
             .applyInPandas(kernel, schema))

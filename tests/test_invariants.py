@@ -159,3 +159,22 @@ def test_split_partitions_input_in_time_order(spark):
     b = {r.split: (r.lo, r.hi) for r in sp.groupBy("split").agg(F.min("timestamp").alias("lo"),
                                                                 F.max("timestamp").alias("hi")).collect()}
     assert b["train"][1] <= b["validation"][0] and b["validation"][1] <= b["test"][0]
+
+
+def test_knn_ties_and_sub_blocks(spark):
+    """Duplicate item vectors tie exactly; the k-th place must go to the smaller id,
+    whatever the tile and slice sizes."""
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(40, 5))
+    X = np.concatenate([base, base, base])          # every vector three times
+    ids = list(range(500, 620))
+    Q = rng.normal(size=(23, 5))
+    qdf = spark.createDataFrame([(i, Q[i].tolist()) for i in range(23)], "qid long, qvec array<double>")
+    idf = spark.createDataFrame([(ids[i], X[i].tolist()) for i in range(120)], "item_id long, ivec array<double>")
+    for ib, qb, sb in ((7, 4, 2), (200, 50, 3), (13, 23, 512)):
+        res = K.knn(qdf, idf, 5, "l2", item_block=ib, query_block=qb, sub_block=sb)
+        got = {}
+        for r in res.orderBy("qid", "rank").collect():
+            got.setdefault(r.qid, []).append(r.item_id)
+        want = _bruteforce_knn(Q, X, list(range(23)), ids, 5)
+        assert got == want, (ib, qb, sb)
