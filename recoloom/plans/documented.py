@@ -11,6 +11,7 @@ from ..operators import aggregates as A
 from ..operators import features as FE
 from ..operators import knn as K
 from ..sources import views as V
+from ..sources.tables import read_table
 from . import sqlviews as S
 from .registry import register
 from .retrieval import L2SQ, UV_SQL, user_vectors
@@ -201,7 +202,7 @@ SELECT o_orderkey, CAST(month(o_orderdate) AS BIGINT) AS month,
 FROM orders""")
 def month_cycle(spark, d):
     """X-23: cyclic month features of the order date."""
-    o = spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey", "o_orderdate")
+    o = read_table(spark, d, "orders").select("o_orderkey", "o_orderdate")
     s, c = FE.month_cycle(F.col("o_orderdate"))
     return o.select("o_orderkey", F.month("o_orderdate").cast("bigint").alias("month"),
                     F.round(s, 6).alias("month_sin"), F.round(c, 6).alias("month_cos"))
@@ -215,7 +216,7 @@ JOIN customer c ON c.c_custkey = o.o_custkey JOIN part p ON p.p_partkey = l.l_pa
 def retrieval_view(spark, d):
     """X-24: transactions ⋈ customers ⋈ articles with projections (dimension joins
     are left to AQE: broadcast when the dimension is small, shuffle otherwise)."""
-    rd = lambda t, *c: spark.read.parquet(f"{d}/{t}.parquet").select(*c)
+    rd = lambda t, *c: read_table(spark, d, t, *c)
     li = rd("lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
     o = rd("orders", "o_orderkey", "o_custkey", "o_orderdate")
     c = rd("customer", "c_custkey", "c_mktsegment", "c_nationkey")
@@ -234,7 +235,7 @@ SELECT label, count(*) AS n,
 FROM l GROUP BY label""")
 def label_distribution(spark, d):
     """X-26 / A-13: label counts of the quality labels and the neg/pos class weight."""
-    lab = spark.read.parquet(f"{d}/labels.parquet").select(F.col("quality").alias("label"))
+    lab = read_table(spark, d, "labels").select(F.col("quality").alias("label"))
     return A.label_distribution(lab)
 
 
@@ -273,7 +274,7 @@ SELECT conv_id, turn,
 FROM conversations WHERE role = 'assistant'""")
 def parse_scores(spark, d):
     """X-34: score every assistant reply (whole text) by its ``Probability:`` value."""
-    c = spark.read.parquet(f"{d}/conversations.parquet").where(F.col("role") == "assistant")
+    c = read_table(spark, d, "conversations").where(F.col("role") == "assistant")
     return c.select("conv_id", "turn", TX.parse_probability(F.col("text")).alias("probability"))
 
 
@@ -297,7 +298,7 @@ SELECT conv_id, turn, CAST(pos AS BIGINT) AS pos,
 FROM h""")
 def parse_items(spark, d):
     """X-35: split each assistant reply into ``emoji category @ description`` items plus a summary."""
-    c = spark.read.parquet(f"{d}/conversations.parquet").where(F.col("role") == "assistant")
+    c = read_table(spark, d, "conversations").where(F.col("role") == "assistant")
     items = TX.reply_items(F.col("text"))
     r = c.select("conv_id", "turn", TX.reply_summary(items).alias("summary"),
                  F.posexplode(TX.reply_descriptions(items)).alias("p", "item"))
@@ -312,7 +313,7 @@ SELECT o_custkey, CAST(datediff('day', max(o_orderdate), (SELECT max(o_orderdate
 FROM orders GROUP BY o_custkey""")
 def rfm(spark, d):
     """X-38: recency / frequency / monetary per customer as of the last order date."""
-    o = spark.read.parquet(f"{d}/orders.parquet").select("o_custkey", "o_orderdate", "o_totalprice")
+    o = read_table(spark, d, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
     ref = o.select(F.max("o_orderdate")).scalar()
     r = FE.rfm(o, ref)
     return r.select("o_custkey", "recency_days", "frequency", F.round("monetary", 2).alias("monetary"))
@@ -343,7 +344,7 @@ SELECT doc_id, CAST(rk AS BIGINT) AS rank, term, round(score, 6) AS score FROM (
   SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, term) AS rk FROM sc) WHERE rk <= 5""")
 def keywords(spark, d):
     """X-19: top-5 TF-IDF keywords of every document's full text."""
-    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text")
+    docs = read_table(spark, d, "documents").select("doc_id", "text")
     k = FE.keywords(docs, "doc_id", "text", 5)
     return k.select("doc_id", "rank", "term", F.round("score", 6).alias("score"))
 
@@ -393,7 +394,7 @@ def semantic_search(spark, d):
     from ..operators import models as M
     posts = V.posts(spark, d, with_text=True).select(F.col("post_id").alias("id"), F.col("description_text").alias("t"),
                                                      F.lit("post").alias("kind"))
-    bench = spark.read.parquet(f"{d}/benchmark.parquet").select(F.col("item_id").alias("id"), F.col("text").alias("t"),
+    bench = read_table(spark, d, "benchmark").select(F.col("item_id").alias("id"), F.col("text").alias("t"),
                                                                 F.lit("query").alias("kind"))
     enc = M.text_vectors(posts.unionByName(bench), "t").select("id", "kind", vector_to_array("text_vector").alias("v"))
     q = enc.where(F.col("kind") == "query").select(F.col("id").alias("qid"), F.col("v").alias("qvec"))
@@ -410,7 +411,7 @@ def dedup_embed(spark, d):
     from pyspark.ml.functions import vector_to_array
 
     from ..operators import models as M
-    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text")
+    docs = read_table(spark, d, "documents").select("doc_id", "text")
     uniq = docs.groupBy(F.xxhash64("text").alias("h"), "text").agg(F.min("doc_id").alias("doc_id"),
                                                                    F.count(F.lit(1)).alias("copies"))
     enc = M.text_vectors(uniq, "text")

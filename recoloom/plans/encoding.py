@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import vectors as VX
 from ..operators import encoding as E
 from ..sources import views as V
+from ..sources.tables import read_table
 from . import sqlviews as S
 from .registry import register
 from .retrieval import UV_SQL, user_vectors
@@ -115,7 +116,7 @@ SELECT event_id, raw, CASE WHEN event_id % 5 = 4 THEN NULL ELSE ts_s END AS pars
 def parse_times(spark, d):
     """SF-5 / SF-6: mixed timestamp text (ISO with Z, epoch seconds, offset with
     fraction, naive ISO, junk) → UTC timestamps or null."""
-    ev = spark.read.parquet(f"{d}/events.parquet").select("event_id", "ts")
+    ev = read_table(spark, d, "events").select("event_id", "ts")
     ts_s = F.date_trunc("second", "ts")
     m = F.col("event_id") % 5
     raw = (F.when(m == 0, F.date_format(ts_s, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
@@ -131,6 +132,6 @@ def parse_times(spark, d):
 SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events""")
 def type_coercion(spark, d):
     """PRJ-10: a string column becomes numeric because every value parses."""
-    ev = spark.read.parquet(f"{d}/events.parquet").select(
+    ev = read_table(spark, d, "events").select(
         "event_id", F.get_json_object("props", "$.k").alias("k"))
     return E.coerce_numeric(ev, "k")

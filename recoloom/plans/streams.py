@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from ..operators import sampling as SM
 from ..sources import io as IO
 from ..sources import views as V
+from ..sources.tables import read_table
 from ..streaming import ingest as ST
 from . import sqlviews as S
 from .registry import register
@@ -171,7 +172,7 @@ def stream_seen(spark, d):
 SELECT CAST(ts AS DATE) AS date, CAST(hour(ts) AS INTEGER) AS hour, count(*) AS n FROM events GROUP BY 1, 2""")
 def stream_jsonl_hourly(spark, d):
     """ST-3: JSON-lines event batches streamed into date/hour-partitioned Parquet."""
-    ev = spark.read.parquet(f"{d}/events.parquet")
+    ev = read_table(spark, d, "events")
     src = IO.scratch_path(spark, "events-jsonl")
     ev.write.mode("overwrite").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(src)
     stream = ST.file_stream(spark, src, ev.schema, fmt="json", max_files=2)

@@ -17,9 +17,34 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+# A scan whose input is one un-splittable file (a single Parquet row group)
+# runs everything before the first shuffle in one task.  Above this size such
+# a scan is spread round-robin over the cluster's default parallelism; inputs
+# that already arrive as many splits (the normal case at scale) are untouched.
+SPREAD_MIN_BYTES = 4 << 20
+
+
+def _input_bytes(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
+def spread(df: DataFrame, spark: SparkSession, path: str) -> DataFrame:
+    """Round-robin a scan only when it has fewer splits than the default
+    parallelism *and* carries enough bytes for the extra exchange to pay off."""
+    want = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want or _input_bytes(spark, path) < SPREAD_MIN_BYTES:
+        return df
+    return df.repartition(want)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     """Read one supplied table; ``cols`` narrows the projection at the scan."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    df = spark.read.parquet(table_path(sf_dir, name))
-    return df.select(*cols) if cols else df
+    path = table_path(sf_dir, name)
+    df = spark.read.parquet(path)
+    df = df.select(*cols) if cols else df
+    return spread(df, spark, path)
