@@ -65,6 +65,15 @@ class OnDemandView:
     expressions: dict[str, Callable[[], Column]]
 
 
+@dataclass
+class OnDemandPandasView:
+    """U-5 pandas variant: ``fn(pdf) -> pdf`` over Arrow batches of the joined
+    frame (``mapInPandas``); ``outputs`` maps each produced column to its type."""
+    name: str
+    fn: Callable
+    outputs: dict[str, str]
+
+
 @dataclass
 class FeatureService:
     """Named bundle of ``view:feature`` references (F-7)."""
@@ -75,7 +84,7 @@ class FeatureService:
 class FeatureStore:
     SEP = "__"
 
-    def __init__(self, views: list[FeatureView], on_demand: list[OnDemandView] = ()):
+    def __init__(self, views: list[FeatureView], on_demand: list = ()):
         self.views = {v.name: v for v in views}
         self.on_demand = {v.name: v for v in on_demand}
 
@@ -111,11 +120,30 @@ class FeatureStore:
             got = got.select(*keys, event_ts, *[F.col(f"__f_{f}").alias(f"{vname}{self.SEP}{f}") for f in feats])
             out = out.join(got, keys + [event_ts], "left")
         for vname, feats in wanted.items():
-            if vname in self.on_demand:
-                exprs = self.on_demand[vname].expressions
-                out = out.select("*", *[exprs[f]().alias(f"{vname}{self.SEP}{f}") for f in feats])
+            od = self.on_demand.get(vname)
+            if isinstance(od, OnDemandView):
+                out = out.select("*", *[od.expressions[f]().alias(f"{vname}{self.SEP}{f}") for f in feats])
+            elif isinstance(od, OnDemandPandasView):
+                out = self._apply_pandas(out, od, feats)
         return out
 
+    def _apply_pandas(self, df: DataFrame, od: OnDemandPandasView, feats: list[str]) -> DataFrame:
+        from pyspark.sql import types as T
+        names = [f"{od.name}{self.SEP}{f}" for f in feats]
+        schema = T.StructType(list(df.schema.fields) + [
+            T.StructField(n, od.outputs[f] if isinstance(od.outputs[f], T.DataType)
+                          else T.DataType.fromDDL(od.outputs[f])) for n, f in zip(names, feats)])
+        fn, cols = od.fn, df.columns
+
+        def run(batches):
+            for pdf in batches:
+                res = fn(pdf)
+                for n, f in zip(names, feats):
+                    pdf[n] = res[f].values
+                yield pdf[cols + names]
+
+        return df.mapInPandas(run, schema)
+
     def materialize(self, view: str, start=None, end=None) -> DataFrame:
         """Latest row per key with event time in [start, end] -> online table (F-3)."""
         v = self.views[view]

@@ -404,7 +404,8 @@ def semantic_search(spark, d):
                       F.round("score", 6).alias("cosine"), "rank")
 
 
-@register("dedup_embed")
+@register("dedup_embed", """
+SELECT min(doc_id) AS doc_id, count(*) AS copies, CAST(384 AS BIGINT) AS dim FROM documents GROUP BY text""")
 def dedup_embed(spark, d):
     """X-28: de-duplicate documents by exact text (keep the smallest id), then
     batch-encode the survivors (TF-IDF text vectors)."""

@@ -162,3 +162,25 @@ def test_split_sizes(spark):
     out = SM.chronological_split(df.repartition(7), "ts", "id")
     counts = {r.split: r["count"] for r in out.groupBy("split").count().collect()}
     assert counts == {"train": 7000, "validation": 1500, "test": 1500}
+
+
+def test_request_time_features_pandas_variant(spark):
+    from recoloom.operators.store import OnDemandPandasView
+    feats = spark.createDataFrame([(1001, dt.datetime(2021, 4, 12, 10, 59, 42), 1, 1.0)],
+                                  "driver_id long, event_timestamp timestamp_ntz, created long, conv_rate double")
+    view = FeatureView("driver_hourly_stats", (Entity("driver", ("driver_id",)),),
+                       Source(lambda: feats, "event_timestamp", "created"), ("conv_rate",))
+
+    def plus(pdf):
+        import pandas as pd
+        return pd.DataFrame({"conv_rate_plus_val1": pdf["driver_hourly_stats__conv_rate"] + pdf["val_to_add"],
+                             "conv_rate_plus_val2": pdf["driver_hourly_stats__conv_rate"] + pdf["val_to_add_2"]})
+    od = OnDemandPandasView("transformed_conv_rate", plus,
+                            {"conv_rate_plus_val1": "double", "conv_rate_plus_val2": "double"})
+    fs = FeatureStore([view], [od])
+    ent = spark.createDataFrame([(1001, dt.datetime(2021, 4, 12, 11, 0), 1000, 2000)],
+                                "driver_id long, event_timestamp timestamp_ntz, val_to_add long, val_to_add_2 long")
+    r = fs.get_historical_features(ent, ["driver_hourly_stats:conv_rate", "transformed_conv_rate:conv_rate_plus_val1",
+                                         "transformed_conv_rate:conv_rate_plus_val2"]).first()
+    assert (r["transformed_conv_rate__conv_rate_plus_val1"], r["transformed_conv_rate__conv_rate_plus_val2"]) == \
+        (1001.0, 2001.0)
