@@ -16,6 +16,19 @@ from pyspark.sql import types as T
 from ..sources import io as IO
 
 
+def start(writer, spark: SparkSession, state_partitions: int | None = None):
+    """Start a stream with its state-store / shuffle partition count pinned to
+    the cluster's parallelism (the stream clones the session conf at start and
+    records the count in its checkpoint), leaving the caller's session as it was."""
+    n = state_partitions or spark.sparkContext.defaultParallelism
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
                 max_files: int | None = None) -> DataFrame:
     r = spark.readStream.schema(schema).format(fmt)
@@ -37,8 +50,8 @@ def push_features(stream: DataFrame, offline_path: str, online_path: str, keys:
         IO.upsert(spark, online_path, batch, keys, ts, bucket_col=bucket_col or keys[0])
         batch.unpersist()
 
-    return (stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+    return start(stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+                 .trigger(availableNow=True), spark)
 
 
 def seen_updates(stream: DataFrame, store_path: str, checkpoint: str, delay: str = "1 hour"):
@@ -53,17 +66,17 @@ def seen_updates(stream: DataFrame, store_path: str, checkpoint: str, delay: str
     def sink(batch: DataFrame, batch_id: int):
         IO.upsert(spark, store_path, batch, ["user_id", "post_id", "interaction_type"], "interaction_timestamp")
 
-    return (dedup.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+    return start(dedup.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+                 .trigger(availableNow=True), spark)
 
 
 def jsonl_to_hourly(stream: DataFrame, out_path: str, checkpoint: str, ts: str = "ts"):
     """ST-3: JSON-lines events → Parquet partitioned by event date and hour (file
     sink: exactly-once via its commit log)."""
     out = stream.withColumn("date", F.to_date(ts)).withColumn("hour", F.hour(ts))
-    return (out.writeStream.format("parquet").partitionBy("date", "hour")
-            .option("path", out_path).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+    return start(out.writeStream.format("parquet").partitionBy("date", "hour")
+                 .option("path", out_path).option("checkpointLocation", checkpoint)
+                 .trigger(availableNow=True), stream.sparkSession)
 
 
 def window_counts(stream: DataFrame, out_path: str, checkpoint: str, window: str = "1 day",
@@ -83,8 +96,8 @@ def window_counts(stream: DataFrame, out_path: str, checkpoint: str, window: str
                             *[f"{x}_count" for x in types], F.lit(batch_id).cast("bigint").alias("batch_id"))
         IO.upsert(spark, out_path, rows, ["window_start", "user_id"], "batch_id")
 
-    return (agg.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+    return start(agg.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", checkpoint)
+                 .trigger(availableNow=True), spark)
 
 
 def new_post_vectors(stream: DataFrame, out_path: str, checkpoint: str, dim: int):
@@ -109,5 +122,5 @@ def new_post_vectors(stream: DataFrame, out_path: str, checkpoint: str, dim: int
                                 "embedding": list(m)})
 
     enc = stream.select("post_id", "category_id", "embedding").mapInPandas(encode, schema)
-    return (enc.writeStream.format("parquet").partitionBy("category_id").option("path", out_path)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    return start(enc.writeStream.format("parquet").partitionBy("category_id").option("path", out_path)
+                 .option("checkpointLocation", checkpoint).trigger(availableNow=True), stream.sparkSession)
