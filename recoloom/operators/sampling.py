@@ -62,19 +62,68 @@ def dense_index(df: DataFrame, order_cols: list[str], name: str = "idx") -> Data
             .drop("__mid", "__pid", "__off"))
 
 
+def _key_before(ts: str, id_col: str, key) -> Column:
+    """(ts, id) < key, lexicographic; ``key`` None = +infinity."""
+    if key is None:
+        return F.lit(True)
+    kt, ki = key
+    return (F.col(ts) < F.lit(kt)) | ((F.col(ts) == F.lit(kt)) & (F.col(id_col) < F.lit(ki)))
+
+
+def key_at_rank(df: DataFrame, ts: str, id_col: str, k: int, buckets: int = 4096,
+                small: int = 1 << 21):
+    """The (ts, id) key of the row with 0-based rank ``k`` in (ts, id) order —
+    distributed selection, no global sort of the data.
+
+    Each pass histograms the current band of timestamps into ``buckets``
+    equal-width buckets (one aggregation; the band predicate is pushed into the
+    scan), keeps the bucket that holds rank k, and repeats; a band of at most
+    ``small`` rows (or a single timestamp) is ranked exactly with a sort of that
+    band only.  Passes ≤ log_buckets(time range in µs) ≈ 4.
+    """
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    lo, hi, below = None, None, 0          # band = lo <= us < hi (µs), `below` rows precede it
+    while True:
+        band = df
+        if lo is not None:
+            band = band.where((us >= F.lit(lo)) & (us < F.lit(hi)))
+        st = band.agg(F.count(F.lit(1)).alias("n"), F.min(us).alias("a"), F.max(us).alias("b")).first()
+        n, a, b = st["n"], st["a"], st["b"]
+        if n == 0:
+            return None
+        if n <= small or a == b:
+            ranked = dense_index(band.select(ts, id_col), [ts, id_col], "__r")
+            row = ranked.where(F.col("__r") == k - below).select(ts, id_col).first()
+            return (row[0], row[1])
+        width = (b - a) // buckets + 1
+        hist = (band.groupBy(F.floor((us - F.lit(a)) / F.lit(width)).alias("bk"))
+                .agg(F.count(F.lit(1)).alias("c")).collect())          # ≤ buckets rows
+        acc = below
+        for r in sorted(hist, key=lambda r: r["bk"]):
+            if acc + r["c"] > k:
+                lo, hi = a + r["bk"] * width, a + (r["bk"] + 1) * width
+                below = acc
+                break
+            acc += r["c"]
+
+
 def chronological_split(df: DataFrame, ts: str, id_col: str, train: float = 0.7,
                         validation: float = 0.15) -> DataFrame:
     """Label rows train / validation / test by global time order (W-4).
 
     ``n_train = floor(n·train)``, ``n_val = floor(n·validation)``, test = rest;
-    ties in time broken by ``id_col``.
+    ties in time broken by ``id_col``.  The two boundary keys are found by
+    distributed selection (``key_at_rank``); labelling is then a per-row
+    comparison — the data itself is never sorted or shuffled.
     """
-    n = df.select(F.count(F.lit(1))).scalar()
-    k1 = F.floor(n.cast("double") * F.lit(train))
-    k2 = k1 + F.floor(n.cast("double") * F.lit(validation))
-    ix = dense_index(df, [ts, id_col], "__rank")
-    return ix.withColumn("split", F.when(F.col("__rank") < k1, "train")
-                         .when(F.col("__rank") < k2, "validation").otherwise("test")).drop("__rank")
+    import math
+    n = df.select(F.count(F.lit(1))).first()[0]
+    k1 = math.floor(n * train)
+    k2 = k1 + math.floor(n * validation)
+    b1 = key_at_rank(df, ts, id_col, k1) if k1 < n else None
+    b2 = key_at_rank(df, ts, id_col, k2) if k2 < n else None
+    return df.withColumn("split", F.when(_key_before(ts, id_col, b1), "train")
+                         .when(_key_before(ts, id_col, b2), "validation").otherwise("test"))
 
 
 def split_entities(inter_split: DataFrame, posts: DataFrame) -> DataFrame:

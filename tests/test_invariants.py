@@ -178,3 +178,21 @@ def test_knn_ties_and_sub_blocks(spark):
             got.setdefault(r.qid, []).append(r.item_id)
         want = _bruteforce_knn(Q, X, list(range(23)), ids, 5)
         assert got == want, (ib, qb, sb)
+
+
+def test_key_at_rank_selection_passes(spark):
+    """Histogram narrowing (tiny band limit forces several passes, heavy time ties)
+    returns exactly the k-th (ts, id) key."""
+    rng = np.random.default_rng(5)
+    base = dt.datetime(2024, 1, 1)
+    secs = rng.integers(0, 5000, size=3000)
+    secs[:400] = 1234                                   # a hot timestamp
+    rows = [(int(i), base + dt.timedelta(seconds=int(s), microseconds=int(s % 7))) for i, s in enumerate(secs)]
+    df = spark.createDataFrame(rows, "id long, ts timestamp_ntz").repartition(5)
+    keys = sorted((t, i) for i, t in rows)
+    for k in (0, 1, 399, 1500, 2999):
+        got = SM.key_at_rank(df, "ts", "id", k, buckets=4, small=50)
+        assert got == (keys[k][0], keys[k][1]), k
+    out = SM.chronological_split(df, "ts", "id")
+    counts = {r.split: r["count"] for r in out.groupBy("split").count().collect()}
+    assert counts == {"train": 2100, "validation": 450, "test": 450}
