@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .sampling import dense_index
+from .sampling import broadcast_if_small, dense_index_sized
 
 MAX_ONE_HOT_CLASSES = 1000
 
@@ -19,7 +19,8 @@ MAX_ONE_HOT_CLASSES = 1000
 def vocabulary(values: DataFrame, col: str, start: int = 1) -> DataFrame:
     """E-1: sorted distinct non-null values → index ``start, start+1, …``."""
     distinct = values.select(F.col(col).alias("value")).where(F.col("value").isNotNull()).distinct()
-    return dense_index(distinct, ["value"], "index").withColumn("index", F.col("index") + start)
+    vocab, n = dense_index_sized(distinct, ["value"], "index")
+    return broadcast_if_small(vocab.withColumn("index", F.col("index") + start), n, 64)
 
 
 def apply_vocabulary(df: DataFrame, col: str, vocab: DataFrame, out: str, default: int = 0) -> DataFrame:
@@ -92,5 +93,5 @@ def first_seen_vocabulary(df: DataFrame, col: str, order_col: str, start: int =
     upwards; 0 stays the out-of-vocabulary code."""
     first = (df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("value"))
              .agg(F.min(order_col).alias("__first")))
-    return (dense_index(first, ["__first", "value"], "index")
-            .select("value", (F.col("index") + start).alias("index")))
+    vocab, n = dense_index_sized(first, ["__first", "value"], "index")
+    return broadcast_if_small(vocab.select("value", (F.col("index") + start).alias("index")), n, 64)

@@ -37,17 +37,26 @@ def _partition_offsets(spark, totals: DataFrame, cols: dict[str, str]) -> DataFr
         for c in cols:
             run[c] += r[c] or 0
     schema = "__pid long, " + ", ".join(f"{o} {types[c]}" for c, o in cols.items())
-    return spark.createDataFrame(out, schema)
+    return spark.createDataFrame(out, schema), run
 
 
-def dense_index(df: DataFrame, order_cols: list[str], name: str = "idx") -> DataFrame:
-    """Attach a 0-based dense rank over a total order, without a single-partition window.
+def broadcast_if_small(df: DataFrame, rows: int, bytes_per_row: int) -> DataFrame:
+    """Broadcast hint behind a size check: ``rows`` is an exact count known on
+    the driver (checkpointed frames carry no statistics, so AQE cannot size
+    them itself); above the session's broadcast threshold the frame is left to
+    a shuffle join."""
+    spark = df.sparkSession
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        limit_b = int(str(limit).lower().rstrip("b"))
+    except ValueError:
+        limit_b = 10 << 20
+    return F.broadcast(df) if 0 <= rows * bytes_per_row <= limit_b else df
 
-    Global sort (range partitioning) → ``monotonically_increasing_id`` encodes
-    (partition, position) → per-partition counts (one row per partition) →
-    offsets → index.  The sorted frame is checkpointed first so counting and
-    numbering see the same partitioning even if tasks are retried.
-    """
+
+def dense_index_sized(df: DataFrame, order_cols: list[str], name: str = "idx") -> tuple[DataFrame, int]:
+    """``dense_index`` plus the row count (known on the driver from the
+    per-partition totals, so no extra job)."""
     spark = df.sparkSession
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
@@ -56,10 +65,22 @@ def dense_index(df: DataFrame, order_cols: list[str], name: str = "idx") -> Data
            .checkpoint(eager=True))
     pid = F.shiftright("__mid", MID_BITS)
     counts = srt.groupBy(pid.alias("__pid")).agg(F.count(F.lit(1)).alias("__n"))
-    offsets = _partition_offsets(spark, counts, {"__n": "__off"})
-    return (srt.join(F.broadcast(offsets), pid == F.col("__pid"))
-            .withColumn(name, F.col("__off") + F.col("__mid").bitwiseAND(F.lit((1 << MID_BITS) - 1)))
-            .drop("__mid", "__pid", "__off"))
+    offsets, totals = _partition_offsets(spark, counts, {"__n": "__off"})
+    out = (srt.join(F.broadcast(offsets), pid == F.col("__pid"))
+           .withColumn(name, F.col("__off") + F.col("__mid").bitwiseAND(F.lit((1 << MID_BITS) - 1)))
+           .drop("__mid", "__pid", "__off"))
+    return out, int(totals["__n"])
+
+
+def dense_index(df: DataFrame, order_cols: list[str], name: str = "idx") -> DataFrame:
+    """Attach a 0-based dense rank over a total order, without a single-partition window.
+
+    Global sort (range partitioning) → ``monotonically_increasing_id`` encodes
+    (partition, position) → per-partition counts (one row per partition) →
+    offsets → index.  The sorted frame is checkpointed first so counting and
+    numbering see the same partitioning even if tasks are retried.
+    """
+    return dense_index_sized(df, order_cols, name)[0]
 
 
 def _key_before(ts: str, id_col: str, key) -> Column:
@@ -198,8 +219,9 @@ def ranking_negatives(positives: DataFrame, posts: DataFrame, ratio: int = 4, se
     without replacement from all posts minus the user's positives; label 0;
     timestamp = the user's latest positive timestamp.  Users with no
     remaining post are skipped."""
-    pidx = dense_index(posts.select("post_id").distinct(), ["post_id"])
-    P = pidx.select(F.count(F.lit(1))).scalar()
+    pidx, n_posts = dense_index_sized(posts.select("post_id").distinct(), ["post_id"])
+    pidx = broadcast_if_small(pidx, n_posts, 24)
+    P = F.lit(n_posts).cast("bigint")
     pos = positives.select("user_id", "post_id", "timestamp")
     pos_set = pos.select("user_id", "post_id").distinct()
     in_universe = pos_set.join(pidx.select("post_id"), "post_id", "left_semi")
@@ -224,8 +246,9 @@ def retrieval_pairs(inter: DataFrame, universe: DataFrame | None = None,
     ``min(P, 5)`` posts sampled from the whole universe instead."""
     if universe is None:
         universe = inter.select("post_id").where(F.col("post_id").isNotNull()).distinct()
-    uidx = dense_index(universe.select("post_id").distinct(), ["post_id"])
-    P = uidx.select(F.count(F.lit(1))).scalar()
+    uidx, n_posts = dense_index_sized(universe.select("post_id").distinct(), ["post_id"])
+    uidx = broadcast_if_small(uidx, n_posts, 24)
+    P = F.lit(n_posts).cast("bigint")
     pos = (inter.where(F.col("interaction_type").isin(list(positive_types)))
            .select("user_id", "post_id").distinct())
     pos_in = pos.join(uidx.select("post_id"), "post_id", "left_semi")
@@ -258,10 +281,9 @@ def random_negatives(pos: DataFrame, users: DataFrame, posts: DataFrame, ratio:
     """X-25: negatives with replacement, user and post drawn independently:
     ``ratio`` rows per positive, each picking a user index and a post index by hash
     and looking both up in dense-numbered id tables (two equi-joins, no product)."""
-    uidx = dense_index(users.select("user_id").distinct(), ["user_id"], "uidx")
-    pidx = dense_index(posts.select("post_id").distinct(), ["post_id"], "pidx")
-    nu = uidx.select(F.count(F.lit(1))).scalar()
-    npo = pidx.select(F.count(F.lit(1))).scalar()
+    uidx, nu = dense_index_sized(users.select("user_id").distinct(), ["user_id"], "uidx")
+    pidx, npo = dense_index_sized(posts.select("post_id").distinct(), ["post_id"], "pidx")
+    uidx, pidx = broadcast_if_small(uidx, nu, 24), broadcast_if_small(pidx, npo, 24)
     rows = pos.select(F.col("user_id").alias("src_user"), F.col("post_id").alias("src_post"),
                       F.explode(F.sequence(F.lit(0), F.lit(ratio - 1))).alias("r"))
     rows = rows.select("src_user", "src_post", "r",
@@ -302,7 +324,7 @@ def exclusive_prefix_sums(df: DataFrame, order_cols: list[str], value_cols: list
 
     loc = srt.mapInPandas(local, schema)
     totals = srt.groupBy("__pid").agg(*[F.sum(F.col(c).cast("double")).alias("__t_" + c) for c in value_cols])
-    offs = _partition_offsets(df.sparkSession, totals, {"__t_" + c: "__o_" + c for c in value_cols})
+    offs, _ = _partition_offsets(df.sparkSession, totals, {"__t_" + c: "__o_" + c for c in value_cols})
     res = loc.join(F.broadcast(offs), "__pid")
     for c in value_cols:
         res = res.withColumn(prefix + c, F.col(prefix + c) + F.coalesce(F.col("__o_" + c), F.lit(0.0)))
