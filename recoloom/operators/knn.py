@@ -26,13 +26,19 @@ def _tile(queries: DataFrame, items: DataFrame, query_groups: DataFrame | None,
     """Return co-groupable (queries, items) keyed by (g, blk, qc)."""
     q = queries.select("qid", "qvec", *[c for c in queries.columns if c not in ("qid", "qvec")])
     if query_groups is None:
-        qg = q.select("qid", F.lit(ALL).alias("g"))
-        it = items.select("item_id", "ivec", F.lit(ALL).alias("g"))
-    else:
-        qg = query_groups.select("qid", F.col("g").cast("string").alias("g"))
-        # the catch-all group holds every item, for queries without a filter
-        it = items.select("item_id", "ivec", F.col("g").cast("string").alias("g"))
-        it = it.unionByName(items.select("item_id", "ivec", F.lit(ALL).alias("g")))
+        # one group: block and chunk counts are two numbers, decided on the driver
+        nb = max(1, -(-items.count() // item_block))
+        nq = max(1, -(-q.count() // query_block))
+        items_t = items.select(F.lit(ALL).alias("g"),
+                               F.pmod(F.xxhash64("item_id"), F.lit(nb)).cast("int").alias("blk"),
+                               F.explode(F.sequence(F.lit(0), F.lit(nq - 1))).alias("qc"), "item_id", "ivec")
+        queries_t = q.select(F.lit(ALL).alias("g"), F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("blk"),
+                             F.pmod(F.xxhash64("qid"), F.lit(nq)).cast("int").alias("qc"), *q.columns)
+        return queries_t, items_t
+    qg = query_groups.select("qid", F.col("g").cast("string").alias("g"))
+    # the catch-all group holds every item, for queries without a filter
+    it = items.select("item_id", "ivec", F.col("g").cast("string").alias("g"))
+    it = it.unionByName(items.select("item_id", "ivec", F.lit(ALL).alias("g")))
     icount = it.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / F.lit(item_block)).cast("int").alias("nb"))
     qcount = qg.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / F.lit(query_block)).cast("int").alias("nq"))
     sizes = icount.join(qcount, "g")           # one row per group: small

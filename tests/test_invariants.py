@@ -196,3 +196,13 @@ def test_key_at_rank_selection_passes(spark):
     out = SM.chronological_split(df, "ts", "id")
     counts = {r.split: r["count"] for r in out.groupBy("split").count().collect()}
     assert counts == {"train": 2100, "validation": 450, "test": 450}
+
+
+@pytest.mark.parametrize("name", ["knn_exact", "topk_accuracy", "knn_ivf", "recommend", "ranking_negatives",
+                                  "asof_features", "hard_negatives", "cold_start_vector"])
+def test_no_cross_products_in_plans(spark, name):
+    """No operator may plan a Cartesian product or nested-loop join."""
+    df = QUERIES[name](spark, SF_SMALL)
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
