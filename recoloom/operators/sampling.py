@@ -147,17 +147,22 @@ def chronological_split(df: DataFrame, ts: str, id_col: str, train: float = 0.7,
                          .when(_key_before(ts, id_col, b2), "validation").otherwise("test"))
 
 
-def split_entities(inter_split: DataFrame, posts: DataFrame) -> DataFrame:
-    """Entities of each split (FLT-5, J-4, SET-1, SET-2): users = actors ∪ creators of
-    interacted posts; posts = interacted posts.  Long form (split, entity, id)."""
+def split_entities(inter_split: DataFrame, posts: DataFrame, users: DataFrame | None = None) -> DataFrame:
+    """Entities of each split (FLT-5, J-4, SET-1, SET-2): users = rows of the
+    users table that acted in the split or created one of its posts; posts =
+    rows of the posts table interacted with in the split.  Long form
+    (split, entity, id); an entity may belong to several splits."""
     actors = inter_split.select("split", F.col("user_id").alias("id"))
     touched = inter_split.select("split", "post_id").distinct()
     creators = (touched.join(posts.select("post_id", "creator_id"), "post_id")
                 .select("split", F.col("creator_id").alias("id")))
-    users = actors.unionByName(creators).distinct().withColumn("entity", F.lit("user"))
+    us = actors.unionByName(creators).distinct()
+    if users is not None:
+        us = us.join(users.select(F.col("user_id").alias("id")), "id", "left_semi")
+    us = us.withColumn("entity", F.lit("user"))
     ps = (touched.join(posts.select("post_id"), "post_id", "left_semi")
           .select("split", F.col("post_id").alias("id")).withColumn("entity", F.lit("post")))
-    return users.unionByName(ps).select("split", "entity", "id")
+    return us.unionByName(ps).select("split", "entity", "id")
 
 
 def hash_split(df: DataFrame, key_cols: list[str], fractions=(0.8, 0.1, 0.1),

@@ -31,7 +31,7 @@ def split_chronological(spark, d):
     return _split(spark, d).select("interaction_id", "split")
 
 
-SPLIT_ENT_SQL = "WITH " + ",\n".join([S.INTERACTIONS, S.POSTS]) + """,
+SPLIT_ENT_SQL = "WITH " + ",\n".join([S.INTERACTIONS, S.POSTS, S.USERS]) + """,
 r AS (SELECT interaction_id, user_id, post_id,
              row_number() OVER (ORDER BY "timestamp", interaction_id) - 1 AS rk,
              count(*) OVER () AS n FROM interactions),
@@ -39,9 +39,11 @@ sp AS (SELECT user_id, post_id,
               CASE WHEN rk < floor(n * 0.7) THEN 'train'
                    WHEN rk < floor(n * 0.7) + floor(n * 0.15) THEN 'validation' ELSE 'test' END AS split
        FROM r)
-SELECT DISTINCT split, 'user' AS entity, user_id AS id FROM sp
-UNION
-SELECT DISTINCT sp.split, 'user', p.creator_id FROM sp JOIN posts p USING (post_id)
+SELECT * FROM (
+  SELECT DISTINCT split, 'user' AS entity, user_id AS id FROM sp
+  UNION
+  SELECT DISTINCT sp.split, 'user', p.creator_id FROM sp JOIN posts p USING (post_id))
+WHERE id IN (SELECT user_id FROM users)
 UNION ALL
 SELECT DISTINCT sp.split, 'post', sp.post_id FROM sp WHERE sp.post_id IN (SELECT post_id FROM posts)
 """
@@ -49,7 +51,7 @@ SELECT DISTINCT sp.split, 'post', sp.post_id FROM sp WHERE sp.post_id IN (SELECT
 
 @register("split_entities", SPLIT_ENT_SQL)
 def split_entities(spark, d):
-    return SM.split_entities(_split(spark, d), V.posts(spark, d, with_text=False))
+    return SM.split_entities(_split(spark, d), V.posts(spark, d, with_text=False), V.users(spark, d))
 
 
 HASH_SPLIT_SQL = S.with_views(f"""
