@@ -12,7 +12,7 @@ from . import sqlviews as S
 from .registry import register
 from .retrieval import L2SQ, UV_SQL, category_prefilter, user_vectors
 
-TOP_N = 50            # candidates per user
+TOP_N = 100           # candidates per user (top_n_candidates default)
 FINAL_N = 20          # recommendations per user (re-rank config)
 BOOST_HOURS, BOOST_FACTOR, DIVERSITY = 48.0, 1.2, 0.3
 REF_TS = "2023-12-13 12:00:00"   # the serving "now" — a parameter, never the wall clock
