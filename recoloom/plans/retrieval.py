@@ -83,12 +83,14 @@ def l2_pairs(spark, d):
 L2SQ = ("list_sum(list_transform(list_zip(uv.user_vector, CAST(e.embedding AS DOUBLE[])), "
         "lambda x: (x[1] - x[2]) * (x[1] - x[2])))")
 
+KNN_K = 100   # top_n_candidates of the reference configuration
+
 KNN_SQL = _uv_sql("""
 SELECT user_id, post_id, round(dist, 6) AS distance, CAST(rk AS BIGINT) AS rank FROM (
   SELECT uv.user_id, e.post_id, {l2} AS dist,
          row_number() OVER (PARTITION BY uv.user_id ORDER BY {l2}, e.post_id) AS rk
   FROM uv {join}) t
-WHERE rk <= 10""".replace("{l2}", L2SQ))
+WHERE rk <= {k}""".replace("{l2}", L2SQ))
 
 
 def _knn_queries(spark, d):
@@ -105,10 +107,10 @@ def _knn_out(res):
                       F.round("score", 6).alias("distance"), "rank")
 
 
-@register("knn_exact", KNN_SQL.replace("{join}", "CROSS JOIN posts e"))
+@register("knn_exact", KNN_SQL.replace("{join}", "CROSS JOIN posts e").replace("{k}", str(KNN_K)))
 def knn_exact(spark, d):
-    """M-1 / J-9: top-10 posts by squared L2 for every user vector, over all posts."""
-    return _knn_out(K.knn(_knn_queries(spark, d), _knn_items(spark, d).drop("g"), 10, "l2"))
+    """M-1 / J-9: top-100 posts by squared L2 for every user vector, over all posts."""
+    return _knn_out(K.knn(_knn_queries(spark, d), _knn_items(spark, d).drop("g"), KNN_K, "l2"))
 
 
 def category_prefilter(spark, d):
@@ -121,10 +123,10 @@ def category_prefilter(spark, d):
 
 @register("knn_category", KNN_SQL.replace("{join}", """JOIN users u USING (user_id)
   JOIN posts e ON len(u.onboarding_category_ids) = 0 OR list_contains(u.onboarding_category_ids, e.category_id)"""
-                                          ).replace("WITH ", "WITH " + S.USERS + ",\n", 1))
+                                          ).replace("WITH ", "WITH " + S.USERS + ",\n", 1).replace("{k}", str(KNN_K)))
 def knn_category(spark, d):
-    """M-3: top-10 within the user's preferred categories (pre-filter, then k)."""
-    return _knn_out(K.knn(_knn_queries(spark, d), _knn_items(spark, d), 10, "l2",
+    """M-3: top-100 within the user's preferred categories (pre-filter, then k)."""
+    return _knn_out(K.knn(_knn_queries(spark, d), _knn_items(spark, d), KNN_K, "l2",
                           query_groups=category_prefilter(spark, d)))
 
 

@@ -279,11 +279,12 @@ def interleave(spark, d):
 
 @register("knn_ivf")
 def knn_ivf(spark, d):
-    """M-2: approximate top-10 (k-means cells, 10 of 16 probed); checked by recall vs exact."""
+    """M-2: approximate top-100 (k-means cells, 10 of 16 probed); checked by recall vs exact."""
     uv = user_vectors(spark, d).select(F.col("user_id").alias("qid"), F.col("user_vector").alias("qvec"))
     items = V.posts(spark, d, with_text=False).select(F.col("post_id").alias("item_id"),
                                                       F.col("embedding").alias("ivec"))
-    res = K.ivf_knn(uv, items, 10, n_cells=16, nprobe=10)
+    from .retrieval import KNN_K
+    res = K.ivf_knn(uv, items, KNN_K, n_cells=16, nprobe=10)
     return res.select(F.col("qid").alias("user_id"), F.col("item_id").alias("post_id"),
                       F.round("score", 6).alias("distance"), "rank")
 
