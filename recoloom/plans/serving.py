@@ -49,7 +49,9 @@ def scored(spark, d, filt=None):
     users = V.users(spark, d).select("user_id", "onboarding_category_ids")
     posts = V.posts(spark, d, with_text=False).select("post_id", "category_id", "creation_timestamp")
     filt = filt if filt is not None else filtered(spark, d)
-    f = filt.join(users, "user_id").join(posts, "post_id")
+    # metadata is optional (M-12): a candidate without it keeps its score, gets no
+    # boost and counts as 'unknown_category' in the diversity step
+    f = filt.join(users, "user_id", "left").join(posts, "post_id", "left")
     flag = R.in_list_flag(F.col("category_id"), F.col("onboarding_category_ids"))
     base = R.smoke_score(flag)
     ref = F.lit(REF_TS).cast("timestamp_ntz")
@@ -97,7 +99,7 @@ SERVE_CTES = UV_SQL + [S.USERS, S.SEEN, """cold AS (
                    * {BOOST_FACTOR}::DOUBLE
               ELSE (CASE WHEN list_contains(u.onboarding_category_ids, p.category_id) THEN 0.8 ELSE 0.3 END)::DOUBLE
          END AS score
-  FROM filt f JOIN users u USING (user_id) JOIN posts p USING (post_id))"""]
+  FROM filt f LEFT JOIN users u USING (user_id) LEFT JOIN posts p USING (post_id))"""]
 
 
 def serve_sql(body: str) -> str:

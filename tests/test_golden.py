@@ -184,3 +184,8 @@ def test_request_time_features_pandas_variant(spark):
                                          "transformed_conv_rate:conv_rate_plus_val2"]).first()
     assert (r["transformed_conv_rate__conv_rate_plus_val1"], r["transformed_conv_rate__conv_rate_plus_val2"]) == \
         (1001.0, 2001.0)
+
+
+def test_rerank_without_metadata_is_plain_score_order(spark):
+    rows = [("u", f"p{i}", 1 - i / 50, None, i) for i in range(30)]
+    assert _rerank(spark, rows, 20, 0.3) == [f"p{i}" for i in range(20)]
