@@ -5,13 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values of the reply formats (X-34, X-35).
-SCORE_MARKER = "Probability:"
-ITEM_SEPARATOR = " | "
-DESCRIPTION_SEPARATOR = " @ "
-DEFAULT_EMOJI = "\U0001F537"
-DEFAULT_CATEGORY = "Item"
-NO_SUMMARY = "No summary available."
+from ..defaults import DEFAULT_EMOJI, DEFAULT_ITEM_CATEGORY as DEFAULT_CATEGORY, DESCRIPTION_SEPARATOR, \
+    ITEM_SEPARATOR, NO_SUMMARY, SCORE_MARKER
 
 
 def strip_ws(c: Column) -> Column:
@@ -29,7 +24,7 @@ def parse_probability(text: Column) -> Column:
 
 def reply_items(text: Column) -> Column:
     """X-35: ``" | "``-separated items; with more than one part the last is the summary."""
-    return F.split(strip_ws(text), r" \| ", -1)
+    return F.split(strip_ws(text), ITEM_SEPARATOR.replace("|", "\\|"), -1)
 
 
 def reply_summary(items: Column) -> Column:

@@ -13,9 +13,7 @@ from pyspark.sql import functions as F
 
 from .aggregates import count_if
 
-# The seven interaction types of the reference data model.
-INTERACTION_TYPES = ("like", "view_full", "comment", "share", "bookmark", "dislike", "report")
-POSITIVE_TYPES = ("like", "bookmark")
+from ..defaults import INTERACTION_TYPES, RANKING_POSITIVE_TYPES as POSITIVE_TYPES
 
 
 def window_counts(inter: DataFrame, ref_ts: Column, days=(1, 7, 30), types=INTERACTION_TYPES) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..defaults import CLASSIFICATION_THRESHOLD
 from .sampling import exclusive_prefix_sums
 
 EPS = 1e-15
@@ -30,7 +31,7 @@ def roc_auc(pred: DataFrame, label: str = "label", score: str = "score") -> Colu
 
 
 def binary_metrics(pred: DataFrame, label: str = "label", score: str = "score",
-                   threshold: float = 0.5) -> DataFrame:
+                   threshold: float = CLASSIFICATION_THRESHOLD) -> DataFrame:
     """One row: n, roc_auc, log_loss, accuracy, precision, recall, f1 (0 when undefined).
 
     Everything is derived from the per-score histogram (one aggregation of the

@@ -21,10 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Ranking-model hyper-parameters of the reference configuration.
-GBT_PARAMS = {"maxDepth": 7, "maxIter": 100, "stepSize": 0.01}
-TEXT_DIM = 384
-TOWER_DIM = 64
+from ..defaults import GBT_PARAMS, TEXT_EMBEDDING_DIM as TEXT_DIM, TOWER_BATCH_SIZE, TOWER_DIM
 
 
 def feature_pipeline(categorical: list[str], numeric: list[str]) -> Pipeline:
@@ -84,7 +81,7 @@ def assembled_names(df: DataFrame) -> list[str]:
     return [n for _, n in slots]
 
 
-# Implicit-feedback confidence per interaction type (engine choice).
+# Engine choice (not a reference value): implicit-feedback confidence per interaction type.
 CONFIDENCE = {"like": 3.0, "bookmark": 4.0, "view_full": 2.0, "comment": 2.0, "share": 3.0}
 
 
@@ -120,7 +117,7 @@ def text_vectors(df: DataFrame, text: str, dim: int = TEXT_DIM, out: str = "text
 
 
 def dense_tower(df: DataFrame, vec: str, layers: list[tuple[np.ndarray, np.ndarray]],
-                out: str = "tower_vector", batch_size: int = 256) -> DataFrame:
+                out: str = "tower_vector", batch_size: int = TOWER_BATCH_SIZE) -> DataFrame:
     """SF-13 / M-7: ``relu(W·x + b)`` per layer, applied in Arrow batches of
     ``batch_size`` with the weights shipped once per worker (closure of the
     model loader); the input dimension is checked against the first layer."""

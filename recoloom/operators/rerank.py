@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 
-UNKNOWN_CATEGORY = "unknown_category"
-SEEN_TYPES = ("seen", "disliked", "reported")
+from ..defaults import (BOOST_FACTOR_DEFAULT, BOOST_HOURS_DEFAULT, DIVERSITY_CAP_OFFSET, DIVERSITY_FACTOR_DEFAULT,
+                        DIVERSITY_RECENT_WINDOW, FINAL_RECOMMENDATIONS, SEEN_FILTER_TYPES as SEEN_TYPES,
+                        SMOKE_SCORE_MATCH, SMOKE_SCORE_OTHER, UNKNOWN_CATEGORY)
 
 
 def seen_filter(candidates: DataFrame, store: DataFrame, types=SEEN_TYPES) -> DataFrame:
@@ -33,11 +34,11 @@ def in_list_flag(category: Column, prefs: Column) -> Column:
 
 def smoke_score(flag: Column) -> Column:
     """M-15 reference scorer without noise: 0.8 when the category matches, else 0.3."""
-    return F.when(flag == 1, F.lit(0.8)).otherwise(F.lit(0.3))
+    return F.when(flag == 1, F.lit(SMOKE_SCORE_MATCH)).otherwise(F.lit(SMOKE_SCORE_OTHER))
 
 
-def freshness_boost(score: Column, created: Column, ref_ts: Column, hours: float = 24.0,
-                    factor: float = 1.1) -> Column:
+def freshness_boost(score: Column, created: Column, ref_ts: Column, hours: float = BOOST_HOURS_DEFAULT,
+                    factor: float = BOOST_FACTOR_DEFAULT) -> Column:
     """M-10: ``score * factor`` iff the creation time is known and
     ``ref_ts - created <= hours`` (future posts also pass); ``ref_ts`` is a
     parameter, never the wall clock."""
@@ -56,10 +57,11 @@ def rank_by_score(df: DataFrame, score: str = "score", tie: str = "cand_rank",
 
 def diversity_cap(n: int, factor: float) -> int:
     """Per-category cap ``max(1, int(N·(f+0.2)))`` evaluated in double."""
-    return max(1, int(n * (factor + 0.2)))
+    return max(1, int(n * (factor + DIVERSITY_CAP_OFFSET)))
 
 
-def diverse_rerank(scored: DataFrame, n: int = 20, factor: float = 0.2, window: int = 5,
+def diverse_rerank(scored: DataFrame, n: int = FINAL_RECOMMENDATIONS, factor: float = DIVERSITY_FACTOR_DEFAULT,
+                   window: int = DIVERSITY_RECENT_WINDOW,
                    category: str = "category_id", score: str = "score", tie: str = "cand_rank") -> DataFrame:
     """M-11 category-diverse greedy top-N per user.
 

@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..defaults import (RANKING_NEGATIVE_RATIO, RETRIEVAL_NEGATIVES_PER_POSITIVE, RETRIEVAL_POSITIVE_TYPES,
+                        SPLIT_RATIOS)
 from ..functions.hashing import STRIDE_PRIMES, md5_bigint
 
 MID_BITS = 33
@@ -128,8 +130,8 @@ def key_at_rank(df: DataFrame, ts: str, id_col: str, k: int, buckets: int = 4096
             acc += r["c"]
 
 
-def chronological_split(df: DataFrame, ts: str, id_col: str, train: float = 0.7,
-                        validation: float = 0.15) -> DataFrame:
+def chronological_split(df: DataFrame, ts: str, id_col: str, train: float = SPLIT_RATIOS[0],
+                        validation: float = SPLIT_RATIOS[1]) -> DataFrame:
     """Label rows train / validation / test by global time order (W-4).
 
     ``n_train = floor(n·train)``, ``n_val = floor(n·validation)``, test = rest;
@@ -218,7 +220,7 @@ def _walk_params(users: DataFrame, P: Column, seed: int, key: tuple = ("user_id"
                         P.alias("P"))
 
 
-def ranking_negatives(positives: DataFrame, posts: DataFrame, ratio: int = 4, seed: int = 42,
+def ranking_negatives(positives: DataFrame, posts: DataFrame, ratio: int = RANKING_NEGATIVE_RATIO, seed: int = 42,
                       chunk: int = 4096) -> DataFrame:
     """N-1: per user with ≥1 positive, ``min(ratio·n_pos, n_avail)`` posts sampled
     without replacement from all posts minus the user's positives; label 0;
@@ -243,7 +245,8 @@ def ranking_negatives(positives: DataFrame, posts: DataFrame, ratio: int = 4, se
 
 
 def retrieval_pairs(inter: DataFrame, universe: DataFrame | None = None,
-                    positive_types=("like", "bookmark", "view_full"), per_positive: int = 5,
+                    positive_types=RETRIEVAL_POSITIVE_TYPES,
+                    per_positive: int = RETRIEVAL_NEGATIVES_PER_POSITIVE,
                     seed: int = 42, chunk: int = 4096) -> DataFrame:
     """N-2: distinct positive (user, post) pairs labelled 1, plus per user
     ``min(n_avail, 5·n_pos)`` negatives from the post universe (default: posts

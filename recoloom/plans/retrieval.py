@@ -10,7 +10,7 @@ from ..sources import views as V
 from . import sqlviews as S
 from .registry import register
 
-RETRIEVAL_POSITIVES = ("like", "bookmark", "view_full")
+from ..defaults import RETRIEVAL_POSITIVE_TYPES as RETRIEVAL_POSITIVES, TOP_K_ACCURACY_KS, TOP_N_CANDIDATES
 
 
 def positive_pairs(spark, d):
@@ -83,7 +83,7 @@ def l2_pairs(spark, d):
 L2SQ = ("list_sum(list_transform(list_zip(uv.user_vector, CAST(e.embedding AS DOUBLE[])), "
         "lambda x: (x[1] - x[2]) * (x[1] - x[2])))")
 
-KNN_K = 100   # top_n_candidates of the reference configuration
+KNN_K = TOP_N_CANDIDATES
 
 KNN_SQL = _uv_sql("""
 SELECT user_id, post_id, round(dist, 6) AS distance, CAST(rk AS BIGINT) AS rank FROM (
@@ -161,7 +161,7 @@ def topk_accuracy(spark, d):
     ranks = K.count_better(truth, items).select((F.col("n_better") + 1).alias("rk"))
     return ranks.agg(F.count(F.lit(1)).alias("n_positives"),
                      *[F.round(F.avg((F.col("rk") <= k).cast("double")), 6).alias(f"top_{k}_accuracy")
-                       for k in (1, 5, 10, 50, 100)])
+                       for k in TOP_K_ACCURACY_KS])
 
 
 @register("mean_vector_cosine", "WITH " + ",\n".join(UV_SQL) + """,

@@ -12,9 +12,9 @@ from . import sqlviews as S
 from .registry import register
 from .retrieval import L2SQ, UV_SQL, category_prefilter, user_vectors
 
-TOP_N = 100           # candidates per user (top_n_candidates default)
-FINAL_N = 20          # recommendations per user (re-rank config)
-BOOST_HOURS, BOOST_FACTOR, DIVERSITY = 48.0, 1.2, 0.3
+from ..defaults import (BOOST_FACTOR_CONFIGURED as BOOST_FACTOR, BOOST_HOURS_CONFIGURED as BOOST_HOURS,
+                        DIVERSITY_FACTOR_CONFIGURED as DIVERSITY, DIVERSITY_FACTOR_DEFAULT,
+                        FINAL_RECOMMENDATIONS as FINAL_N, TOP_N_CANDIDATES as TOP_N)
 REF_TS = "2023-12-13 12:00:00"   # the serving "now" — a parameter, never the wall clock
 
 
@@ -189,7 +189,7 @@ s50 AS (
   SELECT c.user_id, c.post_id, c.cand_rank, p.category_id,
          CAST(CASE WHEN list_contains(u.onboarding_category_ids, p.category_id) THEN 0.8 ELSE 0.3 END AS DOUBLE)
            AS score
-  FROM c50 c JOIN users u USING (user_id) JOIN posts p USING (post_id))""" + greedy_sql("s50", FINAL_N, 0.2)
+  FROM c50 c JOIN users u USING (user_id) JOIN posts p USING (post_id))""" + greedy_sql("s50", FINAL_N, DIVERSITY_FACTOR_DEFAULT)
 
 
 @register("diverse_rerank", DIVERSE_SQL)
@@ -203,7 +203,7 @@ def diverse_rerank(spark, d):
         F.col("qid").alias("user_id"), F.col("item_id").alias("post_id"), F.col("rank").alias("cand_rank"))
     s = c.join(users, "user_id").join(posts, "post_id").withColumn(
         "score", R.smoke_score(R.in_list_flag(F.col("category_id"), F.col("onboarding_category_ids"))))
-    return R.diverse_rerank(s, n=FINAL_N, factor=0.2)
+    return R.diverse_rerank(s, n=FINAL_N, factor=DIVERSITY_FACTOR_DEFAULT)
 
 
 CAT_FLAG_SQL = S.with_views("""
