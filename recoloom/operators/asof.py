@@ -37,12 +37,18 @@ def _interval_micros(spec: str) -> int:
 def point_in_time_join(entity: DataFrame, features: DataFrame, keys: list[str] | str,
                        entity_ts: str, feature_ts: str, feature_cols: list[str],
                        created_col: str | None = None, ttl: str | None = None,
-                       bucket: str | None = "7 days", prefix: str = "") -> DataFrame:
+                       bucket: str | None = "7 days", prefix: str = "",
+                       hot_rows: int | None = 1 << 20) -> DataFrame:
     """For each entity row, the latest feature row with the same keys and
     ``feature_ts <= entity_ts`` (ties on ``feature_ts`` → greatest ``created_col``);
     ``feature_ts >= entity_ts - ttl`` when ``ttl`` is set.  No match → nulls,
     entity row kept.  Output = entity columns + ``prefix + feature_cols`` +
     ``prefix + feature_ts``.
+
+    Window partitions are (key, time bucket) of width ``bucket``; a key with
+    more than ``hot_rows`` rows gets its own narrower width so that each of its
+    buckets holds about ``hot_rows`` rows (at most total/hot_rows keys can be
+    hot, so that table is bounded and sized before it is broadcast).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     ent_cols = entity.columns
@@ -59,7 +65,23 @@ def point_in_time_join(entity: DataFrame, features: DataFrame, keys: list[str] |
     u = e.unionByName(f)
     if bucket:
         width = _interval_micros(bucket)
-        u = u.withColumn(_B, F.floor(_micros(F.col(_TS)) / F.lit(width)))
+        us = _micros(F.col(_TS))
+        w_col = F.lit(width)
+        if hot_rows:
+            from .sampling import broadcast_if_small
+            hot = (u.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(us).alias("__lo"),
+                                        F.max(us).alias("__hi"))
+                   .where(F.col("__n") > hot_rows)
+                   .select(*keys, F.least(F.lit(width), F.greatest(F.lit(1), F.ceil(
+                       (F.col("__hi") - F.col("__lo") + 1) * F.lit(hot_rows) / F.col("__n")))).cast("bigint")
+                       .alias("__w")))
+            n_hot = hot.count()
+            if n_hot:
+                u = u.join(broadcast_if_small(hot, n_hot, 64), keys, "left")
+                w_col = F.coalesce(F.col("__w"), F.lit(width))
+        u = u.withColumn(_B, F.floor(us / w_col))
+        if "__w" in u.columns:
+            u = u.drop("__w")
         part = keys + [_B]
     else:
         part = keys

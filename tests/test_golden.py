@@ -189,3 +189,21 @@ def test_request_time_features_pandas_variant(spark):
 def test_rerank_without_metadata_is_plain_score_order(spark):
     rows = [("u", f"p{i}", 1 - i / 50, None, i) for i in range(30)]
     assert _rerank(spark, rows, 20, 0.3) == [f"p{i}" for i in range(20)]
+
+
+def test_asof_hot_key_narrow_buckets(spark):
+    """A key holding most rows gets narrower buckets; results equal the plain window."""
+    import random
+    rnd = random.Random(4)
+    t0 = dt.datetime(2024, 1, 1)
+    feats = [(k, t0 + dt.timedelta(minutes=rnd.randint(0, 20000)), float(i), i)
+             for i in range(600) for k in ([1] if i % 3 else [rnd.randint(2, 9)])]
+    ents = [(i, k, t0 + dt.timedelta(minutes=rnd.randint(0, 20000)))
+            for i in range(500) for k in ([1] if i % 2 else [rnd.randint(2, 9)])]
+    fd = spark.createDataFrame(feats, "k long, fts timestamp_ntz, v double, created long")
+    ed = spark.createDataFrame(ents, "id long, k long, ets timestamp_ntz")
+    plain = asof.point_in_time_join(ed, fd, "k", "ets", "fts", ["v"], "created", bucket=None)
+    hot = asof.point_in_time_join(ed, fd, "k", "ets", "fts", ["v"], "created", bucket="7 days", hot_rows=20)
+    a = sorted((r.id, r.v, r.fts) for r in plain.collect())
+    b = sorted((r.id, r.v, r.fts) for r in hot.collect())
+    assert a == b and len(a) == 500
