@@ -11,6 +11,10 @@ permutation": a uniform-looking sample without replacement, deterministic in
 the seed, with O(k_u + n_u) work per user.  Long walks are cut in chunks so a
 hot user is spread over many tasks, and the final "first k_u survivors" is a
 prefix count over chunks plus a rank inside each (bounded) chunk.
+
+The chronological split needs only two rank boundaries; they are found by
+distributed selection over timestamp histograms (``key_at_rank``), so the
+interaction fact is never globally sorted.
 """
 
 from __future__ import annotations
@@ -25,11 +29,11 @@ from ..functions.hashing import STRIDE_PRIMES, md5_bigint
 MID_BITS = 33
 
 
-def _partition_offsets(spark, totals: DataFrame, cols: dict[str, str]) -> DataFrame:
+def _partition_offsets(spark, totals: DataFrame, cols: dict[str, str]) -> tuple[DataFrame, dict]:
     """Exclusive running totals over partition ids.  ``totals`` has one row per
     partition (its size is the partition count, not the data), so — exactly as
     ``RDD.zipWithIndex`` does — the totals are brought to the driver, summed
-    there, and returned as a small table to broadcast."""
+    there, and returned as a small table to broadcast (plus the grand totals)."""
     rows = sorted(totals.collect(), key=lambda r: r["__pid"])
     types = {c: totals.schema[c].dataType.simpleString() for c in cols}
     run = {c: (0.0 if types[c] in ("double", "float") else 0) for c in cols}
