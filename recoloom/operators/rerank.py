@@ -97,7 +97,9 @@ def diverse_rerank(scored: DataFrame, n: int = FINAL_RECOMMENDATIONS, factor: fl
         take = (~done) & (same < F.lit(cap)) & (~dominant)
         return F.struct(
             F.when(take, F.concat(chosen, F.array(x))).otherwise(chosen).alias("chosen"),
-            F.when((~done) & (~take), F.concat(st["skipped"], F.array(x))).otherwise(st["skipped"]).alias("skipped"))
+            # only the first N passed-over items can ever fill the output: cap the list there
+            F.when((~done) & (~take) & (F.size(st["skipped"]) < F.lit(n)),
+                   F.concat(st["skipped"], F.array(x))).otherwise(st["skipped"]).alias("skipped"))
 
     folded = per_user.select("user_id", F.aggregate(ordered, init, step).alias("st"))
     final = folded.select("user_id", F.slice(F.concat("st.chosen", "st.skipped"), 1, n).alias("final"))
