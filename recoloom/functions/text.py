@@ -49,6 +49,13 @@ def parse_item(item: Column) -> Column:
         F.when(ok, desc).otherwise(item).alias("description"))
 
 
+def raw_tokens(text: Column) -> Column:
+    """Lower-cased split of the whole text on non-word runs (ASCII word class);
+    may contain empty strings at the ends — drop them after exploding, where
+    the filter is code-generated (cheaper than a lambda over the array)."""
+    return F.split(F.lower(F.coalesce(text, F.lit(""))), r"\W+", -1)
+
+
 def tokens(text: Column) -> Column:
     """Lower-cased word tokens of the whole text (ASCII word class), no empties."""
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"\W+", -1), lambda t: F.length(t) > 0)
+    return F.filter(raw_tokens(text), lambda t: F.length(t) > 0)

@@ -163,8 +163,9 @@ def load_checks(inter: DataFrame, users: DataFrame, posts: DataFrame) -> DataFra
 def keywords(docs: DataFrame, id_col: str, text: str, k: int = 5) -> DataFrame:
     """X-19: top-k TF-IDF terms per document over the whole text.
     tf = count in doc, idf = ln((N + 1) / (df + 1)) + 1; ties by term."""
-    from ..functions.text import tokens
-    toks = docs.select(id_col, F.explode(tokens(F.col(text))).alias("term"))
+    from ..functions.text import raw_tokens
+    toks = (docs.select(id_col, F.explode(raw_tokens(F.col(text))).alias("term"))
+            .where(F.length("term") > 0))
     tf = toks.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
     n_docs = docs.select(F.count(F.lit(1))).scalar()
     df_ = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
