@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
+from pyspark.sql.types import ArrayType, StringType
 
 
 from ..defaults import (BOOST_FACTOR_DEFAULT, BOOST_HOURS_DEFAULT, DIVERSITY_CAP_OFFSET, DIVERSITY_FACTOR_DEFAULT,
@@ -84,19 +84,25 @@ def diverse_rerank(scored: DataFrame, n: int = FINAL_RECOMMENDATIONS, factor: fl
                            .when(a.score < b.score, 1)
                            .when(a.tie < b.tie, -1).when(a.tie > b.tie, 1).otherwise(0))
     elem_t = items.schema["it"].dataType
+    # state: chosen items, their categories (for native counting), passed-over items
     init = F.struct(F.array().cast(ArrayType(elem_t)).alias("chosen"),
+                    F.array().cast(ArrayType(StringType())).alias("cats"),
                     F.array().cast(ArrayType(elem_t)).alias("skipped"))
 
+    def occurrences(arr, value):
+        # native array functions (no per-element lambda): |arr| - |arr without value|
+        return F.size(arr) - F.size(F.array_remove(arr, value))
+
     def step(st, x):
-        chosen = st["chosen"]
+        chosen, cats = st["chosen"], st["cats"]
         k = F.size(chosen)
         done = k >= F.lit(n)
-        same = F.size(F.filter(chosen, lambda c: c["cat"] == x["cat"]))
-        recent = F.slice(chosen, F.greatest(k - F.lit(window - 1), F.lit(1)), window)
-        dominant = (k >= F.lit(window)) & (F.size(F.filter(recent, lambda c: c["cat"] == x["cat"])) >= F.lit(dom))
-        take = (~done) & (same < F.lit(cap)) & (~dominant)
+        recent = F.slice(cats, F.greatest(k - F.lit(window - 1), F.lit(1)), window)
+        dominant = (k >= F.lit(window)) & (occurrences(recent, x["cat"]) >= F.lit(dom))
+        take = (~done) & (occurrences(cats, x["cat"]) < F.lit(cap)) & (~dominant)
         return F.struct(
             F.when(take, F.concat(chosen, F.array(x))).otherwise(chosen).alias("chosen"),
+            F.when(take, F.concat(cats, F.array(x["cat"]))).otherwise(cats).alias("cats"),
             # only the first N passed-over items can ever fill the output: cap the list there
             F.when((~done) & (~take) & (F.size(st["skipped"]) < F.lit(n)),
                    F.concat(st["skipped"], F.array(x))).otherwise(st["skipped"]).alias("skipped"))
