@@ -48,7 +48,7 @@ def point_in_time_join(entity: DataFrame, features: DataFrame, keys: list[str] |
     Window partitions are (key, time bucket) of width ``bucket``; a key with
     more than ``hot_rows`` rows gets its own narrower width so that each of its
     buckets holds about ``hot_rows`` rows (at most total/hot_rows keys can be
-    hot, so that table is bounded and sized before it is broadcast).
+    hot, so that table is bounded; AQE broadcasts it from its run-time size).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     ent_cols = entity.columns
@@ -68,17 +68,17 @@ def point_in_time_join(entity: DataFrame, features: DataFrame, keys: list[str] |
         us = _micros(F.col(_TS))
         w_col = F.lit(width)
         if hot_rows:
-            from .sampling import broadcast_if_small
+            # per-key totals with map-side partial aggregation; only keys over
+            # hot_rows survive (≤ total/hot_rows of them), so AQE sees a tiny
+            # table at run time and broadcasts it — no driver round trip
             hot = (u.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(us).alias("__lo"),
                                         F.max(us).alias("__hi"))
                    .where(F.col("__n") > hot_rows)
                    .select(*keys, F.least(F.lit(width), F.greatest(F.lit(1), F.ceil(
                        (F.col("__hi") - F.col("__lo") + 1) * F.lit(hot_rows) / F.col("__n")))).cast("bigint")
                        .alias("__w")))
-            n_hot = hot.count()
-            if n_hot:
-                u = u.join(broadcast_if_small(hot, n_hot, 64), keys, "left")
-                w_col = F.coalesce(F.col("__w"), F.lit(width))
+            u = u.join(hot, keys, "left")
+            w_col = F.coalesce(F.col("__w"), F.lit(width))
         u = u.withColumn(_B, F.floor(us / w_col))
         if "__w" in u.columns:
             u = u.drop("__w")
