@@ -36,16 +36,17 @@ def _tile(queries: DataFrame, items: DataFrame, query_groups: DataFrame | None,
                              F.pmod(F.xxhash64("qid"), F.lit(nq)).cast("int").alias("qc"), *q.columns)
         return queries_t, items_t
     qg = query_groups.select("qid", F.col("g").cast("string").alias("g"))
+    extra = [c for c in items.columns if c not in ("item_id", "ivec", "g")]
     # the catch-all group holds every item, for queries without a filter
-    it = items.select("item_id", "ivec", F.col("g").cast("string").alias("g"))
-    it = it.unionByName(items.select("item_id", "ivec", F.lit(ALL).alias("g")))
+    it = items.select("item_id", "ivec", F.col("g").cast("string").alias("g"), *extra)
+    it = it.unionByName(items.select("item_id", "ivec", F.lit(ALL).alias("g"), *extra))
     icount = it.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / F.lit(item_block)).cast("int").alias("nb"))
     qcount = qg.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / F.lit(query_block)).cast("int").alias("nq"))
     sizes = icount.join(qcount, "g")           # one row per group: small
     items_t = (it.join(sizes, "g")
                .withColumn("blk", F.pmod(F.xxhash64("item_id"), F.col("nb")).cast("int"))
                .withColumn("qc", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)))
-               .select("g", "blk", "qc", "item_id", "ivec"))
+               .select("g", "blk", "qc", "item_id", "ivec", *extra))
     queries_t = (qg.join(sizes, "g")
                  .withColumn("qc", F.pmod(F.xxhash64("qid"), F.col("nq")).cast("int"))
                  .withColumn("blk", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
@@ -95,14 +96,19 @@ def knn(queries: DataFrame, items: DataFrame, k: int, metric: str = "l2",
     ``sub_block × item_block`` scores however large the blocks are (large
     blocks = fewer replicas of each vector in the shuffle).
     """
-    qt, itt = _tile(queries.select("qid", "qvec"), items, query_groups, item_block, query_block)
+    # soft-assigned items (IVF): an item lives in several groups with a "home"
+    # group; a query reaches it only through the first of its groups the query
+    # probes ("pmask" = bit set of probed groups), so no pair is produced twice
+    soft = "home" in items.columns and "pmask" in queries.columns
+    qt, itt = _tile(queries.select("qid", "qvec", *(["pmask"] if soft else [])),
+                    items if soft else items.drop("home"), query_groups, item_block, query_block)
     qtype = queries.schema["qid"].dataType
     itype = items.schema["item_id"].dataType
     schema = T.StructType([T.StructField("qid", qtype), T.StructField("item_id", itype),
                            T.StructField("score", T.DoubleType())])
     sign = 1.0 if metric == "l2" else -1.0
 
-    def kernel(qdf: pd.DataFrame, idf: pd.DataFrame) -> pd.DataFrame:
+    def kernel(key, qdf: pd.DataFrame, idf: pd.DataFrame) -> pd.DataFrame:
         if len(qdf) == 0 or len(idf) == 0:
             return pd.DataFrame({"qid": [], "item_id": [], "score": []})
         idf = idf.sort_values("item_id", kind="stable")
@@ -110,6 +116,10 @@ def knn(queries: DataFrame, items: DataFrame, k: int, metric: str = "l2",
         x2 = (X * X).sum(1)
         kk = min(k, X.shape[0])
         qids, iids = qdf["qid"].values, idf["item_id"].values
+        if soft:
+            g = int(key[0])
+            home = idf["home"].to_numpy(dtype=np.int64)
+            pmask = qdf["pmask"].to_numpy(dtype=np.int64)
         out_q, out_i, out_s = [], [], []
         for a in range(0, Q.shape[0], sub_block):
             q = Q[a:a + sub_block]
@@ -117,9 +127,15 @@ def knn(queries: DataFrame, items: DataFrame, k: int, metric: str = "l2",
                 s = np.maximum((q * q).sum(1)[:, None] + x2[None, :] - 2.0 * (q @ X.T), 0.0)
             else:
                 s = q @ X.T
-            cols = _topk_rows(sign * s, kk)
+            key_s = sign * s
+            if soft:
+                reach = (home[None, :] == g) | (((pmask[a:a + sub_block, None] >> home[None, :]) & 1) == 0)
+                key_s = np.where(reach, key_s, np.inf)
+            cols = _topk_rows(key_s, kk)
             rows = np.repeat(np.arange(q.shape[0]), kk)
             c = cols.ravel()
+            ok = np.isfinite(key_s[rows, c])
+            rows, c = rows[ok], c[ok]
             out_q.append(qids[a:a + sub_block][rows])
             out_i.append(iids[c])
             out_s.append(s[rows, c])
@@ -159,19 +175,30 @@ def count_better(queries: DataFrame, items: DataFrame, item_block: int = 16384,
 
 
 def ivf_knn(queries: DataFrame, items: DataFrame, k: int, n_cells: int = 16, nprobe: int = 4,
-            seed: int = 42, max_iter: int = 20, **blocks) -> DataFrame:
+            seed: int = 42, max_iter: int = 20, assign: int = 2, **blocks) -> DataFrame:
     """M-2 approximate retrieval, IVF style: k-means cells over the items
-    (MLlib, distributed), each query probes its ``nprobe`` nearest cells, and
-    the exact tile kernel runs only inside those cells.  Centroids are
-    ``n_cells × dim`` numbers — a bounded table."""
+    (MLlib, distributed); each item is filed under its ``assign`` nearest cells
+    (soft assignment lifts recall near cell borders), each query probes its
+    ``nprobe`` nearest cells, and the exact tile kernel runs only inside those
+    cells, reaching every item at most once.  Centroids are ``n_cells × dim``
+    numbers — a bounded table."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
+    if n_cells > 62:
+        raise ValueError("n_cells must fit a 64-bit probe mask")
     spark = items.sparkSession
     iv = items.select("item_id", "ivec", array_to_vector("ivec").alias("__v"))
     model = KMeans(k=n_cells, seed=seed, maxIter=max_iter, featuresCol="__v",
                    predictionCol="cell").fit(iv)
     centers = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     cdf = spark.createDataFrame(centers, "item_id int, ivec array<double>")
-    probes = knn(queries, cdf, nprobe, "l2").select("qid", F.col("item_id").cast("string").alias("g"))
-    cells = model.transform(iv).select("item_id", "ivec", F.col("cell").cast("string").alias("g"))
-    return knn(queries, cells, k, "l2", query_groups=probes, **blocks)
+    probes = knn(queries, cdf, nprobe, "l2").select("qid", F.col("item_id").alias("cell"))
+    pmask = probes.groupBy("qid").agg(F.sum(F.expr("shiftleft(CAST(1 AS BIGINT), cell)")).alias("pmask"))
+    homes = (knn(items.select(F.col("item_id").alias("qid"), F.col("ivec").alias("qvec")), cdf, assign, "l2")
+             .select(F.col("qid").alias("item_id"), F.col("item_id").alias("cell"), "rank"))
+    first = homes.where(F.col("rank") == 1).select("item_id", F.col("cell").alias("home"))
+    cells = (items.select("item_id", "ivec").join(homes, "item_id").join(first, "item_id")
+             .select("item_id", "ivec", F.col("cell").cast("string").alias("g"), "home"))
+    q = queries.select("qid", "qvec").join(pmask, "qid")
+    return knn(q, cells, k, "l2", query_groups=probes.select("qid", F.col("cell").cast("string").alias("g")),
+               **blocks)
