@@ -192,10 +192,15 @@ def ivf_knn(queries: DataFrame, items: DataFrame, k: int, n_cells: int = 16, npr
                    predictionCol="cell").fit(iv)
     centers = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     cdf = spark.createDataFrame(centers, "item_id int, ivec array<double>")
-    probes = knn(queries, cdf, nprobe, "l2").select("qid", F.col("item_id").alias("cell"))
+    # probe lists and cell assignments are small (nprobe per query, `assign` per
+    # item) and each is used twice below: write them once (reliable checkpoint)
+    # instead of letting the plan recompute the centroid searches
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    probes = knn(queries, cdf, nprobe, "l2").select("qid", F.col("item_id").alias("cell")).checkpoint()
     pmask = probes.groupBy("qid").agg(F.sum(F.expr("shiftleft(CAST(1 AS BIGINT), cell)")).alias("pmask"))
     homes = (knn(items.select(F.col("item_id").alias("qid"), F.col("ivec").alias("qvec")), cdf, assign, "l2")
-             .select(F.col("qid").alias("item_id"), F.col("item_id").alias("cell"), "rank"))
+             .select(F.col("qid").alias("item_id"), F.col("item_id").alias("cell"), "rank").checkpoint())
     first = homes.where(F.col("rank") == 1).select("item_id", F.col("cell").alias("home"))
     cells = (items.select("item_id", "ivec").join(homes, "item_id").join(first, "item_id")
              .select("item_id", "ivec", F.col("cell").cast("string").alias("g"), "home"))
