@@ -66,9 +66,12 @@ def recommendations(spark, d, sc=None):
 
 
 def stages(spark, d):
-    """The four stages built on one another, so a query that reports several
-    of them plans the retrieval once (identical sub-plans → reused exchanges)."""
-    c = candidates(spark, d)
+    """The four stages built on one another; the retrieved candidates are
+    checkpointed so a report over several stages runs the retrieval once."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    # the candidate table (≤ 100 rows per user) feeds four branches: write it once
+    c = candidates(spark, d).checkpoint()
     f = filtered(spark, d, c)
     s = scored(spark, d, f)
     return c, f, s, recommendations(spark, d, s)
