@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, langid, orc_tokens, packing, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,3 +23,27 @@ def query(fn: Query) -> Query:
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every whole text of ``documents``."""
     return bpe.encode_decode_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text of ``documents`` in ORC files, read back."""
+    return orc_tokens.round_trip(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` packed into sequences of at most 1024 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text of ``documents``."""
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text of ``documents``."""
+    return langid.identify(table(spark, sf_dir, "documents"))
