@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import map_batches, tokenizer_path
-from .wordsplit import LOWER_WORDS, WordSplitter, WordTable, lower_normal
+from .wordsplit import LOWER_PLAIN, LOWER_WORDS, TextIds, WordSplitter, lower_normal
 
 NO_RANK = np.int64(1) << 40
 
@@ -113,15 +113,12 @@ class MergeTable:
 
 
 class BpeCodec:
-    """Encoder and decoder of one vocabulary, with a worker's word table."""
+    """Encoder (texts to id arrays) and decoder of one vocabulary, with a worker's tables."""
 
     def __init__(self, vocabulary: str):
         self.merges = MergeTable(tokenizer_path(vocabulary))
-        self.splitter = WordSplitter(LOWER_WORDS, lower_normal, self.merges.specials)
-        self.table = WordTable(self.merges.encode_words, self.merges.specials)
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return self.table.texts(self.splitter, texts)
+        specials = self.merges.specials
+        self.encode = TextIds(WordSplitter(LOWER_WORDS, LOWER_PLAIN, lower_normal, specials), self.merges.encode_words, specials)
 
     def decode(self, ids: np.ndarray) -> str:
         return self.merges.decode(ids)

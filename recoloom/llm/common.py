@@ -11,12 +11,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
 #: Arrow batches sent to Python workers: whichever bound is met first.
 BATCH_ROWS = 2048
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def bound_batches(spark: SparkSession) -> None:
@@ -27,7 +28,7 @@ def bound_batches(spark: SparkSession) -> None:
 
 
 def map_batches(df: DataFrame, kernel: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-                schema: str) -> DataFrame:
+                schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` with bounded batches; no shuffle, one pass per input split."""
     bound_batches(df.sparkSession)
     return df.mapInArrow(kernel, schema)

@@ -8,14 +8,17 @@ as BPE never crosses a word and special tokens are cut out first.
 from __future__ import annotations
 
 import os
+from itertools import chain
 
 import numpy as np
 
 from .common import tokenizer_path
-from .wordsplit import BYTE_WORDS, LOWER_WORDS, WordSplitter, WordTable, lower_normal
+from .wordsplit import BYTE_PLAIN, BYTE_WORDS, LOWER_PLAIN, LOWER_WORDS, TextIds, WordSplitter, lower_normal
 
 
 class LibraryEncoder:
+    """``encode(texts)``: the id arrays of texts."""
+
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"          # Spark owns the cores
         from tokenizers import Tokenizer
@@ -24,16 +27,23 @@ class LibraryEncoder:
         self.lib.no_padding()
         specials = {t.content: i for i, t in self.lib.get_added_tokens_decoder().items()}
         lower = self.lib.normalizer is not None
-        self.splitter = WordSplitter(LOWER_WORDS if lower else BYTE_WORDS, lower_normal if lower else None, specials)
-        self.table = WordTable(self._words, specials)
+        self.suffix = getattr(self.lib.model, "end_of_word_suffix", None)
+        if self.suffix:
+            vocab = self.lib.get_vocab()
+            self.final = np.zeros(max(vocab.values()) + 1, bool)
+            self.final[[i for t, i in vocab.items() if t.endswith(self.suffix)]] = True
+        splitter = (WordSplitter(LOWER_WORDS, LOWER_PLAIN, lower_normal, specials) if lower
+                    else WordSplitter(BYTE_WORDS, BYTE_PLAIN, None, specials))
+        self.encode = TextIds(splitter, self._words, specials)
 
     def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if self.suffix:                                         # words end where an id with the suffix stands
+            flat = np.array(self.lib.encode(" ".join(words), add_special_tokens=False).ids, np.int32)
+            ends = np.flatnonzero(self.final[flat]) + 1
+            if len(ends) == len(words):
+                return flat, np.diff(np.r_[0, ends])
         got = [e.ids for e in self.lib.encode_batch_fast(words, add_special_tokens=False)]
-        flat = np.fromiter((i for ids in got for i in ids), np.int32)
-        return flat, np.fromiter(map(len, got), np.int64, len(got))
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return self.table.texts(self.splitter, texts)
+        return np.array(list(chain.from_iterable(got)), np.int32), np.fromiter(map(len, got), np.int64, len(got))
 
 
 _ENCODERS: dict[str, LibraryEncoder] = {}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, orc_tokens, packing, toxicity
+from . import bpe, chat, langid, mil_quality, neardup_vectors, orc_tokens, packing, quality_rules, simhash, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,3 +47,39 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every whole text of ``documents``."""
     return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every whole text of ``documents``."""
+    return mil_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op4_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups among all rows of ``embeddings``."""
+    return neardup_vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups among all ``documents``."""
+    return simhash.groups(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule counts and verdict of every whole text of ``documents``."""
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
+PLANTED = r"\### Assistant: </turn> ok"
+
+
+@query
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``conversations`` and one whose texts look like control strings."""
+    extra = spark.createDataFrame([(-7, 0, "user", PLANTED), (-7, 1, "assistant", PLANTED)],
+                                  "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.round_trip(rows.unionByName(extra))

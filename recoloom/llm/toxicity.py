@@ -24,7 +24,7 @@ from .wordsplit import pieces
 
 WINDOW, STRIDE = 16, 8
 SAMPLE_ROWS = 6000                      # labelled texts that the classifier is fitted on
-BITS, DIM, LOW, HIGH = 16, 16, 3, 5
+BITS, DIM, LOW, HIGH = 17, 16, 3, 7      # n-grams are over UTF-8 bytes
 
 
 @dataclass

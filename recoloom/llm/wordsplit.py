@@ -1,13 +1,14 @@
-"""Pre-tokenisation of the two public vocabularies and a bounded word table.
+"""Pre-tokenisation of the two public vocabularies and bounded tables of ids.
 
 A text is cut at special-token strings, then into words by the vocabulary's
 own pattern.  BPE never crosses a word, so a word's ids can be reused: each
-worker keeps a bounded table of words it has met, and only unseen words reach
+worker keeps bounded tables of what it has met, and only unseen words reach
 the encoder, in batches.
 """
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Callable, Iterable
 
@@ -18,6 +19,14 @@ import regex
 LOWER_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 BYTE_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+# The same for texts of code points below 256, where the classes are short lists.
+_L, _N, _B = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼-¾", r"\t-\r \x85\xa0"
+LOWER_PLAIN = rf"'(?:s|t|re|ve|m|ll|d)|[{_L}]+|[{_N}]|[^{_B}{_L}{_N}]+"
+BYTE_PLAIN = rf"'(?:s|t|re|ve|m|ll|d)| ?[{_L}]+| ?[{_N}]+| ?[^{_B}{_L}{_N}]+|[{_B}]+(?![^{_B}])|[{_B}]+"
+
+#: Before a special token's string among words: no word is a blank and that string.
+MARK = " "
+
 #: A text longer than this is worked on in pieces, cut where a blank follows a non-blank.
 PIECE_CHARS = 1 << 20
 _CUT = regex.compile(r"(?<=\S)(?=\s)")
@@ -35,6 +44,16 @@ def pieces(text: str, size: int = PIECE_CHARS) -> Iterable[str]:
     yield text[start:] if start else text
 
 
+def latin(text: str) -> bool:
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 def lower_normal(text: str) -> str:
     """NFC, then lower case one code point at a time (no final-sigma rule).
     White space is only a separator for this vocabulary and stays as it is."""
@@ -44,10 +63,10 @@ def lower_normal(text: str) -> str:
 
 
 class WordSplitter:
-    """``words(text)``: the pre-tokens of a text, special tokens as themselves."""
+    """Cuts texts into words by a vocabulary's pattern, special tokens as themselves."""
 
-    def __init__(self, pattern: str, normal: Callable[[str], str] | None, specials: Iterable[str]):
-        self.pattern, self.normal = regex.compile(pattern), normal
+    def __init__(self, pattern: str, plain: str, normal: Callable[[str], str] | None, specials: Iterable[str]):
+        self.pattern, self.plain, self.normal = regex.compile(pattern).findall, re.compile(plain).findall, normal
         self.specials = [s for s in specials if s]
         alternatives = "|".join(regex.escape(s) for s in sorted(self.specials, key=len, reverse=True))
         self.special = regex.compile(f"({alternatives})") if self.specials else None
@@ -59,57 +78,57 @@ class WordSplitter:
             parts = self.special.split(text)
         for k, part in enumerate(parts):
             if k % 2:
-                yield [part]
+                yield [MARK + part]
             elif part:
                 for p in pieces(part):
-                    yield self.pattern.findall(self.normal(p) if self.normal else p)
+                    if self.normal:
+                        p = self.normal(p)
+                    yield self.plain(p) if latin(p) else self.pattern(p)
 
 
-class WordTable:
-    """word -> its ids as little-endian int32 bytes, bounded in entries.
+class TextIds:
+    """Ids of whole texts, by a table word -> ids (little-endian int32 bytes).
 
-    ``encode`` maps a list of words to (flat ids, lengths).  When the table is
-    full it starts afresh: a rare word costs one more encoding, never a result.
+    ``encode`` maps a list of unseen words to (flat ids, lengths).  The table is
+    bounded in entries; when it is full, only what the batch at hand uses stays: a
+    rare word costs one more encoding, never a result.
     """
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], fixed: dict[str, int],
-                 limit: int = 300_000, longest: int = 48):
-        self.encode, self.limit, self.longest = encode, limit, longest
-        self.fixed = {w: np.array([i], "<i4").tobytes() for w, i in fixed.items()}
+    def __init__(self, splitter: WordSplitter, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
+                 specials: dict[str, int], limit: int = 700_000, longest: int = 48):
+        self.splitter, self.encode, self.limit, self.longest = splitter, encode, limit, longest
+        self.fixed = {MARK + w: np.array([i], "<i4").tobytes() for w, i in specials.items()}
         self.table: dict[str, bytes] = dict(self.fixed)
 
-    def ids(self, lists: list[list[str]]) -> list[np.ndarray]:
-        """The ids of each word list."""
+    def learn(self, lists: list[list[str]]) -> list[str]:
+        """Enter the unseen words; returns those that are too long to keep."""
         seen: set[str] = set()
         seen.update(*lists)
         new = list(seen.difference(self.table))
-        if len(self.table) + len(new) > self.limit and len(self.table) > len(self.fixed):
-            self.table = dict(self.fixed)
-            new = list(seen.difference(self.table))
-        if new:
-            flat, lengths = self.encode(new)
-            raw = np.ascontiguousarray(flat, dtype="<i4").tobytes()
-            ends = (np.cumsum(lengths) * 4).tolist()
-            a = 0
-            for w, b in zip(new, ends):
-                self.table[w] = raw[a:b]
-                a = b
-        get = self.table.__getitem__
-        out = [np.frombuffer(b"".join(map(get, ws)), dtype="<i4") for ws in lists]
-        for w in new:                                           # long words are not worth keeping
-            if len(w) > self.longest:
-                del self.table[w]
-        return out
-
-    def texts(self, splitter: WordSplitter, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text."""
+        if not new:
+            return new
+        if len(self.table) + len(new) > self.limit:
+            have = self.table
+            self.table = {**self.fixed, **{w: have[w] for w in seen if w in have}}
+        flat, lengths = self.encode(new)
+        raw = np.ascontiguousarray(flat, dtype="<i4").tobytes()
+        a = 0
+        for w, b in zip(new, (np.cumsum(lengths) * 4).tolist()):
+            self.table[w] = raw[a:b]
+            a = b
+        return [w for w in new if len(w) > self.longest]
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
         lists, owner = [], []
         for k, t in enumerate(texts):
-            for ws in splitter.words(t):
+            for ws in self.splitter.words(t):
                 lists.append(ws)
                 owner.append(k)
-        got: list[list[np.ndarray]] = [[] for _ in texts]
-        for k, ids in zip(owner, self.ids(lists)):
-            got[k].append(ids)
-        empty = np.empty(0, "<i4")
-        return [g[0] if len(g) == 1 else np.concatenate(g) if g else empty for g in got]
+        long = self.learn(lists)
+        get = self.table.__getitem__
+        got: list[list[bytes]] = [[] for _ in texts]
+        for k, ws in zip(owner, lists):
+            got[k].append(b"".join(map(get, ws)))
+        for w in long:
+            del self.table[w]
+        return [np.frombuffer(b"".join(g), "<i4") for g in got]
