@@ -1,11 +1,13 @@
 """Toxicity: averaged subword embeddings under a linear softmax.
 
-A text is scored in overlapping windows of words, so that one slur in a long
-text is not averaged away; the text's score is that of its worst window.  The
-model is trained jointly (embeddings and softmax) in numpy: windows of clean
-texts are clean; of a toxic text the window that the model finds worst is taken
-as toxic, starting from all its windows.  The worst words of toxic windows are
-also shown misspelt, so that unseen spellings share their n-gram vectors.
+A text is scored in overlapping windows of words, each by the average of its
+subword embeddings, and the text's score is the share of windows that the softmax
+finds toxic: a slur in a long text is not averaged away, and one chance hit in a
+long text does not condemn it.  The model is trained jointly (embeddings and
+softmax) in numpy: windows of clean texts are clean; of a toxic text the windows
+that the model finds worst are taken as toxic, starting from all its windows.  The
+worst words of toxic windows are also shown misspelt, so that unseen spellings
+share their n-gram vectors.
 """
 
 from __future__ import annotations
@@ -23,7 +25,9 @@ from .subword import Grams, SubwordSoftmax, WordScores, fit_platt, gather_ragged
 from .wordsplit import pieces
 
 WINDOW, STRIDE = 16, 8
-SAMPLE_ROWS = 6000                      # labelled texts that the classifier is fitted on
+SAMPLE_ROWS = 8000                      # labelled texts that the classifier is fitted on
+WORST_SHARE, WORST_MOST = 0.25, 12      # windows of a toxic text that are taken as toxic
+PRIOR_WINDOWS, PRIOR_SHARE = 2.0, 0.02  # smooths the share of toxic windows of short texts
 BITS, DIM, LOW, HIGH = 17, 16, 3, 7      # n-grams are over UTF-8 bytes
 
 
@@ -56,6 +60,12 @@ def window_scores(sums: np.ndarray, counts: np.ndarray, start: np.ndarray, end:
     return (s[end] - s[start]) / np.maximum(c[end] - c[start], 1.0)
 
 
+def share_scores(p: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """Log odds of each text's smoothed share of toxic windows."""
+    share = (np.bincount(owner, p, n) + PRIOR_WINDOWS * PRIOR_SHARE) / (np.bincount(owner, minlength=n) + PRIOR_WINDOWS)
+    return np.log(share) - np.log1p(-share)
+
+
 def misspell(word: str, rng: np.random.Generator) -> str:
     i = int(rng.integers(len(word)))
     kind = int(rng.integers(4))
@@ -99,19 +109,21 @@ def train(sample: list[tuple[str, int]], epochs: int = 8, seed: int = 11) -> Mod
         return window_scores(s[tokens], counts[tokens], start, end), s / counts
 
     fit_pos, fit_neg = np.flatnonzero(~held & (y == 1)), np.flatnonzero(~held & (y == 0))
+    is_pos, is_neg, windows = ~held & (y == 1), ~held & (y == 0), np.bincount(owner)
     pos_windows, neg_windows = np.flatnonzero(np.isin(owner, fit_pos)), np.flatnonzero(np.isin(owner, fit_neg))
     for epoch in range(epochs):
         value, per_word = scores()
         if epoch < 2:
             pos = rng.permutation(pos_windows)[:8 * len(fit_pos)]
-            neg = rng.permutation(neg_windows)[:len(pos)]
+            neg = rng.permutation(neg_windows)[:2 * len(pos)]
         else:
-            worst = np.lexsort((value, owner))                  # the last of each owner is its worst window
-            last = np.r_[owner[worst][1:] != owner[worst][:-1], True]
-            top = worst[last]
-            pos = np.repeat(top[fit_pos], 2)
-            hard = rng.permutation(top[fit_neg])[:2 * len(pos)]
-            neg = np.r_[hard, rng.permutation(neg_windows)[:2 * len(pos)]]
+            order = np.lexsort((-value, owner))                 # each text's windows, worst first
+            rank = np.arange(len(order)) - first[owner[order]]
+            per_text = np.minimum(np.ceil(WORST_SHARE * windows), WORST_MOST)
+            worst = order[rank < per_text[owner[order]]]
+            pos = worst[is_pos[owner[worst]]]
+            top = order[rank == 0]
+            neg = np.r_[rng.permutation(top[is_neg[owner[top]]])[:len(pos) // 2], rng.permutation(neg_windows)[:4 * len(pos)]]
         pick = np.r_[pos, neg]
         label = np.r_[np.ones(len(pos), np.int64), np.zeros(len(neg), np.int64)]
         order = rng.permutation(len(pick))
@@ -120,53 +132,54 @@ def train(sample: list[tuple[str, int]], epochs: int = 8, seed: int = 11) -> Mod
             parts, size = [], []
             for w, v in zip(bags, lab):
                 ids = tokens[start[w]:end[w]]
-                if v and epoch >= 3 and rng.random() < 0.5:     # show its worst word misspelt
+                other = np.empty(0, np.int32)
+                if epoch >= 2 and rng.random() < 0.5:           # a few words: those around the worst, or any
+                    size_ = int(rng.integers(1, 7))
+                    k = int(np.argmax(per_word[ids])) if v else int(rng.integers(len(ids)))
+                    at_ = max(0, k - int(rng.integers(size_)))
+                    ids = ids[at_:at_ + size_]
+                if v and epoch >= 3 and rng.random() < 0.4:     # the worst word misspelt
                     k = int(np.argmax(per_word[ids]))
                     other, _ = grams([misspell(vocabulary[ids[k]], rng)])
                     ids = np.delete(ids, k)
-                else:
-                    other = np.empty(0, np.int32)
                 own = gather_ragged(flat, offsets, ids)[0] if len(ids) else other[:0]
                 bag = np.r_[own, other]
                 parts.append(bag)
                 size.append(len(bag))
             model.step(np.concatenate(parts), np.array(size), lab, 0.15)
     value, _ = scores()
-    best = np.maximum.reduceat(value, first)
+    bias = float(model.b[1] - model.b[0])
+    best = share_scores(sigmoid(value + bias), owner, len(y))
     slope, offset = fit_platt(best[held] if held.any() else best, y[held] if held.any() else y)
     C = model.contributions()
-    return Model((C[:, 1:2] - C[:, 0:1]).astype(np.float32), float(model.b[1] - model.b[0]), slope, offset, grams)
+    return Model((C[:, 1:2] - C[:, 0:1]).astype(np.float32), bias, slope, offset, grams)
 
 
 def bag_scores(model: Model, table: WordScores, texts: list[str]) -> np.ndarray:
-    """The worst window's raw score of each text; 0 for a text without words."""
-    lists = [words(t) for t in texts]
-    sums, counts = table(lists)
-    start, end, owner = window_bounds(np.array([len(x) for x in lists], np.int64))
+    """Each text's share score; long texts pass in pieces, which bounds memory.  A
+    text without words has one window of raw score 0."""
+    parts: list[list[str]] = []
+    owner: list[int] = []
+    for i, t in enumerate(texts):
+        for p in pieces(t):
+            parts.append(words(p))
+            owner.append(i)
+    sums, counts = table(parts)
+    start, end, own = window_bounds(np.array([len(x) for x in parts], np.int64))
     value = window_scores(sums[:, 0], counts, start, end)
-    return np.maximum.reduceat(value, np.searchsorted(owner, np.arange(len(texts))))
+    return share_scores(sigmoid(value + model.bias), np.array(owner, np.int64)[own], len(texts))
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     """(doc_id, score, predicted) of every text.  Null counts as empty; a text
-    without words has the neutral raw score 0 before calibration."""
+    without words has one empty window."""
     shared = docs.sparkSession.sparkContext.broadcast(model)    # fixed size: one number per hash bucket
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         table = WordScores(m.grams, m.contributions)
         for b in batches:
-            value = np.empty(b.num_rows)
-            small, at = [], []
-            for i, t in enumerate(b.column(1).to_pylist()):
-                t = t or ""
-                if len(t) > 1 << 20:                            # a long text piece by piece
-                    value[i] = max(bag_scores(m, table, [p])[0] for p in pieces(t))
-                else:
-                    small.append(t)
-                    at.append(i)
-            if small:
-                value[at] = bag_scores(m, table, small)
+            value = bag_scores(m, table, [t or "" for t in b.column(1).to_pylist()])
             p = sigmoid(m.slope * value + m.offset)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(p, pa.float64()), pa.array((p >= threshold).astype(np.int32))],
