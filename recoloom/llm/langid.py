@@ -72,7 +72,7 @@ def train(sample: list[tuple[str, str]], epochs: int = 6, lr: float = 0.5, targe
             y.append(code[v])
     if not bags:
         return Model([], np.zeros((1 << BITS, 1), np.float32), np.zeros(1), 1.0, 0.0, grams)
-    flat, offsets = grams(list(number))
+    flat, offsets = grams.all(list(number))
     label = np.array(y)
     held = (np.arange(len(bags)) // 2) % 5 == 4
     model = SubwordSoftmax(BITS, DIM, max(2, len(langs)), seed)

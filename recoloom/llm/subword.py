@@ -46,6 +46,12 @@ class Grams:
         order = np.argsort(who_, kind="stable")
         return bucket_[order], np.r_[0, np.cumsum(np.bincount(who_, minlength=len(raw)))]
 
+    def all(self, words: list[str], part: int = 8192) -> tuple[np.ndarray, np.ndarray]:
+        """The same for many words, a part at a time, which bounds the working arrays."""
+        got = [self(words[k:k + part]) for k in range(0, len(words), part)]
+        sizes = np.concatenate([np.diff(o) for _, o in got])
+        return np.concatenate([f for f, _ in got]), np.r_[0, np.cumsum(sizes)]
+
 
 def gather_ragged(flat: np.ndarray, offsets: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The concatenated entries of ``rows`` and the length of each."""

@@ -25,7 +25,7 @@ from .subword import Grams, SubwordSoftmax, WordScores, fit_platt, gather_ragged
 from .wordsplit import pieces
 
 WINDOW, STRIDE = 16, 8
-SAMPLE_ROWS = 8000                      # labelled texts that the classifier is fitted on
+SAMPLE_ROWS = 6000                      # labelled texts that the classifier is fitted on
 WORST_SHARE, WORST_MOST = 0.25, 12      # windows of a toxic text that are taken as toxic
 PRIOR_WINDOWS, PRIOR_SHARE = 2.0, 0.02  # smooths the share of toxic windows of short texts
 BITS, DIM, LOW, HIGH = 17, 16, 3, 7      # n-grams are over UTF-8 bytes
@@ -82,30 +82,37 @@ def misspell(word: str, rng: np.random.Generator) -> str:
 def train(sample: list[tuple[str, int]], epochs: int = 8, seed: int = 11) -> Model:
     """Fit on (text, 0/1) pairs.  Without both classes every text scores the base rate."""
     grams = Grams(BITS, LOW, HIGH)
-    lists = [words(t) for t, _ in sample]
-    y = np.array([int(v) for _, v in sample], np.int64)
-    keep = [i for i, ws in enumerate(lists) if ws]
-    lists, y = [lists[i] for i in keep], y[keep] if len(keep) else y[:0]
+    number: dict[str, int] = {}
+    doc, labels = [], []
+    for text, v in sample:                                      # word numbers at once: no lists of words are held
+        ids = np.fromiter((number.setdefault(w, len(number)) for w in words(text)), np.int32)
+        if len(ids):
+            doc.append(ids)
+            labels.append(int(v))
+    y = np.array(labels, np.int64)
     if len(y) == 0 or y.min() == y.max():
         base = float(y.mean()) if len(y) else 0.0
         return Model(np.zeros((1 << BITS, 1), np.float32), 0.0, 0.0, float(np.log((base + 1e-3) / (1 - base + 1e-3))), grams)
-    number: dict[str, int] = {}
-    doc = [np.array([number.setdefault(w, len(number)) for w in ws]) for ws in lists]
     vocabulary = list(number)
-    flat, offsets = grams(vocabulary)
+    del number
+    flat, offsets = grams.all(vocabulary)
     rng = np.random.default_rng(seed)
     held = rng.random(len(y)) < 0.25                            # calibration slice
     if y[held].sum() == 0 or y[~held].sum() == 0:
         held[:] = False
-    tokens, sizes = np.concatenate(doc), np.array([len(d) for d in doc])
+    tokens, sizes = np.concatenate(doc), np.array([len(d) for d in doc], np.int64)
+    del doc
     start, end, owner = window_bounds(sizes)
     model = SubwordSoftmax(BITS, DIM, 2, seed, adaptive=True)
     first = np.searchsorted(owner, np.arange(len(y)))
-    counts = np.diff(offsets)
+    counts = np.diff(offsets).astype(np.float32)
 
     def scores() -> tuple[np.ndarray, np.ndarray]:
         C = model.contributions()
-        s = np.add.reduceat((C[:, 1] - C[:, 0])[flat], offsets[:-1])
+        C = C[:, 1] - C[:, 0]
+        s = np.concatenate([np.add.reduceat(C[flat[offsets[k]:offsets[min(k + 8192, len(counts))]]],
+                                            offsets[k:min(k + 8192, len(counts))] - offsets[k])
+                            for k in range(0, len(counts), 8192)])
         return window_scores(s[tokens], counts[tokens], start, end), s / counts
 
     fit_pos, fit_neg = np.flatnonzero(~held & (y == 1)), np.flatnonzero(~held & (y == 0))
