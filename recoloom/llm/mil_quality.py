@@ -24,7 +24,7 @@ from .subword import fit_platt, sigmoid
 PASSAGE_WORDS = 64
 SAMPLE_ROWS = 5000                      # labelled texts that the classifier is fitted on
 HIDDEN, ATTENTION = 32, 16
-TEXT_BYTES = 4 << 20                    # a longer text is encoded in stretches of about this size
+TEXT_BYTES = 1 << 19                    # texts are encoded in groups or stretches of about this size
 
 CLASSES = 12
 SHAPES = 10
@@ -164,7 +164,7 @@ def train(sample: list[tuple[str, int]], epochs: int = 30, seed: int = 3) -> Mod
     if not len(y) or y.min() == y.max():
         base = float(y.mean()) if len(y) else 0.5
         return Model(P, np.zeros(FEATURES), np.ones(FEATURES), 0.0, float(np.log((base + 1e-3) / (1 - base + 1e-3))))
-    parts = [encode([t.encode("utf-8", "surrogatepass")])[0] for t, _ in sample]
+    parts = [np.concatenate([encode([x])[0] for x in stretches(t.encode("utf-8", "surrogatepass"))]) for t, _ in sample]
     sizes = np.array([len(p) for p in parts])
     X = np.concatenate(parts).astype(np.float64)
     ends = np.cumsum(sizes)
