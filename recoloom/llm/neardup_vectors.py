@@ -123,6 +123,7 @@ def tile_result(space: Subspaces, block: int, cosine: float, same: bool, X: np.n
         return links, union.root
     Y = space.rotate(X)
     norm = np.sqrt((X * X).sum(1))
+    U = (X / norm[:, None]).astype(np.float32)
     cut = slice(block * space.block, (block + 1) * space.block)
     P = Y[:, cut]
     half, one = -(P * P).sum(1, keepdims=True) / 2, np.ones((n, 1))
@@ -142,6 +143,8 @@ def tile_result(space: Subspaces, block: int, cosine: float, same: bool, X: np.n
         i, j = i[keep], j[keep]
         for x in range(0, len(i), PAIRS):
             a, b = i[x:x + PAIRS], j[x:x + PAIRS]
+            close = np.einsum("ij,ij->i", U[a], U[b]) >= cosine - SLACK         # spares most pairs the exact work
+            a, b = a[close], b[close]
             part = ((Y[a] - Y[b]) ** 2).reshape(len(a), space.blocks, space.block).sum(2) <= space.share
             first = part[:, block] & ~part[:, :block].any(1)
             a, b = a[first], b[first]
