@@ -1,22 +1,25 @@
 """Point-in-time (as-of) joins and latest-row-per-key (J-6, J-6b, W-1, F-2..F-5, F-9).
 
-As-of join = union of entity and feature rows + ``last(feature, ignorenulls)``
-over a running window, so each side is shuffled once and no row pairs are
-formed.  To stay skew-proof (one key may own a third of the rows) the window
-is partitioned by (key, time bucket) rather than by key alone; the value that
-crosses a bucket boundary is carried in from a tiny per-(key, bucket) table of
-each bucket's last feature row.
+As-of join = union of entity and feature rows, range-partitioned and sorted by
+(key, time): one shuffle, no row pairs.  Range bounds come from the rows
+themselves, so a key that owns a third of the rows, or a burst of them in one
+second, is cut into as many ranges as it needs.  Within a range the last feature
+row is carried forward in Arrow batches; what must cross a range border is one
+feature row per partition.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _SIDE = "__side"
 _TS = "__ts"
 _CR = "__created"
-_B = "__bucket"
 _FEAT = "__feat"
 _ENT = "__ent"
 
@@ -34,80 +37,134 @@ def _interval_micros(spec: str) -> int:
     return int(float(n) * mult)
 
 
+def _sides(entity: DataFrame, features: DataFrame, keys: list[str], entity_ts: str, feature_ts: str,
+           feature_cols: list[str], created_col: str | None) -> DataFrame:
+    """Entity and feature rows in one frame: keys, time, side (0: feature), created, feature, entity."""
+    fields = list(dict.fromkeys([*feature_cols, feature_ts]))
+    created = F.col(created_col).cast("bigint") if created_col else F.lit(0).cast("bigint")
+    null_feat = F.lit(None).cast(features.select(F.struct(*fields)).schema[0].dataType)
+    null_ent = F.lit(None).cast(entity.select(F.struct(*entity.columns)).schema[0].dataType)
+    e = entity.select(*keys, F.col(entity_ts).alias(_TS), F.lit(1).alias(_SIDE), F.lit(None).cast("bigint").alias(_CR),
+                      null_feat.alias(_FEAT), F.struct(*entity.columns).alias(_ENT))
+    f = features.select(*keys, F.col(feature_ts).alias(_TS), F.lit(0).alias(_SIDE), created.alias(_CR),
+                        F.struct(*fields).alias(_FEAT), null_ent.alias(_ENT))
+    return e.unionByName(f)
+
+
+def _output(rows: DataFrame, entity: DataFrame, feature_cols: list[str], feature_ts: str, ttl: str | None, prefix: str) -> DataFrame:
+    """Entity columns and the matched feature ``__m``, unless it is older than ``ttl``."""
+    m = F.col("__m")
+    if ttl:
+        m = F.when(_micros(m[feature_ts]) >= _micros(F.col(_TS)) - F.lit(_interval_micros(ttl)), m)
+    fields = list(dict.fromkeys([*feature_cols, feature_ts]))
+    return rows.select(*[F.col(f"{_ENT}.{c}").alias(c) for c in entity.columns], *[m[c].alias(prefix + c) for c in fields])
+
+
+def _same(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """Where two arrays are equal, nulls being equal to each other."""
+    equal = pc.fill_null(pc.equal(a, b), False)
+    return np.asarray(pc.or_(equal, pc.and_(pc.is_null(a), pc.is_null(b))).to_numpy(zero_copy_only=False), bool)
+
+
+def _fill_forward(keys: list[str]):
+    """Kernel over the sorted rows of one partition.  Emits the entity rows with
+    the last feature of their key, marked open where the partition holds none yet
+    for its first key, and finally the partition's last key with its last feature
+    (side 2)."""
+    n_keys, names = len(keys), [*keys, _TS, _SIDE, "__m", _ENT, "__open"]
+
+    def run(batches):
+        key, feat = None, None                                  # the last row's key; that key's last feature, if any
+        types, first_key = None, False                          # is the last row's key the partition's first one?
+        for b in batches:
+            n = b.num_rows
+            if not n:
+                continue
+            cols = [b.column(i) for i in range(n_keys)]
+            side, pool, ents = b.column(n_keys + 1), b.column(n_keys + 3), b.column(n_keys + 4)
+            fresh = np.ones(n, bool)                            # a key starts here
+            fresh[0] = types is None or key != tuple(c[0].as_py() for c in cols)
+            if n > 1:
+                same = np.ones(n - 1, bool)
+                for c in cols:
+                    same &= _same(c.slice(0, n - 1), c.slice(1))
+                fresh[1:] = ~same
+            at, number = np.arange(n), np.cumsum(fresh)         # number 0: the key goes on from the batch before
+            begin = np.maximum.accumulate(np.where(fresh, at, 0))
+            entity = np.asarray(side) == 1
+            last = np.maximum.accumulate(np.where(entity, -1, at))
+            here = last >= begin
+            found = here | ((number == 0) & (feat is not None))
+            in_first = number == 1 if types is None else (number == 0) & first_key
+            held = feat if feat is not None else pa.nulls(1, pool.type)
+            got = pa.concat_arrays([held, pool]).take(pa.array(np.where(here, last + 1, 0), mask=~found))
+            out = [*cols, b.column(n_keys), side, got, ents, pa.array(in_first & ~found)]
+            yield pa.RecordBatch.from_arrays(out, names=names).filter(pa.array(entity))
+            if here[-1]:
+                feat = pool.slice(int(last[-1]), 1)
+            elif number[-1] > 0:
+                feat = None
+            key, first_key = tuple(c[n - 1].as_py() for c in cols), bool(in_first[-1])
+            types = [a.type for a in out]
+        if types is not None:
+            tail = [*[pa.array([v], t) for v, t in zip(key, types)], pa.nulls(1, types[n_keys]), pa.array([2], types[n_keys + 1]),
+                    feat if feat is not None else pa.nulls(1, types[n_keys + 2]), pa.nulls(1, types[n_keys + 3]), pa.array([first_key])]
+            yield pa.RecordBatch.from_arrays(tail, names=names)
+    return run
+
+
 def point_in_time_join(entity: DataFrame, features: DataFrame, keys: list[str] | str,
                        entity_ts: str, feature_ts: str, feature_cols: list[str],
-                       created_col: str | None = None, ttl: str | None = None,
-                       bucket: str | None = "7 days", prefix: str = "",
-                       hot_rows: int | None = 1 << 20) -> DataFrame:
+                       created_col: str | None = None, ttl: str | None = None, prefix: str = "",
+                       partitions: int | None = None) -> DataFrame:
     """For each entity row, the latest feature row with the same keys and
     ``feature_ts <= entity_ts`` (ties on ``feature_ts`` → greatest ``created_col``);
     ``feature_ts >= entity_ts - ttl`` when ``ttl`` is set.  No match → nulls,
     entity row kept.  Output = entity columns + ``prefix + feature_cols`` +
     ``prefix + feature_ts``.
 
-    Window partitions are (key, time bucket) of width ``bucket``; a key with
-    more than ``hot_rows`` rows gets its own narrower width so that each of its
-    buckets holds about ``hot_rows`` rows (at most total/hot_rows keys can be
-    hot, so that table is bounded; AQE broadcasts it from its run-time size).
+    The filled rows are written once (reliable checkpoint): the rows that still
+    lack a feature get the one carried over from earlier ranges, a table of one row
+    per partition at most.
     """
+    from ..session import ensure_checkpoint_dir
+    spark = entity.sparkSession
+    ensure_checkpoint_dir(spark)
     keys = [keys] if isinstance(keys, str) else list(keys)
-    ent_cols = entity.columns
-    feat_fields = list(feature_cols) + [feature_ts]
-    created = F.col(created_col).cast("bigint") if created_col else F.lit(0).cast("bigint")
-    null_feat = F.lit(None).cast(features.select(F.struct(*feat_fields)).schema[0].dataType)
-    null_ent = F.lit(None).cast(entity.select(F.struct(*ent_cols)).schema[0].dataType)
-    e = entity.select(*[F.col(k).alias(k) for k in keys], F.col(entity_ts).alias(_TS),
-                      F.lit(1).alias(_SIDE), F.lit(None).cast("bigint").alias(_CR),
-                      null_feat.alias(_FEAT), F.struct(*ent_cols).alias(_ENT))
-    f = features.select(*[F.col(k).alias(k) for k in keys], F.col(feature_ts).alias(_TS),
-                        F.lit(0).alias(_SIDE), created.alias(_CR),
-                        F.struct(*feat_fields).alias(_FEAT), null_ent.alias(_ENT))
-    u = e.unionByName(f)
-    if bucket:
-        width = _interval_micros(bucket)
-        us = _micros(F.col(_TS))
-        w_col = F.lit(width)
-        if hot_rows:
-            # per-key totals with map-side partial aggregation; only keys over
-            # hot_rows survive (≤ total/hot_rows of them), so AQE sees a tiny
-            # table at run time and broadcasts it — no driver round trip
-            hot = (u.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(us).alias("__lo"),
-                                        F.max(us).alias("__hi"))
-                   .where(F.col("__n") > hot_rows)
-                   .select(*keys, F.least(F.lit(width), F.greatest(F.lit(1), F.ceil(
-                       (F.col("__hi") - F.col("__lo") + 1) * F.lit(hot_rows) / F.col("__n")))).cast("bigint")
-                       .alias("__w")))
-            u = u.join(hot, keys, "left")
-            w_col = F.coalesce(F.col("__w"), F.lit(width))
-        u = u.withColumn(_B, F.floor(us / w_col))
-        if "__w" in u.columns:
-            u = u.drop("__w")
-        part = keys + [_B]
-    else:
-        part = keys
-    w = (Window.partitionBy(*part).orderBy(_TS, _SIDE, _CR)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = (u.withColumn("__m", F.last(_FEAT, ignorenulls=True).over(w))
-             .where(F.col(_SIDE) == 1))
-    if bucket:
-        # last feature row of every (key, bucket) that has features
-        last_in_bucket = (u.where(F.col(_SIDE) == 0).groupBy(*part)
-                          .agg(F.max_by(_FEAT, F.struct(_TS, _CR)).alias(_FEAT))
-                          .withColumn(_SIDE, F.lit(1)))
-        probe = local.select(*part).distinct().withColumn(_FEAT, null_feat).withColumn(_SIDE, F.lit(0))
-        wb = (Window.partitionBy(*keys).orderBy(_B, _SIDE)
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        carry = (probe.unionByName(last_in_bucket)
-                 .withColumn("__c", F.last(_FEAT, ignorenulls=True).over(wb))
-                 .where(F.col(_SIDE) == 0).select(*part, "__c"))
-        local = (local.join(carry, part, "left")
-                 .withColumn("__m", F.coalesce(F.col("__m"), F.col("__c"))))
-    m = F.col("__m")
-    if ttl:
-        fresh = _micros(m[feature_ts]) >= _micros(F.col(_TS)) - F.lit(_interval_micros(ttl))
-        m = F.when(fresh, m)
-    return local.select(*[F.col(f"{_ENT}.{c}").alias(c) for c in ent_cols],
-                        *[m[c].alias(prefix + c) for c in feat_fields])
+    u = _sides(entity, features, keys, entity_ts, feature_ts, feature_cols, created_col)
+    order = [*keys, _TS, _SIDE, _CR]
+    dealt = u.repartitionByRange(partitions, *order) if partitions else u.repartitionByRange(*order)
+    kind = u.schema
+    schema = T.StructType([*[kind[k] for k in keys], kind[_TS], T.StructField(_SIDE, T.IntegerType()),
+                           T.StructField("__m", kind[_FEAT].dataType), T.StructField(_ENT, kind[_ENT].dataType),
+                           T.StructField("__open", T.BooleanType())])
+    rows = (dealt.sortWithinPartitions(*order).mapInArrow(_fill_forward(keys), schema)
+            .withColumn("__pid", F.spark_partition_id()).checkpoint(eager=True))
+    tails = rows.where(F.col(_SIDE) == 2).select("__pid", "__open", F.struct(*keys).alias("k"), "__m").orderBy("__pid").collect()
+    carry, before = [], None                                    # what each partition's first key brings along
+    for r in tails:
+        if before is not None:
+            carry.append((r["__pid"], before["k"], before["__m"]))
+        if r["__m"] is None and r["__open"] and before is not None and before["k"] == r["k"]:
+            r = {"k": r["k"], "__m": before["__m"]}             # one key without a feature fills this whole partition
+        before = r
+    over = spark.createDataFrame(carry, T.StructType([
+        T.StructField("__pid", T.IntegerType()), T.StructField("__k", T.StructType([kind[k] for k in keys])),
+        T.StructField("__c", kind[_FEAT].dataType)]))
+    fits = F.col("__open") & F.struct(*keys).eqNullSafe(F.col("__k"))
+    out = (rows.where(F.col(_SIDE) == 1).join(F.broadcast(over), "__pid", "left")
+           .withColumn("__m", F.when(fits & F.col("__m").isNull(), F.col("__c")).otherwise(F.col("__m"))))
+    return _output(out, entity, feature_cols, feature_ts, ttl, prefix)
+
+
+def windowed_join(entity: DataFrame, features: DataFrame, keys: list[str] | str, entity_ts: str, feature_ts: str,
+                  feature_cols: list[str], created_col: str | None = None, ttl: str | None = None, prefix: str = "") -> DataFrame:
+    """The same join as one running window per key: the plain form, for keys known to be small."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    u = _sides(entity, features, keys, entity_ts, feature_ts, feature_cols, created_col)
+    w = Window.partitionBy(*keys).orderBy(_TS, _SIDE, _CR).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = u.withColumn("__m", F.last(_FEAT, ignorenulls=True).over(w)).where(F.col(_SIDE) == 1)
+    return _output(rows, entity, feature_cols, feature_ts, ttl, prefix)
 
 
 def latest_per_key(df: DataFrame, keys: list[str] | str, ts: str, cols: list[str],
@@ -145,7 +202,5 @@ def materialize_incremental(spark, source: DataFrame, keys: list[str] | str, ts:
     if IO.path_exists(spark, state_path):
         src = src.where(F.col(ts) > F.lit(spark.read.parquet(state_path).first()["end_ts"]))
     extra = [created_col] if created_col else []
-    order = F.struct(F.col(ts), *[F.col(c) for c in extra]) if extra else F.col(ts)
-    rows = src.select(*keys, *[c for c in cols if c != ts], ts, *extra, order.alias("__ord"))
-    IO.upsert(spark, online_path, rows, keys, "__ord", bucket_col=keys[0])
+    IO.upsert(spark, online_path, src.select(*keys, *[c for c in cols if c != ts], ts, *extra), keys, [ts, *extra])
     spark.range(1).select(F.lit(end).alias("end_ts")).write.mode("overwrite").parquet(state_path)

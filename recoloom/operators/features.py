@@ -36,13 +36,10 @@ def preferred_media(inter: DataFrame, posts: DataFrame) -> DataFrame:
                                     F.max("n").alias("n_interactions"))
 
 
-def category_pivot(inter: DataFrame, posts: DataFrame, categories: list[str]) -> DataFrame:
-    """X-3: likes per user × category as columns ``likes_in_category_<c>``
-    (pivot over a known, size-checked category list)."""
+def category_counts(inter: DataFrame, posts: DataFrame) -> DataFrame:
+    """X-3: likes per user × category, one row per pair that occurs (no limit on categories)."""
     j = inter.where(F.col("interaction_type") == "like").join(posts.select("post_id", "category_id"), "post_id")
-    p = j.groupBy("user_id").pivot("category_id", categories).agg(F.count(F.lit(1)))
-    return p.select("user_id", *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(f"likes_in_category_{c}")
-                                 for c in categories])
+    return j.groupBy("user_id", "category_id").agg(F.count(F.lit(1)).alias("likes"))
 
 
 def category_affinity(inter: DataFrame, posts: DataFrame, positive=POSITIVE_TYPES) -> DataFrame:

@@ -12,6 +12,8 @@ as a partial + final WindowGroupLimit) merges the per-tile winners.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -80,9 +82,14 @@ def _topk_rows(s: np.ndarray, k: int) -> np.ndarray:
 
 def knn(queries: DataFrame, items: DataFrame, k: int, metric: str = "l2",
         query_groups: DataFrame | None = None, item_block: int = 16384,
-        query_block: int = 8192, sub_block: int = 512) -> DataFrame:
+        query_block: int = 8192, sub_block: int = 512, decimals: int | None = None,
+        once_per_query: bool = False) -> DataFrame:
     """Top-k items per query.
 
+    Null vectors match nothing.  ``once_per_query``: items are filed under several
+    groups and count once per query.  ``decimals`` rounds scores before they are compared,
+    so that equal vectors tie whatever tile they are scored in.
+
     ``queries``: (qid, qvec); ``items``: (item_id, ivec[, g]); ``query_groups``:
     optional (qid, g) pre-filter rows (a query with no rows sees nothing; use
     g='*' alone for "no filter" — '*' already covers every group, so it is
@@ -96,19 +103,15 @@ def knn(queries: DataFrame, items: DataFrame, k: int, metric: str = "l2",
     ``sub_block × item_block`` scores however large the blocks are (large
     blocks = fewer replicas of each vector in the shuffle).
     """
-    # soft-assigned items (IVF): an item lives in several groups with a "home"
-    # group; a query reaches it only through the first of its groups the query
-    # probes ("pmask" = bit set of probed groups), so no pair is produced twice
-    soft = "home" in items.columns and "pmask" in queries.columns
-    qt, itt = _tile(queries.select("qid", "qvec", *(["pmask"] if soft else [])),
-                    items if soft else items.drop("home"), query_groups, item_block, query_block)
+    qt, itt = _tile(queries.select("qid", "qvec").where("qvec is not null"), items.where("ivec is not null"),
+                    query_groups, item_block, query_block)
     qtype = queries.schema["qid"].dataType
     itype = items.schema["item_id"].dataType
     schema = T.StructType([T.StructField("qid", qtype), T.StructField("item_id", itype),
                            T.StructField("score", T.DoubleType())])
     sign = 1.0 if metric == "l2" else -1.0
 
-    def kernel(key, qdf: pd.DataFrame, idf: pd.DataFrame) -> pd.DataFrame:
+    def kernel(qdf: pd.DataFrame, idf: pd.DataFrame) -> pd.DataFrame:
         if len(qdf) == 0 or len(idf) == 0:
             return pd.DataFrame({"qid": [], "item_id": [], "score": []})
         idf = idf.sort_values("item_id", kind="stable")
@@ -116,10 +119,6 @@ def knn(queries: DataFrame, items: DataFrame, k: int, metric: str = "l2",
         x2 = (X * X).sum(1)
         kk = min(k, X.shape[0])
         qids, iids = qdf["qid"].values, idf["item_id"].values
-        if soft:
-            g = int(key[0])
-            home = idf["home"].to_numpy(dtype=np.int64)
-            pmask = qdf["pmask"].to_numpy(dtype=np.int64)
         out_q, out_i, out_s = [], [], []
         for a in range(0, Q.shape[0], sub_block):
             q = Q[a:a + sub_block]
@@ -127,15 +126,11 @@ def knn(queries: DataFrame, items: DataFrame, k: int, metric: str = "l2",
                 s = np.maximum((q * q).sum(1)[:, None] + x2[None, :] - 2.0 * (q @ X.T), 0.0)
             else:
                 s = q @ X.T
-            key_s = sign * s
-            if soft:
-                reach = (home[None, :] == g) | (((pmask[a:a + sub_block, None] >> home[None, :]) & 1) == 0)
-                key_s = np.where(reach, key_s, np.inf)
-            cols = _topk_rows(key_s, kk)
+            if decimals is not None:
+                s = np.round(s, decimals)
+            cols = _topk_rows(sign * s, kk)
             rows = np.repeat(np.arange(q.shape[0]), kk)
             c = cols.ravel()
-            ok = np.isfinite(key_s[rows, c])
-            rows, c = rows[ok], c[ok]
             out_q.append(qids[a:a + sub_block][rows])
             out_i.append(iids[c])
             out_s.append(s[rows, c])
@@ -144,6 +139,8 @@ def knn(queries: DataFrame, items: DataFrame, k: int, metric: str = "l2",
 
     part = (qt.groupBy("g", "blk", "qc").cogroup(itt.groupBy("g", "blk", "qc"))
             .applyInPandas(kernel, schema))
+    if once_per_query:
+        part = part.groupBy("qid", "item_id").agg(F.min("score").alias("score"))
     order_col = F.col("score") if metric == "l2" else F.col("score").desc()
     w = Window.partitionBy("qid").orderBy(order_col, F.col("item_id"))
     return (part.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
@@ -174,36 +171,31 @@ def count_better(queries: DataFrame, items: DataFrame, item_block: int = 16384,
     return part.groupBy("qid").agg(F.sum("n_better").alias("n_better"))
 
 
-def ivf_knn(queries: DataFrame, items: DataFrame, k: int, n_cells: int = 16, nprobe: int = 4,
-            seed: int = 42, max_iter: int = 20, assign: int = 2, **blocks) -> DataFrame:
-    """M-2 approximate retrieval, IVF style: k-means cells over the items
-    (MLlib, distributed); each item is filed under its ``assign`` nearest cells
-    (soft assignment lifts recall near cell borders), each query probes its
-    ``nprobe`` nearest cells, and the exact tile kernel runs only inside those
-    cells, reaching every item at most once.  Centroids are ``n_cells × dim``
-    numbers — a bounded table."""
+def ivf_knn(queries: DataFrame, items: DataFrame, k: int, n_cells: int | None = None, probe_share: float = 0.25,
+            seed: int = 42, max_iter: int = 10, assign: int = 1, **blocks) -> DataFrame:
+    """M-2 approximate retrieval, IVF style: k-means cells over the items (MLlib,
+    distributed), about the square root of their number unless given; each item is
+    filed under its ``assign`` nearest cells, each query probes the nearest
+    ``probe_share`` of the cells, and the exact tile kernel runs only inside those.
+    Centroids are a table of ``n_cells × dim`` numbers."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
-    if n_cells > 62:
-        raise ValueError("n_cells must fit a 64-bit probe mask")
+
+    from ..session import ensure_checkpoint_dir
     spark = items.sparkSession
-    iv = items.select("item_id", "ivec", array_to_vector("ivec").alias("__v"))
-    model = KMeans(k=n_cells, seed=seed, maxIter=max_iter, featuresCol="__v",
-                   predictionCol="cell").fit(iv)
+    ensure_checkpoint_dir(spark)
+    items = items.select("item_id", "ivec").where("ivec is not null").checkpoint()      # read by every k-means pass
+    if n_cells is None:
+        n_cells = max(1, round(items.count() ** 0.5))
+    iv = items.select(array_to_vector("ivec").alias("__v"))
+    model = KMeans(k=n_cells, seed=seed, maxIter=max_iter, featuresCol="__v", predictionCol="cell").fit(iv)
     centers = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     cdf = spark.createDataFrame(centers, "item_id int, ivec array<double>")
+    nprobe = max(1, math.ceil(probe_share * len(centers)))
     # probe lists and cell assignments are small (nprobe per query, `assign` per
-    # item) and each is used twice below: write them once (reliable checkpoint)
-    # instead of letting the plan recompute the centroid searches
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
-    probes = knn(queries, cdf, nprobe, "l2").select("qid", F.col("item_id").alias("cell")).checkpoint()
-    pmask = probes.groupBy("qid").agg(F.sum(F.expr("shiftleft(CAST(1 AS BIGINT), cell)")).alias("pmask"))
+    # item): written once instead of repeating the centroid searches in the plan
+    probes = knn(queries, cdf, nprobe, "l2").select("qid", F.col("item_id").cast("string").alias("g")).checkpoint()
     homes = (knn(items.select(F.col("item_id").alias("qid"), F.col("ivec").alias("qvec")), cdf, assign, "l2")
-             .select(F.col("qid").alias("item_id"), F.col("item_id").alias("cell"), "rank").checkpoint())
-    first = homes.where(F.col("rank") == 1).select("item_id", F.col("cell").alias("home"))
-    cells = (items.select("item_id", "ivec").join(homes, "item_id").join(first, "item_id")
-             .select("item_id", "ivec", F.col("cell").cast("string").alias("g"), "home"))
-    q = queries.select("qid", "qvec").join(pmask, "qid")
-    return knn(q, cells, k, "l2", query_groups=probes.select("qid", F.col("cell").cast("string").alias("g")),
-               **blocks)
+             .select(F.col("qid").alias("item_id"), F.col("item_id").cast("string").alias("g")).checkpoint())
+    return knn(queries, items.join(homes, "item_id").select("item_id", "ivec", "g"), k, "l2", query_groups=probes,
+               once_per_query=assign > 1, **blocks)

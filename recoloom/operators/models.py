@@ -1,10 +1,9 @@
-"""Model-facing operators on MLlib (E-8, E-10..E-12, M-5..M-9, SF-13, X-33, SNK-6).
+"""Model-facing operators on MLlib (E-10..E-12, M-5..M-9, SF-13, X-33, SNK-6).
 
 The reference trains gradient-boosted trees and a two-tower network on single
 machines; here the same roles are played by distributed MLlib estimators:
 ``GBTClassifier`` for ranking, implicit-feedback ``ALS`` for user/post
-vectors, a ``Tokenizer → HashingTF → IDF → Normalizer`` text encoder, and
-``predict_batch_udf`` for batched dense-layer inference with broadcast
+vectors, and ``predict_batch_udf`` for batched dense-layer inference with broadcast
 weights.
 """
 
@@ -12,16 +11,16 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import (HashingTF, IDF, Normalizer, OneHotEncoder, RegexTokenizer,
-                                StringIndexer, VectorAssembler)
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import predict_batch_udf, vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..defaults import GBT_PARAMS, TEXT_EMBEDDING_DIM as TEXT_DIM, TOWER_BATCH_SIZE, TOWER_DIM
+from ..defaults import GBT_PARAMS, TOWER_BATCH_SIZE, TOWER_DIM
+from .sampling import dense_index
 
 
 def feature_pipeline(categorical: list[str], numeric: list[str]) -> Pipeline:
@@ -61,6 +60,15 @@ def train_logistic(train: DataFrame, label: str = "label"):
     return LogisticRegression(labelCol=label, featuresCol="features", maxIter=50).fit(train)
 
 
+def save_model(model, path: str) -> None:
+    """SNK-6: a fitted model under ``path``, replacing what was there."""
+    model.write().overwrite().save(path)
+
+
+def load_ranker(path: str) -> GBTClassificationModel:
+    return GBTClassificationModel.load(path)
+
+
 def score(model, df: DataFrame, out: str = "score") -> DataFrame:
     """M-9: probability of class 1 next to the input columns."""
     return model.transform(df).withColumn(out, F.get(vector_to_array("probability"), 1)).drop(
@@ -94,35 +102,25 @@ def als_vectors(inter: DataFrame, rank: int = TOWER_DIM, seed: int = 42, max_ite
         c = F.when(F.col("interaction_type") == k, F.lit(v))
         conf = c if conf is None else conf.when(F.col("interaction_type") == k, F.lit(v))
     ratings = (inter.select("user_id", "post_id", conf.otherwise(F.lit(0.0)).alias("c"))
-               .where(F.col("c") > 0).groupBy("user_id", "post_id").agg(F.sum("c").alias("rating"))
-               .select(F.col("user_id").cast("int"), F.col("post_id").cast("int"), "rating"))
+               .where(F.col("c") > 0).groupBy("user_id", "post_id").agg(F.sum("c").alias("rating")))
+    uid = dense_index(ratings.select("user_id").distinct(), ["user_id"], "u")      # ALS wants int ids, whatever ours are
+    pid = dense_index(ratings.select("post_id").distinct(), ["post_id"], "p")
+    ratings = ratings.join(uid, "user_id").join(pid, "post_id").select(
+        F.col("u").cast("int").alias("user_id"), F.col("p").cast("int").alias("post_id"), "rating")
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, implicitPrefs=True, alpha=1.0, seed=seed,
               userCol="user_id", itemCol="post_id", ratingCol="rating", coldStartStrategy="drop")
     model = als.fit(ratings)
-    users = model.userFactors.select(F.col("id").cast("bigint").alias("user_id"), F.col("features").alias("vector"))
-    posts = model.itemFactors.select(F.col("id").cast("bigint").alias("post_id"), F.col("features").alias("vector"))
+    users = model.userFactors.join(uid, F.col("id") == F.col("u")).select("user_id", F.col("features").alias("vector"))
+    posts = model.itemFactors.join(pid, F.col("id") == F.col("p")).select("post_id", F.col("features").alias("vector"))
     return model, users, posts
 
 
-def text_vectors(df: DataFrame, text: str, dim: int = TEXT_DIM, out: str = "text_vector") -> DataFrame:
-    """E-8 offline encoder: whole texts → tokens → hashed TF (dim) → IDF → L2 normalised.
-    Null text is encoded as ''."""
-    src = df.withColumn("__t", F.coalesce(F.col(text), F.lit("")))
-    pipe = Pipeline(stages=[
-        RegexTokenizer(inputCol="__t", outputCol="__tok", pattern="\\W+", toLowercase=True),
-        HashingTF(inputCol="__tok", outputCol="__tf", numFeatures=dim),
-        IDF(inputCol="__tf", outputCol="__tfidf"),
-        Normalizer(inputCol="__tfidf", outputCol=out, p=2.0)])
-    return pipe.fit(src).transform(src).drop("__t", "__tok", "__tf", "__tfidf")
-
-
 def dense_tower(df: DataFrame, vec: str, layers: list[tuple[np.ndarray, np.ndarray]],
                 out: str = "tower_vector", batch_size: int = TOWER_BATCH_SIZE) -> DataFrame:
     """SF-13 / M-7: ``relu(W·x + b)`` per layer, applied in Arrow batches of
     ``batch_size`` with the weights shipped once per worker (closure of the
     model loader); the input dimension is checked against the first layer."""
     in_dim = layers[0][0].shape[1]
-    out_dim = layers[-1][0].shape[0]
     weights = [(np.asarray(w, dtype=np.float64), np.asarray(b, dtype=np.float64)) for w, b in layers]
 
     def make_model():
@@ -137,5 +135,4 @@ def dense_tower(df: DataFrame, vec: str, layers: list[tuple[np.ndarray, np.ndarr
 
     udf = predict_batch_udf(make_model, return_type=T.ArrayType(T.DoubleType()),
                             batch_size=batch_size, input_tensor_shapes=[[in_dim]])
-    _ = out_dim
     return df.withColumn(out, udf(F.col(vec).cast("array<double>")))

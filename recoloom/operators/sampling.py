@@ -13,12 +13,16 @@ hot user is spread over many tasks, and the final "first k_u survivors" is a
 prefix count over chunks plus a rank inside each (bounded) chunk.
 
 The chronological split needs only two rank boundaries; they are found by
-distributed selection over timestamp histograms (``key_at_rank``), so the
+distributed selection over timestamp histograms (``keys_at_ranks``), so the
 interaction fact is never globally sorted.
 """
 
 from __future__ import annotations
 
+import math
+from datetime import datetime, timedelta
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,18 +50,13 @@ def _partition_offsets(spark, totals: DataFrame, cols: dict[str, str]) -> tuple[
     return spark.createDataFrame(out, schema), run
 
 
-def broadcast_if_small(df: DataFrame, rows: int, bytes_per_row: int) -> DataFrame:
-    """Broadcast hint behind a size check: ``rows`` is an exact count known on
-    the driver (checkpointed frames carry no statistics, so AQE cannot size
-    them itself); above the session's broadcast threshold the frame is left to
-    a shuffle join."""
-    spark = df.sparkSession
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        limit_b = int(str(limit).lower().rstrip("b"))
-    except ValueError:
-        limit_b = 10 << 20
-    return F.broadcast(df) if 0 <= rows * bytes_per_row <= limit_b else df
+def broadcast_if_small(df: DataFrame, nbytes: int) -> DataFrame:
+    """Broadcast hint behind a size check: ``nbytes`` is measured (checkpointed
+    frames carry no statistics, so AQE cannot size them itself); above the
+    session's broadcast threshold, as Spark itself parses it, the frame is left
+    to a shuffle join."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return F.broadcast(df) if 0 <= nbytes <= limit else df
 
 
 def dense_index_sized(df: DataFrame, order_cols: list[str], name: str = "idx") -> tuple[DataFrame, int]:
@@ -89,49 +88,87 @@ def dense_index(df: DataFrame, order_cols: list[str], name: str = "idx") -> Data
     return dense_index_sized(df, order_cols, name)[0]
 
 
+EPOCH = datetime(1970, 1, 1)
+
+
+def _time(us: int) -> Column:
+    return F.lit(EPOCH + timedelta(microseconds=us)).cast("timestamp_ntz")
+
+
 def _key_before(ts: str, id_col: str, key) -> Column:
-    """(ts, id) < key, lexicographic; ``key`` None = +infinity."""
+    """(ts, id) < key in (ts nulls last, id) order; ``key`` None = +infinity."""
     if key is None:
         return F.lit(True)
     kt, ki = key
+    if kt is None:
+        return F.col(ts).isNotNull() | (F.col(id_col) < F.lit(ki))
     return (F.col(ts) < F.lit(kt)) | ((F.col(ts) == F.lit(kt)) & (F.col(id_col) < F.lit(ki)))
 
 
-def key_at_rank(df: DataFrame, ts: str, id_col: str, k: int, buckets: int = 4096,
-                small: int = 1 << 21):
-    """The (ts, id) key of the row with 0-based rank ``k`` in (ts, id) order —
-    distributed selection, no global sort of the data.
-
-    Each pass histograms the current band of timestamps into ``buckets``
-    equal-width buckets (one aggregation; the band predicate is pushed into the
-    scan), keeps the bucket that holds rank k, and repeats; a band of at most
-    ``small`` rows (or a single timestamp) is ranked exactly with a sort of that
-    band only.  Passes ≤ log_buckets(time range in µs) ≈ 4.
+def _values_at_ranks(df: DataFrame, value: Column, within, ks: list[int], lo: int, hi: int, buckets: int) -> dict[int, tuple[int, int]]:
+    """k -> (value, rows below it) of the rows with 0-based ranks ``ks`` by an
+    integer column: bands of values are cut into ``buckets`` and narrowed, all
+    ranks at once, until each band is one value.  ``within(lo, hi)`` is the
+    predicate of a half-open band, in a form that the scan can push down."""
+    bands = {k: (lo, hi + 1, 0) for k in ks}
+    while open_ := sorted({b for b in bands.values() if b[1] - b[0] > 1}):
+        case, width = None, {}
+        for i, (x, y, _) in enumerate(open_):
+            width[i] = -(-(y - x) // buckets)
+            inside = within(x, y)
+            cell = F.struct(F.lit(i).alias("i"), F.floor((value - F.lit(x)) / F.lit(width[i])).alias("c"))
+            case = F.when(inside, cell) if case is None else case.when(inside, cell)
+        any_band = reduce(lambda p, q: p | q, [within(x, y) for x, y, _ in open_])
+        counts = df.where(any_band).groupBy(case.alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect()   # <= ranks x buckets rows
+        hist: dict[int, list] = {}
+        for r in sorted(counts, key=lambda r: (r["cell"]["i"], r["cell"]["c"])):
+            hist.setdefault(r["cell"]["i"], []).append((int(r["cell"]["c"]), r["n"]))
+        for k, band in bands.items():
+            if band in open_:
+                i, at = open_.index(band), band[2]
+                for c, n in hist[i]:
+                    if at + n > k:
+                        x = band[0] + c * width[i]
+                        bands[k] = (x, min(x + width[i], band[1]), at)
+                        break
+                    at += n
+    return {k: (x, below) for k, (x, _, below) in bands.items()}
+
+
+def keys_at_ranks(df: DataFrame, ts: str, id_col: str, ks: list[int], buckets: int = 4096) -> dict[int, tuple | None]:
+    """k -> the (ts, id) key of the row with 0-based rank ``k`` in (ts nulls last,
+    id) order, None past the end: distributed selection, no sort of the data.
+
+    Bands of timestamps are histogrammed and narrowed for all ranks in the same
+    passes (band predicates compare the column with timestamp literals, so they
+    reach the scan); rows of one timestamp are then selected by id the same way.
+    Passes <= log_buckets(time range in us) + log_buckets(id range).
     """
-    us = F.unix_micros(F.col(ts).cast("timestamp"))
-    lo, hi, below = None, None, 0          # band = lo <= us < hi (µs), `below` rows precede it
-    while True:
-        band = df
-        if lo is not None:
-            band = band.where((us >= F.lit(lo)) & (us < F.lit(hi)))
-        st = band.agg(F.count(F.lit(1)).alias("n"), F.min(us).alias("a"), F.max(us).alias("b")).first()
-        n, a, b = st["n"], st["a"], st["b"]
-        if n == 0:
-            return None
-        if n <= small or a == b:
-            ranked = dense_index(band.select(ts, id_col), [ts, id_col], "__r")
-            row = ranked.where(F.col("__r") == k - below).select(ts, id_col).first()
-            return (row[0], row[1])
-        width = (b - a) // buckets + 1
-        hist = (band.groupBy(F.floor((us - F.lit(a)) / F.lit(width)).alias("bk"))
-                .agg(F.count(F.lit(1)).alias("c")).collect())          # ≤ buckets rows
-        acc = below
-        for r in sorted(hist, key=lambda r: r["bk"]):
-            if acc + r["c"] > k:
-                lo, hi = a + r["bk"] * width, a + (r["bk"] + 1) * width
-                below = acc
-                break
-            acc += r["c"]
+    us, i = F.unix_micros(F.col(ts).cast("timestamp")), F.col(id_col).cast("bigint")
+    st = df.agg(F.count(ts).alias("n"), F.count(F.lit(1)).alias("all"), F.min(us).alias("a"), F.max(us).alias("b")).first()
+    timed = [k for k in ks if k < st["n"]]
+    by_time: dict = {}
+    if timed:
+        inside = lambda x, y: (F.col(ts) >= _time(x)) & (F.col(ts) < _time(y))
+        by_time = _values_at_ranks(df, us, inside, timed, st["a"], st["b"], buckets)
+    groups: dict = {}
+    for k in ks:
+        if k in by_time:
+            groups.setdefault(by_time[k][0], []).append((k, by_time[k][1]))
+        elif k < st["all"]:
+            groups.setdefault(None, []).append((k, st["n"]))
+    out: dict[int, tuple | None] = {k: None for k in ks}
+    for t, members in groups.items():
+        same = df.where(F.col(ts).isNull() if t is None else F.col(ts) == _time(t))
+        r = same.agg(F.min(i).alias("a"), F.max(i).alias("b")).first()
+        found = _values_at_ranks(same, i, lambda x, y: (i >= x) & (i < y), [k - below for k, below in members], r["a"], r["b"], buckets)
+        for k, below in members:
+            out[k] = (None if t is None else EPOCH + timedelta(microseconds=t), found[k - below][0])
+    return out
+
+
+def key_at_rank(df: DataFrame, ts: str, id_col: str, k: int, buckets: int = 4096):
+    return keys_at_ranks(df, ts, id_col, [k], buckets)[k]
 
 
 def chronological_split(df: DataFrame, ts: str, id_col: str, train: float = SPLIT_RATIOS[0],
@@ -139,18 +176,17 @@ def chronological_split(df: DataFrame, ts: str, id_col: str, train: float = SPLI
     """Label rows train / validation / test by global time order (W-4).
 
     ``n_train = floor(n·train)``, ``n_val = floor(n·validation)``, test = rest;
-    ties in time broken by ``id_col``.  The two boundary keys are found by
-    distributed selection (``key_at_rank``); labelling is then a per-row
-    comparison — the data itself is never sorted or shuffled.
+    rows without a time come last, ties in time are broken by ``id_col`` (integer,
+    not null).  The two boundary keys are found together by distributed selection
+    (``keys_at_ranks``); labelling is then a per-row comparison — the data itself
+    is never sorted or shuffled.
     """
-    import math
     n = df.select(F.count(F.lit(1))).first()[0]
     k1 = math.floor(n * train)
     k2 = k1 + math.floor(n * validation)
-    b1 = key_at_rank(df, ts, id_col, k1) if k1 < n else None
-    b2 = key_at_rank(df, ts, id_col, k2) if k2 < n else None
-    return df.withColumn("split", F.when(_key_before(ts, id_col, b1), "train")
-                         .when(_key_before(ts, id_col, b2), "validation").otherwise("test"))
+    at = keys_at_ranks(df, ts, id_col, [k1, k2])
+    return df.withColumn("split", F.when(_key_before(ts, id_col, at[k1]), "train")
+                         .when(_key_before(ts, id_col, at[k2]), "validation").otherwise("test"))
 
 
 def split_entities(inter_split: DataFrame, posts: DataFrame, users: DataFrame | None = None) -> DataFrame:
@@ -193,6 +229,8 @@ def _permutation_sample(params: DataFrame, universe_idx: DataFrame, exclude: Dat
     admissible candidates of each walk.
     """
     walk = ["user_id"] + ([group] if group else [])
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(params.sparkSession)
     starts = (params.where(F.col("m") > 0)
               .select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("m") - 1,
                                                 F.lit(chunk).cast("bigint"))).alias("c0"))
@@ -206,14 +244,16 @@ def _permutation_sample(params: DataFrame, universe_idx: DataFrame, exclude: Dat
     cand = cand.join(universe_idx, ([group] if group else []) + ["idx"])
     if exclude is not None:
         cand = cand.join(exclude, ["user_id", "post_id"], "left_anti")
-    per_chunk = cand.groupBy(*walk, "c0").agg(F.count(F.lit(1)).alias("n_c"))
-    before = per_chunk.select(
-        *walk, "c0",
-        (F.sum("n_c").over(Window.partitionBy(*walk).orderBy("c0")) - F.col("n_c")).alias("before"))
-    ranked = (cand.join(before, walk + ["c0"])
-              .withColumn("r", F.col("before") + F.row_number().over(
-                  Window.partitionBy(*walk, "c0").orderBy("j"))))
-    return ranked.where(F.col("r") <= F.col("k")).select(*walk, "post_id", "j")
+    # each chunk (at most ``chunk`` candidates) becomes one row, written once: how
+    # many survive in the chunks before it decides what each chunk may give
+    chunks = (cand.groupBy(*walk, "c0").agg(F.first("k").alias("k"), F.sort_array(F.collect_list(F.struct("j", "post_id"))).alias("got"))
+              .checkpoint(eager=True))
+    n_c = F.size("got").cast("bigint")
+    before = chunks.select(*walk, "c0", (F.sum(n_c).over(Window.partitionBy(*walk).orderBy("c0")) - n_c).alias("before"))
+    left = F.greatest(F.col("k") - F.col("before"), F.lit(0)).cast("int")
+    return (chunks.join(before, [*walk, "c0"]).where(F.col("before") < F.col("k"))
+            .select(*walk, F.inline(F.slice("got", F.lit(1), left)))
+            .select(*walk, "post_id", "j"))
 
 
 def _walk_params(users: DataFrame, P: Column, seed: int, key: tuple = ("user_id",)) -> DataFrame:
@@ -231,7 +271,7 @@ def ranking_negatives(positives: DataFrame, posts: DataFrame, ratio: int = RANKI
     timestamp = the user's latest positive timestamp.  Users with no
     remaining post are skipped."""
     pidx, n_posts = dense_index_sized(posts.select("post_id").distinct(), ["post_id"])
-    pidx = broadcast_if_small(pidx, n_posts, 24)
+    pidx = broadcast_if_small(pidx, n_posts * 24)
     P = F.lit(n_posts).cast("bigint")
     pos = positives.select("user_id", "post_id", "timestamp")
     pos_set = pos.select("user_id", "post_id").distinct()
@@ -259,7 +299,7 @@ def retrieval_pairs(inter: DataFrame, universe: DataFrame | None = None,
     if universe is None:
         universe = inter.select("post_id").where(F.col("post_id").isNotNull()).distinct()
     uidx, n_posts = dense_index_sized(universe.select("post_id").distinct(), ["post_id"])
-    uidx = broadcast_if_small(uidx, n_posts, 24)
+    uidx = broadcast_if_small(uidx, n_posts * 24)
     P = F.lit(n_posts).cast("bigint")
     pos = (inter.where(F.col("interaction_type").isin(list(positive_types)))
            .select("user_id", "post_id").distinct())
@@ -295,7 +335,7 @@ def random_negatives(pos: DataFrame, users: DataFrame, posts: DataFrame, ratio:
     and looking both up in dense-numbered id tables (two equi-joins, no product)."""
     uidx, nu = dense_index_sized(users.select("user_id").distinct(), ["user_id"], "uidx")
     pidx, npo = dense_index_sized(posts.select("post_id").distinct(), ["post_id"], "pidx")
-    uidx, pidx = broadcast_if_small(uidx, nu, 24), broadcast_if_small(pidx, npo, 24)
+    uidx, pidx = broadcast_if_small(uidx, nu * 24), broadcast_if_small(pidx, npo * 24)
     rows = pos.select(F.col("user_id").alias("src_user"), F.col("post_id").alias("src_post"),
                       F.explode(F.sequence(F.lit(0), F.lit(ratio - 1))).alias("r"))
     rows = rows.select("src_user", "src_post", "r",

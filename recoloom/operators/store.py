@@ -97,28 +97,30 @@ class FeatureStore:
         return out
 
     def get_historical_features(self, entity_df: DataFrame, features, event_ts: str = "event_timestamp",
-                                bucket: str | None = "7 days") -> DataFrame:
-        """Per view: de-duplicated key/time pairs as-of joined, then joined back (J-6b, F-2).
+                                as_of=None) -> DataFrame:
+        """Per view, an as-of join in which the entity rows ride along (J-6b, F-2).
 
         Output columns are ``view__feature``; entity columns (labels, request
-        values) ride along unchanged (F-10).
+        values) are unchanged (F-10).  ``as_of`` (a timestamp) overrides the rows'
+        own event time: features as they stood then, for every row.
         """
         if isinstance(features, FeatureService):
             features = features.features
         wanted = self._parse(features)
-        out = entity_df
+        out, at = entity_df, event_ts
+        if as_of is not None:
+            at = "__as_of"
+            out = out.withColumn(at, F.lit(as_of).cast("timestamp_ntz"))
         for vname, feats in wanted.items():
             if vname in self.on_demand:
                 continue
             v = self.views[vname]
-            keys = v.join_keys
-            src = v.source.load()
-            probe = out.select(*keys, event_ts).distinct()
-            got = asof.point_in_time_join(
-                probe, src, keys, event_ts, v.source.timestamp_field, feats,
-                created_col=v.source.created_timestamp_column, ttl=v.ttl, bucket=bucket, prefix="__f_")
-            got = got.select(*keys, event_ts, *[F.col(f"__f_{f}").alias(f"{vname}{self.SEP}{f}") for f in feats])
-            out = out.join(got, keys + [event_ts], "left")
+            before = out.columns
+            got = asof.point_in_time_join(out, v.source.load(), v.join_keys, at, v.source.timestamp_field, feats,
+                                          created_col=v.source.created_timestamp_column, ttl=v.ttl, prefix="__f_")
+            out = got.select(*before, *[F.col(f"__f_{f}").alias(f"{vname}{self.SEP}{f}") for f in feats])
+        if as_of is not None:
+            out = out.drop(at)
         for vname, feats in wanted.items():
             od = self.on_demand.get(vname)
             if isinstance(od, OnDemandView):

@@ -14,11 +14,11 @@ from ..sources import views as V
 from ..sources.tables import read_table
 from . import sqlviews as S
 from .registry import register
+from .models import TEXT_CTES
 from .retrieval import L2SQ, UV_SQL, user_vectors
 
 REF_SQL = '(SELECT max("timestamp") FROM interactions)'
 TYPES = FE.INTERACTION_TYPES
-CATS = [f"cat_{i:02d}" for i in range(10)]
 
 
 def _ref(spark, d):
@@ -44,19 +44,13 @@ def preferred_media(spark, d):
     return FE.preferred_media(V.interactions(spark, d), V.posts(spark, d, with_text=False))
 
 
-@register("category_counts", S.with_views("SELECT i.user_id, " + ", ".join(
-    f"count(*) FILTER (WHERE p.category_id = '{c}') AS likes_in_category_{c}" for c in CATS)
-    + " FROM interactions i JOIN posts p USING (post_id) WHERE i.interaction_type = 'like' GROUP BY i.user_id",
+@register("category_counts", S.with_views("""
+SELECT i.user_id, p.category_id, count(*) AS likes
+FROM interactions i JOIN posts p USING (post_id) WHERE i.interaction_type = 'like' GROUP BY i.user_id, p.category_id""",
     S.INTERACTIONS, S.POSTS))
 def category_counts(spark, d):
-    """X-3: likes per user × category, pivoted over the categories present in the posts."""
-    from ..operators.encoding import MAX_ONE_HOT_CLASSES
-    posts = V.posts(spark, d, with_text=False)
-    cats = [r[0] for r in posts.select("category_id").distinct().orderBy("category_id")
-            .limit(MAX_ONE_HOT_CLASSES + 1).collect()]
-    if len(cats) > MAX_ONE_HOT_CLASSES:
-        raise ValueError("too many categories to pivot")
-    return FE.category_pivot(V.interactions(spark, d), posts, cats)
+    """X-3: likes per user × category, in long form."""
+    return FE.category_counts(V.interactions(spark, d), V.posts(spark, d, with_text=False))
 
 
 @register("category_affinity", S.with_views("""
@@ -172,17 +166,16 @@ def days_since(spark, d):
                     .alias("days_since_creation"))
 
 
-@register("article_text", S.with_views("""
-SELECT post_id, CAST(length(description_text) AS BIGINT) AS description_length,
-       concat_ws(' - ', media_type, category_id, description_text) AS article_text,
-       printf('https://posts.example/p/%05d', post_id) AS url
-FROM posts""", S.POSTS))
+@register("article_text", """
+SELECT doc_id, CAST(length(text) AS BIGINT) AS description_length, concat_ws(' - ', source, lang, text) AS article_text,
+       printf('https://posts.example/p/%05d', doc_id) AS url
+FROM documents""")
 def article_text(spark, d):
-    """X-21: text length, concatenated descriptive text (whole text), URL from id."""
-    p = V.posts(spark, d, with_text=True)
-    return p.select("post_id", F.length("description_text").cast("bigint").alias("description_length"),
-                    F.concat_ws(" - ", "media_type", "category_id", "description_text").alias("article_text"),
-                    F.format_string("https://posts.example/p/%05d", F.col("post_id")).alias("url"))
+    """X-21: text length, concatenated descriptive text (whole text), URL from id, of every document."""
+    p = read_table(spark, d, "documents", "doc_id", "text", "source", "lang")
+    return p.select("doc_id", F.length("text").cast("bigint").alias("description_length"),
+                    F.concat_ws(" - ", "source", "lang", "text").alias("article_text"),
+                    F.format_string("https://posts.example/p/%05d", F.col("doc_id")).alias("url"))
 
 
 @register("drop_null_columns", S.with_views("""
@@ -265,23 +258,47 @@ def purchased_exclusion(spark, d):
         "user_id", "post_id", "cand_rank", "num_likes_on_post", "category_id")
 
 
-@register("parse_scores", """
+REPLIES_SQL = """
+WITH replies AS (SELECT conv_id, turn, CASE (conv_id + turn) % 6
+    WHEN 0 THEN text
+    WHEN 1 THEN text || ' Probability: 0.' || lpad(CAST(conv_id % 1000 AS VARCHAR), 3, '0') || ' '
+    WHEN 2 THEN 'Probability: ' || CAST(conv_id % 3 AS VARCHAR) || 'Probability: 0.5'
+    WHEN 3 THEN 'Probability: high ' || text
+    WHEN 4 THEN ' * food @ ' || text || ' | bad part | + a b @ x @ y | In short: ' || text || ' '
+    ELSE '@ | ' || text || ' @ | ' END AS text
+  FROM conversations WHERE role = 'assistant')"""
+
+
+def replies(spark, d):
+    """Assistant replies with the markers a model would write: valid, out of
+    range, not a number, absent; item lists well and badly formed."""
+    c = read_table(spark, d, "conversations").where(F.col("role") == "assistant")
+    k, t, m = F.col("conv_id"), F.col("text"), (F.col("conv_id") + F.col("turn")) % 6
+    text = (F.when(m == 0, t)
+            .when(m == 1, F.concat(t, F.lit(" Probability: 0."), F.lpad((k % 1000).cast("string"), 3, "0"), F.lit(" ")))
+            .when(m == 2, F.concat(F.lit("Probability: "), (k % 3).cast("string"), F.lit("Probability: 0.5")))
+            .when(m == 3, F.concat(F.lit("Probability: high "), t))
+            .when(m == 4, F.concat(F.lit(" * food @ "), t, F.lit(" | bad part | + a b @ x @ y | In short: "), t, F.lit(" ")))
+            .otherwise(F.concat(F.lit("@ | "), t, F.lit(" @ | "))))
+    return c.select("conv_id", "turn", text.alias("text"))
+
+
+@register("parse_scores", REPLIES_SQL + """
 SELECT conv_id, turn,
        CASE WHEN TRY_CAST(regexp_replace(split_part(text, 'Probability:', 2), '^\\s+|\\s+$', '', 'g') AS DOUBLE)
                  BETWEEN 0.0 AND 1.0
             THEN TRY_CAST(regexp_replace(split_part(text, 'Probability:', 2), '^\\s+|\\s+$', '', 'g') AS DOUBLE)
             ELSE 0.0 END AS probability
-FROM conversations WHERE role = 'assistant'""")
+FROM replies""")
 def parse_scores(spark, d):
     """X-34: score every assistant reply (whole text) by its ``Probability:`` value."""
-    c = read_table(spark, d, "conversations").where(F.col("role") == "assistant")
-    return c.select("conv_id", "turn", TX.parse_probability(F.col("text")).alias("probability"))
+    return replies(spark, d).select("conv_id", "turn", TX.parse_probability(F.col("text")).alias("probability"))
 
 
-@register("parse_items", r"""
-WITH r AS (
+@register("parse_items", REPLIES_SQL + r""",
+r AS (
   SELECT conv_id, turn, string_split(regexp_replace(text, '^\s+|\s+$', '', 'g'), ' | ') AS items
-  FROM conversations WHERE role = 'assistant'),
+  FROM replies),
 d AS (
   SELECT conv_id, turn,
          CASE WHEN len(items) > 1 THEN items[len(items)] ELSE 'No summary available.' END AS summary,
@@ -298,7 +315,7 @@ SELECT conv_id, turn, CAST(pos AS BIGINT) AS pos,
 FROM h""")
 def parse_items(spark, d):
     """X-35: split each assistant reply into ``emoji category @ description`` items plus a summary."""
-    c = read_table(spark, d, "conversations").where(F.col("role") == "assistant")
+    c = replies(spark, d)
     items = TX.reply_items(F.col("text"))
     r = c.select("conv_id", "turn", TX.reply_summary(items).alias("summary"),
                  F.posexplode(TX.reply_descriptions(items)).alias("p", "item"))
@@ -385,35 +402,40 @@ def hard_negatives(spark, d):
     return SM.hard_negatives(pos, V.users(spark, d), V.posts(spark, d, with_text=False), per_category=3)
 
 
-@register("semantic_search")
+@register("semantic_search", "WITH t AS (SELECT 'd' || doc_id AS id, text FROM documents UNION ALL SELECT 'q' || item_id, text FROM benchmark),\n"
+          + TEXT_CTES.format(key="id", text="text", src="t") + """,
+q AS (SELECT CAST(id[2:] AS BIGINT) AS item_id, bucket, value FROM vec WHERE id[1:1] = 'q'),
+c AS (SELECT CAST(id[2:] AS BIGINT) AS doc_id, bucket, value FROM vec WHERE id[1:1] = 'd'),
+s AS (SELECT item_id, doc_id, round(sum(q.value * c.value), 9) AS score FROM q JOIN c USING (bucket) GROUP BY 1, 2)
+SELECT item_id, doc_id, round(score, 6) AS cosine, CAST(rk AS BIGINT) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rk FROM s) WHERE rk <= 25""")
 def semantic_search(spark, d):
-    """X-36: every benchmark text searched against the posts' description texts;
-    top-25 by cosine of TF-IDF vectors (encoder fitted on both corpora)."""
-    from pyspark.ml.functions import vector_to_array
-
-    from ..operators import models as M
-    posts = V.posts(spark, d, with_text=True).select(F.col("post_id").alias("id"), F.col("description_text").alias("t"),
-                                                     F.lit("post").alias("kind"))
-    bench = read_table(spark, d, "benchmark").select(F.col("item_id").alias("id"), F.col("text").alias("t"),
-                                                                F.lit("query").alias("kind"))
-    enc = M.text_vectors(posts.unionByName(bench), "t").select("id", "kind", vector_to_array("text_vector").alias("v"))
-    q = enc.where(F.col("kind") == "query").select(F.col("id").alias("qid"), F.col("v").alias("qvec"))
-    it = enc.where(F.col("kind") == "post").select(F.col("id").alias("item_id"), F.col("v").alias("ivec"))
-    res = K.knn(q, it, 25, "ip")
-    return res.select(F.col("qid").alias("item_id"), F.col("item_id").alias("post_id"),
+    """X-36: every benchmark text (a stated query set) searched against all
+    documents; top-25 by cosine of text vectors fitted on both."""
+    from ..operators import textvec as TV
+    docs = read_table(spark, d, "documents").select(F.concat(F.lit("d"), F.col("doc_id")).alias("id"), "text")
+    bench = read_table(spark, d, "benchmark").select(F.concat(F.lit("q"), F.col("item_id")).alias("id"), "text")
+    enc = TV.dense(TV.text_vectors(docs.unionByName(bench), "id", "text"), "id")
+    num = F.substring("id", 2, 30).cast("bigint")
+    q = enc.where(F.col("id").startswith("q")).select(num.alias("qid"), F.col("vector").alias("qvec"))
+    it = enc.where(F.col("id").startswith("d")).select(num.alias("item_id"), F.col("vector").alias("ivec"))
+    res = K.knn(q, it, 25, "ip", decimals=9)
+    return res.select(F.col("qid").alias("item_id"), F.col("item_id").alias("doc_id"),
                       F.round("score", 6).alias("cosine"), "rank")
 
 
-@register("dedup_embed", """
-SELECT min(doc_id) AS doc_id, count(*) AS copies, CAST(384 AS BIGINT) AS dim FROM documents GROUP BY text""")
+@register("dedup_embed", "WITH u AS (SELECT min(doc_id) AS doc_id, count(*) AS copies, text FROM documents GROUP BY text),\n"
+          + TEXT_CTES.format(key="doc_id", text="text", src="u") + """
+SELECT doc_id, copies, CAST(bucket AS BIGINT) AS bucket, round(value, 6) AS value FROM vec JOIN u USING (doc_id)""")
 def dedup_embed(spark, d):
     """X-28: de-duplicate documents by exact text (keep the smallest id), then
-    batch-encode the survivors (TF-IDF text vectors)."""
-    from pyspark.ml.functions import vector_to_array
-
-    from ..operators import models as M
+    encode the survivors.  Copies meet by a 256-bit digest of the text, so texts
+    themselves are neither sorted nor compared; the texts of the survivors are
+    then joined by id."""
+    from ..operators import textvec as TV
     docs = read_table(spark, d, "documents").select("doc_id", "text")
-    uniq = docs.groupBy(F.xxhash64("text").alias("h"), "text").agg(F.min("doc_id").alias("doc_id"),
-                                                                   F.count(F.lit(1)).alias("copies"))
-    enc = M.text_vectors(uniq, "text")
-    return enc.select("doc_id", "copies", F.size(vector_to_array("text_vector")).cast("bigint").alias("dim"))
+    uniq = docs.groupBy(F.sha2(F.coalesce("text", F.lit("")), 256).alias("h"), F.isnull("text").alias("none")).agg(
+        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
+    kept = uniq.join(docs, "doc_id").select("doc_id", "copies", "text")
+    return (TV.text_vectors(kept, "doc_id", "text").join(kept.select("doc_id", "copies"), "doc_id")
+            .select("doc_id", "copies", "bucket", F.round("value", 6).alias("value")))

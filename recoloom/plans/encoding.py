@@ -42,13 +42,26 @@ def category_codes(spark, d):
 _CLASSES = [f"cat_{i:02d}" for i in range(10)]
 
 
-@register("multi_hot", S.with_views("SELECT user_id, " + ", ".join(
+@register("multi_hot", S.with_views("""
+c AS (SELECT user_id, unnest(onboarding_category_ids) AS value FROM users),
+v AS (SELECT value, row_number() OVER (ORDER BY value) - 1 AS idx FROM (SELECT DISTINCT value FROM c))
+SELECT u.user_id, coalesce(string_agg(CAST(v.idx AS VARCHAR), ',' ORDER BY v.idx), '') AS indices,
+       (SELECT count(*) FROM v) AS n_classes
+FROM users u LEFT JOIN c USING (user_id) LEFT JOIN v ON v.value = c.value GROUP BY u.user_id""", S.USERS).replace("\n\nc AS", ",\nc AS"))
+def multi_hot(spark, d):
+    """E-4: onboarding categories as sparse 0/1 rows (classes discovered from the data)."""
+    u = V.users(spark, d).select("user_id", "onboarding_category_ids")
+    hot = E.multi_hot(u, "onboarding_category_ids", "user_id")
+    return hot.select("user_id", F.array_join(F.transform("indices", lambda i: i.cast("string")), ",").alias("indices"), "n_classes")
+
+
+@register("multi_hot_columns", S.with_views("SELECT user_id, " + ", ".join(
     f"CAST(list_contains(onboarding_category_ids, '{c}') AS INTEGER) AS onboarding_category_ids_{c}"
     for c in _CLASSES) + " FROM users", S.USERS))
-def multi_hot(spark, d):
-    """E-4: one 0/1 column per onboarding category (classes discovered from the data)."""
+def multi_hot_columns(spark, d):
+    """E-4: one 0/1 column per onboarding category of a given list."""
     u = V.users(spark, d).select("user_id", "onboarding_category_ids")
-    return E.multi_hot(u, "onboarding_category_ids")
+    return E.multi_hot_columns(u, "onboarding_category_ids", _CLASSES)
 
 
 @register("flatten_embedding", "WITH " + S.POSTS + "\nSELECT post_id, " + ", ".join(
@@ -104,26 +117,40 @@ def parse_vectors(spark, d):
 
 @register("parse_times", """
 WITH t AS (
-  SELECT event_id, date_trunc('second', ts) AS ts_s,
-         CASE event_id % 5
+  SELECT event_id, date_trunc('second', ts) AS s, event_id % 11 AS m,
+         CASE event_id % 11
            WHEN 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ')
            WHEN 1 THEN CAST(CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS VARCHAR)
            WHEN 2 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') || '.000000+0000'
            WHEN 3 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
-           ELSE 'bad-' || CAST(event_id AS VARCHAR) END AS raw
+           WHEN 4 THEN 'bad-' || CAST(event_id AS VARCHAR)
+           WHEN 5 THEN strftime(ts, '%Y-%m-%d')
+           WHEN 6 THEN strftime(ts + INTERVAL 90 MINUTE, '%Y-%m-%d %H:%M:%S') || '+01:30'
+           WHEN 7 THEN strftime(ts - INTERVAL 5 HOUR, '%Y-%m-%d %H:%M:%S') || '.250000-05:00'
+           WHEN 8 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+0000'
+           WHEN 9 THEN strftime(ts, '%Y-%m-%dT%H:%M')
+           ELSE strftime(ts, ' %Y-%m-%d %H:%M:%S ') END AS raw
   FROM events)
-SELECT event_id, raw, CASE WHEN event_id % 5 = 4 THEN NULL ELSE ts_s END AS parsed FROM t""")
+SELECT event_id, raw, CASE m WHEN 4 THEN NULL WHEN 5 THEN date_trunc('day', s) WHEN 7 THEN s + INTERVAL 250 MILLISECOND
+                             WHEN 9 THEN date_trunc('minute', s) ELSE s END AS parsed FROM t""")
 def parse_times(spark, d):
-    """SF-5 / SF-6: mixed timestamp text (ISO with Z, epoch seconds, offset with
-    fraction, naive ISO, junk) → UTC timestamps or null."""
+    """SF-5 / SF-6: mixed timestamp text (dates, ISO with and without zone,
+    offset, seconds and fraction, epoch seconds, junk) → UTC timestamps or null."""
     ev = read_table(spark, d, "events").select("event_id", "ts")
-    ts_s = F.date_trunc("second", "ts")
-    m = F.col("event_id") % 5
-    raw = (F.when(m == 0, F.date_format(ts_s, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-           .when(m == 1, F.unix_timestamp(ts_s.cast("timestamp")).cast("string"))
-           .when(m == 2, F.concat(F.date_format(ts_s, "yyyy-MM-dd HH:mm:ss"), F.lit(".000000+0000")))
-           .when(m == 3, F.date_format(ts_s, "yyyy-MM-dd'T'HH:mm:ss"))
-           .otherwise(F.concat(F.lit("bad-"), F.col("event_id").cast("string"))))
+    m, ts = F.col("event_id") % 11, F.col("ts")
+    text = lambda t, f: F.date_format(t, f)
+    day, full = "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss"
+    raw = (F.when(m == 0, text(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+           .when(m == 1, F.unix_timestamp(F.date_trunc("second", ts).cast("timestamp")).cast("string"))
+           .when(m == 2, F.concat(text(ts, full), F.lit(".000000+0000")))
+           .when(m == 3, text(ts, "yyyy-MM-dd'T'HH:mm:ss"))
+           .when(m == 4, F.concat(F.lit("bad-"), F.col("event_id").cast("string")))
+           .when(m == 5, text(ts, day))
+           .when(m == 6, F.concat(text(ts + F.expr("INTERVAL 90 MINUTE"), full), F.lit("+01:30")))
+           .when(m == 7, F.concat(text(ts - F.expr("INTERVAL 5 HOUR"), full), F.lit(".250000-05:00")))
+           .when(m == 8, F.concat(text(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+0000")))
+           .when(m == 9, text(ts, "yyyy-MM-dd'T'HH:mm"))
+           .otherwise(F.concat(F.lit(" "), text(ts, full), F.lit(" "))))
     return ev.select("event_id", raw.alias("raw")).select("event_id", "raw",
                                                           E.parse_timestamp(F.col("raw")).alias("parsed"))
 
@@ -135,3 +162,34 @@ def type_coercion(spark, d):
     ev = read_table(spark, d, "events").select(
         "event_id", F.get_json_object("props", "$.k").alias("k"))
     return E.coerce_numeric(ev, "k")
+
+
+@register("type_coercion_kinds", """
+SELECT event_id, CAST(value > 50 AS INTEGER) AS flag, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_type AS kind, value FROM events""")
+def type_coercion_kinds(spark, d):
+    """PRJ-10: boolean → 0/1, date → string; text that is no number and numbers stay."""
+    ev = read_table(spark, d, "events").select("event_id", (F.col("value") > 50).alias("flag"), F.to_date("ts").alias("day"),
+                                               F.col("event_type").alias("kind"), "value")
+    for c in ("flag", "day", "kind", "value"):
+        ev = E.coerce_numeric(ev, c)
+    return ev
+
+
+@register("select_drop_rows", S.with_views("""
+SELECT i.interaction_id, i.interaction_type, i.user_id FROM interactions i JOIN posts p USING (post_id)
+WHERE p.description_text IS NOT NULL""", S.INTERACTIONS, S.POSTS))
+def select_drop_rows(spark, d):
+    """PRJ-1 / PRJ-5 / PRJ-6: chosen features in declared order, columns dropped by
+    pattern, rows with a missing value dropped."""
+    from ..operators import columns as C
+    j = V.interactions(spark, d).join(V.posts(spark, d).select("post_id", "description_text"), "post_id")
+    j = C.drop_incomplete(C.drop_matching(j, "^time"), ["description_text"])
+    return C.select_features(j, ["interaction_id"], ["interaction_type", "user_id"])
+
+
+@register("shuffled_rows", """SELECT o_orderkey, o_custkey FROM orders""")
+def shuffled_rows(spark, d):
+    """ORD-4: all orders in a repeatable shuffled order (the set is checked here,
+    the order by a test)."""
+    from ..operators import columns as C
+    return C.shuffle_rows(read_table(spark, d, "orders").select("o_orderkey", "o_custkey"), ["o_orderkey"], seed=42)

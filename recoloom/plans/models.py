@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import vectors as VX
+from ..functions.hashing import md5_sql
 from ..operators import metrics as MT
 from ..operators import sampling as SM
 from ..sources import views as V
+from ..sources.tables import read_table
 from .registry import register
 from .retrieval import L2SQ, UV_SQL, user_vectors
 from . import sqlviews as S
@@ -105,55 +107,57 @@ NUMERIC = ["user_spend__spend", "post_stats__num_likes_on_post", "post_stats__nu
 CATEGORICAL = ["media_type"]
 
 
-def ranking_datasets(spark, d):
-    """E-12: (train, validation) ranking sets — split → positives (one row per
-    interaction, N-3) ∪ sampled negatives (N-1) → point-in-time features from
-    two views (J-6b) → pair features (E-6, E-7) → null policy (PRJ-7)."""
+def training_vectors(split, posts):
+    """User vectors from the training split only (no look-ahead into validation)."""
+    train_pos = split.where((F.col("split") == "train") & F.col("interaction_type").isin("like", "bookmark", "view_full"))
+    return VX.mean_vector(train_pos.select("user_id", "post_id").distinct()
+                          .join(posts.select("post_id", "embedding"), "post_id"), "user_id", "embedding", "user_vector")
+
+
+def pair_features(spark, d, ent, uv, as_of=None):
+    """Rows (user_id, post_id, event_timestamp, ...) with the ranker's features:
+    point-in-time features of two views (J-6b), pair features (E-6, E-7), null
+    policy (PRJ-7).  One function for training and serving."""
     from ..operators import rerank as R
     from .store import feature_store
-    inter = V.interactions(spark, d)
-    split = SM.chronological_split(inter, "timestamp", "interaction_id")
     posts = V.posts(spark, d, with_text=False)
     users = V.users(spark, d).select("user_id", "onboarding_category_ids")
-    fs = feature_store(spark, d)
-    # user vectors from the training split only (no look-ahead into validation)
-    train_pos = split.where((F.col("split") == "train") & F.col("interaction_type").isin("like", "bookmark",
-                                                                                           "view_full"))
-    uv = VX.mean_vector(train_pos.select("user_id", "post_id").distinct()
-                        .join(posts.select("post_id", "embedding"), "post_id"), "user_id", "embedding",
-                        "user_vector")
-    out = []
+    f = feature_store(spark, d).get_historical_features(
+        ent, ["user_spend:spend", "post_stats:num_likes_on_post", "post_stats:num_views_on_post",
+              "post_stats:num_comments_on_post"], as_of=as_of)
+    f = (f.join(uv, "user_id", "left")
+         .join(posts.select("post_id", "embedding", "category_id", "media_type", "creation_timestamp"), "post_id", "left")
+         .join(users, "user_id", "left"))
+    return f.select(
+        *ent.columns, "category_id", "creation_timestamp", "media_type",
+        *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in NUMERIC[:4]],
+        VX.cosine("user_vector", "embedding").alias("cosine_similarity_user_post_embedding"),
+        R.in_list_flag(F.col("category_id"), F.col("onboarding_category_ids"))
+        .cast("double").alias("is_post_category_in_onboarding"))
+
+
+def ranking_datasets(spark, d):
+    """E-12: (train, validation) ranking sets — split → positives (one row per
+    interaction, N-3) ∪ sampled negatives (N-1) → features, joined once for both."""
+    split = SM.chronological_split(V.interactions(spark, d), "timestamp", "interaction_id")
+    posts = V.posts(spark, d, with_text=False)
+    both = None
     for name in ("train", "validation"):
         pos = (split.where((F.col("split") == name) & F.col("interaction_type").isin("like", "bookmark"))
                .select("user_id", "post_id", "timestamp", F.lit(1).alias("label")))
         neg = SM.ranking_negatives(pos, posts, ratio=4, seed=42)
-        ent = pos.unionByName(neg.select("user_id", "post_id", "timestamp", "label")).withColumnRenamed(
-            "timestamp", "event_timestamp")
-        # cut the sampling lineage (reliable checkpoint in spark.checkpoint.dir): the
-        # feature joins below then plan against a scan, and a lost executor does
-        # not replay the sampling stages
-        ent = ent.checkpoint(eager=True)
-        f = fs.get_historical_features(ent, ["user_spend:spend", "post_stats:num_likes_on_post",
-                                             "post_stats:num_views_on_post", "post_stats:num_comments_on_post"])
-        f = (f.join(uv, "user_id", "left")
-             .join(posts.select("post_id", "embedding", "category_id", "media_type"), "post_id", "left")
-             .join(users, "user_id", "left"))
-        f = f.select(
-            "user_id", "post_id", "event_timestamp", "label", "media_type",
-            *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in NUMERIC[:4]],
-            VX.cosine("user_vector", "embedding").alias("cosine_similarity_user_post_embedding"),
-            R.in_list_flag(F.col("category_id"), F.col("onboarding_category_ids"))
-            .cast("double").alias("is_post_category_in_onboarding"))
-        out.append(f.withColumn("split", F.lit(name)))
-    return out[0], out[1]
+        ent = (pos.unionByName(neg.select("user_id", "post_id", "timestamp", "label"))
+               .withColumnRenamed("timestamp", "event_timestamp").withColumn("split", F.lit(name)))
+        both = ent if both is None else both.unionByName(ent)
+    # written once (reliable checkpoint in spark.checkpoint.dir): the estimators read
+    # it many times, and a lost executor does not replay the sampling
+    f = pair_features(spark, d, both, training_vectors(split, posts)).drop("category_id", "creation_timestamp").checkpoint()
+    return f.where("split = 'train'"), f.where("split = 'validation'")
 
 
 def _matrices(spark, d):
     from ..operators import models as M
-    from pyspark import StorageLevel
     tr, va = ranking_datasets(spark, d)
-    # both sets feed several estimator passes: keep them instead of recomputing the plan
-    tr, va = tr.persist(StorageLevel.MEMORY_AND_DISK), va.persist(StorageLevel.MEMORY_AND_DISK)
     _, trm, vam = M.fit_transform(tr, va, CATEGORICAL, NUMERIC)
     return trm, vam
 
@@ -175,7 +179,6 @@ def train_rank(spark, d):
     early stopping), evaluated on train and validation."""
     from ..operators import models as M
     trm, vam = _matrices(spark, d)
-    trm, vam = trm.cache(), vam.cache()
     model = M.train_gbt(trm, vam)
     rows = []
     for name, df in (("train", trm), ("validation", vam)):
@@ -189,43 +192,153 @@ def feature_importance(spark, d):
     """X-33: importance of each assembled feature slot, sorted descending."""
     from ..operators import models as M
     trm, vam = _matrices(spark, d)
-    model = M.train_gbt(trm.cache(), vam.cache())
+    model = M.train_gbt(trm, vam)
     return M.feature_importance(model, M.assembled_names(trm), spark)
 
 
+def saved_ranker(spark, d) -> tuple[str, str]:
+    """Train the ranker once and save it: paths of its encoding pipeline and trees."""
+    from ..operators import models as M
+    from ..sources import io as IO
+    tr, va = ranking_datasets(spark, d)
+    encoder, trm, vam = M.fit_transform(tr, va, CATEGORICAL, NUMERIC)
+    paths = IO.scratch_path(spark, "ranker-encoder"), IO.scratch_path(spark, "ranker")
+    M.save_model(encoder, paths[0])
+    M.save_model(M.train_gbt(trm, vam), paths[1])
+    return paths
+
+
+def trained_scores(spark, d):
+    """M-9: candidates retrieved by learned (ALS) vectors, without what the user has
+    seen, with their probability by the saved and reloaded ranker."""
+    from pyspark.ml import PipelineModel
+
+    from ..operators import knn as K
+    from ..operators import models as M
+    from ..operators import rerank as R
+    from .serving import REF_TS, TOP_N
+    encoder, trees = saved_ranker(spark, d)
+    inter = V.interactions(spark, d)
+    _, uf, pf = M.als_vectors(inter)
+    cand = K.knn(uf.select(F.col("user_id").alias("qid"), F.col("vector").alias("qvec")),
+                 pf.select(F.col("post_id").alias("item_id"), F.col("vector").alias("ivec")), TOP_N, "ip")
+    cand = cand.select(F.col("qid").alias("user_id"), F.col("item_id").alias("post_id"), F.col("rank").alias("cand_rank"))
+    posts = V.posts(spark, d, with_text=False)
+    cand = R.seen_filter(cand, V.seen_store(spark, d)).join(posts.select("post_id"), "post_id", "left_semi").checkpoint()
+    split = SM.chronological_split(inter, "timestamp", "interaction_id")
+    f = pair_features(spark, d, cand, training_vectors(split, posts), as_of=REF_TS)
+    return M.score(M.load_ranker(trees), PipelineModel.load(encoder).transform(f))
+
+
 @register("score_candidates")
 def score_candidates(spark, d):
-    """M-9: the trained ranker scores the validation pairs (probability of class 1)."""
-    from ..operators import models as M
-    trm, vam = _matrices(spark, d)
-    model = M.train_logistic(trm)
-    return M.score(model, vam).select("user_id", "post_id", "label", F.round("score", 6).alias("score"))
+    """M-9: probability of every retrieved candidate by the trained, saved and reloaded GBT ranker."""
+    return trained_scores(spark, d).select("user_id", "post_id", "cand_rank", F.round("score", 6).alias("score"))
+
+
+@register("recommend_trained")
+def recommend_trained(spark, d):
+    """M-13 with trained models: learned vectors → candidates → seen filter → GBT
+    probability → freshness boost → diverse top 20."""
+    from ..operators import rerank as R
+    from .serving import BOOST_FACTOR, BOOST_HOURS, DIVERSITY, FINAL_N, REF_TS
+    s = trained_scores(spark, d)
+    ref = F.lit(REF_TS).cast("timestamp_ntz")
+    s = s.select("user_id", "post_id", "cand_rank", "category_id",
+                 R.freshness_boost(F.col("score"), F.col("creation_timestamp"), ref, BOOST_HOURS, BOOST_FACTOR).alias("score"))
+    return R.diverse_rerank(s, n=FINAL_N, factor=DIVERSITY).select(
+        "user_id", "rank", "post_id", F.round("score", 6).alias("score"), "category_id")
 
 
 @register("als_vectors")
 def als_vectors(spark, d):
-    """M-6/M-7/M-8: implicit-ALS user and post vectors (rank 64), long form with norms."""
+    """M-6/M-7/M-8: implicit-ALS user and post vectors (rank 64), one row per dimension."""
     from ..operators import models as M
     _, uf, pf = M.als_vectors(V.interactions(spark, d))
     u = uf.select(F.lit("user").alias("entity"), F.col("user_id").alias("id"), "vector")
     p = pf.select(F.lit("post").alias("entity"), F.col("post_id").alias("id"), "vector")
-    return u.unionByName(p).select("entity", "id", F.size("vector").cast("bigint").alias("dim"),
-                                   F.round(VX.norm("vector"), 4).alias("norm"))
-
-
-@register("text_vectors")
-def text_vectors(spark, d):
-    """E-8: 384-d TF-IDF text vectors of every post's full description text."""
+    return u.unionByName(p).select("entity", "id", F.posexplode("vector").alias("dim", "value"))
+
+
+@register("als_check", S.with_views("""
+pos AS (SELECT DISTINCT user_id, post_id FROM interactions WHERE interaction_type IN ('like', 'bookmark', 'view_full', 'comment'))
+SELECT * FROM (VALUES ('users', CAST((SELECT count(DISTINCT user_id) FROM pos) AS DOUBLE)),
+  ('posts', CAST((SELECT count(DISTINCT post_id) FROM pos) AS DOUBLE)), ('dim', 64.0), ('fits_better_than_chance', 1.0)) t(metric, value)""",
+    S.INTERACTIONS).replace("\n\npos AS", ",\npos AS"))
+def als_check(spark, d):
+    """M-6: every user and post with a positive interaction gets a vector of the
+    configured size, and observed pairs score above pairs of the same users with
+    other posts (AUC over 0.6)."""
     from ..operators import models as M
-    p = V.posts(spark, d, with_text=True).select("post_id", "description_text")
-    tv = M.text_vectors(p, "description_text")
-    return tv.select("post_id", F.size(vector_to_array_col("text_vector")).cast("bigint").alias("dim"),
-                     F.round(VX.norm(vector_to_array_col("text_vector")), 6).alias("norm"))
-
-
-def vector_to_array_col(c):
-    from pyspark.ml.functions import vector_to_array
-    return vector_to_array(c)
+    inter = V.interactions(spark, d)
+    _, uf, pf = M.als_vectors(inter)
+    pos = inter.where(F.col("interaction_type").isin(*M.CONFIDENCE)).select("user_id", "post_id").distinct()
+    other = SM.random_negatives(pos, pos, pos, ratio=1).select("src_user", F.col("post_id")).withColumnRenamed("src_user", "user_id")
+    pairs = pos.withColumn("label", F.lit(1)).unionByName(other.withColumn("label", F.lit(0)))
+    scored = (pairs.join(uf.withColumnRenamed("vector", "u"), "user_id").join(pf.withColumnRenamed("vector", "p"), "post_id")
+              .select("label", F.greatest(F.lit(0.0), F.least(F.lit(1.0), VX.dot("u", "p"))).alias("score")))
+    auc = MT.binary_metrics(scored).select("roc_auc").scalar()
+    rows = [("users", uf.select(F.count(F.lit(1))).scalar()), ("posts", pf.select(F.count(F.lit(1))).scalar()),
+            ("dim", uf.select(F.max(F.size("vector"))).scalar()), ("fits_better_than_chance", (auc > 0.6).cast("int"))]
+    return spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(n).alias("metric"), v.cast("double").alias("value"))
+                                                    for n, v in rows])))
+
+
+TEXT_CTES = """tok AS (SELECT {key}, unnest(string_split_regex(lower(coalesce({text}, '')), '\\W+')) AS term FROM {src}),
+tf AS (SELECT {key}, """ + md5_sql("term", seed="text") + """ % 384 AS bucket, count(*) AS tf FROM tok WHERE length(term) > 0 GROUP BY 1, 2),
+idf AS (SELECT bucket, ln(((SELECT count(*) FROM {src}) + 1.0) / (count(*) + 1)) AS idf FROM tf GROUP BY bucket),
+w AS (SELECT {key}, bucket, tf * idf AS w FROM tf JOIN idf USING (bucket) WHERE tf * idf > 0),
+vec AS (SELECT {key}, bucket, w / sqrt(sum(w * w) OVER (PARTITION BY {key})) AS value FROM w)"""
+
+
+@register("text_vectors", "WITH " + TEXT_CTES.format(key="doc_id", text="text", src="documents") + """
+SELECT doc_id, CAST(bucket AS BIGINT) AS bucket, round(value, 6) AS value FROM vec""")
+def text_vectors(spark, d):
+    """E-8: hashed TF-IDF vectors (384 buckets) of every document's whole text."""
+    from ..operators import textvec as TV
+    docs = read_table(spark, d, "documents", "doc_id", "text")
+    return TV.text_vectors(docs, "doc_id", "text").select("doc_id", "bucket", F.round("value", 6).alias("value"))
+
+
+USER_TEXTS = {"headline": "headline_text", "about": "about_text"}
+
+
+@register("user_text_vectors", "WITH " + S.USERS + """,
+t AS (SELECT 'headline:' || user_id AS id, headline_text AS text FROM users
+      UNION ALL SELECT 'about:' || user_id, about_text FROM users),
+""" + TEXT_CTES.format(key="id", text="text", src="t") + """
+SELECT id, CAST(bucket AS BIGINT) AS bucket, round(value, 6) AS value FROM vec""")
+def user_text_vectors(spark, d):
+    """E-8: the users' two text columns, encoded together."""
+    from ..operators import textvec as TV
+    u = V.users(spark, d)
+    t = None
+    for name, col in USER_TEXTS.items():
+        part = u.select(F.concat(F.lit(name + ":"), F.col("user_id")).alias("id"), F.col(col).alias("text"))
+        t = part if t is None else t.unionByName(part)
+    return TV.text_vectors(t, "id", "text").select("id", "bucket", F.round("value", 6).alias("value"))
+
+
+@register("text_pair_cosine", "WITH " + ",\n".join([S.INTERACTIONS, S.POSTS, S.USERS]) + """,
+pr AS (SELECT DISTINCT user_id, post_id FROM interactions WHERE interaction_type = 'like'),
+t AS (SELECT 'u' || user_id AS id, about_text AS text FROM users
+      UNION ALL SELECT 'p' || post_id, description_text FROM posts),
+""" + TEXT_CTES.format(key="id", text="text", src="t") + """
+SELECT pr.user_id, pr.post_id, round(coalesce(sum(a.value * b.value), 0.0), 6) AS cosine
+FROM pr LEFT JOIN vec a ON a.id = 'u' || pr.user_id LEFT JOIN vec b ON b.id = 'p' || pr.post_id AND b.bucket = a.bucket
+GROUP BY pr.user_id, pr.post_id""")
+def text_pair_cosine(spark, d):
+    """E-6: cosine of the user's about text and the post's description text for liked pairs."""
+    from ..operators import textvec as TV
+    pairs = (V.interactions(spark, d).where(F.col("interaction_type") == "like").select("user_id", "post_id").distinct()
+             .withColumn("pair", F.concat_ws(":", "user_id", "post_id")))
+    u = V.users(spark, d).select(F.concat(F.lit("u"), F.col("user_id")).alias("id"), F.col("about_text").alias("text"))
+    p = V.posts(spark, d).select(F.concat(F.lit("p"), F.col("post_id")).alias("id"), F.col("description_text").alias("text"))
+    vec = TV.text_vectors(u.unionByName(p), "id", "text")
+    left = pairs.join(vec, F.concat(F.lit("u"), F.col("user_id")) == F.col("id")).select("pair", "bucket", "value")
+    right = pairs.join(vec, F.concat(F.lit("p"), F.col("post_id")) == F.col("id")).select("pair", "bucket", "value")
+    return (pairs.join(TV.cosine_of_texts(left, right), "pair", "left")
+            .select("user_id", "post_id", F.round(F.coalesce("cosine", F.lit(0.0)), 6).alias("cosine")))
 
 
 @register("batch_infer")
@@ -251,5 +364,4 @@ def batch_infer(spark, d):
              for r in R.category_vector_stats(posts).collect()}          # one row per class: bounded
     w2 = np.stack([cents[c] for c in lab.labels]).T                     # 64 × n_classes
     tower = M.dense_tower(posts, "embedding", [(w1, b1), (w2, np.zeros(w2.shape[0]))])
-    return tower.select("post_id", F.size("tower_vector").cast("bigint").alias("dim"),
-                        F.round(VX.norm("tower_vector"), 4).alias("norm"))
+    return tower.select("post_id", F.posexplode("tower_vector").alias("dim", "value"))

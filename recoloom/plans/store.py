@@ -51,6 +51,13 @@ def asof_features(spark, d):
                                    "event_ts", "feature_ts", ["spend"], created_col="created")
 
 
+@register("asof_features_unbucketed", ASOF_SQL.format(ttl=""))
+def asof_features_unbucketed(spark, d):
+    """The same join by a single window per key — cross-check of the range-partitioned path."""
+    return asof.windowed_join(V.entity_rows(spark, d), V.feature_rows(spark, d), "user_id",
+                              "event_ts", "feature_ts", ["spend"], created_col="created")
+
+
 @register("asof_features_ttl",
           ASOF_SQL.format(ttl="AND f.feature_ts >= e.event_ts - INTERVAL 1 DAY"))
 def asof_features_ttl(spark, d):
@@ -58,13 +65,6 @@ def asof_features_ttl(spark, d):
                                    "event_ts", "feature_ts", ["spend"], created_col="created", ttl="1 day")
 
 
-@register("asof_features_unbucketed", ASOF_SQL.format(ttl=""))
-def asof_features_unbucketed(spark, d):
-    """Same join with a single window per key (no time buckets) — cross-check of the bucketed path."""
-    return asof.point_in_time_join(V.entity_rows(spark, d), V.feature_rows(spark, d), "user_id",
-                                   "event_ts", "feature_ts", ["spend"], created_col="created", bucket=None)
-
-
 _POST_STATS = """
 , ps AS (
   SELECT p.post_id, p.creation_timestamp AS event_timestamp,
@@ -113,6 +113,17 @@ SELECT e.event_id, e.user_id, e.post_id, e.event_ts AS event_timestamp, e.label,
 FROM entity_rows e JOIN us USING (event_id)""", S.ENTITY_ROWS, S.FEATURE_ROWS).replace("\n, us AS", ",\nus AS")
 
 
+@register("asof_now", S.with_views("""
+SELECT e.event_id, e.user_id, e.event_ts AS event_timestamp, f.spend AS user_spend__spend
+FROM entity_rows e LEFT JOIN feature_rows f ON f.user_id = e.user_id AND f.feature_ts <= TIMESTAMP '2024-01-15 00:00:00'
+QUALIFY row_number() OVER (PARTITION BY e.event_id ORDER BY f.feature_ts DESC NULLS LAST, f.created DESC NULLS LAST) = 1
+""", S.ENTITY_ROWS, S.FEATURE_ROWS))
+def asof_now(spark, d):
+    """F-10: features as they stood at one given time, whatever the rows' own event times."""
+    ent = _entities(spark, d).select("event_id", "user_id", "event_timestamp")
+    return feature_store(spark, d).get_historical_features(ent, ["user_spend:spend"], as_of="2024-01-15 00:00:00")
+
+
 @register("on_demand_features", ON_DEMAND_SQL)
 def on_demand_features(spark, d):
     fs = feature_store(spark, d)
@@ -180,4 +191,4 @@ def materialize_incremental(spark, d):
     for upto in (mid_ts, end):
         asof.materialize_incremental(spark, src, "user_id", "feature_ts", ["spend"], online, state,
                                      F.lit(upto).cast("timestamp_ntz"), created_col="created")
-    return spark.read.parquet(online).select("user_id", "spend", "feature_ts")
+    return IO.snapshot(spark, online, ["user_id"]).select("user_id", "spend", "feature_ts")

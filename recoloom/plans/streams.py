@@ -1,4 +1,4 @@
-"""Sink / source round trips and streaming queries (SNK-*, SRC-1, X-13, ST-*).
+"""Sink / source round trips and streaming queries (SNK-*, SRC-1, SRC-6..SRC-8, X-13, ST-*).
 
 Every query stages data *derived from the supplied tables* under the shared
 scratch folder, runs the writer or the stream to completion
@@ -26,7 +26,8 @@ INTERACTION_SCHEMA = T.StructType([
     T.StructField("timestamp", T.TimestampNTZType())])
 
 
-@register("csv_roundtrip", SPLIT_SQL.replace("SELECT interaction_id,\n       CASE", "SELECT interaction_id, user_id, post_id,\n       CASE"))
+@register("csv_roundtrip", SPLIT_SQL.replace("SELECT interaction_id, user_id, post_id,", 'SELECT interaction_id, user_id, post_id, interaction_type, "timestamp",')
+          .replace("SELECT interaction_id,\n       CASE", 'SELECT interaction_id, user_id, post_id, interaction_type, "timestamp",\n       CASE'))
 def csv_roundtrip(spark, d):
     """SNK-1 + SRC-1: interactions written as one CSV folder per split, read back
     with an explicit schema."""
@@ -34,7 +35,7 @@ def csv_roundtrip(spark, d):
     path = IO.scratch_path(spark, "splits-csv")
     IO.write_splits_csv(split, path)
     back = IO.read_csv(spark, path, INTERACTION_SCHEMA)
-    return back.select("interaction_id", "user_id", "post_id", "split")
+    return back.select("interaction_id", "user_id", "post_id", "interaction_type", "timestamp", "split")
 
 
 @register("jsonl_ingest", S.with_views(
@@ -47,16 +48,19 @@ def jsonl_ingest(spark, d):
 
 
 @register("write_vectors", "WITH " + S.POSTS + """
-SELECT category_id, count(*) AS n, round(sum(CAST(embedding[1] AS DOUBLE)), 4) AS dim0_sum
-FROM posts GROUP BY category_id""")
+SELECT post_id, category_id, CAST(dim AS BIGINT) AS dim, round(CAST(v AS DOUBLE), 6) AS value
+FROM (SELECT post_id, category_id, unnest(range(len(embedding))) AS dim, unnest(embedding) AS v FROM posts)""")
 def write_vectors(spark, d):
     """SNK-3: the vector table written partitioned by category (staged swap,
-    dimension-checked), read back and summarised per partition."""
+    dimension-checked), read back in full."""
     path = IO.scratch_path(spark, "vectors")
     IO.write_vector_table(V.posts(spark, d, with_text=False), path, dim=64)
-    back = spark.read.parquet(path)
-    return back.groupBy("category_id").agg(F.count(F.lit(1)).alias("n"),
-                                           F.round(F.sum(F.get("embedding", 0).cast("double")), 4).alias("dim0_sum"))
+    return _long_vectors(spark.read.parquet(path), "embedding")
+
+
+def _long_vectors(df, vec, digits=6):
+    return df.select("post_id", "category_id", F.posexplode(vec).alias("dim", "v")).select(
+        "post_id", "category_id", F.col("dim").cast("bigint").alias("dim"), F.round(F.col("v").cast("double"), digits).alias("value"))
 
 
 SEEN_LATEST_SQL = "WITH " + ",\n".join([S.INTERACTIONS, S.SEEN]) + """
@@ -66,8 +70,8 @@ FROM seen_store {where} GROUP BY user_id, post_id, interaction_type"""
 
 @register("upsert_interactions", SEEN_LATEST_SQL.format(where=""))
 def upsert_interactions(spark, d):
-    """SNK-4: the serving store loaded with the training split, then upserted
-    with the later splits; read back = latest row per (user, post, type)."""
+    """SNK-4: the serving store loaded with the training split, upserted with the
+    later splits and compacted; read back = latest row per (user, post, type)."""
     split = SM.chronological_split(V.interactions(spark, d), "timestamp", "interaction_id")
     seen = V.SEEN_TYPE_MAP
     ss = (split.where(F.col("interaction_type").isin(list(seen)))
@@ -77,7 +81,8 @@ def upsert_interactions(spark, d):
     keys = ["user_id", "post_id", "interaction_type"]
     IO.upsert(spark, path, ss.where(F.col("split") == "train").drop("split"), keys, "interaction_timestamp")
     IO.upsert(spark, path, ss.where(F.col("split") != "train").drop("split"), keys, "interaction_timestamp")
-    return spark.read.parquet(path).drop("bucket")
+    IO.compact(spark, path, keys)
+    return IO.snapshot(spark, path, keys)
 
 
 @register("delete_users", SEEN_LATEST_SQL.format(
@@ -87,21 +92,19 @@ def upsert_interactions(spark, d):
                                  interaction_type DESC) = 1 AND interaction_type = 'reported')"""))
 def delete_users(spark, d):
     """SNK-5: users whose most recent store row is a 'reported' one are deleted
-    from the store (only their key buckets are rewritten)."""
+    from the store (only their keys are written)."""
     path = IO.scratch_path(spark, "seen-store")
     store = V.seen_store(spark, d)
-    IO.upsert(spark, path, store, ["user_id", "post_id", "interaction_type"], "interaction_timestamp")
+    keys = ["user_id", "post_id", "interaction_type"]
+    IO.upsert(spark, path, store, keys, "interaction_timestamp")
     last = store.groupBy("user_id").agg(F.max_by("interaction_type", F.struct(
         "interaction_timestamp", "post_id", "interaction_type")).alias("last_type"))
     IO.delete_keys(spark, path, last.where(F.col("last_type") == "reported").select("user_id"))
-    schema = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("post_id", T.LongType()),
-                           T.StructField("interaction_type", T.StringType()),
-                           T.StructField("interaction_timestamp", T.TimestampNTZType())])
-    return IO.read_or_empty(spark, path, schema)
+    return IO.snapshot(spark, path, keys)
 
 
 @register("run_metrics", S.with_views("""
-SELECT 'run-0001' AS run_id, metric, value FROM (
+SELECT 'run-0001' AS run_id, metric, value, 'seed=42;source=interactions' AS params FROM (
   SELECT 'user_id_vocab_size' AS metric, CAST(count(DISTINCT user_id) + 2 AS DOUBLE) AS value FROM interactions
   UNION ALL SELECT 'post_id_vocab_size', CAST(count(DISTINCT post_id) + 2 AS DOUBLE) FROM interactions
   UNION ALL SELECT 'training_samples', CAST(count(*) AS DOUBLE) FROM interactions) t""", S.INTERACTIONS))
@@ -114,19 +117,18 @@ def run_metrics(spark, d):
         "*", inter.select(F.count(F.lit(1))).scalar().alias("training_samples"))
     path = IO.scratch_path(spark, "run-metrics")
     IO.append_run_metrics(m, path, "run-0001", {"seed": 42, "source": "interactions"})
-    return spark.read.parquet(path).select("run_id", "metric", "value")
+    params = F.array_join(F.transform(F.array_sort(F.map_entries("params")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
+    return spark.read.parquet(path).select("run_id", "metric", "value", params.alias("params"))
 
 
 def _stage(df, name, spark, partition_col=None):
-    """Stage replay input; with a day partition column, file modification times
-    are set in day order so the file source replays the days in event order."""
+    """Stage replay input, one folder per ``partition_col`` value.  Files are
+    picked up in no particular order of events."""
     path = IO.scratch_path(spark, name)
     w = df.write.mode("overwrite")
     if partition_col:
         w = w.partitionBy(partition_col)
     w.parquet(path)
-    if partition_col:
-        IO.order_files_by_partition(spark, path, partition_col)
     return path
 
 
@@ -147,25 +149,23 @@ def stream_push(spark, d):
     schema = spark.read.parquet(src).schema
     stream = ST.file_stream(spark, src, schema, max_files=5).drop("day")
     online, offline = IO.scratch_path(spark, "online"), IO.scratch_path(spark, "offline")
-    q = ST.push_features(stream, offline, online, ["user_id"], "feature_ts", IO.scratch_path(spark, "ckpt-push"))
+    q = ST.push_features(stream, offline, online, ["user_id"], ["feature_ts", "created"], IO.scratch_path(spark, "ckpt-push"))
     _await(q)
-    # ties on feature_ts: the upsert keeps the row with the latest feature_ts;
-    # equal feature_ts rows are resolved by 'created' in the batch merge below
-    return spark.read.parquet(online).select("user_id", "spend", "feature_ts", "created")
+    return IO.snapshot(spark, online, ["user_id"]).select("user_id", "spend", "feature_ts", "created")
 
 
 @register("stream_seen", "WITH " + ",\n".join([S.INTERACTIONS, S.SEEN]) + """
-SELECT DISTINCT user_id, post_id, interaction_type FROM seen_store""")
+SELECT user_id, post_id, interaction_type, max(interaction_timestamp) AS interaction_timestamp
+FROM seen_store GROUP BY user_id, post_id, interaction_type""")
 def stream_seen(spark, d):
-    """ST-2: seen/disliked/reported events streamed with watermark de-duplication
-    into the keyed serving store."""
+    """ST-2: seen/disliked/reported events streamed into the keyed serving store,
+    the latest time of each key kept."""
     src = _stage(V.seen_store(spark, d).withColumn("day", F.to_date("interaction_timestamp")), "seen-src", spark, "day")
     stream = ST.file_stream(spark, src, spark.read.parquet(src).schema, max_files=5).drop("day")
     store = IO.scratch_path(spark, "seen-stream-store")
     _await(ST.seen_updates(stream, store, IO.scratch_path(spark, "ckpt-seen")))
-    # the stored time is the first arrival inside the watermark, so only the
-    # key set is a batch-comparable result
-    return spark.read.parquet(store).select("user_id", "post_id", "interaction_type")
+    keys = ["user_id", "post_id", "interaction_type"]
+    return IO.snapshot(spark, store, keys).select(*keys, "interaction_timestamp")
 
 
 @register("stream_jsonl_hourly", """
@@ -194,14 +194,21 @@ def stream_window_counts(spark, d):
     stream = ST.file_stream(spark, src, spark.read.parquet(src).schema, max_files=5).drop("day")
     out = IO.scratch_path(spark, "window-counts")
     _await(ST.window_counts(stream, out, IO.scratch_path(spark, "ckpt-window")))
-    return spark.read.parquet(out).select("window_start", "user_id", "events", "like_count", "comment_count",
-                                          "view_full_count")
+    return IO.snapshot(spark, out, ["window_start", "user_id"]).select(
+        "window_start", "user_id", "events", "like_count", "comment_count", "view_full_count")
+
+
+UNIT_SQL = """
+n AS (SELECT *, sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))) AS norm FROM {src}),
+u AS (SELECT post_id, category_id, unnest(range(len(embedding))) AS dim, unnest(embedding) AS v, norm FROM n)
+SELECT post_id, category_id, CAST(dim AS BIGINT) AS dim, round(CAST(v AS DOUBLE) / norm, 4) AS value FROM u"""
+
 
+def _encoded(df):
+    return _long_vectors(df, "embedding", 4)
 
-@register("stream_new_posts", "WITH " + S.POSTS + """
-SELECT category_id, count(*) AS n,
-       round(avg(sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE))))), 4) AS src_norm
-FROM posts GROUP BY category_id""")
+
+@register("stream_new_posts", "WITH " + S.POSTS + "," + UNIT_SQL.format(src="posts"))
 def stream_new_posts(spark, d):
     """ST-5: new posts encoded on arrival and appended to the vector table."""
     posts = V.posts(spark, d, with_text=False).select("post_id", "category_id", "embedding")
@@ -209,7 +216,64 @@ def stream_new_posts(spark, d):
     stream = ST.file_stream(spark, src, spark.read.parquet(src).schema, max_files=1)
     out = IO.scratch_path(spark, "posts-vectors")
     _await(ST.new_post_vectors(stream, out, IO.scratch_path(spark, "ckpt-posts"), dim=64))
-    back = spark.read.parquet(out).join(posts.select("post_id", F.col("embedding").alias("src")), "post_id")
-    from ..functions import vectors as VX
-    return back.groupBy("category_id").agg(F.count(F.lit(1)).alias("n"),
-                                           F.round(F.avg(VX.norm("src")), 4).alias("src_norm"))
+    return _encoded(spark.read.parquet(out))
+
+
+@register("stream_vector_updates", "WITH " + S.POSTS + """,
+up AS (SELECT post_id, category_id, CASE WHEN post_id % 3 = 0 THEN list_reverse(embedding) ELSE embedding END AS embedding FROM posts),"""
+          + UNIT_SQL.format(src="up"))
+def stream_vector_updates(spark, d):
+    """ST-6: vectors arrive in two versions, newest first for some posts (a third
+    of them changed, the others sent again); the store serves the newer version
+    whatever the order of arrival."""
+    posts = V.posts(spark, d, with_text=False).select("post_id", "category_id", "embedding")
+    newer = posts.withColumn("embedding", F.when(F.col("post_id") % 3 == 0, F.reverse("embedding")).otherwise(F.col("embedding")))
+    both = posts.withColumn("version", F.lit(1)).unionByName(newer.withColumn("version", F.lit(2)))
+    src = _stage(both.withColumn("file", (F.col("post_id") + F.col("version")) % 2), "vector-updates", spark, "file")
+    stream = ST.file_stream(spark, src, spark.read.parquet(src).schema, max_files=1).drop("file")
+    store = IO.scratch_path(spark, "vector-store")
+    _await(ST.latest_vectors(stream, store, IO.scratch_path(spark, "ckpt-vectors"), 64, ["version"]))
+    return _encoded(IO.snapshot(spark, store, ["post_id"]))
+
+
+@register("stream_drop_seen", "WITH " + ",\n".join([S.INTERACTIONS, S.SEEN]) + """
+SELECT interaction_id, user_id, post_id FROM interactions i WHERE interaction_type IN ('like', 'bookmark')
+AND NOT EXISTS (SELECT 1 FROM seen_store s WHERE s.user_id = i.user_id AND s.post_id = i.post_id)""")
+def stream_drop_seen(spark, d):
+    """ST-7: a stream of candidate rows anti-joined with the static seen store."""
+    cand = (V.interactions(spark, d).where(F.col("interaction_type").isin("like", "bookmark"))
+            .select("interaction_id", "user_id", "post_id"))
+    src = _stage(cand, "candidates-src", spark)
+    stream = ST.file_stream(spark, src, spark.read.parquet(src).schema, max_files=1)
+    out = IO.scratch_path(spark, "candidates")
+    _await(ST.drop_seen(stream, V.seen_store(spark, d), out, IO.scratch_path(spark, "ckpt-candidates")))
+    return spark.read.parquet(out).select("interaction_id", "user_id", "post_id")
+
+
+@register("seen_lookup", "WITH " + ",\n".join([S.INTERACTIONS, S.SEEN]) + """,
+u AS (SELECT user_id FROM seen_store GROUP BY user_id ORDER BY count(*) DESC, user_id LIMIT 1)
+SELECT DISTINCT post_id FROM seen_store
+WHERE user_id = (SELECT user_id FROM u) AND post_id < 1000 AND post_id % 2 = 0 AND interaction_type IN ('seen', 'disliked')""")
+def seen_lookup(spark, d):
+    """SRC-6: point lookup: which of the even post ids under 1000 the busiest user has seen or disliked."""
+    store = V.seen_store(spark, d)
+    path = IO.scratch_path(spark, "seen-lookup")
+    IO.upsert(spark, path, store, ["user_id", "post_id", "interaction_type"], "interaction_timestamp")
+    user = store.groupBy("user_id").count().orderBy(F.desc("count"), "user_id").first()["user_id"]
+    return IO.lookup(spark, path, user, list(range(0, 1000, 2)), ["seen", "disliked"])
+
+
+@register("optional_tables", S.with_views("""
+SELECT user_id, headline_text AS display_name, about_text AS about, 0 AS n_reports FROM users""", S.USERS))
+def optional_tables(spark, d):
+    """SRC-7 / SRC-8 / SNK-2: users written as one Parquet table and read back; a
+    missing column falls back to another, an all-null one too, and a missing table
+    counts as empty."""
+    path = IO.scratch_path(spark, "users")
+    u = V.users(spark, d).select("user_id", "headline_text", "about_text").withColumn("about", F.lit(None).cast("string"))
+    IO.write_parquet(u, path)
+    back = IO.column_or_fallback(IO.column_or_fallback(spark.read.parquet(path), "display_name", "headline_text"), "about", "about_text")
+    schema = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("reports", T.IntegerType())])
+    reports = IO.read_or_empty(spark, IO.scratch_path(spark, "no-reports"), schema)
+    return (back.join(reports, "user_id", "left")
+            .select("user_id", "display_name", "about", F.coalesce("reports", F.lit(0)).alias("n_reports")))

@@ -59,10 +59,11 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint directory.
+    """The session's checkpoint directory.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only when it is unset (local tests) do we create a scratch folder.
+    On a cluster ``spark.checkpoint.dir`` must name a folder that driver and
+    executors share.  Only a ``local`` master, whose executors run in the driver's
+    own process, gets a scratch folder when it is unset.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -70,16 +71,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError(f"set spark.checkpoint.dir to a shared folder (master {sc.master})")
         conf_dir = tempfile.mkdtemp(prefix="recoloom-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
 def apply_base_conf(spark: SparkSession) -> None:
-    """Set the runtime SQL settings above on an existing session."""
+    """Set the runtime SQL settings above on an existing session; static ones
+    belong to whoever started it."""
     for k, v in BASE_CONF.items():
-        if k.startswith("spark.sql."):
-            try:
-                spark.conf.set(k, v)
-            except Exception:  # static conf on a shared session
-                pass
+        if spark.conf.isModifiable(k):
+            spark.conf.set(k, v)

@@ -1,8 +1,9 @@
 """Readers, writers and validation (SRC-1, SRC-5, SRC-7, SRC-8, SNK-1..SNK-6).
 
 Writers are idempotent so a retried task or job never duplicates data:
-file writes go to a staging folder that is renamed into place, and upserts
-rewrite only the touched key buckets with dynamic partition overwrite.
+file writes go to a staging folder that is renamed into place, and a keyed
+store appends one folder per write, resolves keys on read and is compacted
+behind a pointer.
 Scratch space always lives under the session's ``spark.checkpoint.dir``
 (a shared folder on a cluster), never a machine-local temp folder.
 """
@@ -11,7 +12,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,18 +38,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def order_files_by_partition(spark: SparkSession, path: str, partition_col: str) -> None:
-    """Set file modification times in partition-value order (replay staging for
-    file streams, which pick up files oldest first)."""
-    fs, root = _fs(spark, path)
-    parts = sorted(str(st.getPath().getName()) for st in fs.listStatus(root)
-                   if st.isDirectory() and str(st.getPath().getName()).startswith(partition_col + "="))
-    base = 1_600_000_000_000
-    for i, name in enumerate(parts):
-        for st in fs.listStatus(_fs(spark, f"{path.rstrip('/')}/{name}")[1]):
-            fs.setTimes(st.getPath(), base + i * 1000, -1)
-
-
 # ------------------------------------------------------------------ sources
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, keep_corrupt: bool = True) -> DataFrame:
     """SRC-1: header CSV with an explicit schema; malformed rows kept (PERMISSIVE)
@@ -96,22 +85,26 @@ def column_or_fallback(df: DataFrame, col: str, fallback, out: str | None = None
 
 # ------------------------------------------------------------------ sinks
 def write_staged(df: DataFrame, path: str, fmt: str = "parquet", partition_by=(), **options) -> int:
-    """Write to ``path`` through a staging folder renamed into place (all or
-    nothing); returns the number of rows written (for Parquet the count comes
-    from file footers, not a data scan)."""
+    """Write to ``path`` through a staging folder; the old table is moved aside,
+    not deleted, until the new one is in place, so that a crash at any point
+    leaves one of them whole.  Returns the number of rows written, counted by the
+    write itself."""
     spark = df.sparkSession
-    staged = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex[:8]}"
-    w = df.write.mode("overwrite").format(fmt).options(**options)
+    mark = uuid.uuid4().hex[:8]
+    staged, aside = f"{path.rstrip('/')}.staging-{mark}", f"{path.rstrip('/')}.old-{mark}"
+    seen = Observation()
+    w = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").format(fmt).options(**options)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(staged)
-    reader = spark.read.format(fmt).options(**options)
-    n = reader.load(staged).count()
     fs, dst = _fs(spark, path)
-    if fs.exists(dst):
-        fs.delete(dst, True)
+    old = fs.exists(dst)
+    if old:
+        fs.rename(dst, _fs(spark, aside)[1])
     fs.rename(_fs(spark, staged)[1], dst)
-    return int(n)
+    if old:
+        fs.delete(_fs(spark, aside)[1], True)
+    return int(seen.get["n"])
 
 
 def write_splits_csv(df: DataFrame, path: str, split_col: str = "split") -> int:
@@ -122,7 +115,7 @@ def write_splits_csv(df: DataFrame, path: str, split_col: str = "split") -> int:
 
 
 def write_parquet(df: DataFrame, path: str, partition_by=()) -> int:
-    """SNK-2."""
+    """SNK-2: a Parquet table, replaced as a whole."""
     return write_staged(df, path, "parquet", partition_by)
 
 
@@ -136,49 +129,111 @@ def write_vector_table(df: DataFrame, path: str, dim: int, id_col: str = "post_i
     return write_staged(checked, path, "parquet", (category_col,))
 
 
-def key_bucket(col: str, buckets: int):
-    return F.pmod(F.xxhash64(F.col(col)), F.lit(buckets)).cast("int")
-
-
-def upsert(spark: SparkSession, path: str, new: DataFrame, keys: list[str], ts: str,
-           bucket_col: str = "user_id", buckets: int = 64) -> None:
-    """SNK-4: primary-key upsert.  The store is partitioned by a hash bucket of
-    ``bucket_col``; only buckets touched by ``new`` are read, merged (latest
-    ``ts`` wins per key) and rewritten with dynamic partition overwrite.  The
-    merge is checkpointed first so the overwrite never reads its own output;
-    re-running the same batch gives the same store (idempotent)."""
-    cols = [c for c in new.columns]
-    incoming = new.withColumn("bucket", key_bucket(bucket_col, buckets))
-    if path_exists(spark, path):
-        touched = incoming.select("bucket").distinct()
-        current = spark.read.parquet(path).join(F.broadcast(touched), "bucket", "left_semi")  # ≤ buckets rows
-        merged_in = current.select(*cols, "bucket").unionByName(incoming.select(*cols, "bucket"))
-    else:
-        merged_in = incoming.select(*cols, "bucket")
-    rest = [c for c in cols if c not in keys]
-    merged = (merged_in.groupBy(*keys, "bucket")
-              .agg(F.max_by(F.struct(*rest), F.col(ts)).alias("__r"))
-              .select(*keys, *[F.col(f"__r.{c}").alias(c) for c in rest], "bucket")
-              .checkpoint(eager=True))
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("bucket").parquet(path))
-
-
-def delete_keys(spark: SparkSession, path: str, doomed: DataFrame, key: str = "user_id",
-                buckets: int = 64) -> None:
-    """SNK-5: remove every row of the given keys, rewriting only their buckets."""
-    d = doomed.select(key).distinct().withColumn("bucket", key_bucket(key, buckets))
-    touched = d.select("bucket").distinct()
-    current = spark.read.parquet(path)
-    kept = (current.join(F.broadcast(touched), "bucket", "left_semi")
-            .join(d.select(key), key, "left_anti").checkpoint(eager=True))
-    empty_buckets = touched.join(kept.select("bucket").distinct(), "bucket", "left_anti").collect()
-    (kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path))
-    # buckets whose every row was deleted: drop their folders (bounded list of bucket ids)
-    for r in empty_buckets:
-        fs, p = _fs(spark, f"{path.rstrip('/')}/bucket={r['bucket']}")
-        if fs.exists(p):
-            fs.delete(p, True)
+# ------------------------------------------------------------------ keyed store
+# Layout: <path>/_current holds the live version k; <path>/v=k/rows/seq=n are the
+# rows of write n, <path>/v=k/deletes/seq=n its deleted keys.  A write touches only
+# its own folder; the latest row of each key is found when the store is read.
+_SEQ = "__seq"
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    return [str(x.getPath().getName()) for x in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def _version(spark: SparkSession, path: str) -> int:
+    """The live version; a store that was never compacted is at 0.  Pointer files
+    are never overwritten: the highest number counts."""
+    return max((int(n.split("=")[1]) for n in _names(spark, path) if n.startswith("_current=")), default=0)
+
+
+def _point(spark: SparkSession, path: str, version: int) -> None:
+    fs, p = _fs(spark, f"{path.rstrip('/')}/_current={version}")
+    fs.create(p, True).close()
+
+
+def _seqs(spark: SparkSession, path: str, version: int) -> list[int]:
+    return [int(n.split("=")[1]) for kind in ("rows", "deletes")
+            for n in _names(spark, f"{path.rstrip('/')}/v={version}/{kind}") if n.startswith("seq=")]
+
+
+def _write_delta(spark: SparkSession, path: str, kind: str, df: DataFrame, seq: int | None) -> int:
+    v = _version(spark, path)
+    n = max(_seqs(spark, path, v), default=-1) + 1 if seq is None else seq
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/v={v}/{kind}/seq={n}")
+    return n
+
+
+def upsert(spark: SparkSession, path: str, new: DataFrame, keys: list[str], order: str | list[str],
+           seq: int | None = None) -> int:
+    """SNK-4: add rows to the store.  Only the new rows are written, clustered by
+    the first key so that lookups prune by file statistics.  ``snapshot`` gives,
+    of each key, the row that is greatest by ``order`` (nulls are smallest, so a
+    row without a time yields to any other but is never lost), ties to the later
+    write.  A stream passes its batch id as ``seq``: a replayed batch replaces
+    itself."""
+    order = [order] if isinstance(order, str) else list(order)
+    rows = new.withColumn("__order", F.struct(*order))
+    return _write_delta(spark, path, "rows", rows.sortWithinPartitions(*keys[:1]), seq)
+
+
+def delete_keys(spark: SparkSession, path: str, doomed: DataFrame, key: str = "user_id", seq: int | None = None) -> int:
+    """SNK-5: delete all rows of the given keys that were written before; rows
+    written later live.  Only the keys are written."""
+    return _write_delta(spark, path, "deletes", doomed.select(key).where(F.col(key).isNotNull()).distinct(), seq)
+
+
+def _live(spark: SparkSession, path: str) -> DataFrame | None:
+    """Every row of the live version that no later delete covers, with ``__order`` and ``__seq``."""
+    base = f"{path.rstrip('/')}/v={_version(spark, path)}"
+    if not path_exists(spark, f"{base}/rows"):
+        return None
+    rows = spark.read.parquet(f"{base}/rows").withColumnRenamed("seq", _SEQ)
+    if path_exists(spark, f"{base}/deletes"):
+        gone = spark.read.parquet(f"{base}/deletes")
+        key = next(c for c in gone.columns if c != "seq")
+        last = gone.groupBy(F.col(key).alias("__gone")).agg(F.max("seq").alias("__until"))
+        rows = rows.join(last, (F.col(key) == F.col("__gone")) & (F.col(_SEQ) <= F.col("__until")), "left_anti")
+    return rows
+
+
+def snapshot(spark: SparkSession, path: str, keys: list[str], schema: T.StructType | None = None) -> DataFrame:
+    """The latest row of each key; an empty frame of ``schema`` if nothing was written."""
+    rows = _live(spark, path)
+    if rows is None:
+        return spark.createDataFrame([], schema)
+    rest = [c for c in rows.columns if c not in (*keys, "__order", _SEQ)]
+    best = F.max_by(F.struct(*rest, F.lit(0).alias("__one")), F.struct("__order", _SEQ)).alias("__r")
+    return rows.groupBy(*keys).agg(best).select(*keys, *[F.col(f"__r.{c}").alias(c) for c in rest])
+
+
+def compact(spark: SparkSession, path: str, keys: list[str]) -> None:
+    """Write the snapshot as the next version and point to it.  Until the pointer
+    stands, readers see the old version; the version before that is removed."""
+    rows = _live(spark, path)
+    if rows is None:
+        return
+    root, v = path.rstrip("/"), _version(spark, path)
+    rest = [c for c in rows.columns if c not in keys]
+    best = F.max_by(F.struct(*rest), F.struct("__order", _SEQ)).alias("__r")
+    latest = rows.groupBy(*keys).agg(best).select(*keys, *[F.col(f"__r.{c}").alias(c) for c in rest if c != _SEQ])
+    seq = max(_seqs(spark, path, v))                            # writes go on counting from here
+    latest.sortWithinPartitions(*keys[:1]).write.mode("overwrite").parquet(f"{root}/v={v + 1}/rows/seq={seq}")
+    _point(spark, path, v + 1)
+    fs, old = _fs(spark, f"{root}/v={v - 1}")
+    if fs.exists(old):
+        fs.delete(old, True)
+
+
+def lookup(spark: SparkSession, path: str, user_id, post_ids: list, types: list[str], key: str = "user_id") -> DataFrame:
+    """SRC-6: point lookup: the predicates reach the Parquet scans of all writes,
+    which skip files and row groups by their statistics.  (The all-users form of
+    this is the seen-filter anti join.)"""
+    rows = _live(spark, path)
+    if rows is None:
+        return spark.createDataFrame([], "post_id long")
+    return (rows.where((F.col(key) == user_id) & F.col("post_id").isin(post_ids) & F.col("interaction_type").isin(types))
+            .select("post_id").distinct())
 
 
 def append_run_metrics(metrics: DataFrame, path: str, run_id: str, params: dict) -> None:
@@ -189,21 +244,3 @@ def append_run_metrics(metrics: DataFrame, path: str, run_id: str, params: dict)
         F.create_map().cast("map<string,string>")
     (long.select(F.lit(run_id).alias("run_id"), "metric", "value", pm.alias("params"))
      .write.mode("append").partitionBy("run_id").parquet(path))
-
-
-def lookup(spark: SparkSession, path: str, user_id, post_ids: list, types: list[str],
-           key: str = "user_id", buckets: int = 64) -> DataFrame:
-    """SRC-6: point lookup on the bucketed store — the bucket predicate prunes
-    to one partition folder and the remaining predicates are pushed into the
-    Parquet scan.  (The all-users form of this is the seen-filter anti join.)"""
-    store = spark.read.parquet(path)
-    kt = store.schema[key].dataType                      # hash the literal with the column's type
-    b = spark.range(1).select(key_bucket_value(F.lit(user_id).cast(kt), buckets)).first()[0]
-    return (store.where(F.col("bucket") == b).where(F.col(key) == user_id)
-            .where(F.col("post_id").isin(post_ids)).where(F.col("interaction_type").isin(types))
-            .select("post_id").distinct())
-
-
-def key_bucket_value(value, buckets: int):
-    v = value if hasattr(value, "cast") else F.lit(value)
-    return F.pmod(F.xxhash64(v), F.lit(buckets)).cast("int")

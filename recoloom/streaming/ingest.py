@@ -1,8 +1,8 @@
-"""Structured Streaming operators (ST-1..ST-5, F-4, F-8).
+"""Structured Streaming operators (ST-1..ST-7, F-4, F-8).
 
 Each returns a started ``StreamingQuery``; sinks are idempotent per micro-
-batch (``foreachBatch`` writes keyed by ``batch_id`` or key-bucket upserts),
-and the checkpoint location gives exactly-once progress across restarts.
+batch (a batch writes its own folder, named by ``batch_id``; keyed stores
+resolve the latest row when read), and the checkpoint location gives exactly-once progress across restarts.
 Event-time columns are cast from ``TIMESTAMP_NTZ`` to ``TIMESTAMP`` first,
 which watermarks require.
 """
@@ -37,17 +37,18 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return r.load(path)
 
 
-def push_features(stream: DataFrame, offline_path: str, online_path: str, keys: list[str], ts: str,
-                  checkpoint: str, bucket_col: str | None = None):
+def push_features(stream: DataFrame, offline_path: str, online_path: str, keys: list[str], order: list[str],
+                  checkpoint: str):
     """ST-1 / F-8: each micro-batch is appended to the offline store (folder per
-    batch id: a replayed batch overwrites itself) and upserted into the online
-    store (latest row per key wins)."""
+    batch id: a replayed batch overwrites itself) and to the online store, whose
+    snapshot is the row of each key that is greatest by ``order`` (feature time,
+    then created), whatever the order in which rows arrive."""
     spark = stream.sparkSession
 
     def sink(batch: DataFrame, batch_id: int):
         batch = batch.persist()
         batch.write.mode("overwrite").parquet(f"{offline_path.rstrip('/')}/batch_id={batch_id}")
-        IO.upsert(spark, online_path, batch, keys, ts, bucket_col=bucket_col or keys[0])
+        IO.upsert(spark, online_path, batch, keys, order, seq=batch_id)
         batch.unpersist()
 
     return start(stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
@@ -55,18 +56,16 @@ def push_features(stream: DataFrame, offline_path: str, online_path: str, keys:
 
 
 def seen_updates(stream: DataFrame, store_path: str, checkpoint: str, delay: str = "1 hour"):
-    """ST-2: (user, post, type, ts) events; duplicates of a (user, post, type)
-    inside the watermark delay are dropped in-stream, and the store upsert
-    makes re-deliveries after state expiry harmless."""
+    """ST-2: (user, post, type, ts) events.  The latest time of a (user, post,
+    type) wins whatever the order of arrival, so a batch is reduced to its latest
+    rows and appended; re-deliveries change nothing."""
     spark = stream.sparkSession
-    dedup = (stream.withColumn("interaction_timestamp", F.col("interaction_timestamp").cast("timestamp"))
-             .withWatermark("interaction_timestamp", delay)
-             .dropDuplicatesWithinWatermark(["user_id", "post_id", "interaction_type"]))
+    keys, ts = ["user_id", "post_id", "interaction_type"], "interaction_timestamp"
 
     def sink(batch: DataFrame, batch_id: int):
-        IO.upsert(spark, store_path, batch, ["user_id", "post_id", "interaction_type"], "interaction_timestamp")
+        IO.upsert(spark, store_path, batch.groupBy(*keys).agg(F.max(ts).alias(ts)), keys, ts, seq=batch_id)
 
-    return start(dedup.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    return start(stream.select(*keys, ts).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
                  .trigger(availableNow=True), spark)
 
 
@@ -94,33 +93,53 @@ def window_counts(stream: DataFrame, out_path: str, checkpoint: str, window: str
     def sink(batch: DataFrame, batch_id: int):
         rows = batch.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "user_id", "events",
                             *[f"{x}_count" for x in types], F.lit(batch_id).cast("bigint").alias("batch_id"))
-        IO.upsert(spark, out_path, rows, ["window_start", "user_id"], "batch_id")
+        IO.upsert(spark, out_path, rows, ["window_start", "user_id"], "batch_id", seq=batch_id)
 
     return start(agg.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", checkpoint)
                  .trigger(availableNow=True), spark)
 
 
-def new_post_vectors(stream: DataFrame, out_path: str, checkpoint: str, dim: int):
-    """ST-5: each arriving post is L2-normalised in Arrow batches (the encoder
-    slot) and appended to the category-partitioned vector table."""
+def encode_vectors(df: DataFrame, dim: int) -> DataFrame:
+    """The encoder slot: vectors L2-normalised in Arrow batches (a null vector is
+    encoded as zeros); a wrong dimension fails the batch."""
     import numpy as np
-    import pandas as pd
-
-    schema = T.StructType([T.StructField("post_id", T.LongType()), T.StructField("category_id", T.StringType()),
-                           T.StructField("embedding", T.ArrayType(T.FloatType()))])
 
     def encode(batches):
         for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            m = np.stack([np.asarray(v, dtype=np.float32) for v in pdf["embedding"]])
-            if m.shape[1] != dim:
-                raise ValueError(f"expected {dim}-d vectors, got {m.shape[1]}")
-            n = np.linalg.norm(m, axis=1, keepdims=True)
-            m = np.where(n > 0, m / np.where(n > 0, n, 1), m)
-            yield pd.DataFrame({"post_id": pdf["post_id"], "category_id": pdf["category_id"],
-                                "embedding": list(m)})
-
-    enc = stream.select("post_id", "category_id", "embedding").mapInPandas(encode, schema)
+            if len(pdf):
+                m = np.stack([np.zeros(dim) if v is None else np.asarray(v, np.float64) for v in pdf["embedding"]])
+                if m.shape[1] != dim:
+                    raise ValueError(f"expected {dim}-d vectors, got {m.shape[1]}")
+                n = np.linalg.norm(m, axis=1, keepdims=True)
+                pdf["embedding"] = list(m / np.where(n > 0, n, 1))
+            yield pdf
+    double = T.StructField("embedding", T.ArrayType(T.DoubleType()))
+    return df.mapInPandas(encode, T.StructType([double if f.name == "embedding" else f for f in df.schema.fields]))
+
+
+def new_post_vectors(stream: DataFrame, out_path: str, checkpoint: str, dim: int):
+    """ST-5: each arriving post is encoded and appended to the category-partitioned vector table."""
+    enc = encode_vectors(stream.select("post_id", "category_id", "embedding"), dim)
     return start(enc.writeStream.format("parquet").partitionBy("category_id").option("path", out_path)
                  .option("checkpointLocation", checkpoint).trigger(availableNow=True), stream.sparkSession)
+
+
+def latest_vectors(stream: DataFrame, store_path: str, checkpoint: str, dim: int, order: list[str]):
+    """ST-6: vector updates, latest wins: every version of a post's vector is
+    encoded and appended; the store's snapshot has the latest by ``order``."""
+    spark = stream.sparkSession
+    enc = encode_vectors(stream, dim)
+
+    def sink(batch: DataFrame, batch_id: int):
+        IO.upsert(spark, store_path, batch, ["post_id"], order, seq=batch_id)
+
+    return start(enc.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+                 .trigger(availableNow=True), spark)
+
+
+def drop_seen(stream: DataFrame, seen: DataFrame, out_path: str, checkpoint: str):
+    """ST-7: stream-static anti join: candidate (user, post) rows that the static
+    seen table does not hold."""
+    fresh = stream.join(seen.select("user_id", "post_id").distinct(), ["user_id", "post_id"], "left_anti")
+    return start(fresh.writeStream.format("parquet").option("path", out_path)
+                 .option("checkpointLocation", checkpoint).trigger(availableNow=True), stream.sparkSession)

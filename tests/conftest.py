@@ -12,6 +12,6 @@ SF_ORACLE = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from recoloom.session import local_session
-    s = local_session("*", 8, app="recoloom-tests")
+    s = local_session(os.environ.get("TEST_CORES", "*"), 8, app="recoloom-tests")
     yield s
     s.stop()

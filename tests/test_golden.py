@@ -108,10 +108,9 @@ def test_asof_ttl_cases(spark):
     probes = [t, t - dt.timedelta(minutes=1), t + dt.timedelta(days=1),
               t + dt.timedelta(days=1, minutes=1)]
     ent = spark.createDataFrame([(i, 1, p) for i, p in enumerate(probes)], "id long, k long, ets timestamp_ntz")
-    for bucket in ("7 days", "1 hour", None):
-        out = asof.point_in_time_join(ent, feats, "k", "ets", "fts", ["v"], "created", ttl="1 day", bucket=bucket)
-        got = [r.v for r in out.orderBy("id").collect()]
-        assert got == [7.0, None, 7.0, None], bucket
+    for join in (asof.point_in_time_join, asof.windowed_join):
+        out = join(ent, feats, "k", "ets", "fts", ["v"], "created", ttl="1 day")
+        assert [r.v for r in out.orderBy("id").collect()] == [7.0, None, 7.0, None]
 
 
 def test_asof_tie_on_created(spark):
@@ -191,19 +190,27 @@ def test_rerank_without_metadata_is_plain_score_order(spark):
     assert _rerank(spark, rows, 20, 0.3) == [f"p{i}" for i in range(20)]
 
 
-def test_asof_hot_key_narrow_buckets(spark):
-    """A key holding most rows gets narrower buckets; results equal the plain window."""
+def test_asof_hot_key_is_cut_into_ranges(spark):
+    """A key that holds most rows, most of them in one burst, spans many ranges;
+    results equal the plain window."""
     import random
     rnd = random.Random(4)
     t0 = dt.datetime(2024, 1, 1)
-    feats = [(k, t0 + dt.timedelta(minutes=rnd.randint(0, 20000)), float(i), i)
+    minute = lambda: 777 if rnd.random() < 0.6 else rnd.randint(0, 20000)
+    feats = [(k, t0 + dt.timedelta(minutes=minute()), float(i), i)
              for i in range(600) for k in ([1] if i % 3 else [rnd.randint(2, 9)])]
-    ents = [(i, k, t0 + dt.timedelta(minutes=rnd.randint(0, 20000)))
-            for i in range(500) for k in ([1] if i % 2 else [rnd.randint(2, 9)])]
+    ents = [(i, k, t0 + dt.timedelta(minutes=minute()))
+            for i in range(500) for k in ([1] if i % 2 else [rnd.randint(2, 9), None][:1 + (i % 50 == 0)])]
+    ents += [(1000, 77, t0), (1001, None, t0)]
+    feats += [(None, t0, -1.0, 0)]
     fd = spark.createDataFrame(feats, "k long, fts timestamp_ntz, v double, created long")
     ed = spark.createDataFrame(ents, "id long, k long, ets timestamp_ntz")
-    plain = asof.point_in_time_join(ed, fd, "k", "ets", "fts", ["v"], "created", bucket=None)
-    hot = asof.point_in_time_join(ed, fd, "k", "ets", "fts", ["v"], "created", bucket="7 days", hot_rows=20)
-    a = sorted((r.id, r.v, r.fts) for r in plain.collect())
-    b = sorted((r.id, r.v, r.fts) for r in hot.collect())
-    assert a == b and len(a) == 500
+    for ttl in (None, "2 days"):
+        plain = asof.windowed_join(ed, fd, "k", "ets", "fts", ["v"], "created", ttl)
+        want = sorted(((r.id, r.k, r.v, r.fts) for r in plain.collect()), key=str)
+        for parts in (1, 7, 60):
+            got = asof.point_in_time_join(ed, fd, "k", "ets", "fts", ["v"], "created", ttl, partitions=parts)
+            assert sorted(((r.id, r.k, r.v, r.fts) for r in got.collect()), key=str) == want, (ttl, parts)
+    assert len(want) == len(ents)
+    assert asof.point_in_time_join(ed.limit(0), fd, "k", "ets", "fts", ["v"], "created").count() == 0
+    assert asof.point_in_time_join(ed, fd.limit(0), "k", "ets", "fts", ["v"], "created").count() == len(ents)

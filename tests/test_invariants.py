@@ -182,7 +182,7 @@ def test_knn_ties_and_sub_blocks(spark):
 
 
 def test_key_at_rank_selection_passes(spark):
-    """Histogram narrowing (tiny band limit forces several passes, heavy time ties)
+    """Histogram narrowing (few buckets force several passes, heavy time ties)
     returns exactly the k-th (ts, id) key."""
     rng = np.random.default_rng(5)
     base = dt.datetime(2024, 1, 1)
@@ -192,13 +192,33 @@ def test_key_at_rank_selection_passes(spark):
     df = spark.createDataFrame(rows, "id long, ts timestamp_ntz").repartition(5)
     keys = sorted((t, i) for i, t in rows)
     for k in (0, 1, 399, 1500, 2999):
-        got = SM.key_at_rank(df, "ts", "id", k, buckets=4, small=50)
+        got = SM.key_at_rank(df, "ts", "id", k, buckets=4)
         assert got == (keys[k][0], keys[k][1]), k
     out = SM.chronological_split(df, "ts", "id")
     counts = {r.split: r["count"] for r in out.groupBy("split").count().collect()}
     assert counts == {"train": 2100, "validation": 450, "test": 450}
 
 
+def test_split_puts_null_times_last(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(i, t0 + dt.timedelta(seconds=i) if i % 2 else None) for i in range(20)]
+    df = spark.createDataFrame(rows, "id long, ts timestamp_ntz")
+    got = {r.id: r.split for r in SM.chronological_split(df, "ts", "id").collect()}
+    order = sorted(got, key=lambda i: (rows[i][1] is None, rows[i][1] or t0, i))
+    assert [got[i] for i in order] == ["train"] * 14 + ["validation"] * 3 + ["test"] * 3
+    none = SM.chronological_split(df.withColumn("ts", F.lit(None).cast("timestamp_ntz")), "ts", "id")
+    assert {r.split: r["count"] for r in none.groupBy("split").count().collect()} == {"train": 14, "validation": 3, "test": 3}
+    assert SM.chronological_split(df.limit(0), "ts", "id").count() == 0
+
+
+def test_split_bands_reach_the_scan(spark, tmp_path):
+    df = spark.createDataFrame([(i, dt.datetime(2024, 1, 1) + dt.timedelta(hours=i)) for i in range(50)], "id long, ts timestamp_ntz")
+    df.write.parquet(str(tmp_path / "t"))
+    back = spark.read.parquet(str(tmp_path / "t"))
+    plan = back.where((F.col("ts") >= SM._time(10 ** 15)) & (F.col("ts") < SM._time(2 * 10 ** 15)))._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan
+
+
 @pytest.mark.parametrize("name", ["knn_exact", "topk_accuracy", "knn_ivf", "recommend", "ranking_negatives",
                                   "asof_features", "hard_negatives", "cold_start_vector"])
 def test_no_cross_products_in_plans(spark, name):

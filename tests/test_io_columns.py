@@ -23,6 +23,16 @@ def test_validation_helpers(spark):
     assert [r.m for r in out] == [7]
 
 
+def test_checkpoint_dir_is_never_local_on_a_cluster():
+    from types import SimpleNamespace
+
+    from recoloom.session import ensure_checkpoint_dir
+    cluster = SimpleNamespace(sparkContext=SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None),
+                              conf=SimpleNamespace(get=lambda k, d=None: d))
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(cluster)
+
+
 def test_read_or_empty(spark):
     schema = T.StructType([T.StructField("x", T.LongType())])
     df = IO.read_or_empty(spark, IO.scratch_path(spark, "nothing-here"), schema)
@@ -48,13 +58,46 @@ def test_upsert_idempotent_and_lookup(spark):
     b = spark.createDataFrame([(1, 10, "seen", t + dt.timedelta(hours=1))], a.schema)
     IO.upsert(spark, path, b, keys, "interaction_timestamp")
     IO.upsert(spark, path, b, keys, "interaction_timestamp")            # replay: no change
-    rows = spark.read.parquet(path).collect()
+    rows = IO.snapshot(spark, path, keys).collect()
     assert len(rows) == 3
     assert max(r.interaction_timestamp for r in rows if r.post_id == 10 and r.user_id == 1) == t + dt.timedelta(hours=1)
     hit = IO.lookup(spark, path, 1, [10, 12], ["seen", "disliked"]).collect()
     assert [r.post_id for r in hit] == [10]
     IO.delete_keys(spark, path, spark.createDataFrame([(1,)], "user_id long"))
-    assert {r.user_id for r in spark.read.parquet(path).collect()} == {2}
+    assert {r.user_id for r in IO.snapshot(spark, path, keys).collect()} == {2}
+    IO.compact(spark, path, keys)
+    assert {r.user_id for r in IO.snapshot(spark, path, keys).collect()} == {2}
+    IO.upsert(spark, path, b, keys, "interaction_timestamp")            # a deleted key written again lives
+    IO.compact(spark, path, keys)
+    IO.compact(spark, path, keys)
+    assert {r.user_id for r in IO.snapshot(spark, path, keys).collect()} == {1, 2}
+
+
+def test_upsert_orders_nulls_and_ties(spark):
+    path, t = IO.scratch_path(spark, "store-nulls"), dt.datetime(2024, 1, 1)
+    schema = "k long, ts timestamp_ntz, created long, v string"
+    a = spark.createDataFrame([(1, None, 1, "untimed"), (2, t, 5, "later"), (3, t, 1, "x")], schema)
+    b = spark.createDataFrame([(2, t, 4, "earlier"), (3, None, 9, "untimed"), (4, None, None, None)], schema)
+    IO.upsert(spark, path, a, ["k"], ["ts", "created"])
+    IO.upsert(spark, path, b, ["k"], ["ts", "created"])
+    for _ in range(2):
+        assert {r.k: r.v for r in IO.snapshot(spark, path, ["k"]).collect()} == {1: "untimed", 2: "later", 3: "x", 4: None}
+        IO.compact(spark, path, ["k"])
+
+
+def test_a_write_touches_only_its_own_rows(spark):
+    path = IO.scratch_path(spark, "store-small")
+    IO.upsert(spark, path, spark.range(1000).select(F.col("id").alias("k"), F.lit(1).alias("ts")), ["k"], "ts")
+    n = IO.upsert(spark, path, spark.createDataFrame([(5, 2)], "k long, ts int"), ["k"], "ts")
+    assert spark.read.parquet(f"{path}/v=0/rows/seq={n}").count() == 1
+    assert {r.k: r.ts for r in IO.snapshot(spark, path, ["k"]).collect()}[5] == 2
+
+
+def test_staged_write_counts_and_replaces(spark):
+    path = IO.scratch_path(spark, "staged")
+    assert IO.write_parquet(spark.range(7).toDF("x"), path) == 7
+    assert IO.write_parquet(spark.range(3).toDF("x"), path) == 3
+    assert spark.read.parquet(path).count() == 3
 
 
 def test_vector_sink_rejects_bad_dimension(spark):

@@ -12,7 +12,6 @@ from recoloom.streaming import ingest as ST
 def _stage(spark, df, name):
     path = IO.scratch_path(spark, name)
     df.withColumn("day", F.to_date("feature_ts")).write.partitionBy("day").parquet(path)
-    IO.order_files_by_partition(spark, path, "day")
     return path
 
 
@@ -25,14 +24,14 @@ def test_push_restart_is_exactly_once(spark):
 
     def run():
         s = ST.file_stream(spark, src, schema, max_files=3).drop("day")
-        q = ST.push_features(s, offline, online, ["user_id"], "feature_ts", ckpt)
+        q = ST.push_features(s, offline, online, ["user_id"], ["feature_ts", "created"], ckpt)
         q.awaitTermination()
 
     run()
-    first = sorted(tuple(r) for r in spark.read.parquet(online).select("user_id", "spend", "feature_ts").collect())
+    first = sorted(tuple(r) for r in IO.snapshot(spark, online, ["user_id"]).select("user_id", "spend", "feature_ts").collect())
     n_off = spark.read.parquet(offline).count()
     run()                                    # restart: nothing new to read
-    again = sorted(tuple(r) for r in spark.read.parquet(online).select("user_id", "spend", "feature_ts").collect())
+    again = sorted(tuple(r) for r in IO.snapshot(spark, online, ["user_id"]).select("user_id", "spend", "feature_ts").collect())
     assert first == again
     assert spark.read.parquet(offline).count() == n_off == rows.count()
 
@@ -42,6 +41,20 @@ def test_upsert_replay_of_a_batch_is_harmless(spark):
     batch = V.seen_store(spark, SF_SMALL)
     keys = ["user_id", "post_id", "interaction_type"]
     IO.upsert(spark, store, batch, keys, "interaction_timestamp")
-    once = sorted(tuple(r) for r in spark.read.parquet(store).collect())
+    once = sorted(tuple(r) for r in IO.snapshot(spark, store, keys).collect())
     IO.upsert(spark, store, batch, keys, "interaction_timestamp")      # the same batch delivered again
-    assert sorted(tuple(r) for r in spark.read.parquet(store).collect()) == once
+    assert sorted(tuple(r) for r in IO.snapshot(spark, store, keys).collect()) == once
+
+
+def test_push_ties_do_not_depend_on_arrival(spark):
+    import datetime as dt
+    t = dt.datetime(2024, 1, 1)
+    rows = [(1, 1.0, t, 9), (1, 2.0, t, 5), (2, 3.0, t, 1), (2, 4.0, t + dt.timedelta(hours=1), 0)]
+    for k, order in enumerate((rows, rows[::-1])):
+        src = IO.scratch_path(spark, f"ties-{k}")
+        for r in order:                                                # one file per row
+            spark.createDataFrame([r], "user_id long, spend double, feature_ts timestamp_ntz, created long").coalesce(1).write.mode("append").parquet(src)
+        online, offline = IO.scratch_path(spark, "ties-on"), IO.scratch_path(spark, "ties-off")
+        s = ST.file_stream(spark, src, spark.read.parquet(src).schema, max_files=1)
+        ST.push_features(s, offline, online, ["user_id"], ["feature_ts", "created"], IO.scratch_path(spark, "ckpt-ties")).awaitTermination()
+        assert {r.user_id: r.spend for r in IO.snapshot(spark, online, ["user_id"]).collect()} == {1: 1.0, 2: 4.0}
