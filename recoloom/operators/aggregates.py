@@ -10,7 +10,7 @@ group-by/left-join passes).
 from __future__ import annotations
 
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 EPOCH = "1970-01-01 00:00:00"
@@ -127,6 +127,6 @@ def null_profile(df: DataFrame) -> DataFrame:
 def label_distribution(df: DataFrame, label: str = "label") -> DataFrame:
     """Rows per label and the negatives/positives class weight (A-13, X-26)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    pos = df.select(F.count_if(F.col(label) == 1)).scalar()
-    neg = df.select(F.count_if(F.col(label) == 0)).scalar()
+    every = Window.partitionBy(F.lit(1))                        # one row per label
+    pos, neg = (F.sum(F.when(F.col(label) == v, F.col("n")).otherwise(0)).over(every) for v in (1, 0))
     return counts.select(label, "n", F.round(F.try_divide(neg.cast("double"), pos), 6).alias("neg_pos_ratio"))

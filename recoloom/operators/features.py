@@ -51,15 +51,12 @@ def category_affinity(inter: DataFrame, posts: DataFrame, positive=POSITIVE_TYPE
 
 
 def minmax_scale(df: DataFrame, cols: list[str]) -> DataFrame:
-    """X-6: (x − min) / (max − min) per column with bounds from one aggregation
-    (scalar subqueries); constant columns → 0."""
-    b = df.agg(*[F.min(c).alias(f"__lo_{c}") for c in cols], *[F.max(c).alias(f"__hi_{c}") for c in cols])
-    out = df
-    for c in cols:
-        lo = b.select(f"__lo_{c}").scalar()
-        hi = b.select(f"__hi_{c}").scalar()
-        out = out.withColumn(f"{c}_norm", F.coalesce(F.try_divide(F.col(c) - lo, hi - lo), F.lit(0.0)))
-    return out
+    """X-6: (x − min) / (max − min) per column; all bounds come from one aggregate
+    row, read by one scalar subquery; constant columns → 0."""
+    b = df.agg(F.struct(*[F.min(c).alias(f"lo_{c}") for c in cols], *[F.max(c).alias(f"hi_{c}") for c in cols]).alias("b")).scalar()
+    scaled = {f"{c}_norm": F.coalesce(F.try_divide(F.col(c) - F.col("__b")[f"lo_{c}"],
+                                                   F.col("__b")[f"hi_{c}"] - F.col("__b")[f"lo_{c}"]), F.lit(0.0)) for c in cols}
+    return df.withColumn("__b", b).withColumns(scaled).drop("__b")
 
 
 def top_category_flag(pairs: DataFrame, inter: DataFrame, posts: DataFrame, n: int = 3) -> DataFrame:
@@ -163,7 +160,10 @@ def keywords(docs: DataFrame, id_col: str, text: str, k: int = 5) -> DataFrame:
     from ..functions.text import raw_tokens
     toks = (docs.select(id_col, F.explode(raw_tokens(F.col(text))).alias("term"))
             .where(F.length("term") > 0))
-    tf = toks.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(docs.sparkSession)
+    # read by both sides of the join below: counted and written once
+    tf = toks.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")).checkpoint(eager=True)
     n_docs = docs.select(F.count(F.lit(1))).scalar()
     df_ = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     sc = tf.join(df_, "term").withColumn(

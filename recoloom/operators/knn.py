@@ -149,26 +149,32 @@ def knn(queries: DataFrame, items: DataFrame, k: int, metric: str = "l2",
 
 def count_better(queries: DataFrame, items: DataFrame, item_block: int = 16384,
                  query_block: int = 8192, sub_block: int = 512) -> DataFrame:
-    """For each query (qid, qvec, threshold): number of items with inner product
-    strictly above ``threshold`` — the exact rank of a true item over the whole
-    catalogue without forming pairs (A-12).  Output (qid, n_better)."""
-    qt, itt = _tile(queries.select("qid", "qvec", "threshold"), items, None, item_block, query_block)
-    schema = T.StructType([T.StructField("qid", queries.schema["qid"].dataType),
+    """For each query (qid, qvec, thresholds): how many items have an inner product
+    strictly above each of its thresholds — the exact ranks of a query's true items
+    over the whole catalogue without forming pairs (A-12).  A tile scores a query
+    once, whatever the number of its thresholds.  Output (qid, pos, n_better)."""
+    qt, itt = _tile(queries.select("qid", "qvec", "thresholds").where("qvec is not null"), items.where("ivec is not null"),
+                    None, item_block, query_block)
+    schema = T.StructType([T.StructField("qid", queries.schema["qid"].dataType), T.StructField("pos", T.IntegerType()),
                            T.StructField("n_better", T.LongType())])
 
     def kernel(qdf: pd.DataFrame, idf: pd.DataFrame) -> pd.DataFrame:
-        if len(qdf) == 0 or len(idf) == 0:
-            return pd.DataFrame({"qid": [], "n_better": []})
-        Q, X = _stack(qdf["qvec"]), _stack(idf["ivec"])
-        thr = qdf["threshold"].to_numpy(dtype=np.float64)
-        n = np.zeros(Q.shape[0], dtype=np.int64)
-        for a in range(0, Q.shape[0], sub_block):          # bounded score slice
-            n[a:a + sub_block] = ((Q[a:a + sub_block] @ X.T) > thr[a:a + sub_block, None] + 1e-12).sum(1)
-        return pd.DataFrame({"qid": qdf["qid"].values, "n_better": n})
+        out_q, out_p, out_n = [], [], []
+        if len(qdf) and len(idf):
+            Q, X = _stack(qdf["qvec"]), _stack(idf["ivec"])
+            qids, thr = qdf["qid"].values, qdf["thresholds"].values
+            for a in range(0, Q.shape[0], sub_block):          # bounded score slice
+                S = np.sort(Q[a:a + sub_block] @ X.T, axis=1)
+                for i, row in enumerate(S, a):
+                    t = np.asarray(thr[i], dtype=np.float64)
+                    out_q.extend([qids[i]] * len(t))
+                    out_p.extend(range(len(t)))
+                    out_n.extend(len(row) - np.searchsorted(row, t + 1e-12, side="right"))
+        return pd.DataFrame({"qid": out_q, "pos": out_p, "n_better": out_n})
 
     part = (qt.groupBy("g", "blk", "qc").cogroup(itt.groupBy("g", "blk", "qc"))
             .applyInPandas(kernel, schema))
-    return part.groupBy("qid").agg(F.sum("n_better").alias("n_better"))
+    return part.groupBy("qid", "pos").agg(F.sum("n_better").alias("n_better"))
 
 
 def ivf_knn(queries: DataFrame, items: DataFrame, k: int, n_cells: int | None = None, probe_share: float = 0.25,

@@ -13,7 +13,7 @@ from ..sources.tables import read_table
 from .registry import register
 from .retrieval import L2SQ, UV_SQL, user_vectors
 from . import sqlviews as S
-from .training import PAIRS_CTES
+from .training import PAIRS_CTES, _params_sql, _walk_sql
 
 
 def pair_predictions(spark, d):
@@ -162,15 +162,64 @@ def _matrices(spark, d):
     return trm, vam
 
 
-@register("feature_matrix")
+def _side_sql(name: str) -> str:
+    """Positives and sampled negatives of one split."""
+    k, n = "least(n_pos * 4, p - n_in)", name[0]
+    return f"""
+pos_{n} AS (SELECT user_id, post_id, "timestamp" FROM sp WHERE split = '{name}' AND interaction_type IN ('like', 'bookmark')),
+pin_{n} AS (SELECT DISTINCT user_id, post_id FROM pos_{n} WHERE post_id IN (SELECT post_id FROM pidx)),
+stats_{n} AS (
+  SELECT s.user_id, s.n_pos, s.ts, coalesce(i.n_in, 0) AS n_in, (SELECT count(*) FROM pidx) AS p
+  FROM (SELECT user_id, count(DISTINCT post_id) AS n_pos, max("timestamp") AS ts FROM pos_{n} GROUP BY user_id) s
+  LEFT JOIN (SELECT user_id, count(*) AS n_in FROM pin_{n} GROUP BY user_id) i USING (user_id)),
+params_{n} AS {_params_sql(f'stats_{n}', k, f'least({k} + n_in, p)')},
+got_{n} AS {_walk_sql(f'params_{n}', 'pidx', f'pin_{n}')},
+ent_{n} AS (SELECT '{name}' AS split, user_id, post_id, "timestamp" AS event_timestamp, 1 AS label FROM pos_{n}
+  UNION ALL SELECT '{name}', g.user_id, g.post_id, s.ts, 0 FROM got_{n} g JOIN stats_{n} s USING (user_id))"""
+
+
+MATRIX_SQL = "WITH " + ",\n".join([S.INTERACTIONS, S.POSTS, S.USERS, S.FEATURE_ROWS]) + """,
+sp AS (SELECT *, CASE WHEN rk < floor(n * 0.7) THEN 'train' WHEN rk < floor(n * 0.7) + floor(n * 0.15) THEN 'validation'
+                      ELSE 'test' END AS split
+       FROM (SELECT *, row_number() OVER (ORDER BY "timestamp", interaction_id) - 1 AS rk, count(*) OVER () AS n FROM interactions)),
+pidx AS (SELECT post_id, row_number() OVER (ORDER BY post_id) - 1 AS idx FROM (SELECT DISTINCT post_id FROM posts)),""" + \
+    _side_sql("train") + "," + _side_sql("validation") + """,
+ent AS (SELECT *, row_number() OVER () AS rid FROM (SELECT * FROM ent_t UNION ALL SELECT * FROM ent_v)),
+spend AS (SELECT e.rid, f.spend FROM ent e JOIN feature_rows f ON f.user_id = e.user_id AND f.feature_ts <= e.event_timestamp
+          QUALIFY row_number() OVER (PARTITION BY e.rid ORDER BY f.feature_ts DESC, f.created DESC) = 1),
+ps AS (SELECT p.post_id, p.creation_timestamp, count(i.post_id) FILTER (WHERE i.interaction_type = 'like') AS likes,
+              count(i.post_id) FILTER (WHERE i.interaction_type = 'view_full') AS views,
+              count(i.post_id) FILTER (WHERE i.interaction_type = 'comment') AS comments
+       FROM posts p LEFT JOIN interactions i USING (post_id) GROUP BY p.post_id, p.creation_timestamp),
+tpos AS (SELECT DISTINCT user_id, post_id FROM sp WHERE split = 'train' AND interaction_type IN ('like', 'bookmark', 'view_full')),
+uv AS (SELECT user_id, list(v ORDER BY dim) AS user_vector FROM (
+         SELECT user_id, dim, avg(v) AS v FROM (
+           SELECT p.user_id, unnest(range(len(e.embedding))) AS dim, unnest(e.embedding) AS v FROM tpos p JOIN posts e USING (post_id))
+         GROUP BY user_id, dim) GROUP BY user_id),
+f AS (SELECT e.*, [coalesce(spend.spend, 0.0),
+        CASE WHEN ps.creation_timestamp <= e.event_timestamp THEN CAST(ps.likes AS DOUBLE) ELSE 0.0 END,
+        CASE WHEN ps.creation_timestamp <= e.event_timestamp THEN CAST(ps.views AS DOUBLE) ELSE 0.0 END,
+        CASE WHEN ps.creation_timestamp <= e.event_timestamp THEN CAST(ps.comments AS DOUBLE) ELSE 0.0 END,
+        CASE WHEN uv.user_vector IS NULL OR p.embedding IS NULL THEN 0.0
+             ELSE coalesce(list_cosine_similarity(uv.user_vector, CAST(p.embedding AS DOUBLE[])), 0.0) END,
+        CASE WHEN coalesce(list_contains(u.onboarding_category_ids, p.category_id), false) THEN 1.0 ELSE 0.0 END,
+        CASE WHEN p.media_type = 'image' THEN 1.0 ELSE 0.0 END, CASE WHEN p.media_type = 'text' THEN 1.0 ELSE 0.0 END,
+        CASE WHEN p.media_type = 'video' THEN 1.0 ELSE 0.0 END, CASE WHEN p.media_type IS NULL THEN 1.0 ELSE 0.0 END] AS v
+      FROM ent e LEFT JOIN spend USING (rid) LEFT JOIN ps USING (post_id) LEFT JOIN posts p USING (post_id)
+      LEFT JOIN users u USING (user_id) LEFT JOIN uv USING (user_id))
+SELECT split, user_id, post_id, event_timestamp, label, CAST(unnest(range(10)) AS INTEGER) AS slot,
+       round(CAST(unnest(v) AS DOUBLE), 6) AS value FROM f"""
+
+
+@register("feature_matrix", MATRIX_SQL)
 def feature_matrix(spark, d):
-    """E-10/E-11: train-fitted encoding pipeline applied to train and validation."""
+    """E-10..E-12 / N-3: the train-fitted encoding pipeline applied to train and
+    validation; one row per slot of the assembled vector."""
     from pyspark.ml.functions import vector_to_array
     trm, vam = _matrices(spark, d)
-    both = trm.unionByName(vam)
-    return both.select("split", "user_id", "post_id", "event_timestamp", "label",
-                       F.array_join(F.transform(vector_to_array("features"),
-                                                lambda x: F.format_number(x, 6)), ",").alias("features"))
+    both = trm.unionByName(vam).select("split", "user_id", "post_id", "event_timestamp", "label",
+                                       F.posexplode(vector_to_array("features")).alias("slot", "value"))
+    return both.withColumn("value", F.round("value", 6))
 
 
 @register("train_rank")
@@ -365,3 +414,27 @@ def batch_infer(spark, d):
     w2 = np.stack([cents[c] for c in lab.labels]).T                     # 64 × n_classes
     tower = M.dense_tower(posts, "embedding", [(w1, b1), (w2, np.zeros(w2.shape[0]))])
     return tower.select("post_id", F.posexplode("tower_vector").alias("dim", "value"))
+
+
+def _weight(i: int, j: int) -> float:
+    return ((7 * i + 3 * j) % 11 - 5) / 10.0
+
+
+DENSE_SQL = "WITH " + S.POSTS + """,
+h AS (SELECT post_id, list_transform(range(8), lambda i: greatest(0.0, 0.1 + list_sum(list_transform(range(64),
+        lambda j: ((7 * i + 3 * j) % 11 - 5) / 10.0 * CAST(embedding[j + 1] AS DOUBLE))))) AS h FROM posts),
+o AS (SELECT post_id, list_transform(range(4), lambda i: greatest(0.0, 0.1 + list_sum(list_transform(range(8),
+        lambda j: ((7 * i + 3 * j) % 11 - 5) / 10.0 * h[j + 1])))) AS o FROM h)
+SELECT post_id, CAST(unnest(range(4)) AS INTEGER) AS dim, round(CAST(unnest(o) AS DOUBLE), 6) AS value FROM o"""
+
+
+@register("dense_infer", DENSE_SQL)
+def dense_infer(spark, d):
+    """SF-13 / U-6 / U-7: batched dense ReLU layers (64 → 8 → 4) with given weights over every post vector."""
+    import numpy as np
+
+    from ..operators import models as M
+    layers = [(np.array([[_weight(i, j) for j in range(n)] for i in range(m)]), np.full(m, 0.1)) for n, m in ((64, 8), (8, 4))]
+    posts = V.posts(spark, d, with_text=False).select("post_id", "embedding")
+    out = M.dense_tower(posts, "embedding", layers).select("post_id", F.posexplode("tower_vector").alias("dim", "value"))
+    return out.withColumn("value", F.round("value", 6))

@@ -11,7 +11,8 @@ import re
 import sys
 
 MARKERS = {
-    "shuffles": r"Exchange hashpartitioning|Exchange rangepartitioning|Exchange RoundRobinPartitioning",
+    "shuffles": r"(?<!Broadcast)(?<!Reused)Exchange (?:hashpartitioning|rangepartitioning|RoundRobinPartitioning|SinglePartition)",
+    "single_partition": r"Exchange SinglePartition",
     "broadcasts": r"BroadcastExchange",
     "reused": r"ReusedExchange",
     "bhj": r"BroadcastHashJoin",
@@ -19,7 +20,7 @@ MARKERS = {
     "shj": r"ShuffledHashJoin",
     "bnlj": r"BroadcastNestedLoopJoin|CartesianProduct",
     "window_group_limit": r"WindowGroupLimit",
-    "python_stages": r"FlatMapCoGroupsInPandas|MapInPandas|ArrowEvalPython|FlatMapGroupsInPandas|BatchEvalPython",
+    "python_stages": r"FlatMapCoGroupsInPandas|MapInPandas|MapInArrow|ArrowEvalPython|FlatMapGroupsInPandas|BatchEvalPython",
     "pushed_filter_scans": r"PushedFilters: \[[^\]]",
 }
 

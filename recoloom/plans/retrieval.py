@@ -153,11 +153,11 @@ def topk_accuracy(spark, d):
     user's scores over the *whole* catalogue (rank = 1 + #items scoring higher)."""
     uv = user_vectors(spark, d)
     emb = V.posts(spark, d, with_text=False).select("post_id", "embedding")
-    truth = (positive_pairs(spark, d).join(uv, "user_id").join(emb, "post_id")
-             .select(F.struct("user_id", "post_id").alias("qid"), F.col("user_vector").alias("qvec"),
-                     VX.dot("user_vector", "embedding").alias("threshold")))
+    pairs = positive_pairs(spark, d).join(uv, "user_id").join(emb, "post_id")
+    truth = (pairs.groupBy(F.col("user_id").alias("qid"))              # one row per user, with its positives' scores
+             .agg(F.collect_list(VX.dot("user_vector", "embedding") + F.lit(1e-9)).alias("thresholds"))
+             .join(uv.withColumnRenamed("user_id", "qid"), "qid").withColumnRenamed("user_vector", "qvec"))
     items = emb.select(F.col("post_id").alias("item_id"), F.col("embedding").alias("ivec"))
-    truth = truth.withColumn("threshold", F.col("threshold") + F.lit(1e-9))
     ranks = K.count_better(truth, items).select((F.col("n_better") + 1).alias("rk"))
     return ranks.agg(F.count(F.lit(1)).alias("n_positives"),
                      *[F.round(F.avg((F.col("rk") <= k).cast("double")), 6).alias(f"top_{k}_accuracy")

@@ -281,7 +281,7 @@ def interleave(spark, d):
     return R.interleave(c).select("user_id", "post_id", "category_id", "rank")
 
 
-IVF = {"probe_share": 0.6, "assign": 1}  # the supplied vectors are near isotropic: cells prune little (README)
+IVF = {"probe_share": 0.7, "assign": 1}  # the supplied vectors are near isotropic: cells prune little (README)
 
 
 @register("knn_ivf")

@@ -5,7 +5,7 @@ import pytest
 
 from conftest import SF_ORACLE, SF_SMALL
 from recoloom.plans import ORACLES
-from recoloom.plans.verify import compare, duck_connect
+from verify import compare, duck_connect
 
 _CON = {}
 

@@ -1,4 +1,4 @@
-"""Spark-vs-DuckDB comparison used by the tests and ``python -m recoloom.plans.verify``.
+"""Spark-vs-DuckDB comparison used by the tests; ``python tests/verify.py [/sf/dir] [names]`` runs it alone.
 
 Mirrors the driver's gate: row count, column names, and an order-insensitive
 hash of the values (doubles rounded to 6 places, columns sorted by name).
@@ -10,12 +10,15 @@ import datetime as _dt
 import decimal
 import hashlib
 import math
+import os
 import sys
 import time
 
 import duckdb
 
-from ..sources.tables import TABLES, table_path
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from recoloom.sources.tables import TABLES, table_path  # noqa: E402
 
 
 def duck_connect(sf_dir: str):
@@ -67,7 +70,7 @@ def type_mismatches(sdf, con, sql: str) -> dict:
 
 
 def compare(spark, name: str, sf_dir: str, con=None, show: int = 5) -> dict:
-    from . import ORACLES, QUERIES
+    from recoloom.plans import ORACLES, QUERIES
     con = con or duck_connect(sf_dir)
     t0 = time.time()
     sdf = QUERIES[name](spark, sf_dir)
@@ -95,8 +98,8 @@ def compare(spark, name: str, sf_dir: str, con=None, show: int = 5) -> dict:
 
 
 def main(argv):
-    from ..session import local_session
-    from . import ORACLES
+    from recoloom.plans import ORACLES
+    from recoloom.session import local_session
     sf_dir = "/root/testdata/sf0.01"
     names = [a for a in argv if not a.startswith("/")] or sorted(ORACLES)
     for a in argv:
