@@ -131,12 +131,9 @@ def tile_result(space: Subspaces, block: int, cosine: float, same: bool, X: np.n
     limit = np.float32(-(space.share + SLACK) / 2)              # Q @ R.T is minus half the squared distance
     for at in range(0, len(left), STRIP):
         rows = left[at:at + STRIP]
-        if same:
-            i, j = np.nonzero(Q[rows] @ R[at:].T >= limit)
-            j += at
-        else:
-            i, j = np.nonzero(Q[rows] @ R.T >= limit)
-        i, j = rows[i], right[j]
+        other = R[at:] if same else R
+        i, j = np.divmod(np.flatnonzero(Q[rows] @ other.T >= limit), len(other))
+        i, j = rows[i], right[j + at if same else j]
         keep = home[i] | home[j]
         if same:
             keep &= i < j
