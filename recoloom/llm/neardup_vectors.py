@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import map_batches, stage
 from .components import components
 
-BLOCK_DIM = 8                           # dimensions of a block
+BLOCK_DIM = 16                          # dimensions of a block
 TILE_BYTES = 8 << 20                    # components (as doubles) of one side of a tile
 STRIP, PAIRS = 512, 1 << 15             # rows and candidate pairs worked on at once
 SLACK, EDGE = 1e-5, 1e-12               # margins of the single-precision sieve and of the exact share
