@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ensure_checkpoint_dir
+
 ALL = "*"
 
 
@@ -28,7 +30,10 @@ def _tile(queries: DataFrame, items: DataFrame, query_groups: DataFrame | None,
     """Return co-groupable (queries, items) keyed by (g, blk, qc)."""
     q = queries.select("qid", "qvec", *[c for c in queries.columns if c not in ("qid", "qvec")])
     if query_groups is None:
-        # one group: block and chunk counts are two numbers, decided on the driver
+        # one group: block and chunk counts are two numbers, decided on the driver from
+        # tables written once, so that counting does not run the inputs a second time
+        ensure_checkpoint_dir(items.sparkSession)
+        items, q = items.select("item_id", "ivec").checkpoint(), q.checkpoint()
         nb = max(1, -(-items.count() // item_block))
         nq = max(1, -(-q.count() // query_block))
         items_t = items.select(F.lit(ALL).alias("g"),
@@ -186,8 +191,6 @@ def ivf_knn(queries: DataFrame, items: DataFrame, k: int, n_cells: int | None =
     Centroids are a table of ``n_cells × dim`` numbers."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
-
-    from ..session import ensure_checkpoint_dir
     spark = items.sparkSession
     ensure_checkpoint_dir(spark)
     items = items.select("item_id", "ivec").where("ivec is not null").checkpoint()      # read by every k-means pass

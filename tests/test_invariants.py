@@ -12,6 +12,7 @@ from recoloom.functions.hashing import STRIDE_PRIMES
 from recoloom.operators import knn as K
 from recoloom.operators import sampling as SM
 from recoloom.plans import QUERIES
+from recoloom.sources import views as V
 
 
 def _h(user, seed=42):
@@ -100,12 +101,12 @@ def test_count_better_equals_brute_force(spark):
     rng = np.random.default_rng(2)
     Q = rng.normal(size=(20, 6))
     X = rng.normal(size=(150, 6))
-    thr = rng.normal(size=20)
-    q = spark.createDataFrame([(i, Q[i].tolist(), float(thr[i])) for i in range(20)],
-                              "qid long, qvec array<double>, threshold double")
+    thr = rng.normal(size=(20, 3))
+    q = spark.createDataFrame([(i, Q[i].tolist(), thr[i, :1 + i % 3].tolist()) for i in range(20)],
+                              "qid long, qvec array<double>, thresholds array<double>")
     it = spark.createDataFrame([(i, X[i].tolist()) for i in range(150)], "item_id long, ivec array<double>")
-    got = {r.qid: r.n_better for r in K.count_better(q, it, item_block=11, query_block=3).collect()}
-    want = {i: int((X @ Q[i] > thr[i] + 1e-12).sum()) for i in range(20)}
+    got = {(r.qid, r.pos): r.n_better for r in K.count_better(q, it, item_block=11, query_block=3).collect()}
+    want = {(i, j): int((X @ Q[i] > thr[i, j] + 1e-12).sum()) for i in range(20) for j in range(1 + i % 3)}
     assert got == want
 
 
@@ -227,3 +228,55 @@ def test_no_cross_products_in_plans(spark, name):
     df.write.format("noop").mode("overwrite").save()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+def test_trained_recommendations_equal_a_plain_rerank(spark, monkeypatch):
+    """Boost, order and the diversity rule, recomputed row by row from the saved ranker's scores."""
+    from recoloom.plans import models as PM
+    from recoloom.plans.serving import BOOST_FACTOR, BOOST_HOURS, REF_TS
+    scores = PM.trained_scores(spark, SF_SMALL).select(
+        "user_id", "post_id", "cand_rank", "category_id", "creation_timestamp", "score").checkpoint()
+    monkeypatch.setattr(PM, "trained_scores", lambda s, d: scores)
+    got = sorted((r.user_id, r["rank"], r.post_id, r.score) for r in QUERIES["recommend_trained"](spark, SF_SMALL).collect())
+    now, by_user = dt.datetime.fromisoformat(REF_TS), {}
+    for r in scores.collect():
+        assert 0.0 <= r.score <= 1.0
+        fresh = now - r.creation_timestamp <= dt.timedelta(hours=BOOST_HOURS)
+        by_user.setdefault(r.user_id, []).append((-r.score * (BOOST_FACTOR if fresh else 1.0), r.cand_rank, r.post_id, r.category_id))
+    want = []
+    for u, items in by_user.items():
+        chosen, passed = [], []
+        for it in sorted(items):
+            cats = [c[3] for c in chosen]
+            if len(chosen) >= 20:
+                break
+            if cats.count(it[3]) < 10 and not (len(chosen) >= 5 and cats[-4:].count(it[3]) >= 3.5):
+                chosen.append(it)
+            else:
+                passed.append(it)
+        final = (chosen + passed)[:20] if len(chosen) < 20 else chosen
+        want += [(u, i + 1, it[2], round(-it[0], 6)) for i, it in enumerate(final)]
+    assert [g[:3] for g in got] == [w[:3] for w in sorted(want)]
+    assert np.allclose([g[3] for g in got], [w[3] for w in sorted(want)], atol=1e-6)
+    seen = {(r.user_id, r.post_id) for r in V.seen_store(spark, SF_SMALL).collect()}
+    assert not seen & {(g[0], g[2]) for g in got}
+
+
+def test_knn_ignores_null_vectors(spark):
+    q = spark.createDataFrame([(1, [1.0, 0.0]), (2, None)], "qid long, qvec array<double>")
+    it = spark.createDataFrame([(5, [1.0, 0.0]), (6, None), (7, [0.0, 1.0])], "item_id long, ivec array<double>")
+    assert sorted((r.qid, r.item_id) for r in K.knn(q, it, 3).collect()) == [(1, 5), (1, 7)]
+
+
+def test_ids_beyond_int_and_many_classes(spark):
+    from recoloom.operators import encoding as E
+    from recoloom.operators import models as M
+    big = 1 << 40
+    inter = spark.createDataFrame([(big + u, big + p, "like") for u in range(12) for p in range(u % 4, 12, 3)],
+                                  "user_id long, post_id long, interaction_type string")
+    _, users, posts = M.als_vectors(inter, rank=4, max_iter=2)
+    assert {r.user_id for r in users.collect()} == {big + u for u in range(12)} and posts.count() == 12
+    lists = spark.createDataFrame([(i, [f"c{j:05d}" for j in range(i, 3000, 7)]) for i in range(7)] + [(9, None), (10, [])],
+                                  "id long, classes array<string>")
+    rows = {r.id: r for r in E.multi_hot(lists, "classes", "id").collect()}
+    assert rows[3].n_classes == 3000 and list(rows[3].indices) == list(range(3, 3000, 7)) and rows[9].indices == rows[10].indices == []
