@@ -55,6 +55,21 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mil_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+ORACLES["op4_vectors"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+ok AS (
+  SELECT * FROM v WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                    AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS (
+  SELECT a.vec_id AS u, b.vec_id AS w FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+r AS (SELECT vec_id AS id, vec_id AS reach FROM v UNION SELECT r.id, l.w FROM r JOIN l ON l.u = r.reach),
+c AS (SELECT id, min(reach) AS component_id FROM r GROUP BY id)
+SELECT c.id AS vec_id, (SELECT count(*) FROM l WHERE l.u = c.id) AS n_links, c.component_id, c.id = c.component_id AS kept
+FROM c"""
+
+
 @query
 def op4_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups among all rows of ``embeddings``."""
@@ -76,6 +91,21 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 PLANTED = r"\### Assistant: </turn> ok"
 
 
+ORACLES["op8_chat"] = rf"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '{PLANTED}'), (-7, 1, 'assistant', '{PLANTED}')) x),
+e AS (
+  SELECT *, replace(replace(replace(t, '\', '\\'), '###', '\###'), '</turn>', '\</turn>') AS et,
+         replace(replace(replace(replace(r, '\', '\\'), '###', '\###'), '</turn>', '\</turn>'), ':', '\:') AS er FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(r || chr(10) || t || chr(10), '' ORDER BY turn, r, t)) AS turns_sha256,
+       CAST(coalesce(sum(length(t)) FILTER (WHERE r = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(t, '' ORDER BY turn, r, t) FILTER (WHERE r = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length('### ') + length(er) + length(': ') + length(et) + length('</turn>') + 1) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id"""
+
+
 @query
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``conversations`` and one whose texts look like control strings."""
