@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
+from .sampling import broadcast_if_small
 
 ALL = "*"
 
@@ -28,12 +29,12 @@ ALL = "*"
 def _tile(queries: DataFrame, items: DataFrame, query_groups: DataFrame | None,
           item_block: int, query_block: int):
     """Return co-groupable (queries, items) keyed by (g, blk, qc)."""
-    q = queries.select("qid", "qvec", *[c for c in queries.columns if c not in ("qid", "qvec")])
+    # sizes decide the tiles: both inputs are written once, so that counting them
+    # does not run their plans a second time
+    ensure_checkpoint_dir(items.sparkSession)
+    items, q = items.checkpoint(), queries.checkpoint()
     if query_groups is None:
-        # one group: block and chunk counts are two numbers, decided on the driver from
-        # tables written once, so that counting does not run the inputs a second time
-        ensure_checkpoint_dir(items.sparkSession)
-        items, q = items.select("item_id", "ivec").checkpoint(), q.checkpoint()
+        # one group: block and chunk counts are two numbers, decided on the driver
         nb = max(1, -(-items.count() // item_block))
         nq = max(1, -(-q.count() // query_block))
         items_t = items.select(F.lit(ALL).alias("g"),
@@ -49,7 +50,8 @@ def _tile(queries: DataFrame, items: DataFrame, query_groups: DataFrame | None,
     it = it.unionByName(items.select("item_id", "ivec", F.lit(ALL).alias("g"), *extra))
     icount = it.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / F.lit(item_block)).cast("int").alias("nb"))
     qcount = qg.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / F.lit(query_block)).cast("int").alias("nq"))
-    sizes = icount.join(qcount, "g")           # one row per group: small
+    sizes = icount.join(qcount, "g").checkpoint()               # one row per group
+    sizes = broadcast_if_small(sizes, sizes.count() * 64)
     items_t = (it.join(sizes, "g")
                .withColumn("blk", F.pmod(F.xxhash64("item_id"), F.col("nb")).cast("int"))
                .withColumn("qc", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)))
@@ -108,7 +110,8 @@ def knn(queries: DataFrame, items: DataFrame, k: int, metric: str = "l2",
     ``sub_block × item_block`` scores however large the blocks are (large
     blocks = fewer replicas of each vector in the shuffle).
     """
-    qt, itt = _tile(queries.select("qid", "qvec").where("qvec is not null"), items.where("ivec is not null"),
+    item_cols = ["item_id", "ivec", *(["g"] if query_groups is not None else [])]
+    qt, itt = _tile(queries.select("qid", "qvec").where("qvec is not null"), items.select(*item_cols).where("ivec is not null"),
                     query_groups, item_block, query_block)
     qtype = queries.schema["qid"].dataType
     itype = items.schema["item_id"].dataType
@@ -158,7 +161,8 @@ def count_better(queries: DataFrame, items: DataFrame, item_block: int = 16384,
     strictly above each of its thresholds — the exact ranks of a query's true items
     over the whole catalogue without forming pairs (A-12).  A tile scores a query
     once, whatever the number of its thresholds.  Output (qid, pos, n_better)."""
-    qt, itt = _tile(queries.select("qid", "qvec", "thresholds").where("qvec is not null"), items.where("ivec is not null"),
+    qt, itt = _tile(queries.select("qid", "qvec", "thresholds").where("qvec is not null"),
+                    items.select("item_id", "ivec").where("ivec is not null"),
                     None, item_block, query_block)
     schema = T.StructType([T.StructField("qid", queries.schema["qid"].dataType), T.StructField("pos", T.IntegerType()),
                            T.StructField("n_better", T.LongType())])
