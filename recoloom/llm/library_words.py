@@ -38,7 +38,7 @@ class LibraryEncoder:
 
     def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if self.suffix:                                         # words end where an id with the suffix stands
-            flat = np.array(self.lib.encode(" ".join(words), add_special_tokens=False).ids, np.int32)
+            flat = np.array(self.lib.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.int32)
             ends = np.flatnonzero(self.final[flat]) + 1
             if len(ends) == len(words):
                 return flat, np.diff(np.r_[0, ends])
