@@ -20,7 +20,7 @@ from .common import map_batches, shared_path
 from .library_words import encoder
 
 SCHEMA = "doc_id long, file_start long, n_tokens long, ids array<int>"
-ORC_OPTIONS = {"compression": "zstd", "orc.stripe.size": str(16 << 20), "orc.row.index.stride": "1000",
+ORC_OPTIONS = {"compression": "none", "orc.stripe.size": str(16 << 20), "orc.row.index.stride": "1000",
                "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01"}
 
 
@@ -74,7 +74,8 @@ def id_digests(rows: DataFrame) -> DataFrame:
         for b in batches:
             ids = b.column(2)
             flat, offsets = np.asarray(ids.values), np.asarray(ids.offsets)
-            crc = [zlib.crc32(flat[x:y].astype("<u4").tobytes()) & 0xFFFFFFFF for x, y in zip(offsets[:-1], offsets[1:])]
+            flat = np.ascontiguousarray(flat, dtype="<i4")      # the bytes of non-negative ids are those of unsigned ones
+            crc = [zlib.crc32(flat[x:y]) for x, y in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(np.diff(offsets).astype(np.int64)), pa.array(crc, pa.int64())],
                 names=["doc_id", "start", "n_tokens", "ids_crc32"])
