@@ -19,13 +19,13 @@ from ..defaults import INTERACTION_TYPES, RANKING_POSITIVE_TYPES as POSITIVE_TYP
 def window_counts(inter: DataFrame, ref_ts: Column, days=(1, 7, 30), types=INTERACTION_TYPES) -> DataFrame:
     """X-1: per user, count of each type within the trailing ``d`` days of ``ref_ts``
     (``ref - d days <= ts <= ref``), every (type, window) in one aggregation."""
-    t, ts = F.col("interaction_type"), F.col("timestamp")
+    t, ts, ref = F.col("interaction_type"), F.col("timestamp"), F.col("__ref")
     aggs = []
     for d in days:
-        lo = ref_ts - F.make_dt_interval(F.lit(d))
+        lo = ref - F.make_dt_interval(F.lit(d))
         for ty in types:
-            aggs.append(count_if((t == ty) & (ts >= lo) & (ts <= ref_ts)).alias(f"{ty}_count_{d}d"))
-    return inter.groupBy("user_id").agg(*aggs)
+            aggs.append(count_if((t == ty) & (ts >= lo) & (ts <= ref)).alias(f"{ty}_count_{d}d"))
+    return inter.withColumn("__ref", ref_ts).groupBy("user_id").agg(*aggs)          # one read of the reference time
 
 
 def preferred_media(inter: DataFrame, posts: DataFrame) -> DataFrame:

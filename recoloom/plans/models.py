@@ -383,7 +383,7 @@ def text_pair_cosine(spark, d):
              .withColumn("pair", F.concat_ws(":", "user_id", "post_id")))
     u = V.users(spark, d).select(F.concat(F.lit("u"), F.col("user_id")).alias("id"), F.col("about_text").alias("text"))
     p = V.posts(spark, d).select(F.concat(F.lit("p"), F.col("post_id")).alias("id"), F.col("description_text").alias("text"))
-    vec = TV.text_vectors(u.unionByName(p), "id", "text")
+    vec = TV.text_vectors(u.unionByName(p), "id", "text").checkpoint()          # read by both sides of the pairs
     left = pairs.join(vec, F.concat(F.lit("u"), F.col("user_id")) == F.col("id")).select("pair", "bucket", "value")
     right = pairs.join(vec, F.concat(F.lit("p"), F.col("post_id")) == F.col("id")).select("pair", "bucket", "value")
     return (pairs.join(TV.cosine_of_texts(left, right), "pair", "left")
