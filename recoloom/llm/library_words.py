@@ -19,7 +19,7 @@ from .wordsplit import BYTE_PLAIN, BYTE_WORDS, LOWER_PLAIN, LOWER_WORDS, TextIds
 class LibraryEncoder:
     """``encode(texts)``: the id arrays of texts."""
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, entries: int = 700_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"          # Spark owns the cores
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_file(tokenizer_path(vocabulary))
@@ -34,7 +34,7 @@ class LibraryEncoder:
             self.final[[i for t, i in vocab.items() if t.endswith(self.suffix)]] = True
         splitter = (WordSplitter(LOWER_WORDS, LOWER_PLAIN, lower_normal, specials) if lower
                     else WordSplitter(BYTE_WORDS, BYTE_PLAIN, None, specials))
-        self.encode = TextIds(splitter, self._words, specials)
+        self.encode = TextIds(splitter, self._words, specials, entries)
 
     def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if self.suffix:                                         # words end where an id with the suffix stands
@@ -49,8 +49,8 @@ class LibraryEncoder:
 _ENCODERS: dict[str, LibraryEncoder] = {}
 
 
-def encoder(vocabulary: str) -> LibraryEncoder:
-    """One encoder per worker process and vocabulary."""
+def encoder(vocabulary: str, entries: int = 700_000) -> LibraryEncoder:
+    """One encoder per worker process and vocabulary; ``entries`` bounds its word table."""
     if vocabulary not in _ENCODERS:
-        _ENCODERS[vocabulary] = LibraryEncoder(vocabulary)
+        _ENCODERS[vocabulary] = LibraryEncoder(vocabulary, entries)
     return _ENCODERS[vocabulary]

@@ -30,6 +30,7 @@ from .library_words import encoder
 TIERS = (1024, 512, 256, 128)           # window lengths, longest first; powers of two
 POOL_TOKENS = 1 << 20                   # tokens packed together; bounds a task's memory
 STEP_TOKENS = 1 << 16                   # tokens of one step group
+TABLE_WORDS = 450_000                   # words that a worker keeps the ids of, beside its pool
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "window long, step_group long")
@@ -166,7 +167,7 @@ def pack(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", end_id: int = 0
     the end id alone.  Repeated rows are packed as often as they occur; a null id
     stays null.  Sequence and step ids are unique and grow within a split."""
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = encoder(vocabulary), np.array([end_id], "<i4")
+        enc, end = encoder(vocabulary, TABLE_WORDS), np.array([end_id], "<i4")
 
         def ids() -> Iterator[tuple[int | None, np.ndarray]]:
             for b in batches:
