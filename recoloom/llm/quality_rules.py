@@ -2,9 +2,9 @@
 
 Each rule votes good or junk, or abstains.  Expectation-maximisation over the
 votes of all documents estimates how often each rule is right on good and on junk
-documents; a document is kept by its posterior probability of being good, not by
-passing every rule.  Only counts per vote pattern reach the driver: at most
-3 ** rules rows, whatever the corpus.
+documents (``label_model``); a document is kept by its posterior probability of
+being good, not by passing every rule.  Only counts per vote pattern reach the
+driver: at most 3 ** rules rows, whatever the corpus.
 """
 
 from __future__ import annotations
@@ -111,7 +111,9 @@ def rules() -> dict[str, tuple[Column, Column]]:
 
 
 def estimate(votes: np.ndarray, counts: np.ndarray, rounds: int = 200) -> dict[str, np.ndarray]:
-    """EM over vote patterns (rows of -1, 0, 1) and how many documents have each.
+    """EM over vote patterns (rows of -1, 0, 1) and how many documents have each,
+    with one junk class per rule.  No query uses it: of a rule that fires alone it
+    cannot tell whether it is wrong or has junk of its own (see ``label_model``).
 
     Junk is of several kinds, each caught by its own rule while the other rules
     find little wrong; so beside the good class there is one junk class per rule.
@@ -143,6 +145,78 @@ def estimate(votes: np.ndarray, counts: np.ndarray, rounds: int = 200) -> dict[s
     return {"junk_vote": junk_vote, "share": share, "good": belong[:, 0]}
 
 
+def surprise(x: float, n: float) -> float:
+    """Log likelihood of x of n at their own rate."""
+    return x * np.log(x / n) + (n - x) * np.log1p(-x / n)
+
+
+def fit_classes(votes: np.ndarray, counts: np.ndarray, rate: np.ndarray, share: np.ndarray,
+                rounds: int = 500) -> dict[str, np.ndarray]:
+    """EM from ``rate`` (classes x rules, row 0 the good class) and the classes' shares.
+    A rule blames a junk class as often as the good one, or more often where that
+    pays by the Bayesian information criterion, never more seldom."""
+    plus, minus = (votes > 0).astype(float), (votes < 0).astype(float)
+    junk, price = len(rate) - 1, np.log(max(counts.sum(), 1.0)) / 2
+    last, own = -np.inf, 0
+    for _ in range(rounds):
+        odds = np.log(share) + plus @ np.log1p(-rate).T + minus @ np.log(rate).T
+        top = odds.max(1, keepdims=True)
+        belong = np.exp(odds - top)
+        total = belong.sum(1, keepdims=True)
+        belong /= total
+        fits = float(counts @ (top + np.log(total))[:, 0]) - price * own
+        if abs(fits - last) < 1e-9 * abs(fits):
+            break
+        last = fits
+        mass = (counts[:, None] * belong).T
+        share = (mass.sum(1) + 0.5) / (counts.sum() + 0.5 * (junk + 1))
+        blamed, voted = mass @ minus + 0.5, mass @ (plus + minus) + 1.0
+        rate, own = blamed / voted, 0
+        for j in range(votes.shape[1]):
+            pool, x, n = [0], blamed[0, j], voted[0, j]
+            for c in 1 + np.argsort(rate[1:, j], kind="stable"):
+                cx, cn = blamed[c, j], voted[c, j]
+                if cx / cn > x / n and surprise(cx, cn) + surprise(x, n) - surprise(x + cx, n + cn) > price:
+                    own += 1
+                else:
+                    pool, x, n = [*pool, c], x + cx, n + cn
+            rate[pool, j] = x / n
+    return {"junk_vote": rate, "share": share, "good": belong[:, 0], "fits": fits}
+
+
+def label_model(votes: np.ndarray, counts: np.ndarray) -> dict[str, np.ndarray]:
+    """One good class and a few junk classes that all rules share, by EM over vote
+    patterns (rows of -1, 0, 1) and how many documents have each.
+
+    ``junk_vote[c, j]`` is how often rule ``j``, where it votes, votes junk on class
+    ``c`` (0: good).  Nothing is assumed of a single rule but that it blames no kind
+    of junk more seldom than good documents.  That makes a rule that mostly fires
+    alone identifiable: one that is merely wrong fires as often on the junk that
+    other rules find, one with a kind of junk of its own leaves that alone and needs
+    a class.  How many junk classes there are is chosen by the Bayesian information
+    criterion; with no evidence for any (few documents, or no junk that rules agree
+    or disagree on) every document is good.  Returns these, the classes' shares, and
+    each pattern's posterior of being good."""
+    counts = counts.astype(np.float64)
+    r, price = votes.shape[1], np.log(max(counts.sum(), 1.0)) / 2
+    rate = ((counts @ (votes < 0) + 0.5) / (counts @ (votes != 0) + 1.0))[None]
+    best = top = fit_classes(votes, counts, rate, np.ones(1))
+    most, at = top["fits"], 0
+    for junk in range(1, r + 1):
+        found = []
+        for j in range(r):                                      # one more class, started at what rule j blames
+            new = top["junk_vote"][0].copy()
+            new[j] = 0.9
+            found.append(fit_classes(votes, counts, np.vstack([top["junk_vote"], new]), np.r_[0.95 * top["share"], 0.05]))
+        top = max(found, key=lambda f: f["fits"])
+        worth = top["fits"] - price * junk
+        if worth > most:
+            best, most, at = top, worth, junk
+        elif junk > at + 1:
+            break
+    return best
+
+
 def pattern_of() -> Column:
     """The votes of all rules as one number in base 3."""
     votes = [F.when(bad, 0).when(good, 2).otherwise(1) for bad, good in rules().values()]
@@ -155,9 +229,9 @@ def base_failed() -> Column:
 
 def posteriors(patterns: DataFrame, column: str) -> DataFrame:
     """(column, quality_probability) of every vote pattern that occurs: at most 3 ** rules rows."""
-    counted = patterns.groupBy(column).count().collect()
+    counted = patterns.groupBy(column).count().orderBy(column).collect()
     seen = np.array([r[column] for r in counted], np.int64)
-    fitted = estimate(seen[:, None] // 3 ** np.arange(len(rules())) % 3 - 1, np.array([r["count"] for r in counted]))
+    fitted = label_model(seen[:, None] // 3 ** np.arange(len(rules())) % 3 - 1, np.array([r["count"] for r in counted]))
     return patterns.sparkSession.createDataFrame([(int(p), float(q)) for p, q in zip(seen, fitted["good"])],
                                                  f"{column} int, quality_probability double")
 
