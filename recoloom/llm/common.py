@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,6 +20,8 @@ from ..session import ensure_checkpoint_dir
 BATCH_ROWS = 2048
 BATCH_BYTES = 4 << 20
 
+FIRST_OF_LABEL = 32                     # texts of each label that go into a sample before all others
+
 
 def bound_batches(spark: SparkSession) -> None:
     """Bound the Arrow batches by rows and bytes, so that long texts cannot
@@ -60,7 +63,12 @@ def crc_fold(id_col: str | Column, folds: int) -> Column:
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, id_col: str = "doc_id",
                     text_col: str = "text", max_bytes: int = 48 << 20) -> list[tuple[str, object]]:
     """At most ``rows`` labelled texts, chosen by the lowest hash of the id, as
-    (text, label) pairs in that order; further cut to ``max_bytes`` of text.
+    (text, label) pairs in that order; further cut to ``max_bytes`` of text (a text
+    counts one byte more than it has).
+
+    A text that does not fit is left out and the next ones are tried.  The first
+    texts of every label come first and those above a sixteenth of ``max_bytes``
+    last, so that no text or label takes the room of all others.
 
     ``labels`` holds the rows that may be learned from.  A document labelled
     more than once takes its largest label.  Documents without text count as
@@ -75,16 +83,21 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, i
              .groupBy("__id").agg(F.min("__t").alias("__t"), F.max("__y").alias("__y"))
              .withColumn("__n", F.octet_length("__t")).withColumn("__h", F.xxhash64("__id")))
     kept = stage(rows_, "sample")
-    size = kept.select("__id", "__h", "__n").orderBy("__h", "__id").collect()
-    total, last = 0, None
-    for r in size:
-        total += r["__n"]
-        if total > max_bytes and last is not None:
-            break
-        last = (r["__h"], r["__id"])
-    if last is None:
+    size = kept.select("__id", "__y", "__n").orderBy("__h", "__id").collect()
+    turn, met = [], Counter()
+    for r in size:                                             # sizes of at most ``rows`` texts
+        big = r["__n"] >= max(1, max_bytes // 16)
+        met[big, r["__y"]] += 1
+        turn.append((big, met[big, r["__y"]] > FIRST_OF_LABEL))
+    total, ids = 0, []
+    for k in sorted(range(len(size)), key=turn.__getitem__):   # stable: by hash within each turn
+        if total + size[k]["__n"] + 1 <= max_bytes:
+            total += size[k]["__n"] + 1
+            ids.append((size[k]["__id"],))
+    if not ids:
         return []
-    got = kept.where((F.col("__h") < last[0]) | ((F.col("__h") == last[0]) & (F.col("__id") <= last[1])))
+    chosen = kept.sparkSession.createDataFrame(ids, T.StructType([kept.schema["__id"]]))
+    got = kept.join(F.broadcast(chosen), "__id")
     return [(r["__t"], r["__y"]) for r in got.orderBy("__h", "__id").select("__t", "__y").collect()]
 
 
