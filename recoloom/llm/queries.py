@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, fim, langid, mil_quality, neardup_vectors, orc_tokens, packing, quality_rules, simhash, toxicity
+from . import bpe, chat, fim, langid, mil_quality, neardup_vectors, orc_tokens, packing, quality_rules, secrets, simhash, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -139,3 +139,65 @@ FROM p"""
 def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text of ``documents`` rearranged for fill-in-middle training, and restored."""
     return fim.round_trip(table(spark, sf_dir, "documents"))
+
+
+def _secrets_sql() -> str:
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    assign, whole = quoted(secrets.ASSIGN), quoted("[A-Za-z_/+-]{7,}[0-9]{0,4}")
+    patterns = ", ".join(f"({i}, {quoted(p)})" for i, p in enumerate(
+        [secrets.ASSIGN, "AKIA[A-Z0-9]{14,}", "[0-9a-f]{16,}", "[A-Za-z0-9+/_-]{16,}", "[A-Za-z0-9+/_-]{7,}"]))
+    wide, smooth, any_ = len(secrets.ALPHABET), secrets.SMOOTH, secrets.ANY_ALPHABET
+    places = "list_transform(string_split(run, ''), lambda c: instr('" + secrets.ALPHABET + "', c))"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+f AS (
+  SELECT rid, kind, regexp_extract_all(t, p) AS v, string_split_regex(t, p) AS g
+  FROM d, (VALUES {patterns}) x(kind, p)),
+e AS (
+  SELECT rid, kind, unnest(v) AS v, unnest(list_transform(range(1, len(v) + 1), lambda i:
+           length(array_to_string(v[1:i - 1], '')) + length(array_to_string(g[1:i], '')))) AS start FROM f),
+s AS (
+  SELECT rid, kind, start, start + length(v) AS stop,
+         CASE kind WHEN 0 THEN regexp_extract(v, {assign}, 1) ELSE v END AS value FROM e),
+base AS (SELECT * FROM s WHERE kind < 3 AND (kind > 0 OR length(value) >= {secrets.LEAST_VALUE})),
+learned AS (
+  SELECT run, max(secret) AS secret FROM (
+    SELECT value AS run, 1 AS secret FROM base UNION ALL
+    SELECT value, 0 FROM s WHERE kind = 4 AND regexp_full_match(value, {whole})) GROUP BY run),
+path AS (SELECT secret, [0] || list_filter({places}, lambda i: i > 0) AS w FROM learned),
+step AS (SELECT secret, unnest(w[1:-2]) AS a, unnest(w[2:]) AS b FROM path),
+n AS (SELECT secret, a, b, count(*) AS n FROM step GROUP BY secret, a, b),
+tot AS (SELECT secret, a, sum(n) AS n FROM n GROUP BY secret, a),
+grid AS (SELECT a, b FROM range(0, {wide + 1}) x(a), range(1, {wide + 1}) y(b)),
+chance AS (
+  SELECT g.a, g.b, z.secret, (coalesce(n.n, 0) + {smooth}) / (coalesce(tot.n, 0) + {smooth * wide}) AS p
+  FROM grid g CROSS JOIN (VALUES (0), (1)) z(secret) LEFT JOIN n ON n.a = g.a AND n.b = g.b AND n.secret = z.secret
+  LEFT JOIN tot ON tot.a = g.a AND tot.secret = z.secret),
+ratio AS (
+  SELECT a, b, ln({1 - any_} * max(p) FILTER (WHERE secret = 1) + {any_} / {wide}) - ln(max(p) FILTER (WHERE secret = 0)) AS r
+  FROM chance GROUP BY a, b),
+run AS (SELECT DISTINCT value AS run FROM s WHERE kind = 3),
+runpath AS (SELECT run, [0] || {places} AS w FROM run),
+runstep AS (SELECT run, unnest(w[1:-2]) AS a, unnest(w[2:]) AS b FROM runpath),
+odd AS (
+  SELECT run FROM runstep JOIN ratio USING (a, b) GROUP BY run
+  HAVING sum(r) + ln({secrets.PRIOR} / (1 - {secrets.PRIOR})) > 0),
+spans AS (
+  SELECT rid, kind, start, stop FROM base UNION ALL
+  SELECT rid, kind, start, stop FROM s WHERE kind = 3 AND value IN (SELECT run FROM odd)
+    AND (rid, start, stop) NOT IN (SELECT (rid, stop - length(value), stop) FROM base)),
+named AS (
+  SELECT *, (['assign', 'access', 'hex', 'random'])[kind + 1] || ':' || start || ':' || stop AS w FROM spans)
+SELECT doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access,
+       count(*) FILTER (WHERE kind = 2) AS n_hex,
+       sha256(coalesce(string_agg(w, ',' ORDER BY start, kind) FILTER (WHERE kind < 3), '')) AS base_sha256,
+       coalesce(string_agg(w, ',' ORDER BY start, kind), '') AS spans
+FROM d LEFT JOIN named USING (rid) GROUP BY rid, doc_id"""
+
+
+ORACLES["op11_secrets"] = _secrets_sql()
+
+@query
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every whole text of ``documents``."""
+    return secrets.report(table(spark, sf_dir, "documents"))
