@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, fim, langid, mil_quality, neardup_vectors, orc_tokens, packing, quality_rules, secrets, simhash, toxicity
+from . import bpe, chat, fim, langid, mil_quality, neardup_vectors, orc_tokens, packing, quality_rules, secrets, simhash, spelling, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -201,3 +201,9 @@ ORACLES["op11_secrets"] = _secrets_sql()
 def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every whole text of ``documents``."""
     return secrets.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of all ``documents``."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
