@@ -203,6 +203,43 @@ def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+ORACLES["op13_spelling"] = r"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS t
+  FROM range(256) x(i)),
+r AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]{7,}')) AS run FROM documents),
+l AS (
+  SELECT id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS k FROM r GROUP BY 1, 2),
+x AS (SELECT run, k, hex(encode(id || ':' || run)) AS h FROM l),
+y AS (
+  SELECT run, k, xor(list_reduce(list_transform(range(1, CAST(length(h) / 2 AS BIGINT) + 1),
+           lambda i: CAST('0x' || substr(h, 2 * i - 1, 2) AS BIGINT)),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS h FROM x, crc),
+z AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, k FROM y),
+w AS (
+  SELECT word, CAST(sum(k) AS BIGINT) AS n FROM z WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+p AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w),
+g AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS gap FROM p),
+near AS (
+  SELECT a.word, b.word AS other, b.n FROM g a JOIN g b ON a.i = b.i AND a.gap = b.gap AND a.word <> b.word
+  UNION SELECT g.word, w.word, w.n FROM g JOIN w ON w.word = g.gap
+  UNION SELECT w.word, g.word, g.n FROM g JOIN w ON w.word = g.gap),
+b AS (SELECT word, count(*) AS n_near, max(n) AS m FROM near GROUP BY word),
+f AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.m >= 10 * w.n THEN b.m END AS form_n,
+         CASE WHEN b.m >= 10 * w.n THEN (SELECT min(encode(other)) FROM near x WHERE x.word = w.word AND x.n = b.m) END AS best
+  FROM w LEFT JOIN b USING (word)),
+form AS (SELECT word, n, n_near, form_n, decode(best) AS form FROM f),
+step AS (
+  SELECT word, form AS at FROM form WHERE form IS NOT NULL
+  UNION ALL SELECT step.word, form.form FROM step JOIN form ON form.word = step.at WHERE form.form IS NOT NULL),
+last AS (SELECT step.word, step.at FROM step JOIN form ON form.word = step.at WHERE form.form IS NULL)
+SELECT form.word, form.form, coalesce(last.at, form.word) AS root, form.n, form.n_near, form.form_n
+FROM form LEFT JOIN last USING (word)"""
+
+
 @query
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spelling variants among the words of all ``documents``."""
