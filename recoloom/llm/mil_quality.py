@@ -83,8 +83,9 @@ def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         span = stop - start
         at = np.repeat(start - (np.cumsum(span) - span), span) + np.arange(span.sum())
         of = np.repeat(np.arange(count), span)
-        nxt = cls[np.minimum(at + 1, len(cls) - 1)].astype(np.int64)
-        pair = of * (CLASSES * CLASSES) + cls[at].astype(np.int64) * CLASSES + nxt
+        nxt = np.r_[cls[1:], cls[-1:]]
+        nxt[text_end - 1] = cls[text_end - 1]                   # a text ends with its line; its neighbour has no part in it
+        pair = of * (CLASSES * CLASSES) + cls[at].astype(np.int64) * CLASSES + nxt[at]
         hist = np.bincount(pair, minlength=count * CLASSES * CLASSES).reshape(count, -1)
         X[:, :CLASSES * CLASSES] = np.sqrt(hist / span[:, None])
         with np.errstate(over="ignore"):

@@ -87,7 +87,15 @@ def subspaces(dim: int, cosine: float) -> Subspaces:
 
 
 def matrix(col: pa.ListArray, dim: int) -> np.ndarray:
-    return np.asarray(col.flatten()).astype(np.float64).reshape(len(col), dim)
+    """The vectors in double precision.  Those whose squared norm could overflow or
+    lose digits are divided by the power of two of their largest component, which
+    changes no direction and rounds nothing."""
+    X = np.asarray(col.flatten()).astype(np.float64).reshape(len(col), dim)
+    top = np.abs(X).max(1, initial=0.0)
+    far = (top > 1e100) | (top < 1e-100)
+    if far.any():
+        X[far] = np.ldexp(X[far], -np.frexp(top[far])[1][:, None])
+    return X
 
 
 class Union:

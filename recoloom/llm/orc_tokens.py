@@ -54,10 +54,12 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str = "word_bpe_49
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids): ``start`` counts all ids of earlier
     documents.  Only the length column is read for the files' totals; that table
-    has one row per file, which bounds both its window and its broadcast."""
+    has one row per file, which bounds both its window and its broadcast.  Files go
+    by their part number: names have five digits at least, not always the same."""
     rows = spark.read.schema(SCHEMA).orc(path).withColumn("file", F.col("_metadata.file_name"))
     totals = rows.groupBy("file").agg(F.sum("n_tokens").alias("total"))
-    base = totals.select("file", (F.sum("total").over(Window.orderBy("file")) - F.col("total")).alias("base"))
+    part = F.regexp_extract("file", r"part-(\d+)", 1).cast("long")
+    base = totals.select("file", (F.sum("total").over(Window.orderBy(part)) - F.col("total")).alias("base"))
     return (rows.join(F.broadcast(base), "file")
             .select("doc_id", (F.col("base") + F.col("file_start")).alias("start"), "n_tokens", "ids"))
 

@@ -110,41 +110,6 @@ def rules() -> dict[str, tuple[Column, Column]]:
     }
 
 
-def estimate(votes: np.ndarray, counts: np.ndarray, rounds: int = 200) -> dict[str, np.ndarray]:
-    """EM over vote patterns (rows of -1, 0, 1) and how many documents have each,
-    with one junk class per rule.  No query uses it: of a rule that fires alone it
-    cannot tell whether it is wrong or has junk of its own (see ``label_model``).
-
-    Junk is of several kinds, each caught by its own rule while the other rules
-    find little wrong; so beside the good class there is one junk class per rule.
-    ``junk_vote[c, j]`` is how often rule ``j``, where it votes, votes junk on class
-    ``c`` (0: good), which is one minus its accuracy on good documents and its
-    accuracy on that kind of junk.  A start at "junk if any rule says so" and light
-    priors (rules seldom blame good documents, and catch their own kind) fix which
-    class is which.  Returns these, the classes' shares, and each pattern's
-    posterior of being good."""
-    n, r = votes.shape
-    counts = counts.astype(np.float64)
-    plus, minus = (votes > 0).astype(float), (votes < 0).astype(float)
-    blamed = minus.sum(1, keepdims=True)
-    belong = np.hstack([np.where(blamed > 0, 0.1, 0.95), np.where(blamed > 0, 0.9 * minus / np.maximum(blamed, 1), 0.05 / r)])
-    prior, of = np.full((r + 1, r), 0.5), np.full((r + 1, r), 2.0)
-    prior[0], of[0] = 0.5, 10.0
-    own = np.arange(r)
-    prior[own + 1, own], of[own + 1, own] = 9.5, 10.0
-    for _ in range(rounds):
-        mass = (counts[:, None] * belong).T
-        share = (mass.sum(1) + 1.0) / (counts.sum() + r + 1.0)
-        junk_vote = (mass @ minus + prior) / (mass @ (plus + minus) + of)
-        odds = np.log(share) + plus @ np.log1p(-junk_vote).T + minus @ np.log(junk_vote).T
-        new = np.exp(odds - odds.max(1, keepdims=True))
-        new /= new.sum(1, keepdims=True)
-        moved, belong = np.abs(new - belong).max(initial=0.0), new
-        if moved < 1e-10:
-            break
-    return {"junk_vote": junk_vote, "share": share, "good": belong[:, 0]}
-
-
 def surprise(x: float, n: float) -> float:
     """Log likelihood of x of n at their own rate."""
     return x * np.log(x / n) + (n - x) * np.log1p(-x / n)

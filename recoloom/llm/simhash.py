@@ -185,7 +185,8 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     smallest doc_id (a null id only if the group has no other), and of rows that
     repeat it the one written first.  Texts are read once; what decides is one
     number per row."""
-    fp, row = (next(n for n in (f"{x}{'_' * k}" for k in range(99)) if n not in docs.columns) for x in ("fp", "row"))
+    taken = {c.lower() for c in docs.columns}                   # names differ by more than case
+    fp, row = (next(n for n in (f"{x}{'_' * k}" for k in range(len(taken) + 1)) if n not in taken) for x in ("fp", "row"))
     kept = stage(with_fingerprint(docs, shingle, fp).withColumn(row, F.monotonically_increasing_id()), "simhash-docs")
     small = kept.select(F.col(fp).alias("fp"), F.struct(F.isnull("doc_id"), F.col("doc_id"), F.col(row)).alias("rank"))
     first = small.groupBy("fp").agg(F.min("rank").alias("rank"))

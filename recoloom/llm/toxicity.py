@@ -1,9 +1,9 @@
 """Toxicity: averaged subword embeddings under a linear softmax.
 
 A text is scored in overlapping windows of words, each by the average of its
-subword embeddings, and the text's score is the share of windows that the softmax
-finds toxic: a slur in a long text is not averaged away, and one chance hit in a
-long text does not condemn it.  The model is trained jointly (embeddings and
+subword embeddings.  The text's score is the share of windows that the softmax finds
+toxic in its densest stretch of ``STRETCH`` windows: a toxic passage counts alike in
+a text of any length, and one chance hit does not condemn a text.  The model is trained jointly (embeddings and
 softmax) in numpy: windows of clean texts are clean; of a toxic text the windows
 that the model finds worst are taken as toxic, starting from all its windows.  The
 worst words of toxic windows are also shown misspelt, so that unseen spellings
@@ -26,6 +26,7 @@ from .wordsplit import pieces
 
 WINDOW, STRIDE = 16, 8
 SAMPLE_ROWS = 6000                      # labelled texts that the classifier is fitted on
+STRETCH = 32                            # windows (about 260 words) over which the share is taken
 WORST_SHARE, WORST_MOST = 0.25, 12      # windows of a toxic text that are taken as toxic
 PRIOR_WINDOWS, PRIOR_SHARE = 2.0, 0.02  # smooths the share of toxic windows of short texts
 BITS, DIM, LOW, HIGH = 17, 16, 3, 7      # n-grams are over UTF-8 bytes
@@ -61,9 +62,18 @@ def window_scores(sums: np.ndarray, counts: np.ndarray, start: np.ndarray, end:
 
 
 def share_scores(p: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
-    """Log odds of each text's smoothed share of toxic windows."""
-    share = (np.bincount(owner, p, n) + PRIOR_WINDOWS * PRIOR_SHARE) / (np.bincount(owner, minlength=n) + PRIOR_WINDOWS)
-    return np.log(share) - np.log1p(-share)
+    """Log odds of the smoothed share of toxic windows in the densest stretch of
+    STRETCH windows (all windows, if fewer) of each of ``n`` owners; owners ascend."""
+    at = np.arange(len(p))
+    stop = np.searchsorted(owner, owner, side="right")
+    end = np.minimum(at + STRETCH, stop)
+    whole = (end - at == STRETCH) | (at == np.searchsorted(owner, owner))
+    total = np.r_[0.0, np.cumsum(p, dtype=np.float64)]
+    share = (total[end] - total[at] + PRIOR_WINDOWS * PRIOR_SHARE) / (end - at + PRIOR_WINDOWS)
+    best = np.zeros(n)
+    np.maximum.at(best, owner[whole], share[whole])
+    best = np.clip(best, 1e-6, 1 - 1e-6)
+    return np.log(best) - np.log1p(-best)
 
 
 def misspell(word: str, rng: np.random.Generator) -> str:
@@ -163,8 +173,8 @@ def train(sample: list[tuple[str, int]], epochs: int = 8, seed: int = 11) -> Mod
 
 
 def bag_scores(model: Model, table: WordScores, texts: list[str]) -> np.ndarray:
-    """Each text's share score; long texts pass in pieces, which bounds memory.  A
-    text without words has one window of raw score 0."""
+    """Each text's share score; long texts pass in pieces, which bounds memory, and
+    the densest piece counts.  A text without words has one window of raw score 0."""
     parts: list[list[str]] = []
     owner: list[int] = []
     for i, t in enumerate(texts):
@@ -174,7 +184,10 @@ def bag_scores(model: Model, table: WordScores, texts: list[str]) -> np.ndarray:
     sums, counts = table(parts)
     start, end, own = window_bounds(np.array([len(x) for x in parts], np.int64))
     value = window_scores(sums[:, 0], counts, start, end)
-    return share_scores(sigmoid(value + model.bias), np.array(owner, np.int64)[own], len(texts))
+    by_piece = share_scores(sigmoid(value + model.bias), own, len(parts))
+    best = np.full(len(texts), -np.inf)
+    np.maximum.at(best, np.array(owner, np.int64), by_piece)
+    return best
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:

@@ -116,6 +116,25 @@ def test_word_scores_do_not_depend_on_the_table(spark):
     assert np.allclose(free([["bc"]])[0][0], C[flat].sum(0)) and offsets[1] == 6      # <b bc c> <bc bc> <bc>
 
 
+def test_a_toxic_passage_in_a_long_clean_text(spark):
+    """A passage counts alike in texts of any length."""
+    docs, labels = (spark.read.parquet(f"{SF_LARGE}/{t}.parquet") for t in ("documents", "labels"))
+    from pyspark.sql import functions as F
+    from recoloom.llm.common import crc_fold
+    model = toxicity.train(labelled_sample(docs, labels.where(crc_fold("doc_id", 3) != 1), "toxic", 6000))
+    table = WordScores(model.grams, model.contributions)
+    p = lambda texts: 1 / (1 + np.exp(-(model.slope * toxicity.bag_scores(model, table, texts) + model.offset)))
+    held = docs.join(labels.where(crc_fold("doc_id", 3) == 1), "doc_id").where(F.length("text") > 600).orderBy("doc_id")
+    toxic = [r.text for r in held.where("toxic = 1").collect()]
+    toxic = [t for t, s in zip(toxic, p(toxic)) if s > 0.9][:10]
+    clean = [r.text for r in held.where("toxic = 0").collect()]
+    clean = " ".join(t for t, s in zip(clean, p(clean)) if s < 0.3).split()
+    for n in (1000, 4000, 16_000, 40_000):
+        around = [" ".join(clean[:n // 2]) + "\n" + t + "\n" + " ".join(clean[n // 2:n]) for t in toxic]
+        assert (p(around) >= 0.7).mean() >= 0.9
+        assert p([" ".join(clean[:n])])[0] < 0.7
+
+
 def test_misspellings_share_vectors():
     rng = np.random.default_rng(5)
     word = lambda: "".join(rng.choice(list("abcdefghijk"), 6))

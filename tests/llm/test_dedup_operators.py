@@ -44,6 +44,9 @@ def test_simhash_hostile_rows(spark):
     assert kept.columns == docs.columns
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted({w[2] for w in want}, key=str)
     assert simhash.keep_one(docs.limit(0)).count() == 0
+    renamed = docs.withColumnsRenamed({"fp": "FP", "row": "Row", "ids": "fp_"})
+    kept = simhash.keep_one(renamed)
+    assert kept.columns == renamed.columns and kept.count() == len({w[2] for w in want})
 
 
 @pytest.mark.parametrize("crowd,tile", [(8, 4096), (2, 3), (10_000, 4096)])
@@ -107,6 +110,15 @@ def hostile_vectors():
                    [1.0, 2.0, 3.0], [1.0, 2.0, 3.1]]
 
 
+def test_vectors_of_any_scale(spark):
+    """Squares of the components would overflow, or vanish."""
+    base = [[1.0, 2.0, 3.0, -1.0], [1.0, 2.0, 3.1, -1.0], [3.0, -2.0, 0.0, 1.0]]
+    rows = [[x * s for x in v] for s in (1e200, 1e-200, 1e300, 1e-300, 1.0) for v in base]
+    df = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in neardup_vectors.near_duplicates(df).collect())
+    assert got == [(i, 4 if i % 3 == 2 else 9, 2 if i % 3 == 2 else 0, i in (0, 2)) for i in range(15)]
+
+
 @pytest.mark.parametrize("tile_bytes", [8 << 20, 2048])
 def test_vectors_equal_all_pairs(spark, monkeypatch, tile_bytes):
     monkeypatch.setattr(neardup_vectors, "TILE_BYTES", tile_bytes)

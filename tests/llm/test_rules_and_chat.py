@@ -1,6 +1,7 @@
 """Quality rules and chat formatting against brute force; the template compiler."""
 
 import hashlib
+import math
 from collections import Counter
 
 import numpy as np
@@ -33,35 +34,47 @@ def test_rules_agree_with_quality_labels(spark):
     assert np.mean([r.kept for r in rows if r.quality]) > 0.99
 
 
-def em(votes, counts):
-    """Plain EM, pattern by pattern: class 0 is good, class j + 1 the junk of rule j."""
-    r, belong = len(votes[0]), []
-    for v in votes:
-        bad = [j for j in range(r) if v[j] < 0]
-        belong.append([0.1] + [0.9 / len(bad) * (j in bad) for j in range(r)] if bad else [0.95] + [0.05 / r] * r)
-    for _ in range(200):
-        share = [(sum(c * b[k] for c, b in zip(counts, belong)) + 1) / (sum(counts) + r + 1) for k in range(r + 1)]
-        rate = []
-        for k in range(r + 1):
-            row = []
-            for j in range(r):
-                a, n = (0.5, 10) if k == 0 else (9.5, 10) if j == k - 1 else (0.5, 2)
-                row.append((sum(c * b[k] for c, b, v in zip(counts, belong, votes) if v[j] < 0) + a)
-                           / (sum(c * b[k] for c, b, v in zip(counts, belong, votes) if v[j]) + n))
-            rate.append(row)
-        belong = []
-        for v in votes:
-            p = [share[k] * float(np.prod([rate[k][j] if x < 0 else 1 - rate[k][j] for j, x in enumerate(v) if x])) for k in range(r + 1)]
+def em(votes, counts, rate, share, rounds):
+    """Plain EM, pattern by pattern, from the given rates of junk votes by class and
+    rule.  A rule's rates are pooled with the good class's unless a class of its own
+    pays by the information criterion."""
+    classes, rules, price = len(rate), len(votes[0]), math.log(sum(counts)) / 2
+    spread = lambda x, n: x * math.log(x / n) + (n - x) * math.log(1 - x / n)
+    last, own = -math.inf, 0
+    for _ in range(rounds):
+        belong, fits = [], -price * own
+        for v, c in zip(votes, counts):
+            p = [share[k] * math.prod(rate[k][j] if x < 0 else 1 - rate[k][j] for j, x in enumerate(v) if x) for k in range(classes)]
             belong.append([x / sum(p) for x in p])
+            fits += c * math.log(sum(p))
+        if abs(fits - last) < 1e-9 * abs(fits):
+            break
+        last, own = fits, 0
+        share = [(sum(c * b[k] for c, b in zip(counts, belong)) + 0.5) / (sum(counts) + 0.5 * classes) for k in range(classes)]
+        total = lambda k, j, who: sum(c * b[k] for c, b, v in zip(counts, belong, votes) if v[j] in who)
+        x = [[total(k, j, (-1,)) + 0.5 for j in range(rules)] for k in range(classes)]
+        n = [[total(k, j, (-1, 1)) + 1.0 for j in range(rules)] for k in range(classes)]
+        rate = [[x[k][j] / n[k][j] for j in range(rules)] for k in range(classes)]
+        for j in range(rules):
+            pool, px, pn = [0], x[0][j], n[0][j]
+            for k in sorted(range(1, classes), key=lambda k: rate[k][j]):
+                if rate[k][j] > px / pn and spread(x[k][j], n[k][j]) + spread(px, pn) - spread(px + x[k][j], pn + n[k][j]) > price:
+                    own += 1
+                else:
+                    pool, px, pn = [*pool, k], px + x[k][j], pn + n[k][j]
+            for k in pool:
+                rate[k][j] = px / pn
     return [b[0] for b in belong]
 
 
-def test_em_equals_the_plain_version():
+@pytest.mark.parametrize("rounds", [1, 3, 40])
+def test_em_equals_the_plain_version(rounds):
     rng = np.random.default_rng(0)
-    votes = np.unique(rng.integers(-1, 2, (25, 4)), axis=0)
+    votes = np.unique(rng.integers(-1, 2, (40, 4)), axis=0)
     counts = rng.integers(1, 200, len(votes))
-    got = quality_rules.estimate(votes, counts)["good"]
-    assert np.allclose(got, em([tuple(v) for v in votes], counts.tolist()), atol=1e-6)
+    rate, share = np.array([[0.1, 0.2, 0.1, 0.3], [0.9, 0.2, 0.1, 0.6], [0.1, 0.8, 0.7, 0.3]]), np.array([0.8, 0.1, 0.1])
+    got = quality_rules.fit_classes(votes, counts.astype(float), rate, share, rounds)["good"]
+    assert np.allclose(got, em([tuple(v) for v in votes.tolist()], counts.tolist(), rate.tolist(), share.tolist(), rounds), atol=1e-9)
 
 
 def test_rules_hostile_rows(spark):

@@ -3,6 +3,7 @@
 import hashlib
 import os
 
+import shutil
 import numpy as np
 import pytest
 
@@ -126,6 +127,20 @@ def check_packed(docs, rows):
         assert at <= 1024 and at & (at - 1) == 0 and at == pieces[0].window
 
 
+def test_orc_files_go_by_number(spark, monkeypatch):
+    """Beyond 99,999 files names are longer and sort differently as text."""
+    path = shared_path(spark, "test-many")
+    local = path.removeprefix("file:")
+    for part in (99_999, 100_000, 100_001):
+        orc_tokens.write_token_files(documents(spark, [f"text {part}"]).selectExpr(f"doc_id + {part} as doc_id", "text").repartition(1), f"{path}-{part}")
+        name = next(f for f in sorted(os.listdir(f"{local}-{part}")) if f.endswith(".orc"))
+        os.makedirs(local, exist_ok=True)
+        shutil.copy(f"{local}-{part}/{name}", f"{local}/part-{part}-{name[11:]}")
+    rows = sorted(orc_tokens.read_token_files(spark, path).collect(), key=lambda r: r.doc_id)
+    assert [r.doc_id for r in rows] == [99_999, 100_000, 100_001]
+    assert [r.start for r in rows] == [0, rows[0].n_tokens, rows[0].n_tokens + rows[1].n_tokens]
+
+
 def test_op10_whole_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
     ids = {r.doc_id: x + [0] for r, x in zip(docs, wanted(BYTE, [r.text for r in docs]))}
