@@ -195,12 +195,14 @@ def materialize_incremental(spark, source: DataFrame, keys: list[str] | str, ts:
                             online_path: str, state_path: str, end, created_col: str | None = None) -> None:
     """F-4: materialise rows with ``last_end < ts <= end`` into the online table
     (latest per key wins, ties → greatest ``created_col``), then record ``end``
-    as the new high-water mark (a one-row Parquet table)."""
+    as the new high-water mark.  Both are batches numbered by the mark they start
+    from, so a run that is repeated after a failure replaces what it had written."""
     from ..sources import io as IO
     keys = [keys] if isinstance(keys, str) else list(keys)
-    src = source.where(F.col(ts) <= end)
+    src, start = source.where(F.col(ts) <= end), 0
     if IO.path_exists(spark, state_path):
-        src = src.where(F.col(ts) > F.lit(spark.read.parquet(state_path).first()["end_ts"]))
+        mark = IO.read_batches(spark, state_path).agg(F.max("end_ts").alias("t")).select("t", _micros(F.col("t")).alias("m")).first()
+        src, start = src.where(F.col(ts) > F.lit(mark["t"])), mark["m"]
     extra = [created_col] if created_col else []
-    IO.upsert(spark, online_path, src.select(*keys, *[c for c in cols if c != ts], ts, *extra), keys, [ts, *extra])
-    spark.range(1).select(F.lit(end).alias("end_ts")).write.mode("overwrite").parquet(state_path)
+    IO.write_batch(src.select(*keys, *[c for c in cols if c != ts], ts, *extra), online_path, "materialize", start)
+    IO.write_batch(spark.range(1).select(end.alias("end_ts")), state_path, "materialize", start)

@@ -191,4 +191,4 @@ def materialize_incremental(spark, d):
     for upto in (mid_ts, end):
         asof.materialize_incremental(spark, src, "user_id", "feature_ts", ["spend"], online, state,
                                      F.lit(upto).cast("timestamp_ntz"), created_col="created")
-    return IO.snapshot(spark, online, ["user_id"]).select("user_id", "spend", "feature_ts")
+    return IO.read_latest(spark, online, ["user_id"], ["feature_ts", "created"]).select("user_id", "spend", "feature_ts")

@@ -77,12 +77,12 @@ def upsert_interactions(spark, d):
     ss = (split.where(F.col("interaction_type").isin(list(seen)))
           .select("user_id", "post_id", V._case_map(F.col("interaction_type"), seen, None).alias("interaction_type"),
                   F.col("timestamp").alias("interaction_timestamp"), "split"))
-    path = IO.scratch_path(spark, "seen-store")
-    keys = ["user_id", "post_id", "interaction_type"]
-    IO.upsert(spark, path, ss.where(F.col("split") == "train").drop("split"), keys, "interaction_timestamp")
-    IO.upsert(spark, path, ss.where(F.col("split") != "train").drop("split"), keys, "interaction_timestamp")
-    IO.compact(spark, path, keys)
-    return IO.snapshot(spark, path, keys)
+    path, whole = IO.scratch_path(spark, "seen-store"), IO.scratch_path(spark, "seen-store-compact")
+    keys, ts = ["user_id", "post_id", "interaction_type"], "interaction_timestamp"
+    for batch, part in enumerate((F.col("split") == "train", F.col("split") != "train")):
+        IO.write_batch(ss.where(part).drop("split"), path, "load", batch)
+    IO.write_batch(IO.read_latest(spark, path, keys, ts), whole, "compacted", 0)
+    return IO.read_latest(spark, whole, keys, ts)
 
 
 @register("delete_users", SEEN_LATEST_SQL.format(
@@ -93,14 +93,14 @@ def upsert_interactions(spark, d):
 def delete_users(spark, d):
     """SNK-5: users whose most recent store row is a 'reported' one are deleted
     from the store (only their keys are written)."""
-    path = IO.scratch_path(spark, "seen-store")
+    path, deletes = IO.scratch_path(spark, "seen-store"), IO.scratch_path(spark, "seen-deletes")
     store = V.seen_store(spark, d)
-    keys = ["user_id", "post_id", "interaction_type"]
-    IO.upsert(spark, path, store, keys, "interaction_timestamp")
-    last = store.groupBy("user_id").agg(F.max_by("interaction_type", F.struct(
-        "interaction_timestamp", "post_id", "interaction_type")).alias("last_type"))
-    IO.delete_keys(spark, path, last.where(F.col("last_type") == "reported").select("user_id"))
-    return IO.snapshot(spark, path, keys)
+    keys, ts = ["user_id", "post_id", "interaction_type"], "interaction_timestamp"
+    IO.write_batch(store, path, "load", 0)
+    last = store.groupBy("user_id").agg(F.max_by("interaction_type", F.struct(ts, "post_id", "interaction_type")).alias("last_type"),
+                                        F.max(ts).alias("deleted_at"))
+    IO.delete_keys(last.where(F.col("last_type") == "reported").select("user_id", "deleted_at"), deletes, "moderation", 0)
+    return IO.read_latest(spark, path, keys, ts, deletes=deletes)
 
 
 @register("run_metrics", S.with_views("""
@@ -151,21 +151,35 @@ def stream_push(spark, d):
     online, offline = IO.scratch_path(spark, "online"), IO.scratch_path(spark, "offline")
     q = ST.push_features(stream, offline, online, ["user_id"], ["feature_ts", "created"], IO.scratch_path(spark, "ckpt-push"))
     _await(q)
-    return IO.snapshot(spark, online, ["user_id"]).select("user_id", "spend", "feature_ts", "created")
+    return IO.read_latest(spark, online, ["user_id"], ["feature_ts", "created"]).select("user_id", "spend", "feature_ts", "created")
 
 
-@register("stream_seen", "WITH " + ",\n".join([S.INTERACTIONS, S.SEEN]) + """
-SELECT user_id, post_id, interaction_type, max(interaction_timestamp) AS interaction_timestamp
-FROM seen_store GROUP BY user_id, post_id, interaction_type""")
+LATE = "post_id % 10 = 3 AND CAST(interaction_timestamp AS DATE) < (SELECT min(CAST(interaction_timestamp AS DATE)) + 3 FROM seen_store)"
+
+
+@register("stream_seen", "WITH " + ",\n".join([S.INTERACTIONS, S.SEEN]) + f"""
+SELECT user_id, post_id, interaction_type, max(interaction_timestamp) AS interaction_timestamp,
+       count(DISTINCT interaction_timestamp) AS n
+FROM seen_store WHERE NOT ({LATE}) GROUP BY user_id, post_id, interaction_type""")
 def stream_seen(spark, d):
-    """ST-2: seen/disliked/reported events streamed into the keyed serving store,
-    the latest time of each key kept."""
-    src = _stage(V.seen_store(spark, d).withColumn("day", F.to_date("interaction_timestamp")), "seen-src", spark, "day")
-    stream = ST.file_stream(spark, src, spark.read.parquet(src).schema, max_files=5).drop("day")
-    store = IO.scratch_path(spark, "seen-stream-store")
-    _await(ST.seen_updates(stream, store, IO.scratch_path(spark, "ckpt-seen")))
-    keys = ["user_id", "post_id", "interaction_type"]
-    return IO.snapshot(spark, store, keys).select(*keys, "interaction_timestamp")
+    """ST-2: seen/disliked/reported events streamed into the serving table in three
+    runs over the same checkpoint, each delivering its rows twice and a day of the run
+    before again; the events of a few posts in the first days come with the last run, days
+    after the watermark.  Each event in time is in the table once, the late ones are not."""
+    rows = V.seen_store(spark, d)
+    ts = F.col("interaction_timestamp")
+    first, last = rows.agg(F.min(F.to_date(ts)), F.max(F.to_date(ts))).first()
+    late = (F.col("post_id") % 10 == 3) & (F.to_date(ts) < F.lit(first) + F.expr("INTERVAL 3 DAY"))
+    src, store, ckpt = (IO.scratch_path(spark, n) for n in ("seen-src", "seen-stream-store", "ckpt-seen"))
+    cuts = [F.date_add(F.lit(first), (last - first).days * k // 3 + (k == 3)) for k in range(4)]
+    for k in range(3):
+        now = rows.where(~late & (F.to_date(ts) >= cuts[k]) & (F.to_date(ts) < cuts[k + 1]))
+        again = rows.where(~late & (F.to_date(ts) >= F.date_sub(cuts[k], 1)) & (F.to_date(ts) < cuts[k]))
+        sent = now.union(now).union(again)
+        (sent.union(rows.where(late)) if k == 2 else sent).write.mode("append").parquet(src)
+        _await(ST.seen_updates(ST.file_stream(spark, src, rows.schema), store, ckpt, "1 day"))
+    return (IO.read_batches(spark, store).groupBy("user_id", "post_id", "interaction_type")
+            .agg(F.max(ts).alias("interaction_timestamp"), F.count("*").alias("n")))
 
 
 @register("stream_jsonl_hourly", """
@@ -188,14 +202,34 @@ SELECT date_trunc('day', "timestamp") AS window_start, user_id, count(*) AS even
        count(*) FILTER (WHERE interaction_type = 'view_full') AS view_full_count
 FROM interactions GROUP BY 1, 2""", S.INTERACTIONS))
 def stream_window_counts(spark, d):
-    """ST-4: daily per-user counts from a watermarked streaming aggregation."""
+    """ST-4: daily per-user counts, merged from the hourly panes of a stream."""
+    panes = _panes(spark, d)
+    day = F.date_trunc("day", "pane_start").cast("timestamp_ntz").alias("window_start")
+    return panes.groupBy(day, "user_id").agg(*[F.sum(c).alias(c) for c in ("events", "like_count", "comment_count", "view_full_count")])
+
+
+def _panes(spark, d):
     inter = V.interactions(spark, d).withColumn("day", F.to_date("timestamp"))
     src = _stage(inter, "inter-src", spark, "day")
     stream = ST.file_stream(spark, src, spark.read.parquet(src).schema, max_files=5).drop("day")
-    out = IO.scratch_path(spark, "window-counts")
-    _await(ST.window_counts(stream, out, IO.scratch_path(spark, "ckpt-window")))
-    return IO.snapshot(spark, out, ["window_start", "user_id"]).select(
-        "window_start", "user_id", "events", "like_count", "comment_count", "view_full_count")
+    out = IO.scratch_path(spark, "pane-counts")
+    _await(ST.pane_counts(stream, out, IO.scratch_path(spark, "ckpt-panes"), delay="60 days"))    # files come in no order of time
+    return ST.read_panes(spark, out)
+
+
+@register("stream_rolling_windows", S.with_views("""
+SELECT user_id, """ + ", ".join(
+    f"count(*) FILTER (WHERE inside AND {t} AND age < {n}) AS {c}_{n}d" for n in (1, 7, 30)
+    for c, t in (("events", "true"), ("like_count", "interaction_type = 'like'"), ("comment_count", "interaction_type = 'comment'"),
+                 ("view_full_count", "interaction_type = 'view_full'"))) + """
+FROM (SELECT *, true AS inside, date_diff('hour', date_trunc('hour', "timestamp"), (SELECT date_trunc('hour', max("timestamp")) FROM interactions)) / 24.0 AS age
+      FROM interactions) WHERE age < 30 GROUP BY user_id""", S.INTERACTIONS))
+def stream_rolling_windows(spark, d):
+    """ST-4: counts of the last 1, 7 and 30 days of each user up to the end of the last
+    hour seen, three windows from one stream of panes."""
+    panes = _panes(spark, d)
+    end = panes.agg(F.max("pane_start")).first()[0]
+    return ST.merge_panes(panes, F.lit(end).cast("timestamp_ntz") + F.expr("INTERVAL 1 HOUR"))
 
 
 UNIT_SQL = """
@@ -232,8 +266,8 @@ def stream_vector_updates(spark, d):
     src = _stage(both.withColumn("file", (F.col("post_id") + F.col("version")) % 2), "vector-updates", spark, "file")
     stream = ST.file_stream(spark, src, spark.read.parquet(src).schema, max_files=1).drop("file")
     store = IO.scratch_path(spark, "vector-store")
-    _await(ST.latest_vectors(stream, store, IO.scratch_path(spark, "ckpt-vectors"), 64, ["version"]))
-    return _encoded(IO.snapshot(spark, store, ["post_id"]))
+    _await(ST.latest_vectors(stream, store, IO.scratch_path(spark, "ckpt-vectors"), 64))
+    return _encoded(IO.read_latest(spark, store, ["post_id"], ["version"]))
 
 
 @register("stream_drop_seen", "WITH " + ",\n".join([S.INTERACTIONS, S.SEEN]) + """
@@ -250,17 +284,48 @@ def stream_drop_seen(spark, d):
     return spark.read.parquet(out).select("interaction_id", "user_id", "post_id")
 
 
-@register("seen_lookup", "WITH " + ",\n".join([S.INTERACTIONS, S.SEEN]) + """,
-u AS (SELECT user_id FROM seen_store GROUP BY user_id ORDER BY count(*) DESC, user_id LIMIT 1)
-SELECT DISTINCT post_id FROM seen_store
-WHERE user_id = (SELECT user_id FROM u) AND post_id < 1000 AND post_id % 2 = 0 AND interaction_type IN ('seen', 'disliked')""")
+@register("stream_availability", "WITH " + S.INTERACTIONS + """,
+days AS (SELECT min(CAST("timestamp" AS DATE)) AS lo, max(CAST("timestamp" AS DATE)) AS hi FROM interactions),
+run AS (SELECT i.*, CASE WHEN CAST("timestamp" AS DATE) < lo + CAST(floor((hi - lo) / 3) AS INTEGER) THEN 0
+                         WHEN CAST("timestamp" AS DATE) < lo + CAST(floor((hi - lo) * 2 / 3) AS INTEGER) THEN 1 ELSE 2 END AS k FROM interactions i, days),
+mark AS (SELECT k, max("timestamp") AS top FROM run GROUP BY k),
+turned AS (SELECT *, interaction_type = 'bookmark' AS available FROM run WHERE interaction_type IN ('bookmark', 'dislike')),
+known AS (
+  SELECT c.interaction_id, c.user_id, c.post_id, t.available, t."timestamp" AS since,
+         (SELECT max(top) FROM mark WHERE mark.k < c.k) AS seen
+  FROM run c LEFT JOIN turned t ON t.post_id = c.post_id AND t.k <= c.k WHERE c.interaction_type = 'like'
+  QUALIFY row_number() OVER (PARTITION BY c.interaction_id ORDER BY t."timestamp" DESC NULLS LAST, t.interaction_id DESC) = 1)
+SELECT interaction_id AS id, user_id, post_id FROM known
+WHERE available IS NULL OR available OR coalesce(date_trunc('millisecond', since) + INTERVAL 5 DAY <= date_trunc('millisecond', seen), false)""")
+def stream_availability(spark, d):
+    """ST-7: likes as candidates, bookmarks and dislikes as switches that turn a post on
+    and off, streamed in three runs over one checkpoint: a candidate passes by the latest
+    switch of its post so far, unless that is more than five days behind the watermark."""
+    inter = V.interactions(spark, d)
+    rows = inter.select(F.col("interaction_id").alias("id"), "user_id", "post_id", "interaction_type", F.col("timestamp").alias("ts"))
+    first, last = rows.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    cuts = [F.date_add(F.lit(first), (last - first).days * k // 3 + (k == 3)) for k in range(4)]
+    src, out, ckpt = (IO.scratch_path(spark, n) for n in ("availability-src", "available", "ckpt-available"))
+    for k in range(3):
+        rows.where((F.to_date("ts") >= cuts[k]) & (F.to_date("ts") < cuts[k + 1])).write.mode("append").parquet(src)
+        stream = ST.file_stream(spark, src, rows.schema)
+        kind = F.col("interaction_type")
+        _await(ST.drop_unavailable(stream.where(kind == "like"),
+                                   stream.where(kind.isin("bookmark", "dislike")).withColumn("available", kind == "bookmark"),
+                                   out, ckpt, keep="5 days"))
+    return IO.read_batches(spark, out).select("id", "user_id", "post_id")
+
+
+@register("seen_lookup", "WITH " + ",\n".join([S.INTERACTIONS, S.SEEN]) + """
+SELECT DISTINCT i.user_id, i.post_id FROM interactions i JOIN seen_store s ON s.user_id = i.user_id AND s.post_id = i.post_id
+WHERE i.interaction_type IN ('like', 'bookmark') AND s.interaction_type IN ('seen', 'disliked')""")
 def seen_lookup(spark, d):
-    """SRC-6: point lookup: which of the even post ids under 1000 the busiest user has seen or disliked."""
-    store = V.seen_store(spark, d)
+    """SRC-6: which of all liked or bookmarked (user, post) pairs the stored table
+    holds as seen or disliked."""
     path = IO.scratch_path(spark, "seen-lookup")
-    IO.upsert(spark, path, store, ["user_id", "post_id", "interaction_type"], "interaction_timestamp")
-    user = store.groupBy("user_id").count().orderBy(F.desc("count"), "user_id").first()["user_id"]
-    return IO.lookup(spark, path, user, list(range(0, 1000, 2)), ["seen", "disliked"])
+    IO.write_batch(V.seen_store(spark, d), path, "load", 0)
+    wanted = V.interactions(spark, d).where(F.col("interaction_type").isin("like", "bookmark"))
+    return IO.lookup(IO.read_batches(spark, path), wanted, ["user_id", "post_id"], ["seen", "disliked"])
 
 
 @register("optional_tables", S.with_views("""

@@ -129,111 +129,69 @@ def write_vector_table(df: DataFrame, path: str, dim: int, id_col: str = "post_i
     return write_staged(checked, path, "parquet", (category_col,))
 
 
-# ------------------------------------------------------------------ keyed store
-# Layout: <path>/_current holds the live version k; <path>/v=k/rows/seq=n are the
-# rows of write n, <path>/v=k/deletes/seq=n its deleted keys.  A write touches only
-# its own folder; the latest row of each key is found when the store is read.
-_SEQ = "__seq"
+# ------------------------------------------------------------------ tables of batches
+# A table that several writers add to is one Parquet dataset, partitioned by who wrote
+# a batch and the batch's number; the latest row of a key is found when it is read.
+# A batch that is delivered again replaces its own folder and no other.
+_BATCH = ["_writer", "_batch"]
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
-    fs, p = _fs(spark, path)
-    return [str(x.getPath().getName()) for x in fs.listStatus(p)] if fs.exists(p) else []
-
-
-def _version(spark: SparkSession, path: str) -> int:
-    """The live version; a store that was never compacted is at 0.  Pointer files
-    are never overwritten: the highest number counts."""
-    return max((int(n.split("=")[1]) for n in _names(spark, path) if n.startswith("_current=")), default=0)
+def write_batch(df: DataFrame, path: str, writer: str, batch: int) -> None:
+    """SNK-4: add the rows of one batch.  ``writer`` names the load or the stream, and
+    ``batch`` its batch: a replay of the same pair leaves the table unchanged."""
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/_writer={writer}/_batch={batch}")
 
 
-def _point(spark: SparkSession, path: str, version: int) -> None:
-    fs, p = _fs(spark, f"{path.rstrip('/')}/_current={version}")
-    fs.create(p, True).close()
-
-
-def _seqs(spark: SparkSession, path: str, version: int) -> list[int]:
-    return [int(n.split("=")[1]) for kind in ("rows", "deletes")
-            for n in _names(spark, f"{path.rstrip('/')}/v={version}/{kind}") if n.startswith("seq=")]
+def read_batches(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """All rows of all batches, with ``_writer`` and ``_batch``; without any batch an
+    empty frame of ``schema``."""
+    kinds = T.StructType([T.StructField("_writer", T.StringType()), T.StructField("_batch", T.LongType())])
+    if not path_exists(spark, path):
+        if schema is None:
+            raise ValueError(f"{path}: nothing was written and no schema given")
+        return spark.createDataFrame([], T.StructType([*schema.fields, *kinds.fields]))
+    rows = spark.read.parquet(path) if schema is None else spark.read.schema(T.StructType([*schema.fields, *kinds.fields])).parquet(path)
+    return rows.select(*[c for c in rows.columns if c not in _BATCH], *[F.col(f.name).cast(f.dataType) for f in kinds.fields])
+
+
+def latest_rows(rows: DataFrame, keys: list[str], order: str | list[str], gone: DataFrame | None = None) -> DataFrame:
+    """The row of each key that is greatest by ``order`` (nulls are smallest, so a row
+    without a time yields to any other but is never lost); ties go to the later batch,
+    then to the writer whose name is greater.  ``gone`` (a key column and
+    ``deleted_at``) takes away the rows of a key up to that time by the first column of
+    ``order``, or without one."""
+    order = [order] if isinstance(order, str) else list(order)
+    if gone is not None:
+        key = next(c for c in gone.columns if c not in (*_BATCH, "deleted_at"))
+        until = gone.groupBy(F.col(key).alias("__gone")).agg(F.max("deleted_at").alias("__until"))
+        before = F.coalesce(F.col(order[0]) <= F.col("__until"), F.lit(True))
+        rows = rows.join(until, (F.col(key) == F.col("__gone")) & before, "left_anti")
+    rest = [c for c in rows.columns if c not in (*keys, *_BATCH)]
+    mark = [F.col(c) for c in order] + [F.col(c) for c in _BATCH[::-1] if c in rows.columns]
+    best = F.max_by(F.struct(*rest, F.lit(0).alias("__one")), F.struct(*mark)).alias("__r")
+    return rows.groupBy(*keys).agg(best).select(*keys, *[F.col(f"__r.{c}").alias(c) for c in rest])
 
 
-def _write_delta(spark: SparkSession, path: str, kind: str, df: DataFrame, seq: int | None) -> int:
-    v = _version(spark, path)
-    n = max(_seqs(spark, path, v), default=-1) + 1 if seq is None else seq
-    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/v={v}/{kind}/seq={n}")
-    return n
+def read_latest(spark: SparkSession, path: str, keys: list[str], order: str | list[str],
+                schema: T.StructType | None = None, deletes: str | None = None) -> DataFrame:
+    """The latest row of each key of a table of batches.  To compact, write this to a
+    new path as a batch of its own and have the writers go on there."""
+    gone = read_batches(spark, deletes) if deletes and path_exists(spark, deletes) else None
+    return latest_rows(read_batches(spark, path, schema), keys, order, gone)
 
 
-def upsert(spark: SparkSession, path: str, new: DataFrame, keys: list[str], order: str | list[str],
-           seq: int | None = None) -> int:
-    """SNK-4: add rows to the store.  Only the new rows are written, clustered by
-    the first key so that lookups prune by file statistics.  ``snapshot`` gives,
-    of each key, the row that is greatest by ``order`` (nulls are smallest, so a
-    row without a time yields to any other but is never lost), ties to the later
-    write.  A stream passes its batch id as ``seq``: a replayed batch replaces
-    itself."""
-    order = [order] if isinstance(order, str) else list(order)
-    rows = new.withColumn("__order", F.struct(*order))
-    return _write_delta(spark, path, "rows", rows.sortWithinPartitions(*keys[:1]), seq)
-
-
-def delete_keys(spark: SparkSession, path: str, doomed: DataFrame, key: str = "user_id", seq: int | None = None) -> int:
-    """SNK-5: delete all rows of the given keys that were written before; rows
-    written later live.  Only the keys are written."""
-    return _write_delta(spark, path, "deletes", doomed.select(key).where(F.col(key).isNotNull()).distinct(), seq)
-
-
-def _live(spark: SparkSession, path: str) -> DataFrame | None:
-    """Every row of the live version that no later delete covers, with ``__order`` and ``__seq``."""
-    base = f"{path.rstrip('/')}/v={_version(spark, path)}"
-    if not path_exists(spark, f"{base}/rows"):
-        return None
-    rows = spark.read.parquet(f"{base}/rows").withColumnRenamed("seq", _SEQ)
-    if path_exists(spark, f"{base}/deletes"):
-        gone = spark.read.parquet(f"{base}/deletes")
-        key = next(c for c in gone.columns if c != "seq")
-        last = gone.groupBy(F.col(key).alias("__gone")).agg(F.max("seq").alias("__until"))
-        rows = rows.join(last, (F.col(key) == F.col("__gone")) & (F.col(_SEQ) <= F.col("__until")), "left_anti")
-    return rows
-
-
-def snapshot(spark: SparkSession, path: str, keys: list[str], schema: T.StructType | None = None) -> DataFrame:
-    """The latest row of each key; an empty frame of ``schema`` if nothing was written."""
-    rows = _live(spark, path)
-    if rows is None:
-        return spark.createDataFrame([], schema)
-    rest = [c for c in rows.columns if c not in (*keys, "__order", _SEQ)]
-    best = F.max_by(F.struct(*rest, F.lit(0).alias("__one")), F.struct("__order", _SEQ)).alias("__r")
-    return rows.groupBy(*keys).agg(best).select(*keys, *[F.col(f"__r.{c}").alias(c) for c in rest])
+def delete_keys(doomed: DataFrame, path: str, writer: str, batch: int) -> None:
+    """SNK-5: (key, deleted_at) rows in a table of their own: all rows of the key up to
+    that time are gone, later ones live.  Only the keys are written; null keys and
+    times delete nothing."""
+    write_batch(doomed.dropna(), path, writer, batch)
 
 
-def compact(spark: SparkSession, path: str, keys: list[str]) -> None:
-    """Write the snapshot as the next version and point to it.  Until the pointer
-    stands, readers see the old version; the version before that is removed."""
-    rows = _live(spark, path)
-    if rows is None:
-        return
-    root, v = path.rstrip("/"), _version(spark, path)
-    rest = [c for c in rows.columns if c not in keys]
-    best = F.max_by(F.struct(*rest), F.struct("__order", _SEQ)).alias("__r")
-    latest = rows.groupBy(*keys).agg(best).select(*keys, *[F.col(f"__r.{c}").alias(c) for c in rest if c != _SEQ])
-    seq = max(_seqs(spark, path, v))                            # writes go on counting from here
-    latest.sortWithinPartitions(*keys[:1]).write.mode("overwrite").parquet(f"{root}/v={v + 1}/rows/seq={seq}")
-    _point(spark, path, v + 1)
-    fs, old = _fs(spark, f"{root}/v={v - 1}")
-    if fs.exists(old):
-        fs.delete(old, True)
-
-
-def lookup(spark: SparkSession, path: str, user_id, post_ids: list, types: list[str], key: str = "user_id") -> DataFrame:
-    """SRC-6: point lookup: the predicates reach the Parquet scans of all writes,
-    which skip files and row groups by their statistics.  (The all-users form of
-    this is the seen-filter anti join.)"""
-    rows = _live(spark, path)
-    if rows is None:
-        return spark.createDataFrame([], "post_id long")
-    return (rows.where((F.col(key) == user_id) & F.col("post_id").isin(post_ids) & F.col("interaction_type").isin(types))
-            .select("post_id").distinct())
+def lookup(rows: DataFrame, wanted: DataFrame, keys: list[str], types: list[str]) -> DataFrame:
+    """SRC-6: which of the ``wanted`` keys the store holds with one of the types.  The
+    types are pushed into the scan; a short list of keys is broadcast by its size and
+    prunes by the join, a long one is joined on the keys."""
+    return wanted.select(*keys).distinct().join(rows.where(F.col("interaction_type").isin(types)), keys, "left_semi")
 
 
 def append_run_metrics(metrics: DataFrame, path: str, run_id: str, params: dict) -> None:

@@ -48,49 +48,43 @@ def test_csv_corrupt_rows_kept(spark):
     assert sum(1 for r in rows if r[IO.CORRUPT] is not None) == 1
 
 
-def test_upsert_idempotent_and_lookup(spark):
-    path = IO.scratch_path(spark, "store")
-    t = dt.datetime(2024, 1, 1)
+def test_batches_replay_delete_and_lookup(spark):
+    path, deletes, whole = (IO.scratch_path(spark, n) for n in ("store", "store-deletes", "store-whole"))
+    t, hour = dt.datetime(2024, 1, 1), dt.timedelta(hours=1)
     a = spark.createDataFrame([(1, 10, "seen", t), (1, 11, "seen", t), (2, 10, "disliked", t)],
                               "user_id long, post_id long, interaction_type string, interaction_timestamp timestamp_ntz")
-    keys = ["user_id", "post_id", "interaction_type"]
-    IO.upsert(spark, path, a, keys, "interaction_timestamp")
-    b = spark.createDataFrame([(1, 10, "seen", t + dt.timedelta(hours=1))], a.schema)
-    IO.upsert(spark, path, b, keys, "interaction_timestamp")
-    IO.upsert(spark, path, b, keys, "interaction_timestamp")            # replay: no change
-    rows = IO.snapshot(spark, path, keys).collect()
-    assert len(rows) == 3
-    assert max(r.interaction_timestamp for r in rows if r.post_id == 10 and r.user_id == 1) == t + dt.timedelta(hours=1)
-    hit = IO.lookup(spark, path, 1, [10, 12], ["seen", "disliked"]).collect()
-    assert [r.post_id for r in hit] == [10]
-    IO.delete_keys(spark, path, spark.createDataFrame([(1,)], "user_id long"))
-    assert {r.user_id for r in IO.snapshot(spark, path, keys).collect()} == {2}
-    IO.compact(spark, path, keys)
-    assert {r.user_id for r in IO.snapshot(spark, path, keys).collect()} == {2}
-    IO.upsert(spark, path, b, keys, "interaction_timestamp")            # a deleted key written again lives
-    IO.compact(spark, path, keys)
-    IO.compact(spark, path, keys)
-    assert {r.user_id for r in IO.snapshot(spark, path, keys).collect()} == {1, 2}
-
-
-def test_upsert_orders_nulls_and_ties(spark):
+    keys, ts = ["user_id", "post_id", "interaction_type"], "interaction_timestamp"
+    users = lambda p, **k: {r.user_id for r in IO.read_latest(spark, p, keys, ts, **k).collect()}
+    assert IO.read_latest(spark, path, keys, ts, schema=a.schema).count() == 0
+    IO.write_batch(a, path, "load", 0)
+    b = spark.createDataFrame([(1, 10, "seen", t + hour)], a.schema)
+    for _ in range(2):                                                  # a replayed batch replaces itself
+        IO.write_batch(b, path, "stream", 0)                            # the number of another writer's batch
+        rows = IO.read_latest(spark, path, keys, ts).collect()
+        assert len(rows) == 3 and IO.read_batches(spark, path).count() == 4
+        assert max(r[ts] for r in rows if r.post_id == 10 and r.user_id == 1) == t + hour
+    wanted = spark.createDataFrame([(1, 10), (1, 12), (2, 10), (None, 10), (1, 10)], "user_id long, post_id long")
+    hit = IO.lookup(IO.read_batches(spark, path), wanted, ["user_id", "post_id"], ["seen"]).collect()
+    assert [tuple(r) for r in hit] == [(1, 10)]
+    IO.delete_keys(spark.createDataFrame([(1, t + hour), (None, t), (2, None)], "user_id long, deleted_at timestamp_ntz"), deletes, "moderation", 0)
+    IO.write_batch(a, path, "load", 0)                                  # an old batch again: its rows stay deleted
+    assert users(path, deletes=deletes) == {2}
+    IO.write_batch(IO.read_latest(spark, path, keys, ts, deletes=deletes), whole, "compacted", 0)
+    assert users(whole) == {2}
+    IO.write_batch(spark.createDataFrame([(1, 10, "seen", t + 2 * hour)], a.schema), whole, "stream", 1)
+    IO.write_batch(b, whole, "stream", 0)                               # replays after the rewrite
+    assert users(whole, deletes=deletes) == {1, 2} and IO.read_latest(spark, whole, keys, ts).count() == 2
+
+
+def test_latest_orders_nulls_and_ties(spark):
     path, t = IO.scratch_path(spark, "store-nulls"), dt.datetime(2024, 1, 1)
     schema = "k long, ts timestamp_ntz, created long, v string"
-    a = spark.createDataFrame([(1, None, 1, "untimed"), (2, t, 5, "later"), (3, t, 1, "x")], schema)
-    b = spark.createDataFrame([(2, t, 4, "earlier"), (3, None, 9, "untimed"), (4, None, None, None)], schema)
-    IO.upsert(spark, path, a, ["k"], ["ts", "created"])
-    IO.upsert(spark, path, b, ["k"], ["ts", "created"])
-    for _ in range(2):
-        assert {r.k: r.v for r in IO.snapshot(spark, path, ["k"]).collect()} == {1: "untimed", 2: "later", 3: "x", 4: None}
-        IO.compact(spark, path, ["k"])
-
-
-def test_a_write_touches_only_its_own_rows(spark):
-    path = IO.scratch_path(spark, "store-small")
-    IO.upsert(spark, path, spark.range(1000).select(F.col("id").alias("k"), F.lit(1).alias("ts")), ["k"], "ts")
-    n = IO.upsert(spark, path, spark.createDataFrame([(5, 2)], "k long, ts int"), ["k"], "ts")
-    assert spark.read.parquet(f"{path}/v=0/rows/seq={n}").count() == 1
-    assert {r.k: r.ts for r in IO.snapshot(spark, path, ["k"]).collect()}[5] == 2
+    a = spark.createDataFrame([(1, None, 1, "untimed"), (2, t, 5, "later"), (3, t, 1, "x"), (5, t, 1, "batch 0")], schema)
+    b = spark.createDataFrame([(2, t, 4, "earlier"), (3, None, 9, "untimed"), (4, None, None, None), (5, t, 1, "batch 1")], schema)
+    IO.write_batch(a, path, "w", 0)
+    IO.write_batch(b, path, "a", 1)
+    want = {1: "untimed", 2: "later", 3: "x", 4: None, 5: "batch 1"}
+    assert {r.k: r.v for r in IO.read_latest(spark, path, ["k"], ["ts", "created"]).collect()} == want
 
 
 def test_staged_write_counts_and_replaces(spark):
