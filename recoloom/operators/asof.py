@@ -13,7 +13,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,7 +39,9 @@ def _interval_micros(spec: str) -> int:
 
 def _sides(entity: DataFrame, features: DataFrame, keys: list[str], entity_ts: str, feature_ts: str,
            feature_cols: list[str], created_col: str | None) -> DataFrame:
-    """Entity and feature rows in one frame: keys, time, side (0: feature), created, feature, entity."""
+    """Entity and feature rows in one frame: keys, time, side (0: feature), created,
+    feature, entity.  A feature row without a time or a key can match nothing."""
+    features = features.dropna(subset=[*keys, feature_ts])
     fields = list(dict.fromkeys([*feature_cols, feature_ts]))
     created = F.col(created_col).cast("bigint") if created_col else F.lit(0).cast("bigint")
     null_feat = F.lit(None).cast(features.select(F.struct(*fields)).schema[0].dataType)
@@ -120,7 +122,8 @@ def point_in_time_join(entity: DataFrame, features: DataFrame, keys: list[str] |
     """For each entity row, the latest feature row with the same keys and
     ``feature_ts <= entity_ts`` (ties on ``feature_ts`` → greatest ``created_col``);
     ``feature_ts >= entity_ts - ttl`` when ``ttl`` is set.  No match → nulls,
-    entity row kept.  Output = entity columns + ``prefix + feature_cols`` +
+    entity row kept; so are entity rows without a time or a key, and feature rows
+    without one match nothing.  Output = entity columns + ``prefix + feature_cols`` +
     ``prefix + feature_ts``.
 
     The filled rows are written once (reliable checkpoint): the rows that still
@@ -140,33 +143,25 @@ def point_in_time_join(entity: DataFrame, features: DataFrame, keys: list[str] |
                            T.StructField("__open", T.BooleanType())])
     rows = (dealt.sortWithinPartitions(*order).mapInArrow(_fill_forward(keys), schema)
             .withColumn("__pid", F.spark_partition_id()).checkpoint(eager=True))
-    tails = rows.where(F.col(_SIDE) == 2).select("__pid", "__open", F.struct(*keys).alias("k"), "__m").orderBy("__pid").collect()
-    carry, before = [], None                                    # what each partition's first key brings along
-    for r in tails:
-        if before is not None:
-            carry.append((r["__pid"], before["k"], before["__m"]))
-        if r["__m"] is None and r["__open"] and before is not None and before["k"] == r["k"]:
-            r = {"k": r["k"], "__m": before["__m"]}             # one key without a feature fills this whole partition
-        before = r
+    tails = rows.where(F.col(_SIDE) == 2).select("__pid", "__open", F.struct(*keys).alias("k"), "__m")
+    carry, before = [], None                                    # whose last feature each partition's first key brings along
+    for r in tails.select("__pid", "__open", "k", F.col("__m").isNotNull().alias("has")).orderBy("__pid").collect():
+        if before is not None and before[1] is not None:
+            carry.append((r["__pid"], *before))
+        own = r["__pid"] if r["has"] else None
+        if own is None and r["__open"] and before is not None and before[0] == r["k"]:
+            own = before[1]                                     # one key without a feature fills this whole partition
+        before = (r["k"], own)
     over = spark.createDataFrame(carry, T.StructType([
         T.StructField("__pid", T.IntegerType()), T.StructField("__k", T.StructType([kind[k] for k in keys])),
-        T.StructField("__c", kind[_FEAT].dataType)]))
+        T.StructField("__from", T.IntegerType())]))
+    over = over.join(tails.select(F.col("__pid").alias("__from"), F.col("__m").alias("__c")), "__from").drop("__from")
     fits = F.col("__open") & F.struct(*keys).eqNullSafe(F.col("__k"))
-    out = (rows.where(F.col(_SIDE) == 1).join(F.broadcast(over), "__pid", "left")
+    out = (rows.where(F.col(_SIDE) == 1).join(over, "__pid", "left")       # at most one row a partition; features may be wide
            .withColumn("__m", F.when(fits & F.col("__m").isNull(), F.col("__c")).otherwise(F.col("__m"))))
     return _output(out, entity, feature_cols, feature_ts, ttl, prefix)
 
 
-def windowed_join(entity: DataFrame, features: DataFrame, keys: list[str] | str, entity_ts: str, feature_ts: str,
-                  feature_cols: list[str], created_col: str | None = None, ttl: str | None = None, prefix: str = "") -> DataFrame:
-    """The same join as one running window per key: the plain form, for keys known to be small."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    u = _sides(entity, features, keys, entity_ts, feature_ts, feature_cols, created_col)
-    w = Window.partitionBy(*keys).orderBy(_TS, _SIDE, _CR).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = u.withColumn("__m", F.last(_FEAT, ignorenulls=True).over(w)).where(F.col(_SIDE) == 1)
-    return _output(rows, entity, feature_cols, feature_ts, ttl, prefix)
-
-
 def latest_per_key(df: DataFrame, keys: list[str] | str, ts: str, cols: list[str],
                    created_col: str | None = None, start=None, end=None) -> DataFrame:
     """Latest row per key with ``start <= ts <= end`` (W-1 / materialize).

@@ -25,6 +25,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..defaults import (RANKING_NEGATIVE_RATIO, RETRIEVAL_NEGATIVES_PER_POSITIVE, RETRIEVAL_POSITIVE_TYPES,
                         SPLIT_RATIOS)
@@ -96,13 +97,39 @@ def _time(us: int) -> Column:
 
 
 def _key_before(ts: str, id_col: str, key) -> Column:
-    """(ts, id) < key in (ts nulls last, id) order; ``key`` None = +infinity."""
+    """(ts, id) < key in (ts, id) order, nulls last in both; ``key`` None = +infinity."""
     if key is None:
         return F.lit(True)
     kt, ki = key
+    smaller = F.col(id_col).isNotNull() if ki is None else F.coalesce(F.col(id_col) < F.lit(ki), F.lit(False))
     if kt is None:
-        return F.col(ts).isNotNull() | (F.col(id_col) < F.lit(ki))
-    return (F.col(ts) < F.lit(kt)) | ((F.col(ts) == F.lit(kt)) & (F.col(id_col) < F.lit(ki)))
+        return F.col(ts).isNotNull() | smaller
+    return F.coalesce((F.col(ts) < F.lit(kt)) | ((F.col(ts) == F.lit(kt)) & smaller), F.lit(False))
+
+
+def _keys_by_splitters(df: DataFrame, col: str, ks: list[int], fan: int = 64, few: int = 4096) -> dict:
+    """k -> the value with 0-based rank ``k`` among the non-null values of a column of
+    any ordered type.  A band of values is cut at a hash-chosen sample of its distinct
+    values and narrowed to the part that holds the rank, until it is one value or a few
+    rows; each pass brings ``fan`` numbers to the driver."""
+    out = {}
+    for k in ks:
+        band, below = F.col(col).isNotNull(), 0
+        while True:
+            rows = df.where(band).select(F.col(col).alias("v"))
+            st = rows.agg(F.count("*").alias("n"), F.min("v").alias("a"), F.max("v").alias("b")).first()
+            if st["a"] == st["b"] or st["n"] <= few:
+                out[k] = st["a"] if st["a"] == st["b"] else rows.orderBy("v").limit(k - below + 1).collect()[k - below]["v"]
+                break
+            cuts = sorted(r["v"] for r in rows.distinct().orderBy(F.xxhash64("v")).limit(fan).collect())
+            cell = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col("v")))      # v in (cut before, cut]
+            counts = {r["cell"]: r["n"] for r in rows.groupBy(cell.alias("cell")).agg(F.count("*").alias("n")).collect()}
+            for i in range(len(cuts) + 1):
+                if below + counts.get(i, 0) > k:
+                    band = band & (F.col(col) > F.lit(cuts[i - 1]) if i else F.lit(True)) & (F.col(col) <= F.lit(cuts[i]) if i < len(cuts) else F.lit(True))
+                    break
+                below += counts.get(i, 0)
+    return out
 
 
 def _values_at_ranks(df: DataFrame, value: Column, within, ks: list[int], lo: int, hi: int, buckets: int) -> dict[int, tuple[int, int]]:
@@ -136,15 +163,17 @@ def _values_at_ranks(df: DataFrame, value: Column, within, ks: list[int], lo: in
 
 
 def keys_at_ranks(df: DataFrame, ts: str, id_col: str, ks: list[int], buckets: int = 4096) -> dict[int, tuple | None]:
-    """k -> the (ts, id) key of the row with 0-based rank ``k`` in (ts nulls last,
-    id) order, None past the end: distributed selection, no sort of the data.
+    """k -> the (ts, id) key of the row with 0-based rank ``k`` in (ts, id) order with
+    nulls last in both, None past the end: distributed selection, no sort of the data.
 
     Bands of timestamps are histogrammed and narrowed for all ranks in the same
     passes (band predicates compare the column with timestamp literals, so they
-    reach the scan); rows of one timestamp are then selected by id the same way.
+    reach the scan); rows of one timestamp are then selected by id: integers the same
+    way, ids of any other ordered type by sampled splitters.
     Passes <= log_buckets(time range in us) + log_buckets(id range).
     """
-    us, i = F.unix_micros(F.col(ts).cast("timestamp")), F.col(id_col).cast("bigint")
+    integers = isinstance(df.schema[id_col].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    us, i = F.unix_micros(F.col(ts).cast("timestamp")), F.col(id_col).cast("bigint") if integers else F.lit(0)
     st = df.agg(F.count(ts).alias("n"), F.count(F.lit(1)).alias("all"), F.min(us).alias("a"), F.max(us).alias("b")).first()
     timed = [k for k in ks if k < st["n"]]
     by_time: dict = {}
@@ -160,10 +189,14 @@ def keys_at_ranks(df: DataFrame, ts: str, id_col: str, ks: list[int], buckets: i
     out: dict[int, tuple | None] = {k: None for k in ks}
     for t, members in groups.items():
         same = df.where(F.col(ts).isNull() if t is None else F.col(ts) == _time(t))
-        r = same.agg(F.min(i).alias("a"), F.max(i).alias("b")).first()
-        found = _values_at_ranks(same, i, lambda x, y: (i >= x) & (i < y), [k - below for k, below in members], r["a"], r["b"], buckets)
+        r = same.agg(F.min(i).alias("a"), F.max(i).alias("b"), F.count(id_col).alias("n")).first()
+        ranks = [k - below for k, below in members if k - below < r["n"]]                   # beyond: rows without an id
+        if integers:
+            found = {k: v for k, (v, _) in _values_at_ranks(same, i, lambda x, y: (i >= x) & (i < y), ranks, r["a"], r["b"], buckets).items()}
+        else:
+            found = _keys_by_splitters(same, id_col, ranks)
         for k, below in members:
-            out[k] = (None if t is None else EPOCH + timedelta(microseconds=t), found[k - below][0])
+            out[k] = (None if t is None else EPOCH + timedelta(microseconds=t), found.get(k - below))
     return out
 
 
@@ -176,8 +209,9 @@ def chronological_split(df: DataFrame, ts: str, id_col: str, train: float = SPLI
     """Label rows train / validation / test by global time order (W-4).
 
     ``n_train = floor(n·train)``, ``n_val = floor(n·validation)``, test = rest;
-    rows without a time come last, ties in time are broken by ``id_col`` (integer,
-    not null).  The two boundary keys are found together by distributed selection
+    rows without a time come last, ties in time are broken by ``id_col`` (of any
+    ordered type; rows without an id last, and rows equal in both stay together, in
+    the later part).  The two boundary keys are found together by distributed selection
     (``keys_at_ranks``); labelling is then a per-row comparison — the data itself
     is never sorted or shuffled.
     """

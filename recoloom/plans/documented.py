@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import text as TX
 from ..operators import aggregates as A
 from ..operators import features as FE
+from ..operators import rolling as RO
 from ..operators import knn as K
 from ..sources import views as V
 from ..sources.tables import read_table
@@ -34,6 +35,15 @@ def window_counts(spark, d):
     return FE.window_counts(V.interactions(spark, d), _ref(spark, d))
 
 
+@register("rolling_counts", S.with_views('SELECT interaction_id, user_id, "timestamp", ' + ",\n  ".join(
+    f"count(*) FILTER (WHERE interaction_type = '{t}') OVER (PARTITION BY user_id ORDER BY \"timestamp\" "
+    f"RANGE BETWEEN INTERVAL {d} DAY PRECEDING AND CURRENT ROW) AS {t}_count_{d}d" for d in (1, 7, 30) for t in ("like", "comment", "view_full"))
+    + " FROM interactions", S.INTERACTIONS))
+def rolling_counts(spark, d):
+    """X-1: counts over the last 1, 7 and 30 days as of each interaction."""
+    return RO.rolling_counts(V.interactions(spark, d))
+
+
 @register("preferred_media", S.with_views("""
 , c AS (SELECT i.user_id, p.media_type, count(*) AS n FROM interactions i JOIN posts p USING (post_id)
         GROUP BY i.user_id, p.media_type)

@@ -53,9 +53,22 @@ def asof_features(spark, d):
 
 @register("asof_features_unbucketed", ASOF_SQL.format(ttl=""))
 def asof_features_unbucketed(spark, d):
-    """The same join by a single window per key — cross-check of the range-partitioned path."""
-    return asof.windowed_join(V.entity_rows(spark, d), V.feature_rows(spark, d), "user_id",
-                              "event_ts", "feature_ts", ["spend"], created_col="created")
+    """The same join over another number of ranges — cross-check of what crosses borders."""
+    return asof.point_in_time_join(V.entity_rows(spark, d), V.feature_rows(spark, d), "user_id",
+                                   "event_ts", "feature_ts", ["spend"], created_col="created", partitions=37)
+
+
+@register("asof_missing_keys", "WITH " + S.ENTITY_ROWS + ",\n" + S.FEATURE_ROWS + """,
+e AS (SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN user_id END AS user_id, CASE WHEN event_id % 5 <> 0 THEN event_ts END AS event_ts FROM entity_rows),
+f AS (SELECT CASE WHEN created % 11 <> 0 THEN user_id END AS user_id, spend, created, CASE WHEN created % 3 <> 0 THEN feature_ts END AS feature_ts FROM feature_rows)
+SELECT e.event_id, e.user_id, e.event_ts, f.spend, f.feature_ts FROM e LEFT JOIN f ON f.user_id = e.user_id AND f.feature_ts <= e.event_ts
+QUALIFY row_number() OVER (PARTITION BY e.event_id ORDER BY f.feature_ts DESC NULLS LAST, f.created DESC NULLS LAST) = 1""")
+def asof_missing_keys(spark, d):
+    """J-6 where users and times are missing on both sides: such rows match nothing."""
+    gap = lambda c, by, n: F.when(F.col(by) % n != 0, F.col(c)).alias(c)
+    ent = V.entity_rows(spark, d).select("event_id", gap("user_id", "event_id", 7), gap("event_ts", "event_id", 5))
+    feat = V.feature_rows(spark, d).select(gap("user_id", "created", 11), "spend", "created", gap("feature_ts", "created", 3))
+    return asof.point_in_time_join(ent, feat, "user_id", "event_ts", "feature_ts", ["spend"], created_col="created")
 
 
 @register("asof_features_ttl",

@@ -31,6 +31,23 @@ def split_chronological(spark, d):
     return _split(spark, d).select("interaction_id", "split")
 
 
+@register("split_string_ids", S.with_views("""
+, s AS (SELECT interaction_id AS row_id, CASE WHEN interaction_id % 13 <> 0 THEN 'i_' || lpad(CAST(interaction_id AS VARCHAR), 7, '0') END AS id,
+               CASE WHEN interaction_id % 17 <> 0 THEN date_trunc('day', "timestamp") END AS day FROM interactions),
+r AS (SELECT *, row_number() OVER (ORDER BY day NULLS LAST, id NULLS LAST) - 1 AS rk, dense_rank() OVER (ORDER BY day NULLS LAST, id NULLS LAST) AS dr,
+             count(*) OVER () AS n FROM s),
+k AS (SELECT max(dr) FILTER (WHERE rk = floor(n * 0.7)) AS k1, max(dr) FILTER (WHERE rk = floor(n * 0.7) + floor(n * 0.15)) AS k2 FROM r)
+SELECT row_id, id, CASE WHEN dr < k1 THEN 'train' WHEN dr < k2 THEN 'validation' ELSE 'test' END AS split FROM r, k""",
+    S.INTERACTIONS).replace("\n, s AS", ",\ns AS"))
+def split_string_ids(spark, d):
+    """W-4 with text ids, some of them and some times missing, and many rows of one time."""
+    i = F.col("interaction_id")
+    text = F.when(i % 13 != 0, F.concat(F.lit("i_"), F.lpad(i.cast("string"), 7, "0")))
+    day = F.when(i % 17 != 0, F.date_trunc("day", "timestamp").cast("timestamp_ntz"))
+    rows = V.interactions(spark, d).select(i.alias("row_id"), text.alias("id"), day.alias("day"))
+    return SM.chronological_split(rows, "day", "id").select("row_id", "id", "split")
+
+
 SPLIT_ENT_SQL = "WITH " + ",\n".join([S.INTERACTIONS, S.POSTS, S.USERS]) + """,
 r AS (SELECT interaction_id, user_id, post_id,
              row_number() OVER (ORDER BY "timestamp", interaction_id) - 1 AS rk,

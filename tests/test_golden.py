@@ -108,9 +108,8 @@ def test_asof_ttl_cases(spark):
     probes = [t, t - dt.timedelta(minutes=1), t + dt.timedelta(days=1),
               t + dt.timedelta(days=1, minutes=1)]
     ent = spark.createDataFrame([(i, 1, p) for i, p in enumerate(probes)], "id long, k long, ets timestamp_ntz")
-    for join in (asof.point_in_time_join, asof.windowed_join):
-        out = join(ent, feats, "k", "ets", "fts", ["v"], "created", ttl="1 day")
-        assert [r.v for r in out.orderBy("id").collect()] == [7.0, None, 7.0, None]
+    out = asof.point_in_time_join(ent, feats, "k", "ets", "fts", ["v"], "created", ttl="1 day")
+    assert [r.v for r in out.orderBy("id").collect()] == [7.0, None, 7.0, None]
 
 
 def test_asof_tie_on_created(spark):
@@ -202,12 +201,19 @@ def test_asof_hot_key_is_cut_into_ranges(spark):
     ents = [(i, k, t0 + dt.timedelta(minutes=minute()))
             for i in range(500) for k in ([1] if i % 2 else [rnd.randint(2, 9), None][:1 + (i % 50 == 0)])]
     ents += [(1000, 77, t0), (1001, None, t0)]
-    feats += [(None, t0, -1.0, 0)]
+    feats += [(None, t0, -1.0, 0), (1, None, -2.0, 0), (None, None, -3.0, 0)]
+    ents += [(1002, 1, None), (1003, None, None)]
     fd = spark.createDataFrame(feats, "k long, fts timestamp_ntz, v double, created long")
     ed = spark.createDataFrame(ents, "id long, k long, ets timestamp_ntz")
     for ttl in (None, "2 days"):
-        plain = asof.windowed_join(ed, fd, "k", "ets", "fts", ["v"], "created", ttl)
-        want = sorted(((r.id, r.k, r.v, r.fts) for r in plain.collect()), key=str)
+        want = []
+        for i, k, at in ents:
+            fit = [f for f in feats if k is not None and at is not None and f[0] == k and f[1] is not None and f[1] <= at]
+            last = max(fit, key=lambda f: (f[1], f[3]), default=None)
+            if last is not None and ttl and last[1] < at - dt.timedelta(days=2):
+                last = None
+            want.append((i, k, last and last[2], last and last[1]))
+        want.sort(key=str)
         for parts in (1, 7, 60):
             got = asof.point_in_time_join(ed, fd, "k", "ets", "fts", ["v"], "created", ttl, partitions=parts)
             assert sorted(((r.id, r.k, r.v, r.fts) for r in got.collect()), key=str) == want, (ttl, parts)

@@ -280,3 +280,43 @@ def test_ids_beyond_int_and_many_classes(spark):
                                   "id long, classes array<string>")
     rows = {r.id: r for r in E.multi_hot(lists, "classes", "id").collect()}
     assert rows[3].n_classes == 3000 and list(rows[3].indices) == list(range(3, 3000, 7)) and rows[9].indices == rows[10].indices == []
+
+
+def test_rolling_counts_equal_the_plain_version(spark):
+    """A user with most rows, many of them in one burst, spans many ranges."""
+    import datetime as dt
+    import random
+
+    from recoloom.operators.rolling import rolling_counts
+    rnd, t0 = random.Random(6), dt.datetime(2024, 1, 1)
+    rows = [(i, 1 if i % 3 else rnd.randint(2, 6), t0 + dt.timedelta(hours=500 if rnd.random() < 0.3 else rnd.randint(0, 2000)),
+             rnd.choice(["like", "comment", "share", None])) for i in range(700)]
+    rows += [(900, None, t0, "like"), (901, 1, None, "like"), (902, 77, t0, "comment"), rows[5], rows[5]]
+    df = spark.createDataFrame(rows, "interaction_id long, user_id long, timestamp timestamp_ntz, interaction_type string")
+    want = set()
+    for i, u, t, _ in rows:
+        n = [sum(u is not None and t is not None and v == u and s is not None and t - dt.timedelta(days=d) <= s <= t and y == k for _, v, s, y in rows)
+             for d in (1, 30) for k in ("like", "comment")]
+        want.add((i, u, t, *n))
+    for parts in (1, 5, 60):
+        got = rolling_counts(df, (1, 30), ("like", "comment"), partitions=parts).collect()
+        assert len(got) == len(want) and {tuple(r) for r in got} == want, parts
+    assert rolling_counts(df.limit(0)).count() == 0
+
+
+def test_split_by_text_ids(spark):
+    import datetime as dt
+
+    from recoloom.operators import sampling as SM
+    t = dt.datetime(2024, 1, 1)
+    rows = [(t if k % 3 else None, f"i_{k * 7919 % 10007:05d}" if k % 11 else None) for k in range(5000)] + [(t, "same")] * 300
+    rows = [(n, *r) for n, r in enumerate(rows)]
+    df = spark.createDataFrame(rows, "n long, ts timestamp_ntz, id string")
+    key = lambda r: (r[1] is None, r[1] or t, r[2] is None, r[2] or "")
+    order = sorted(rows, key=key)
+    for train, val in ((0.7, 0.15), (0.05, 0.5), (0.0, 0.0), (1.0, 0.0)):
+        k1 = int(len(rows) * train)
+        k2 = k1 + int(len(rows) * val)
+        at = [key(order[k]) if k < len(order) else None for k in (k1, k2)]
+        want = {r[0]: next((s for s, k in (("train", at[0]), ("validation", at[1])) if k is None or key(r) < k), "test") for r in rows}
+        assert {r.n: r.split for r in SM.chronological_split(df, "ts", "id", train, val).collect()} == want
