@@ -1,7 +1,7 @@
-"""Vector retrieval without a users × items product (J-9, M-1..M-3, A-12).
+"""Exact vector retrieval without a users × items product (J-9, M-1, M-3, A-12).
 
 Items are cut into blocks of about ``item_block`` rows *within* each group
-(category, IVF cell, or the catch-all group ``*``); a hot group simply gets
+(a category, or the catch-all group ``*``); a hot group simply gets
 more blocks.  Queries that probe a group are cut into chunks of ~``query_block``
 rows; each item block is replicated once per query chunk of its group.  A
 grouped co-group on (group, block, chunk) then hands one bounded (queries ×
@@ -12,8 +12,6 @@ as a partial + final WindowGroupLimit) merges the per-tile winners.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -184,31 +182,3 @@ def count_better(queries: DataFrame, items: DataFrame, item_block: int = 16384,
     part = (qt.groupBy("g", "blk", "qc").cogroup(itt.groupBy("g", "blk", "qc"))
             .applyInPandas(kernel, schema))
     return part.groupBy("qid", "pos").agg(F.sum("n_better").alias("n_better"))
-
-
-def ivf_knn(queries: DataFrame, items: DataFrame, k: int, n_cells: int | None = None, probe_share: float = 0.25,
-            seed: int = 42, max_iter: int = 10, assign: int = 1, **blocks) -> DataFrame:
-    """M-2 approximate retrieval, IVF style: k-means cells over the items (MLlib,
-    distributed), about the square root of their number unless given; each item is
-    filed under its ``assign`` nearest cells, each query probes the nearest
-    ``probe_share`` of the cells, and the exact tile kernel runs only inside those.
-    Centroids are a table of ``n_cells × dim`` numbers."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
-    spark = items.sparkSession
-    ensure_checkpoint_dir(spark)
-    items = items.select("item_id", "ivec").where("ivec is not null").checkpoint()      # read by every k-means pass
-    if n_cells is None:
-        n_cells = max(1, round(items.count() ** 0.5))
-    iv = items.select(array_to_vector("ivec").alias("__v"))
-    model = KMeans(k=n_cells, seed=seed, maxIter=max_iter, featuresCol="__v", predictionCol="cell").fit(iv)
-    centers = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
-    cdf = spark.createDataFrame(centers, "item_id int, ivec array<double>")
-    nprobe = max(1, math.ceil(probe_share * len(centers)))
-    # probe lists and cell assignments are small (nprobe per query, `assign` per
-    # item): written once instead of repeating the centroid searches in the plan
-    probes = knn(queries, cdf, nprobe, "l2").select("qid", F.col("item_id").cast("string").alias("g")).checkpoint()
-    homes = (knn(items.select(F.col("item_id").alias("qid"), F.col("ivec").alias("qvec")), cdf, assign, "l2")
-             .select(F.col("qid").alias("item_id"), F.col("item_id").cast("string").alias("g")).checkpoint())
-    return knn(queries, items.join(homes, "item_id").select("item_id", "ivec", "g"), k, "l2", query_groups=probes,
-               once_per_query=assign > 1, **blocks)

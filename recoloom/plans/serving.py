@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from ..operators import knn as K
 from ..operators import rerank as R
+from ..operators import vector_index as VI
+from ..sources import io as IO
 from ..sources import views as V
+from ..streaming import ingest as ST
 from . import sqlviews as S
 from .registry import register
-from .retrieval import L2SQ, UV_SQL, category_prefilter, user_vectors
+from .retrieval import KNN_K, KNN_SQL, L2SQ, UV_SQL, category_prefilter, user_vectors
 
 from ..defaults import (BOOST_FACTOR_CONFIGURED as BOOST_FACTOR, BOOST_HOURS_CONFIGURED as BOOST_HOURS,
                         DIVERSITY_FACTOR_CONFIGURED as DIVERSITY, DIVERSITY_FACTOR_DEFAULT,
@@ -281,29 +284,71 @@ def interleave(spark, d):
     return R.interleave(c).select("user_id", "post_id", "category_id", "rank")
 
 
-IVF = {"probe_share": 0.7, "assign": 1}  # the supplied vectors are near isotropic: cells prune little (README)
+def _index(spark, d, where=None):
+    """The stored index over all posts (or those that ``where`` keeps)."""
+    path = IO.scratch_path(spark, "vector-index")
+    posts = V.posts(spark, d, with_text=False).select(F.col("post_id").alias("id"), F.col("embedding").alias("vec"))
+    VI.build(posts if where is None else posts.where(where), path)
+    return path
+
+
+def _vectors_of_users(spark, d):
+    return user_vectors(spark, d).select(F.col("user_id").alias("qid"), F.col("user_vector").alias("qvec"))
+
+
+def _posts_found(res):
+    return res.select(F.col("qid").alias("user_id"), F.col("item_id").alias("post_id"), F.round("score", 6).alias("distance"), "rank")
+
+
+def _probes(spark, path):
+    """Nine tenths of the cells: the supplied vectors are near isotropic, so cells prune
+    little, and codes are cheap to read (README)."""
+    return -(-9 * len(VI.load_model(spark, path).centroids) // 10)
 
 
 @register("knn_ivf")
 def knn_ivf(spark, d):
-    """M-2: approximate top-100 by probing the nearest k-means cells."""
-    uv = user_vectors(spark, d).select(F.col("user_id").alias("qid"), F.col("user_vector").alias("qvec"))
-    items = V.posts(spark, d, with_text=False).select(F.col("post_id").alias("item_id"),
-                                                      F.col("embedding").alias("ivec"))
-    from .retrieval import KNN_K
-    res = K.ivf_knn(uv, items, KNN_K, **IVF)
-    return res.select(F.col("qid").alias("user_id"), F.col("item_id").alias("post_id"),
-                      F.round("score", 6).alias("distance"), "rank")
+    """M-2: approximate top 100 from the stored index: nine tenths of the cells probed by
+    codes, a shortlist of three times as many read in full."""
+    path = _index(spark, d)
+    return _posts_found(VI.search(_vectors_of_users(spark, d), path, KNN_K, _probes(spark, path), 3 * KNN_K))
+
+
+@register("knn_index_exact", KNN_SQL.replace("{join}", "CROSS JOIN posts e").replace("{k}", str(KNN_K)))
+def knn_index_exact(spark, d):
+    """M-2 / SNK-3: the exact top 100 from the stored index by the bounds of its codes."""
+    return _posts_found(VI.search_exact(_vectors_of_users(spark, d), _index(spark, d), KNN_K))
 
 
-@register("knn_ivf_recall", "SELECT true AS recall_at_least_90")
+@register("knn_ivf_recall", "SELECT true AS recall_at_least_95, true AS read_in_full_at_most_15_percent")
 def knn_ivf_recall(spark, d):
-    """M-2: whether the approximate top-100 holds at least 90 % of the exact one."""
-    from .retrieval import knn_exact
-    exact = knn_exact(spark, d).select("user_id", "post_id")
-    found = knn_ivf(spark, d).select("user_id", "post_id").join(exact, ["user_id", "post_id"], "left_semi")
-    n, of = found.select(F.count(F.lit(1))).scalar(), exact.select(F.count(F.lit(1))).scalar()
-    return spark.range(1).select((n >= 0.9 * of).alias("recall_at_least_90"))
+    """M-2: whether the approximate top 20 of the stored index holds at least 95 % of the
+    exact ones, with at most 15 % of all (user, post) pairs read in full."""
+    path, users = _index(spark, d), _vectors_of_users(spark, d)
+    posts = V.posts(spark, d, with_text=False).select(F.col("post_id").alias("item_id"), F.col("embedding").alias("ivec"))
+    exact = K.knn(users, posts, 20, "l2").select("qid", "item_id").checkpoint()
+    probes = _probes(spark, path)
+    found = VI.search(users, path, 20, probes, 60).select("qid", "item_id").join(exact, ["qid", "item_id"], "left_semi").count()
+    read = VI.shortlisted(users, path, probes, 60).count()
+    return spark.range(1).select(F.lit(found >= 0.95 * exact.count()).alias("recall_at_least_95"),
+                                 F.lit(read <= 0.15 * users.count() * posts.count()).alias("read_in_full_at_most_15_percent"))
+
+
+@register("stream_searchable_posts", KNN_SQL.replace("{join}", "CROSS JOIN posts e").replace("{k}", "10"))
+def stream_searchable_posts(spark, d):
+    """ST-5: an index built without a third of the posts, which then arrive as a stream in
+    two runs; the exact top 10 holds them like any other."""
+    late = F.col("id") % 3 == 1
+    path = _index(spark, d, ~late)
+    posts = V.posts(spark, d, with_text=False).select(F.col("post_id").alias("id"), F.col("embedding").alias("vec")).where(late)
+    src, ckpt = IO.scratch_path(spark, "new-posts-src"), IO.scratch_path(spark, "ckpt-index")
+    for half in range(2):
+        posts.where(F.col("id") % 2 == half).write.mode("append").parquet(src)
+        q = VI.index_stream(ST.file_stream(spark, src, posts.schema), path, ckpt)
+        q.awaitTermination()
+        if q.exception():
+            raise RuntimeError(str(q.exception()))
+    return _posts_found(VI.search_exact(_vectors_of_users(spark, d), path, 10))
 
 
 @register("smoke_score", serve_sql("""
