@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import predict_batch_udf, vector_to_array
 from pyspark.ml.recommendation import ALS
@@ -40,11 +40,19 @@ def fit_transform(train: DataFrame, other: DataFrame, categorical: list[str], nu
     return model, model.transform(train), model.transform(other)
 
 
+def class_weights(train: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
+    """X-26: positives weigh as the negatives outnumber them, so both classes weigh the
+    same; negatives weigh 1, and so does everything where a class is missing."""
+    ratio = train.agg(F.try_divide(F.count_if(F.col(label) == 0).cast("double"), F.count_if(F.col(label) == 1))).scalar()
+    return train.withColumn(out, F.when(F.col(label) == 1, F.coalesce(F.nullif(ratio, F.lit(0.0)), F.lit(1.0))).otherwise(F.lit(1.0)))
+
+
 def train_gbt(train: DataFrame, validation: DataFrame | None = None, label: str = "label",
-              seed: int = 42, **params) -> PipelineModel:
+              seed: int = 42, weight: str | None = None, **params) -> PipelineModel:
     """M-5: GBT with the reference hyper-parameters; with a validation frame the
-    rows are unioned and flagged so MLlib stops early on validation error."""
-    p = {**GBT_PARAMS, **params}
+    rows are unioned and flagged so MLlib stops early on validation error.  ``weight``
+    names a column of row weights (of both frames)."""
+    p = {**GBT_PARAMS, **params, **({"weightCol": weight} if weight else {})}
     if validation is not None:
         data = (train.withColumn("__is_val", F.lit(False))
                 .unionByName(validation.withColumn("__is_val", F.lit(True))))
@@ -56,10 +64,6 @@ def train_gbt(train: DataFrame, validation: DataFrame | None = None, label: str
     return gbt.fit(data)
 
 
-def train_logistic(train: DataFrame, label: str = "label"):
-    return LogisticRegression(labelCol=label, featuresCol="features", maxIter=50).fit(train)
-
-
 def save_model(model, path: str) -> None:
     """SNK-6: a fitted model under ``path``, replacing what was there."""
     model.write().overwrite().save(path)

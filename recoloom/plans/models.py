@@ -100,6 +100,13 @@ def ranking_metrics(spark, d):
                                  ("precision_at_k", "recall_at_k", "ndcg_at_k", "mrr")])
 
 
+TEXT_CTES = """tok AS (SELECT {key}, unnest(string_split_regex(lower(coalesce({text}, '')), '\\W+')) AS term FROM {src}),
+tf AS (SELECT {key}, """ + md5_sql("term", seed="text") + """ % 384 AS bucket, count(*) AS tf FROM tok WHERE length(term) > 0 GROUP BY 1, 2),
+idf AS (SELECT bucket, ln(((SELECT count(*) FROM {src}) + 1.0) / (count(*) + 1)) AS idf FROM tf GROUP BY bucket),
+w AS (SELECT {key}, bucket, tf * idf AS w FROM tf JOIN idf USING (bucket) WHERE tf * idf > 0),
+vec AS (SELECT {key}, bucket, w / sqrt(sum(w * w) OVER (PARTITION BY {key})) AS value FROM w)"""
+
+
 # ------------------------------------------------------------------ ranking model
 NUMERIC = ["user_spend__spend", "post_stats__num_likes_on_post", "post_stats__num_views_on_post",
            "post_stats__num_comments_on_post", "cosine_similarity_user_post_embedding",
@@ -139,6 +146,15 @@ def pair_features(spark, d, ent, uv, as_of=None):
 def ranking_datasets(spark, d):
     """E-12: (train, validation) ranking sets — split → positives (one row per
     interaction, N-3) ∪ sampled negatives (N-1) → features, joined once for both."""
+    split, posts, both = _ranking_pairs(spark, d)
+    # written once (reliable checkpoint in spark.checkpoint.dir): the estimators read
+    # it many times, and a lost executor does not replay the sampling
+    f = pair_features(spark, d, both, training_vectors(split, posts)).drop("category_id", "creation_timestamp").checkpoint()
+    return f.where("split = 'train'"), f.where("split = 'validation'")
+
+
+def _ranking_pairs(spark, d):
+    """The split interactions, the posts, and the labelled pairs of both ranking sets."""
     split = SM.chronological_split(V.interactions(spark, d), "timestamp", "interaction_id")
     posts = V.posts(spark, d, with_text=False)
     both = None
@@ -149,10 +165,37 @@ def ranking_datasets(spark, d):
         ent = (pos.unionByName(neg.select("user_id", "post_id", "timestamp", "label"))
                .withColumnRenamed("timestamp", "event_timestamp").withColumn("split", F.lit(name)))
         both = ent if both is None else both.unionByName(ent)
-    # written once (reliable checkpoint in spark.checkpoint.dir): the estimators read
-    # it many times, and a lost executor does not replay the sampling
-    f = pair_features(spark, d, both, training_vectors(split, posts)).drop("category_id", "creation_timestamp").checkpoint()
-    return f.where("split = 'train'"), f.where("split = 'validation'")
+    return split, posts, both
+
+
+#: The configured features (fixed values), by the names of their views here.
+CONFIGURED = ["user_profile_features:about_embedding", "user_profile_features:headline_embedding",
+              "user_profile_features:onboarding_category_ids", "user_stats:count_likes_given",
+              "post_details_features:description_embedding", "post_details_features:category_id", "post_details_features:media_type",
+              "post_details_features:creator_id", "post_stats:post_age_hours", "post_stats:num_likes_on_post"]
+
+
+def configured_rows(spark, d):
+    """E-12: the labelled pairs of both sets with every configured feature as of their
+    time, and the two pair features: text cosine (E-6) and category flag (E-7)."""
+    from ..operators import rerank as R
+    from .store import feature_store
+    _, _, both = _ranking_pairs(spark, d)
+    narrow_first = sorted(CONFIGURED, key=lambda f: f.endswith("_embedding"))       # wide features ride through fewer joins
+    f = feature_store(spark, d).get_historical_features(both.checkpoint(), narrow_first)
+    about, text = "user_profile_features__about_embedding", "post_details_features__description_embedding"
+    return f.withColumn("cosine_similarity_user_post_embedding", VX.cosine(about, text)).withColumn(
+        "is_post_category_in_onboarding", R.in_list_flag(F.col("post_details_features__category_id"),
+                                                         F.col("user_profile_features__onboarding_category_ids")).cast("int")).checkpoint()
+
+
+def configured_matrix_rows(spark, d):
+    """Sparse rows over all configured features, encoders fitted on train, and the slots' blocks."""
+    from ..operators import matrix as MX
+    f = configured_rows(spark, d)
+    names = [c.replace(":", "__") for c in CONFIGURED] + ["cosine_similarity_user_post_embedding", "is_post_category_in_onboarding"]
+    blocks = MX.fit(f.where("split = 'train'"), names, codes=("post_details_features__creator_id",))
+    return MX.assemble(f, blocks), blocks
 
 
 def _matrices(spark, d):
@@ -222,13 +265,67 @@ def feature_matrix(spark, d):
     return both.withColumn("value", F.round("value", 6))
 
 
+CONFIGURED_SQL = MATRIX_SQL[:MATRIX_SQL.index("spend AS (SELECT e.rid")] + """
+t AS (SELECT 'about' || user_id AS id, about_text AS text FROM users UNION ALL SELECT 'headline' || user_id, headline_text FROM users
+      UNION ALL SELECT 'description' || post_id, description_text FROM posts),
+""" + TEXT_CTES.format(key="id", text="text", src="t") + """,
+ps AS (SELECT p.post_id, p.creation_timestamp, count(i.post_id) FILTER (WHERE i.interaction_type = 'like') AS likes,
+              coalesce((epoch_us((SELECT max("timestamp") FROM interactions)) - epoch_us(p.creation_timestamp)) / 3.6e9, 0.0) AS age
+       FROM posts p LEFT JOIN interactions i USING (post_id) GROUP BY p.post_id, p.creation_timestamp),
+us AS (SELECT user_id, max("timestamp") AS at, count(*) FILTER (WHERE interaction_type = 'like') AS likes FROM interactions GROUP BY user_id),
+e AS (
+  SELECT ent.rid, ent.split, 'about' || u.user_id AS ua, 'headline' || u.user_id AS uh, 'description' || p.post_id AS pd,
+         u.onboarding_category_ids AS cats, p.category_id, p.media_type, p.creator_id,
+         CASE WHEN p.post_id IS NOT NULL THEN ps.likes ELSE 0 END AS plikes, CASE WHEN p.post_id IS NOT NULL THEN ps.age ELSE 0 END AS age,
+         CASE WHEN us.at <= ent.event_timestamp THEN us.likes ELSE 0 END AS ulikes
+  FROM ent LEFT JOIN users u ON u.user_id = ent.user_id AND u.creation_timestamp <= ent.event_timestamp
+  LEFT JOIN posts p ON p.post_id = ent.post_id AND p.creation_timestamp <= ent.event_timestamp
+  LEFT JOIN ps ON ps.post_id = p.post_id LEFT JOIN us ON us.user_id = ent.user_id),
+cos AS (SELECT e.rid, sum(a.value * b.value) AS value FROM e JOIN vec a ON a.id = e.ua JOIN vec b ON b.id = e.pd AND b.bucket = a.bucket GROUP BY e.rid),
+code AS (
+  SELECT name, v, row_number() OVER (PARTITION BY name ORDER BY v) - 1 AS c FROM (
+    SELECT DISTINCT 'post_details_features__category_id' AS name, category_id AS v FROM e WHERE split = 'train' AND category_id IS NOT NULL
+    UNION SELECT DISTINCT 'post_details_features__media_type', media_type FROM e WHERE split = 'train' AND media_type IS NOT NULL
+    UNION SELECT DISTINCT 'post_details_features__creator_id', CAST(creator_id AS VARCHAR) FROM e WHERE split = 'train' AND creator_id IS NOT NULL)),
+coded AS (
+  SELECT rid, split, 'post_details_features__category_id' AS name, category_id AS v FROM e
+  UNION ALL SELECT rid, split, 'post_details_features__media_type', media_type FROM e
+  UNION ALL SELECT rid, split, 'post_details_features__creator_id', CAST(creator_id AS VARCHAR) FROM e),
+m AS (
+  SELECT split, 'user_profile_features__about_embedding_dim_' || bucket AS name, value FROM e JOIN vec ON vec.id = e.ua
+  UNION ALL SELECT split, 'user_profile_features__headline_embedding_dim_' || bucket, value FROM e JOIN vec ON vec.id = e.uh
+  UNION ALL SELECT split, 'post_details_features__description_embedding_dim_' || bucket, value FROM e JOIN vec ON vec.id = e.pd
+  UNION ALL SELECT split, 'user_profile_features__onboarding_category_ids_' || c, 1.0 FROM (SELECT split, unnest(cats) AS c FROM e)
+            WHERE c IN (SELECT unnest(cats) FROM e WHERE split = 'train')
+  UNION ALL SELECT split, name, CAST(coalesce(c, -1) AS DOUBLE) FROM coded LEFT JOIN code USING (name, v)
+  UNION ALL SELECT split, 'user_stats__count_likes_given', CAST(ulikes AS DOUBLE) FROM e
+  UNION ALL SELECT split, 'post_stats__num_likes_on_post', CAST(plikes AS DOUBLE) FROM e
+  UNION ALL SELECT split, 'post_stats__post_age_hours', CAST(age AS DOUBLE) FROM e
+  UNION ALL SELECT split, 'cosine_similarity_user_post_embedding', value FROM e JOIN cos USING (rid)
+  UNION ALL SELECT split, 'is_post_category_in_onboarding', 1.0 FROM e WHERE list_contains(cats, category_id))
+SELECT split, name, count(*) AS n_rows, round(sum(value), 3) AS total, round(min(value), 6) AS least, round(max(value), 6) AS most
+FROM m WHERE value <> 0 GROUP BY split, name"""
+
+
+@register("configured_matrix", CONFIGURED_SQL)
+def configured_matrix(spark, d):
+    """E-10..E-12: the matrix over all configured features, summed up per slot: rows with
+    a value, their sum, least and greatest."""
+    from ..operators import matrix as MX
+    rows, blocks = configured_matrix_rows(spark, d)
+    cells = rows.select("split", F.inline(F.arrays_zip("indices", "values"))).withColumnsRenamed({"indices": "slot", "values": "value"})
+    per = cells.groupBy("split", "slot").agg(F.count("*").alias("n_rows"), F.round(F.sum("value"), 3).alias("total"),
+                                             F.round(F.min("value"), 6).alias("least"), F.round(F.max("value"), 6).alias("most"))
+    return per.join(MX.slot_names(spark, blocks), "slot").select("split", "name", "n_rows", "total", "least", "most")
+
+
 @register("train_rank")
 def train_rank(spark, d):
     """M-5 + M-14: GBT with the reference hyper-parameters (validation-based
     early stopping), evaluated on train and validation."""
     from ..operators import models as M
     trm, vam = _matrices(spark, d)
-    model = M.train_gbt(trm, vam)
+    model = M.train_gbt(M.class_weights(trm), M.class_weights(vam), weight="weight")
     rows = []
     for name, df in (("train", trm), ("validation", vam)):
         m = MT.binary_metrics(M.score(model, df).select("label", "score"))
@@ -241,7 +338,7 @@ def feature_importance(spark, d):
     """X-33: importance of each assembled feature slot, sorted descending."""
     from ..operators import models as M
     trm, vam = _matrices(spark, d)
-    model = M.train_gbt(trm, vam)
+    model = M.train_gbt(M.class_weights(trm), M.class_weights(vam), weight="weight")
     return M.feature_importance(model, M.assembled_names(trm), spark)
 
 
@@ -253,7 +350,7 @@ def saved_ranker(spark, d) -> tuple[str, str]:
     encoder, trm, vam = M.fit_transform(tr, va, CATEGORICAL, NUMERIC)
     paths = IO.scratch_path(spark, "ranker-encoder"), IO.scratch_path(spark, "ranker")
     M.save_model(encoder, paths[0])
-    M.save_model(M.train_gbt(trm, vam), paths[1])
+    M.save_model(M.train_gbt(M.class_weights(trm), M.class_weights(vam), weight="weight"), paths[1])
     return paths
 
 
@@ -333,13 +430,6 @@ def als_check(spark, d):
                                                     for n, v in rows])))
 
 
-TEXT_CTES = """tok AS (SELECT {key}, unnest(string_split_regex(lower(coalesce({text}, '')), '\\W+')) AS term FROM {src}),
-tf AS (SELECT {key}, """ + md5_sql("term", seed="text") + """ % 384 AS bucket, count(*) AS tf FROM tok WHERE length(term) > 0 GROUP BY 1, 2),
-idf AS (SELECT bucket, ln(((SELECT count(*) FROM {src}) + 1.0) / (count(*) + 1)) AS idf FROM tf GROUP BY bucket),
-w AS (SELECT {key}, bucket, tf * idf AS w FROM tf JOIN idf USING (bucket) WHERE tf * idf > 0),
-vec AS (SELECT {key}, bucket, w / sqrt(sum(w * w) OVER (PARTITION BY {key})) AS value FROM w)"""
-
-
 @register("text_vectors", "WITH " + TEXT_CTES.format(key="doc_id", text="text", src="documents") + """
 SELECT doc_id, CAST(bucket AS BIGINT) AS bucket, round(value, 6) AS value FROM vec""")
 def text_vectors(spark, d):

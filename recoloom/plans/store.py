@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import functions as F
 
 from ..operators import aggregates as A
@@ -15,6 +17,33 @@ USER = Entity("user", ("user_id",))
 POST = Entity("post", ("post_id",))
 
 
+def text_embeddings(spark, d):
+    """The users' and posts' text columns, encoded together: (kind, id, vector)."""
+    from ..operators import textvec as TV
+    u, p = V.users(spark, d), V.posts(spark, d)
+    texts = None
+    for kind, rows, key, text in (("about", u, "user_id", "about_text"), ("headline", u, "user_id", "headline_text"),
+                                  ("description", p, "post_id", "description_text")):
+        part = rows.select(F.struct(F.lit(kind).alias("kind"), F.col(key).alias("id")).alias("key"), F.col(text).alias("text"))
+        texts = part if texts is None else texts.unionByName(part)
+    return TV.dense(TV.text_vectors(texts, "key", "text"), "key").select("key.kind", "key.id", "vector").checkpoint()
+
+
+def user_profiles(spark, d, vec):
+    """F-1: what a user states, with the vectors of the two texts."""
+    of = lambda k: vec.where(F.col("kind") == k).select(F.col("id").alias("user_id"), F.col("vector").alias(f"{k}_embedding"))
+    return (V.users(spark, d).select("user_id", "onboarding_category_ids", F.col("creation_timestamp").alias("event_timestamp"))
+            .join(of("about"), "user_id", "left").join(of("headline"), "user_id", "left"))
+
+
+def post_details(spark, d, vec):
+    """F-1: what a post is, with the vector of its text."""
+    vec = vec.where("kind = 'description'").select(F.col("id").alias("post_id"), F.col("vector").alias("description_embedding"))
+    return (V.posts(spark, d, with_text=False).select("post_id", "category_id", "media_type", "creator_id", "creation_timestamp",
+                                                      F.col("creation_timestamp").alias("event_timestamp"))
+            .join(vec, "post_id", "left"))
+
+
 def feature_store(spark, d, spend_ttl: str | None = None) -> FeatureStore:
     """The engine's feature definitions over the canonical views (F-1)."""
     spend = FeatureView("user_spend", (USER,),
@@ -24,18 +53,23 @@ def feature_store(spark, d, spend_ttl: str | None = None) -> FeatureStore:
         "post_stats", (POST,),
         Source(lambda: A.post_aggregates(V.interactions(spark, d), V.posts(spark, d, with_text=False)),
                "event_timestamp"),
-        ("num_likes_on_post", "num_views_on_post", "num_comments_on_post"))
+        ("post_age_hours", "num_likes_on_post", "num_views_on_post", "num_comments_on_post"))
     user_stats = FeatureView(
         "user_stats", (USER,),
         Source(lambda: A.user_aggregates(V.interactions(spark, d), V.posts(spark, d, with_text=False),
                                          V.users(spark, d)), "event_timestamp"),
         ("count_likes_given", "count_comments_given", "distinct_categories_interacted"))
+    texts = cache(lambda: text_embeddings(spark, d))            # once for both views, and only if one is read
+    profile = FeatureView("user_profile_features", (USER,), Source(lambda: user_profiles(spark, d, texts()), "event_timestamp"),
+                          ("onboarding_category_ids", "about_embedding", "headline_embedding"))
+    details = FeatureView("post_details_features", (POST,), Source(lambda: post_details(spark, d, texts()), "event_timestamp"),
+                          ("category_id", "media_type", "creator_id", "creation_timestamp", "description_embedding"))
     request = OnDemandView("request_features", {
         # stored feature + request-time value (F-6): the entity row carries val_to_add
         "spend_plus_val": lambda: F.col("user_spend__spend") + F.col("val_to_add"),
         "spend_plus_val_2": lambda: F.col("user_spend__spend") + F.col("val_to_add") * 2,
     })
-    return FeatureStore([spend, post_stats, user_stats], [request])
+    return FeatureStore([spend, post_stats, user_stats, profile, details], [request])
 
 
 ASOF_SQL = S.with_views("""
