@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .aggregates import count_if
 
+from .skew import ROWS_A_TASK, split_join
 from ..defaults import INTERACTION_TYPES, RANKING_POSITIVE_TYPES as POSITIVE_TYPES
 
 
@@ -154,9 +155,11 @@ def load_checks(inter: DataFrame, users: DataFrame, posts: DataFrame) -> DataFra
                                           for n, v in checks])))
 
 
-def keywords(docs: DataFrame, id_col: str, text: str, k: int = 5) -> DataFrame:
+def keywords(docs: DataFrame, id_col: str, text: str, k: int = 5, rows_a_task: int = ROWS_A_TASK) -> DataFrame:
     """X-19: top-k TF-IDF terms per document over the whole text.
-    tf = count in doc, idf = ln((N + 1) / (df + 1)) + 1; ties by term."""
+    tf = count in doc, idf = ln((N + 1) / (df + 1)) + 1; ties by term.  A term's
+    document frequency is its number of rows, so it also tells which terms (stop
+    words) are to be split over tasks."""
     from ..functions.text import raw_tokens
     toks = (docs.select(id_col, F.explode(raw_tokens(F.col(text))).alias("term"))
             .where(F.length("term") > 0))
@@ -165,8 +168,9 @@ def keywords(docs: DataFrame, id_col: str, text: str, k: int = 5) -> DataFrame:
     # read by both sides of the join below: counted and written once
     tf = toks.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")).checkpoint(eager=True)
     n_docs = docs.select(F.count(F.lit(1))).scalar()
-    df_ = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    sc = tf.join(df_, "term").withColumn(
+    df_ = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).checkpoint(eager=True)
+    heavy = df_.where(F.col("df") > rows_a_task).select("term", F.ceil(F.col("df") / rows_a_task).cast("int").alias("splits"))
+    sc = split_join(tf, df_, "term", id_col, heavy=heavy).withColumn(
         "score", F.col("tf") * (F.log((n_docs + 1).cast("double") / (F.col("df") + 1)) + 1.0))
     w = Window.partitionBy(id_col).orderBy(F.col("score").desc(), F.col("term"))
     return (sc.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

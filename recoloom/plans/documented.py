@@ -439,13 +439,12 @@ def semantic_search(spark, d):
 SELECT doc_id, copies, CAST(bucket AS BIGINT) AS bucket, round(value, 6) AS value FROM vec JOIN u USING (doc_id)""")
 def dedup_embed(spark, d):
     """X-28: de-duplicate documents by exact text (keep the smallest id), then
-    encode the survivors.  Copies meet by a 256-bit digest of the text, so texts
-    themselves are neither sorted nor compared; the texts of the survivors are
-    then joined by id."""
+    encode the survivors.  Copies meet by a 256-bit digest of the text, which also
+    finds the survivor's text again: any one of the copies' (they are equal), so
+    neither repeated nor missing ids matter.  Texts are neither sorted nor compared."""
     from ..operators import textvec as TV
     docs = read_table(spark, d, "documents").select("doc_id", "text")
-    uniq = docs.groupBy(F.sha2(F.coalesce("text", F.lit("")), 256).alias("h"), F.isnull("text").alias("none")).agg(
-        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
-    kept = uniq.join(docs, "doc_id").select("doc_id", "copies", "text")
-    return (TV.text_vectors(kept, "doc_id", "text").join(kept.select("doc_id", "copies"), "doc_id")
-            .select("doc_id", "copies", "bucket", F.round("value", 6).alias("value")))
+    digest = F.sha2(F.coalesce(F.concat(F.lit("t"), "text"), F.lit("")), 256)
+    uniq = docs.groupBy(digest.alias("h")).agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.any_value("text").alias("text"))
+    kept = uniq.select(F.struct("h", "doc_id", "copies").alias("key"), "text").checkpoint()
+    return TV.text_vectors(kept, "key", "text").select("key.doc_id", "key.copies", "bucket", F.round("value", 6).alias("value"))

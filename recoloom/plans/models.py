@@ -366,6 +366,7 @@ def trained_scores(spark, d):
     encoder, trees = saved_ranker(spark, d)
     inter = V.interactions(spark, d)
     _, uf, pf = M.als_vectors(inter)
+    pf = with_content(spark, d, pf)                             # a post without interactions is found by its text
     cand = K.knn(uf.select(F.col("user_id").alias("qid"), F.col("vector").alias("qvec")),
                  pf.select(F.col("post_id").alias("item_id"), F.col("vector").alias("ivec")), TOP_N, "ip")
     cand = cand.select(F.col("qid").alias("user_id"), F.col("item_id").alias("post_id"), F.col("rank").alias("cand_rank"))
@@ -396,6 +397,31 @@ def recommend_trained(spark, d):
         "user_id", "rank", "post_id", F.round("score", 6).alias("score"), "category_id")
 
 
+def with_content(spark, d, factors):
+    """Vectors of all posts: learned ones, else those that the text suggests."""
+    from ..operators import content as CT
+    from ..operators import textvec as TV
+    texts = V.posts(spark, d).select("post_id", F.col("description_text").alias("text")).where("text is not null")
+    dense = TV.dense(TV.text_vectors(texts, "post_id", "text"), "post_id").checkpoint()
+    return CT.content_factors(dense, factors.checkpoint()).checkpoint()
+
+
+@register("content_vectors", S.with_views("""
+pos AS (SELECT DISTINCT post_id FROM interactions WHERE interaction_type IN ('like', 'bookmark', 'view_full', 'comment', 'share')),
+t AS (SELECT post_id FROM posts WHERE length(regexp_replace(coalesce(description_text, ''), '\\W', '', 'g')) > 0)
+SELECT coalesce(t.post_id, pos.post_id) AS post_id, pos.post_id IS NOT NULL AS learned, t.post_id IS NOT NULL AS has_content,
+       CAST(64 AS INTEGER) AS n_factors, CASE WHEN t.post_id IS NOT NULL THEN CAST(64 AS INTEGER) END AS n_components
+FROM t FULL JOIN pos ON t.post_id = pos.post_id""", S.INTERACTIONS, S.POSTS).replace("\n\npos AS", ",\npos AS"))
+def content_vectors(spark, d):
+    """M-6: every post with a text or a positive interaction gets a vector of the
+    configured size, joined with the components of its text."""
+    from ..operators import models as M
+    _, _, pf = M.als_vectors(V.interactions(spark, d))
+    v = with_content(spark, d, pf)
+    return v.select("post_id", "learned", F.col("content_vector").isNotNull().alias("has_content"),
+                    F.size("vector").alias("n_factors"), F.nullif(F.size("content_vector"), F.lit(-1)).alias("n_components"))
+
+
 @register("als_vectors")
 def als_vectors(spark, d):
     """M-6/M-7/M-8: implicit-ALS user and post vectors (rank 64), one row per dimension."""
