@@ -20,7 +20,7 @@ HEADLINE = [
     "user_aggregates", "order_user_aggregates", "post_aggregates", "asof_features", "asof_multi_view",
     "split_chronological", "ranking_negatives", "retrieval_pairs", "knn_exact", "knn_category",
     "topk_accuracy", "recommend", "binary_metrics", "window_counts", "keywords", "latest_features",
-    "feature_matrix", "knn_ivf", "upsert_interactions", "text_vectors",
+    "feature_matrix", "knn_ivf", "upsert_interactions", "text_vectors", "rolling_counts", "knn_index_exact",
 ]
 
 

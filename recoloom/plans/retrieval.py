@@ -147,16 +147,23 @@ SELECT count(*) AS n_positives,
 FROM ranks""").replace("\n\n, truth AS", ",\ntruth AS").replace("\n, truth AS", ",\ntruth AS")
 
 
+THRESHOLDS = 4096                       # scores of a user's positives that one row carries
+
+
 @register("topk_accuracy", TOPK_SQL)
 def topk_accuracy(spark, d):
     """A-12: share of positive pairs whose post ranks within the top K of the
     user's scores over the *whole* catalogue (rank = 1 + #items scoring higher)."""
     uv = user_vectors(spark, d)
     emb = V.posts(spark, d, with_text=False).select("post_id", "embedding")
-    pairs = positive_pairs(spark, d).join(uv, "user_id").join(emb, "post_id")
-    truth = (pairs.groupBy(F.col("user_id").alias("qid"))              # one row per user, with its positives' scores
+    pos = positive_pairs(spark, d)
+    pairs = pos.join(uv, "user_id").join(emb, "post_id")
+    lists = pos.groupBy("user_id").agg(F.ceil(F.count(F.lit(1)) / THRESHOLDS).cast("int").alias("lists"))
+    part = F.pmod(F.xxhash64("post_id"), F.col("lists")).cast("int").alias("part")
+    truth = (pairs.join(lists, "user_id")                               # rows of about THRESHOLDS scores, however many a user has
+             .groupBy(F.struct("user_id", part).alias("qid"))
              .agg(F.collect_list(VX.dot("user_vector", "embedding") + F.lit(1e-9)).alias("thresholds"))
-             .join(uv.withColumnRenamed("user_id", "qid"), "qid").withColumnRenamed("user_vector", "qvec"))
+             .withColumn("user_id", F.col("qid.user_id")).join(uv, "user_id").drop("user_id").withColumnRenamed("user_vector", "qvec"))
     items = emb.select(F.col("post_id").alias("item_id"), F.col("embedding").alias("ivec"))
     ranks = K.count_better(truth, items).select((F.col("n_better") + 1).alias("rk"))
     return ranks.agg(F.count(F.lit(1)).alias("n_positives"),

@@ -362,3 +362,33 @@ def smoke_score(spark, d):
     c = candidates(spark, d).join(users, "user_id").join(posts, "post_id")
     return c.select("user_id", "post_id", R.smoke_score(R.in_list_flag(F.col("category_id"),
                                                                         F.col("onboarding_category_ids"))).alias("score"))
+
+
+@register("empty_inputs", """
+SELECT step, CAST(n AS BIGINT) AS n FROM (VALUES ('users_without_interactions', (SELECT count(*) FROM customer)),
+  ('users_without_posts', (SELECT count(*) FROM customer)), ('no_candidates', 0), ('nothing_seen', (SELECT count(*) FROM events)),
+  ('no_neighbours', 0), ('no_items', 0), ('no_split_rows', 0), ('no_rolling_rows', 0), ('no_asof_features', (SELECT count(*) FROM events WHERE event_type = 'click'))) t(step, n)""")
+def empty_inputs(spark, d):
+    """ORD-5: operators over empty frames: no rows where they make rows of what is
+    missing, all rows where they only add to what is there."""
+    from ..operators import aggregates as A
+    from ..operators import asof, rolling
+    from ..operators import sampling as SM
+    inter, posts, users = V.interactions(spark, d), V.posts(spark, d, with_text=False), V.users(spark, d)
+    nothing, no_posts = inter.where("false"), posts.where("false")
+    uv = _vectors_of_users(spark, d)
+    items = posts.select(F.col("post_id").alias("item_id"), F.col("embedding").alias("ivec"))
+    none_scored = inter.where("false").select("user_id", "post_id", F.lit("").alias("category_id"), F.lit(0.0).alias("score"),
+                                             F.lit(1).cast("long").alias("cand_rank"))
+    steps = {"users_without_interactions": A.user_aggregates(nothing, posts, users), "users_without_posts": A.user_aggregates(inter, no_posts, users),
+             "no_candidates": R.diverse_rerank(none_scored, n=FINAL_N, factor=DIVERSITY),
+             "nothing_seen": R.seen_filter(inter, V.seen_store(spark, d).where("false")),
+             "no_neighbours": K.knn(uv.where("false"), items, 10), "no_items": K.knn(uv, items.where("false"), 10),
+             "no_split_rows": SM.chronological_split(nothing, "timestamp", "interaction_id"), "no_rolling_rows": rolling.rolling_counts(nothing),
+             "no_asof_features": asof.point_in_time_join(V.entity_rows(spark, d), V.feature_rows(spark, d).where("false"), "user_id",
+                                                         "event_ts", "feature_ts", ["spend"], created_col="created")}
+    out = None
+    for name, df in steps.items():
+        one = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("step"), "n")
+        out = one if out is None else out.union(one)
+    return out
