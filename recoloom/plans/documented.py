@@ -12,6 +12,7 @@ from ..operators import features as FE
 from ..operators import rolling as RO
 from ..operators import knn as K
 from ..sources import views as V
+from ..sources.io import scratch_path
 from ..sources.tables import read_table
 from . import sqlviews as S
 from .registry import register
@@ -423,15 +424,39 @@ def semantic_search(spark, d):
     """X-36: every benchmark text (a stated query set) searched against all
     documents; top-25 by cosine of text vectors fitted on both."""
     from ..operators import textvec as TV
+    return _text_search(spark, d, TV.text_vectors)
+
+
+TRIPLES = 512
+
+
+@register("subword_search", f"""WITH t AS (SELECT 'd' || doc_id AS id, text FROM documents UNION ALL SELECT 'q' || item_id, text FROM benchmark),
+pos AS (SELECT id, text, unnest(range(1, CAST(length(text) AS BIGINT) - 1)) AS i FROM t WHERE length(text) > 2),
+n AS (SELECT id, (unicode(text[i]) * 961 + unicode(text[i + 1]) * 31 + unicode(text[i + 2])) % {TRIPLES} AS bucket, ln(1 + count(*)) AS w
+      FROM pos GROUP BY 1, 2),
+vec AS (SELECT id, bucket, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS value FROM n),
+q AS (SELECT CAST(id[2:] AS BIGINT) AS item_id, bucket, value FROM vec WHERE id[1:1] = 'q'),
+c AS (SELECT CAST(id[2:] AS BIGINT) AS doc_id, bucket, value FROM vec WHERE id[1:1] = 'd'),
+s AS (SELECT item_id, doc_id, round(sum(q.value * c.value), 9) AS score FROM q JOIN c USING (bucket) GROUP BY 1, 2)
+SELECT item_id, doc_id, round(score, 6) AS cosine, CAST(rk AS BIGINT) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rk FROM s) WHERE rk <= 25""")
+def subword_search(spark, d):
+    """U-1, X-36: the same search behind another encoder, a model that each Python
+    worker loads once (hashed letter triples)."""
+    from ..operators import textsearch as TS
+    return _text_search(spark, d, TS.worker_encoder(f"letter triples {TRIPLES}", lambda: TS.letter_triples(TRIPLES)))
+
+
+def _text_search(spark, d, encode):
+    from ..operators import textsearch as TS
     docs = read_table(spark, d, "documents").select(F.concat(F.lit("d"), F.col("doc_id")).alias("id"), "text")
     bench = read_table(spark, d, "benchmark").select(F.concat(F.lit("q"), F.col("item_id")).alias("id"), "text")
-    enc = TV.dense(TV.text_vectors(docs.unionByName(bench), "id", "text"), "id")
+    vec = encode(docs.unionByName(bench), "id", "text").checkpoint()
     num = F.substring("id", 2, 30).cast("bigint")
-    q = enc.where(F.col("id").startswith("q")).select(num.alias("qid"), F.col("vector").alias("qvec"))
-    it = enc.where(F.col("id").startswith("d")).select(num.alias("item_id"), F.col("vector").alias("ivec"))
-    res = K.knn(q, it, 25, "ip", decimals=9)
-    return res.select(F.col("qid").alias("item_id"), F.col("item_id").alias("doc_id"),
-                      F.round("score", 6).alias("cosine"), "rank")
+    path = scratch_path(spark, "text-index")
+    TS.build_index(vec.where(F.col("id").startswith("d")).select(num.alias("doc_id"), "bucket", "value"), "doc_id", docs.count(), path)
+    res = TS.search(vec.where(F.col("id").startswith("q")).select(num.alias("qid"), "bucket", "value"), TS.read_index(spark, path), 25)
+    return res.select(F.col("qid").alias("item_id"), "doc_id", F.round("score", 6).alias("cosine"), "rank")
 
 
 @register("dedup_embed", "WITH u AS (SELECT min(doc_id) AS doc_id, count(*) AS copies, text FROM documents GROUP BY text),\n"
