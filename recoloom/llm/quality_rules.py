@@ -26,6 +26,7 @@ UPPER, LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_cased",
             "n_marks", "n_stutter")
+RELIABLE, DOUBTFUL = 100.0, 0.2         # prior of a rule: blames about 1 in 100 good documents; share of rules that may blame any
 MIX, STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x2545F4914F6CDD1D)
 
 
@@ -110,6 +111,13 @@ def rules() -> dict[str, tuple[Column, Column]]:
     }
 
 
+def trust(rate: np.ndarray) -> float:
+    """Log prior of the rules' rates of junk votes on good documents: a rule is a reliable
+    one, Beta(1, RELIABLE), or, with probability DOUBTFUL, any.  However often a rule
+    fires, distrusting it costs a fixed sum at most, which few documents outweigh."""
+    return float(np.log((1 - DOUBTFUL) * RELIABLE * (1 - rate) ** (RELIABLE - 1) + DOUBTFUL).sum())
+
+
 def surprise(x: float, n: float) -> float:
     """Log likelihood of x of n at their own rate."""
     return x * np.log(x / n) + (n - x) * np.log1p(-x / n)
@@ -146,7 +154,7 @@ def fit_classes(votes: np.ndarray, counts: np.ndarray, rate: np.ndarray, share:
                 else:
                     pool, x, n = [*pool, c], x + cx, n + cn
             rate[pool, j] = x / n
-    return {"junk_vote": rate, "share": share, "good": belong[:, 0], "fits": fits}
+    return {"junk_vote": rate, "share": share, "good": belong[:, 0], "fits": fits + trust(rate[0])}
 
 
 def label_model(votes: np.ndarray, counts: np.ndarray) -> dict[str, np.ndarray]:
@@ -159,7 +167,7 @@ def label_model(votes: np.ndarray, counts: np.ndarray) -> dict[str, np.ndarray]:
     alone identifiable: one that is merely wrong fires as often on the junk that
     other rules find, one with a kind of junk of its own leaves that alone and needs
     a class.  How many junk classes there are is chosen by the Bayesian information
-    criterion; with no evidence for any (few documents, or no junk that rules agree
+    criterion and a weak prior of the rules (``trust``); with no evidence for any (few documents, or no junk that rules agree
     or disagree on) every document is good.  Returns these, the classes' shares, and
     each pattern's posterior of being good."""
     counts = counts.astype(np.float64)
