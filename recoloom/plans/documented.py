@@ -424,7 +424,9 @@ def semantic_search(spark, d):
     """X-36: every benchmark text (a stated query set) searched against all
     documents; top-25 by cosine of text vectors fitted on both."""
     from ..operators import textvec as TV
-    return _text_search(spark, d, TV.text_vectors)
+    docs, bench = _search_texts(spark, d)
+    vec = TV.text_vectors(docs.unionByName(bench), "id", "text")
+    return _text_search(spark, d, vec.where(F.col("id").startswith("d")), vec.where(F.col("id").startswith("q")))
 
 
 TRIPLES = 512
@@ -444,18 +446,23 @@ def subword_search(spark, d):
     """U-1, X-36: the same search behind another encoder, a model that each Python
     worker loads once (hashed letter triples)."""
     from ..operators import textsearch as TS
-    return _text_search(spark, d, TS.worker_encoder(f"letter triples {TRIPLES}", lambda: TS.letter_triples(TRIPLES)))
+    docs, bench = _search_texts(spark, d)
+    encode = TS.worker_encoder(f"letter triples {TRIPLES}", lambda: TS.letter_triples(TRIPLES))
+    return _text_search(spark, d, encode(docs, "id", "text"), encode(bench, "id", "text"))
 
 
-def _text_search(spark, d, encode):
-    from ..operators import textsearch as TS
+def _search_texts(spark, d):
     docs = read_table(spark, d, "documents").select(F.concat(F.lit("d"), F.col("doc_id")).alias("id"), "text")
-    bench = read_table(spark, d, "benchmark").select(F.concat(F.lit("q"), F.col("item_id")).alias("id"), "text")
-    vec = encode(docs.unionByName(bench), "id", "text").checkpoint()
+    return docs, read_table(spark, d, "benchmark").select(F.concat(F.lit("q"), F.col("item_id")).alias("id"), "text")
+
+
+def _text_search(spark, d, docs, queries):
+    from ..operators import textsearch as TS
     num = F.substring("id", 2, 30).cast("bigint")
     path = scratch_path(spark, "text-index")
-    TS.build_index(vec.where(F.col("id").startswith("d")).select(num.alias("doc_id"), "bucket", "value"), "doc_id", docs.count(), path)
-    res = TS.search(vec.where(F.col("id").startswith("q")).select(num.alias("qid"), "bucket", "value"), TS.read_index(spark, path), 25)
+    n = read_table(spark, d, "documents").count()
+    TS.build_index(docs.select(num.alias("doc_id"), "bucket", "value"), "doc_id", n, path)
+    res = TS.search(queries.select(num.alias("qid"), "bucket", "value"), TS.read_index(spark, path), 25)
     return res.select(F.col("qid").alias("item_id"), "doc_id", F.round("score", 6).alias("cosine"), "rank")
 
 
