@@ -471,12 +471,16 @@ def _text_search(spark, d, docs, queries):
 SELECT doc_id, copies, CAST(bucket AS BIGINT) AS bucket, round(value, 6) AS value FROM vec JOIN u USING (doc_id)""")
 def dedup_embed(spark, d):
     """X-28: de-duplicate documents by exact text (keep the smallest id), then
-    encode the survivors.  Copies meet by a 256-bit digest of the text, which also
-    finds the survivor's text again: any one of the copies' (they are equal), so
-    neither repeated nor missing ids matter.  Texts are neither sorted nor compared."""
+    encode the survivors.  Copies meet by a 256-bit digest of the text and bring its
+    word counts along, which are the same in all of them, so neither repeated nor missing
+    ids matter.  Texts are neither shuffled nor written."""
     from ..operators import textvec as TV
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
     docs = read_table(spark, d, "documents").select("doc_id", "text")
-    digest = F.sha2(F.coalesce(F.concat(F.lit("t"), "text"), F.lit("")), 256)
-    uniq = docs.groupBy(digest.alias("h")).agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.any_value("text").alias("text"))
-    kept = uniq.select(F.struct("h", "doc_id", "copies").alias("key"), "text").checkpoint()
-    return TV.text_vectors(kept, "key", "text").select("key.doc_id", "key.copies", "bucket", F.round("value", 6).alias("value"))
+    digest = F.unhex(F.sha2(F.coalesce(F.concat(F.lit("t"), "text"), F.lit("")), 256))
+    counted = TV.term_counts(docs.withColumn("h", digest), "text")
+    uniq = counted.groupBy("h").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"),
+                                    F.any_value(F.struct("buckets", "counts")).alias("words"))
+    kept = uniq.select("doc_id", "copies", "words.buckets", "words.counts").checkpoint()
+    return TV.entries(TV.weighted(kept), "doc_id", "copies").withColumn("value", F.round("value", 6))

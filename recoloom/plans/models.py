@@ -402,7 +402,7 @@ def with_content(spark, d, factors):
     from ..operators import content as CT
     from ..operators import textvec as TV
     texts = V.posts(spark, d).select("post_id", F.col("description_text").alias("text")).where("text is not null")
-    dense = TV.dense(TV.text_vectors(texts, "post_id", "text"), "post_id").checkpoint()
+    dense = TV.dense_vectors(texts, "post_id", "text").checkpoint()
     return CT.content_factors(dense, factors.checkpoint()).checkpoint()
 
 
