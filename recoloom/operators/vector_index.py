@@ -17,20 +17,18 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import vectors as VX
 from ..session import ensure_checkpoint_dir
-from ..sources import io as IO
+from . import knn as K
 from .sampling import broadcast_if_small
 
 SAMPLE_ROWS, MOST_CELLS = 65_536, 16_384
 CODES = 256                             # entries of a codebook: a code is one byte
-ITEM_BLOCK, QUERY_BLOCK, SUB_BLOCK = 65_536, 8_192, 512
+QUERY_BLOCK, SUB_BLOCK = 8_192, 512
 
 
 def kmeans(X: np.ndarray, k: int, seed: int = 42, rounds: int = 12) -> np.ndarray:
@@ -160,117 +158,214 @@ def rows_of(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("basePath", f"{path}/rows").parquet(f"{path}/rows").drop("_writer", "_batch")
 
 
-def probe(queries: DataFrame, q: Quantizer, probes: int) -> DataFrame:
-    """(qid, qvec, cell): the ``probes`` nearest cells of each query."""
-    schema = T.StructType([queries.schema["qid"], T.StructField("qvec", T.ArrayType(T.DoubleType())), T.StructField("cell", T.IntegerType())])
-    k = min(probes, len(q.centroids))
+def probe(queries: DataFrame, q: Quantizer, probes: int, blocks: int = 1) -> DataFrame:
+    """(qid, qvec, blk, first, bits): for each block of neighbouring cells that holds some of
+    a query's ``probes`` nearest ones, which of its cells, from ``first`` on, they are."""
+    schema = T.StructType([queries.schema["qid"], T.StructField("qvec", T.ArrayType(T.DoubleType())), T.StructField("blk", T.IntegerType()),
+                           T.StructField("first", T.IntegerType()), T.StructField("bits", T.BinaryType())])
+    cells = len(q.centroids)
+    k = min(probes, cells)
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
-                D = squared(np.asarray(part.column(1).flatten(), np.float64).reshape(-1, q.dim), q.centroids)
-                near = np.argpartition(D, k - 1, axis=1)[:, :k]
-                rows = pa.array(np.repeat(np.arange(part.num_rows), k))
-                yield pa.RecordBatch.from_arrays([part.column(0).take(rows), part.column(1).take(rows), pa.array(near.ravel(), pa.int32())],
-                                                 names=["qid", "qvec", "cell"])
+                D = squared(K.matrix(part.column(1), q.dim), q.centroids)
+                asked = np.zeros(D.shape, bool)
+                np.put_along_axis(asked, np.argpartition(D, k - 1, axis=1)[:, :k], True, axis=1)
+                for blk in range(blocks):
+                    lo, hi = blk * cells // blocks, (blk + 1) * cells // blocks
+                    rows = np.flatnonzero(asked[:, lo:hi].any(1))
+                    if len(rows):
+                        bits = [r.tobytes() for r in np.packbits(asked[rows, lo:hi], axis=1)]
+                        own = pa.array(rows)
+                        yield pa.RecordBatch.from_arrays([part.column(0).take(own), part.column(1).take(own), pa.array(np.full(len(rows), blk, np.int32)),
+                                                          pa.array(np.full(len(rows), lo, np.int32)), pa.array(bits, pa.binary())], names=[f.name for f in schema])
     return queries.select("qid", F.col("qvec").cast("array<double>").alias("qvec")).where("qvec is not null").mapInArrow(kernel, schema)
 
 
-def _coded(queries: DataFrame, items: DataFrame, q: Quantizer, keep) -> DataFrame:
-    """(qid, id, cell, near, far) from tiles of queries (g, qid, qvec) and coded items (g,
-    id, codes, norm2, error, cell).  The estimate of a squared distance takes both norms
-    as they are and the inner product with the decoded vector, which is the sum of the
-    query's table entries at the item's codes; for a tile it is one matrix product with
-    the decoded block.  It is off by at most twice the query's norm times ``error``, which
-    gives ``near`` and ``far``.  ``keep(near, far)`` picks from each row of bounds, so
-    pairs never leave a tile."""
-    items, queries = items.checkpoint(), queries.checkpoint()   # written once: their sizes decide the tiles
-    count = lambda df, block, name: df.groupBy("g").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
-    sizes = count(items, ITEM_BLOCK, "nb").join(count(queries, QUERY_BLOCK, "nq"), "g").checkpoint()              # one row a group
+CODED = ["id", "codes", "norm2", "error", "cell"]
+
+
+class _Coded:
+    """A tile's queries against coded items.  The estimate of a squared distance takes both
+    norms as they are and the inner product with the decoded vector, which is the sum of
+    the query's table entries at the item's codes; for a batch of items it is one matrix
+    product with the decoded block.  It is off by at most twice the query's norm times
+    ``error``."""
+
+    def __init__(self, held: pa.Table, q: Quantizer, k: int):
+        self.qids, self.Q, self.q = held.column("qid").combine_chunks(), K.matrix(held.column("qvec")), q
+        self.norm2 = (self.Q * self.Q).sum(1)
+        self.best = [K.Best(min(SUB_BLOCK, len(self.Q) - a), k) for a in range(0, len(self.Q), SUB_BLOCK)]
+        self.kind = None
+
+    def slices(self) -> list[tuple[K.Best, slice]]:
+        return [(best, slice(a, a + best.n)) for best, a in zip(self.best, range(0, len(self.Q), SUB_BLOCK))]
+
+    def read(self, items: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+        col = lambda c: items.column(c).to_numpy(zero_copy_only=False)
+        codes = np.frombuffer(b"".join(items.column("codes").to_pylist()), np.uint8).reshape(items.num_rows, -1)
+        self.kind = items.column("id").type
+        return K.sort_ids(items.column("id")), self.q.decode(col("cell"), codes), col("norm2"), col("error"), col("cell")
+
+    def estimates(self, rows: slice, X: np.ndarray, norm2: np.ndarray) -> np.ndarray:
+        return self.norm2[rows, None] + norm2 - 2 * (self.Q[rows] @ X.T)
+
+
+class _Shortlist(_Coded):
+    """Of the probed cells' items each query's ``k`` with the smallest coded distance."""
+
+    def __init__(self, held: pa.Table, q: Quantizer, k: int):
+        super().__init__(held, q, k)
+        bits = held.column("bits").to_pylist()
+        self.first = held.column("first")[0].as_py()
+        self.asked = np.unpackbits(np.frombuffer(b"".join(bits), np.uint8).reshape(len(bits), -1), axis=1).view(bool)
+
+    def add(self, items: pa.RecordBatch) -> None:
+        ids, X, norm2, _, cell = self.read(items)
+        for best, rows in self.slices():
+            d = self.estimates(rows, X, norm2)
+            d[~self.asked[rows, :][:, cell - self.first]] = np.nan
+            i, j = K._candidates(d, best.worst, best.k, np.zeros(best.n))
+            best.add(i, d[i, j], ids[j], cell[j])
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        for best, rows in self.slices():
+            kept = best.merge()
+            if kept:
+                row, near, ids, cell = kept
+                yield pa.RecordBatch.from_arrays([self.qids.take(pa.array(rows.start + row)), K.given_ids(ids, self.kind), pa.array(cell, pa.int32()), pa.array(near)],
+                                                 names=["qid", "id", "cell", "near"])
+
+
+class _Needed(_Coded):
+    """The items that can be among some query's ``k`` nearest: no nearer than its k-th far bound."""
+
+    def __init__(self, held: pa.Table, q: Quantizer, k: int, tile: pa.Table):
+        super().__init__(held, q, k)
+        self.tile = [tile.column(c)[0] for c in ("blk", "qc")]
+
+    def add(self, items: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        ids, X, norm2, error, cell = self.read(items)
+        needed = np.zeros(len(ids), bool)
+        for best, rows in self.slices():
+            d, off = self.estimates(rows, X, norm2), 2 * np.sqrt(self.norm2[rows])[:, None] * error
+            i, j = K._candidates(d + off, best.worst, best.k, np.zeros(best.n))
+            best.add(i, (d + off)[i, j], ids[j])
+            if len(ids) >= best.k or best.full.any():
+                best.merge()
+            needed |= (d - off <= np.where(best.full, best.worst, np.inf)[:, None] + 1e-9).any(0)
+        own = pa.array(np.flatnonzero(needed))
+        n = len(own)
+        yield pa.RecordBatch.from_arrays([pa.array([self.tile[0].as_py()] * n, pa.int32()), pa.array([self.tile[1].as_py()] * n, pa.int32()),
+                                          items.column("cell").take(own), items.column("id").take(own)], names=["blk", "qc", "cell", "id"])
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        return iter(())
+
+
+class _Exact(_Coded):
+    """Each query's ``k`` nearest among items read in full, of which the codes' bounds spare
+    most pairs the exact work."""
+
+    def add(self, items: pa.RecordBatch) -> None:
+        ids, X, norm2, error, _ = self.read(items)
+        V = K.matrix(items.column("vec"), self.q.dim)
+        for best, rows in self.slices():
+            d, off = self.estimates(rows, X, norm2), 2 * np.sqrt(self.norm2[rows])[:, None] * error
+            far = d + off
+            limit = best.worst
+            if far.shape[1] > best.k:
+                limit = np.minimum(limit, np.partition(far, best.k - 1, axis=1)[:, best.k - 1])
+            i, j = np.nonzero(d - off <= limit[:, None] + 1e-9)
+            for at in range(0, len(i), 1 << 16):
+                ii, jj = i[at:at + (1 << 16)], j[at:at + (1 << 16)]
+                apart = self.Q[rows.start + ii] - V[jj]
+                s = np.einsum("ij,ij->i", apart, apart)
+                better = (s <= best.worst[ii]) | ~best.full[ii]
+                best.add(ii[better], s[better], ids[jj[better]])
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        for best, rows in self.slices():
+            kept = best.merge()
+            if kept:
+                row, score, ids = kept
+                yield pa.RecordBatch.from_arrays([self.qids.take(pa.array(rows.start + row)), K.given_ids(ids, self.kind), pa.array(score)],
+                                                 names=["qid", "item_id", "score"])
+
+
+def _dealt(queries: DataFrame, items: DataFrame, block: int) -> DataFrame:
+    """Queries (side 0) and coded items (side 1), both with ``blk``, as tiles (blk, qc): the
+    queries of a block are cut into chunks of about ``block`` rows, and each chunk meets all
+    the block's items."""
+    sizes = queries.groupBy("blk").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("nq")).checkpoint()      # one row a block
     sizes = broadcast_if_small(sizes, sizes.count() * 16)
-    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    own = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
-    it = items.join(sizes, "g").withColumn("b", own("id", "nb")).withColumn("c", each("nq"))
-    qt = queries.join(sizes, "g").withColumn("c", own("qid", "nq")).withColumn("b", each("nb"))
-    schema = T.StructType([queries.schema["qid"], items.schema["id"], T.StructField("cell", T.IntegerType()),
-                           T.StructField("near", T.DoubleType()), T.StructField("far", T.DoubleType())])
-
-    def kernel(qdf: pd.DataFrame, idf: pd.DataFrame) -> pd.DataFrame:
-        out = [pd.DataFrame({f.name: [] for f in schema})]
-        if len(qdf) and len(idf):
-            cell, error, norm2 = (idf[c].to_numpy() for c in ("cell", "error", "norm2"))
-            X = q.decode(cell, np.frombuffer(b"".join(idf["codes"]), np.uint8).reshape(len(idf), -1))
-            ids, qids = idf["id"].to_numpy(), qdf["qid"].to_numpy()
-            for at in range(0, len(qdf), SUB_BLOCK):
-                Q = np.stack(qdf["qvec"].to_numpy()[at:at + SUB_BLOCK])
-                qq = (Q * Q).sum(1)[:, None]
-                d, off = qq + norm2 - 2 * (Q @ X.T), 2 * np.sqrt(qq) * error
-                near, far = d - off, d + off
-                i, j = keep(near, far)
-                out.append(pd.DataFrame({"qid": qids[at + i], "id": ids[j], "cell": cell[j], "near": near[i, j], "far": far[i, j]}))
-        return pd.concat(out) if len(out) == 1 else pd.concat(out[1:])
-    key = ["g", "b", "c"]
-    return (qt.select(*key, "qid", "qvec").groupBy(*key).cogroup(it.select(*key, "id", "codes", "norm2", "error", "cell").groupBy(*key))
-            .applyInPandas(kernel, schema))
-
-
-def _smallest(values: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    k = min(k, values.shape[1])
-    j = np.argpartition(values, k - 1, axis=1)[:, :k]
-    return np.repeat(np.arange(len(values)), k), j.ravel()
-
-
-def _within_bound(near: np.ndarray, far: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Items that can be among a row's ``k`` nearest: no nearer than the k-th far bound."""
-    if far.shape[1] <= k:
-        return tuple(np.indices(far.shape).reshape(2, -1))
-    top = np.partition(far, k - 1, axis=1)[:, k - 1]
-    return np.nonzero(near <= top[:, None] + 1e-9)
-
-
-def _reranked(short: DataFrame, queries: DataFrame, index: DataFrame, k: int) -> DataFrame:
-    """Exact squared distances of the shortlisted pairs, and the ``k`` best of each query."""
-    full = (short.join(index.select("cell", "id", "vec"), ["cell", "id"]).join(queries.select("qid", "qvec"), "qid")
-            .select("qid", F.col("id").alias("item_id"), VX.l2_squared("qvec", "vec").alias("score")))
+    qt = queries.join(sizes, "blk").withColumn("qc", F.pmod(F.xxhash64("qid"), F.col("nq")).cast("int")).withColumn("side", F.lit(0)).drop("nq")
+    it = items.join(sizes, "blk").withColumn("qc", F.explode(F.sequence(F.lit(0), F.col("nq") - 1))).withColumn("side", F.lit(1)).drop("nq")
+    return qt.unionByName(it, allowMissingColumns=True)
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
     w = Window.partitionBy("qid").orderBy("score", "item_id")
-    return full.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k)
+    return found.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k)
 
 
 def shortlisted(queries: DataFrame, path: str, probes: int, shortlist: int) -> DataFrame:
     """(qid, id, cell): of the probed cells' items the ``shortlist`` with the smallest
-    coded distance."""
+    coded distance.  Cells are dealt to blocks, and a query goes to the blocks that hold
+    any of its cells: one a cell if it probes few, else as few as keep all tasks busy."""
     spark = queries.sparkSession
     ensure_checkpoint_dir(spark)
     q, index = load_model(spark, path), rows_of(spark, path)
-    asked = probe(queries, q, probes).checkpoint()
-    some = [r["cell"] for r in asked.select("cell").distinct().limit(1001).collect()]
-    if len(some) <= 1000:                                       # a few cells: the others' folders are not listed into the scan
-        index = index.where(F.col("cell").isin(some))
-    part = _coded(asked.withColumnRenamed("cell", "g"), index.select(F.col("cell").alias("g"), "id", "codes", "norm2", F.lit(0.0).alias("error"), "cell"),
-                  q, lambda near, far: _smallest(near, shortlist))
-    w = Window.partitionBy("qid").orderBy("near", "id")
-    return part.withColumn("r", F.row_number().over(w)).where(F.col("r") <= shortlist).select("qid", "id", "cell")
+    cells, block = len(q.centroids), min(QUERY_BLOCK, max(SUB_BLOCK, K.KEPT // shortlist))
+    n = queries.count()
+    blocks = cells if 4 * probes <= cells else min(cells, -(-spark.sparkContext.defaultParallelism // max(1, -(-n // block))))
+    asked = probe(queries, q, probes, blocks).checkpoint()
+    if n * probes <= 1000:                                      # a few cells: the others' folders are not listed into the scan
+        on = [(r["first"], np.unpackbits(np.frombuffer(r["bits"], np.uint8))) for r in asked.select("first", "bits").collect()]
+        index = index.where(F.col("cell").isin(sorted({int(first + c) for first, bits in on for c in np.flatnonzero(bits)})))
+    blk = F.floor(((F.col("cell") + 1) * blocks - 1) / cells).cast("int").alias("blk")
+    tiles = _dealt(asked, index.select(blk, *CODED), block)
+    kind = T.StructType([queries.schema["qid"], index.schema["id"], T.StructField("cell", T.IntegerType()), T.StructField("near", T.DoubleType())])
+    part = K.over_tiles(tiles, ["blk", "qc"], ["qid", "qvec", "first", "bits"], CODED, lambda held: _Shortlist(held, q, shortlist), kind)
+    if blocks > 1:
+        w = Window.partitionBy("qid").orderBy("near", "id")
+        part = part.withColumn("r", F.row_number().over(w)).where(F.col("r") <= shortlist)
+    return part.select("qid", "id", "cell")
 
 
 def search(queries: DataFrame, path: str, k: int, probes: int, shortlist: int) -> DataFrame:
     """(qid, item_id, score, rank): approximate ``k`` nearest items of (qid, qvec) by
     squared distance, ties by id.  Exact within the shortlist; null vectors match nothing."""
-    ensure_checkpoint_dir(queries.sparkSession)
-    return _reranked(shortlisted(queries, path, probes, shortlist).checkpoint(), queries, rows_of(queries.sparkSession, path), k)
+    spark = queries.sparkSession
+    ensure_checkpoint_dir(spark)
+    queries = queries.select("qid", "qvec").checkpoint()        # read for the shortlist and the re-rank
+    item = F.struct("cell", "id")
+    short = shortlisted(queries, path, probes, shortlist).select(F.col("qid").alias("lid"), item.alias("rid"), F.lit(None).cast("int").alias("value"))
+    vectors = rows_of(spark, path).select(item.alias("rid"), F.col("vec").alias("rvec"))
+    full = K.pair_scores(short, queries.select(F.col("qid").alias("lid"), F.col("qvec").alias("lvec")), vectors, K.SQUARED)
+    return _ranked(full.where("score is not null").select(F.col("lid").alias("qid"), F.col("rid.id").alias("item_id"), "score"), k)
 
 
 def search_exact(queries: DataFrame, path: str, k: int) -> DataFrame:
     """The exact ``k`` nearest: the codes' errors bound every distance, and only items
-    whose bounds leave them a place are read in full.  How many that are depends on how
-    well the codes fit; no cell is passed over."""
+    whose bounds leave them a place are read in full, once for each chunk of queries.
+    How many that are depends on how well the codes fit; no cell is passed over."""
     spark = queries.sparkSession
     ensure_checkpoint_dir(spark)
     q, index = load_model(spark, path), rows_of(spark, path)
-    one = F.lit(0).alias("g")
-    asked = queries.select(one, "qid", F.col("qvec").cast("array<double>").alias("qvec")).where("qvec is not null")
-    part = _coded(asked, index.select(one, "id", "codes", "norm2", "error", "cell"), q, lambda near, far: _within_bound(near, far, k)).checkpoint()
-    w = Window.partitionBy("qid").orderBy("far", "id")
-    top = part.withColumn("r", F.row_number().over(w)).where(F.col("r") <= k).groupBy("qid").agg(F.max("far").alias("top"))
-    short = part.join(top, "qid").where(F.col("near") <= F.col("top") + 1e-9).select("qid", "id", "cell")
-    return _reranked(short, queries, index, k)
+    asked = queries.select("qid", F.col("qvec").cast("array<double>").alias("qvec")).where("qvec is not null").checkpoint()
+    block = min(QUERY_BLOCK, max(SUB_BLOCK, K.KEPT // k))
+    blocks = max(1, -(-spark.sparkContext.defaultParallelism // max(1, -(-asked.count() // block))))
+    every = asked.withColumn("blk", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    items = index.select(F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("blk"), *CODED)
+    tiles = _dealt(every, items, block)
+    named = tiles.withColumn("own_blk", F.col("blk")).withColumn("own_qc", F.col("qc"))
+    kind = T.StructType([T.StructField("blk", T.IntegerType()), T.StructField("qc", T.IntegerType()), T.StructField("cell", T.IntegerType()), index.schema["id"]])
+    needed = K.over_tiles(named, ["blk", "qc"], ["qid", "qvec", "own_blk", "own_qc"], CODED,
+                          lambda held: _Needed(held, q, k, held.select(["own_blk", "own_qc"]).rename_columns(["blk", "qc"])), kind)
+    full = needed.join(index.select(*CODED, "vec"), ["cell", "id"]).withColumn("side", F.lit(1))
+    both = tiles.where("side = 0").select("blk", "qc", "side", "qid", "qvec").unionByName(full, allowMissingColumns=True)
+    found = T.StructType([queries.schema["qid"], T.StructField("item_id", index.schema["id"].dataType), T.StructField("score", T.DoubleType())])
+    return _ranked(K.over_tiles(both, ["blk", "qc"], ["qid", "qvec"], [*CODED, "vec"], lambda held: _Exact(held, q, k), found), k)

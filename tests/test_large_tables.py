@@ -31,3 +31,67 @@ def test_copies_meet_without_their_texts(spark):
     from recoloom.plans import QUERIES
     got = QUERIES["dedup_embed"](spark, SF_SMALL)
     assert "Exchange" not in plan(got) and got.columns == ["doc_id", "copies", "bucket", "value"]
+
+
+def test_a_query_meets_the_codes_once(spark):
+    """Before: one row with the vector for each query and probed cell."""
+    from recoloom.operators import vector_index as VI
+    rng = np.random.default_rng(5)
+    q = VI.Quantizer(rng.normal(size=(40, 6)), [rng.normal(size=(8, 3)), rng.normal(size=(8, 3))])
+    queries = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(30, 6)))], "qid long, qvec array<double>")
+    assert VI.probe(queries, q, 36).count() == 30
+    got = VI.probe(queries, q, 9, 4).collect()
+    assert len(got) <= 120
+    for i in range(30):
+        cells = sorted(r.first + c for r in got if r.qid == i for c in np.flatnonzero(np.unpackbits(np.frombuffer(r.bits, np.uint8))))
+        vec = next(r.qvec for r in got if r.qid == i)
+        assert cells == sorted(np.argsort(((q.centroids - np.array(vec)) ** 2).sum(1))[:9])
+
+
+def test_many_equal_items_tie_by_id(spark):
+    from recoloom.operators import knn as K
+    items = spark.createDataFrame([(i, [0.1, 0.7, 0.3]) for i in range(900)] + [(1000, [0.1, 0.7, 0.31])], "item_id long, ivec array<float>").repartition(7)
+    queries = spark.createDataFrame([(i, [0.01 * i, 0.5, 0.2]) for i in range(40)], "qid long, qvec array<double>")
+    got = K.knn(queries.where("qid > 20"), items, 5, item_block=50, query_block=7).orderBy("qid", "rank").collect()
+    assert [r.item_id for r in got] == [0, 1, 2, 3, 4] * 19 and len({(r.qid, r.score) for r in got}) == 19
+
+
+def test_pair_scores_send_a_vector_once_a_chunk(spark):
+    from recoloom.functions import vectors as VX
+    from recoloom.operators import knn as K
+    rng = np.random.default_rng(4)
+    left = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=5)]) for i in range(1, 30)] + [(30, None)], "lid long, lvec array<double>")
+    right = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=5)]) for i in range(20)] + [(20, None), (21, [1.0, 2.0]), (22, [0.0] * 5)], "rid long, rvec array<float>")
+    pairs = spark.range(900).select((F.col("id") % 32).alias("lid"), F.when(F.col("id") % 41 != 0, F.col("id") % 24).alias("rid"), F.col("id").alias("value"))
+    got = K.pair_scores(pairs, left, right, K.COSINE, chunk=4).select("value", F.coalesce("score", F.lit(0.0)).alias("s"))
+    want = pairs.join(left, "lid", "left").join(right, "rid", "left").select("value", VX.cosine("lvec", "rvec").alias("s"))
+    have, need = ({r.value: r.s for r in x.collect()} for x in (got, want))
+    assert have.keys() == need.keys() and max(abs(have[v] - need[v]) for v in have) < 1e-9
+
+
+def test_users_of_one_selection_share_its_search(spark, monkeypatch):
+    """Before: a query for each user without a personal vector."""
+    from recoloom.operators import knn as K
+    from recoloom.plans import serving
+    from recoloom.sources import views as V
+    asked, real = [], K.knn
+    monkeypatch.setattr(K, "knn", lambda queries, *a, **b: asked.append(queries.count()) or real(queries, *a, **b))
+    rows = serving.candidates(spark, SF_SMALL)
+    selections = V.users(spark, SF_SMALL).select("onboarding_category_ids").distinct().count()
+    users = V.users(spark, SF_SMALL).count()
+    assert sum(asked) <= serving.user_vectors(spark, SF_SMALL).count() + selections
+    assert rows.select("user_id").distinct().count() == users and rows.groupBy("user_id", "cand_rank").count().where("count > 1").count() == 0
+
+
+def test_a_crowded_category_is_dealt_over_tasks(spark, monkeypatch):
+    """Before: all users of a category met in one task."""
+    from recoloom.operators import rerank as R
+    users = spark.range(200).select(F.col("id").alias("user_id"), F.array(F.lit("a"), F.lit("b")).alias("onboarding_category_ids"))
+    posts = spark.range(40).select(F.col("id").alias("post_id"), F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("category_id"),
+                                   F.timestamp_seconds(F.col("id")).alias("creation_timestamp"))
+    inter = spark.createDataFrame([(1, 3, "like"), (2, 3, "like"), (3, 7, "like")], "user_id long, post_id long, interaction_type string")
+    monkeypatch.setattr(R, "USERS_A_TASK", 16, raising=False)
+    got = R.popular_in_categories(users, posts, inter, 4)
+    assert "__s" in plan(got)
+    want = [(u, i + 1, p) for u in range(200) for i, p in enumerate([3, 7, 39, 38])]
+    assert sorted((r.user_id, r.rank, r.post_id) for r in got.collect()) == want
