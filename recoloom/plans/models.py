@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vectors as VX
 from ..functions.hashing import md5_sql
+from ..operators import knn as K
 from ..operators import metrics as MT
 from ..operators import sampling as SM
 from ..sources import views as V
@@ -21,9 +22,12 @@ def pair_predictions(spark, d):
     pairs = SM.retrieval_pairs(V.interactions(spark, d))
     emb = V.posts(spark, d, with_text=False).select("post_id", "embedding")
     uv = user_vectors(spark, d)
-    return (pairs.join(uv, "user_id", "left").join(emb, "post_id", "left")
-            .select("user_id", "post_id", "label",
-                    ((VX.cosine("user_vector", "embedding") + 1.0) / 2.0).alias("score")))
+    whole = F.forall("embedding", lambda x: x.isNotNull())
+    cosine = K.pair_scores(pairs.select(F.col("user_id").alias("lid"), F.col("post_id").alias("rid"), F.col("label").alias("value")),
+                           uv.select(F.col("user_id").alias("lid"), F.col("user_vector").alias("lvec")),
+                           emb.where(whole).select(F.col("post_id").alias("rid"), F.col("embedding").alias("rvec")), K.COSINE)
+    return cosine.select(F.col("lid").alias("user_id"), F.col("rid").alias("post_id"), F.col("value").alias("label"),
+                         ((F.coalesce("score", F.lit(0.0)) + 1.0) / 2.0).alias("score"))
 
 
 PRED_CTES = PAIRS_CTES + [S.POSTS, """rpos AS (
@@ -87,7 +91,6 @@ FROM per JOIN nrel USING (user_id)"""
 @register("ranking_metrics", RANK_SQL)
 def ranking_metrics(spark, d):
     """X-32: Precision@10, Recall@10, NDCG@10, MRR of kNN recommendations against positives."""
-    from ..operators import knn as K
     uv = user_vectors(spark, d).select(F.col("user_id").alias("qid"), F.col("user_vector").alias("qvec"))
     items = V.posts(spark, d, with_text=False).select(F.col("post_id").alias("item_id"),
                                                       F.col("embedding").alias("ivec"))
@@ -359,7 +362,6 @@ def trained_scores(spark, d):
     seen, with their probability by the saved and reloaded ranker."""
     from pyspark.ml import PipelineModel
 
-    from ..operators import knn as K
     from ..operators import models as M
     from ..operators import rerank as R
     from .serving import REF_TS, TOP_N

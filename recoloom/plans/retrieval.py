@@ -157,12 +157,15 @@ def topk_accuracy(spark, d):
     uv = user_vectors(spark, d)
     emb = V.posts(spark, d, with_text=False).select("post_id", "embedding")
     pos = positive_pairs(spark, d)
-    pairs = pos.join(uv, "user_id").join(emb, "post_id")
+    scores = K.pair_scores(pos.select(F.col("user_id").alias("lid"), F.col("post_id").alias("rid"), F.lit(None).cast("int").alias("value")),
+                           uv.select(F.col("user_id").alias("lid"), F.col("user_vector").alias("lvec")),
+                           emb.select(F.col("post_id").alias("rid"), F.col("embedding").alias("rvec")), K.DOT)
+    pairs = scores.where("score is not null").select(F.col("lid").alias("user_id"), F.col("rid").alias("post_id"), "score")
     lists = pos.groupBy("user_id").agg(F.ceil(F.count(F.lit(1)) / THRESHOLDS).cast("int").alias("lists"))
     part = F.pmod(F.xxhash64("post_id"), F.col("lists")).cast("int").alias("part")
     truth = (pairs.join(lists, "user_id")                               # rows of about THRESHOLDS scores, however many a user has
              .groupBy(F.struct("user_id", part).alias("qid"))
-             .agg(F.collect_list(VX.dot("user_vector", "embedding") + F.lit(1e-9)).alias("thresholds"))
+             .agg(F.collect_list(F.col("score") + F.lit(1e-9)).alias("thresholds"))
              .withColumn("user_id", F.col("qid.user_id")).join(uv, "user_id").drop("user_id").withColumnRenamed("user_vector", "qvec"))
     items = emb.select(F.col("post_id").alias("item_id"), F.col("embedding").alias("ivec"))
     ranks = K.count_better(truth, items).select((F.col("n_better") + 1).alias("rk"))
