@@ -13,11 +13,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
+from .skew import split_join
 
 from ..defaults import (BOOST_FACTOR_DEFAULT, BOOST_HOURS_DEFAULT, DIVERSITY_CAP_OFFSET, DIVERSITY_FACTOR_DEFAULT,
                         DIVERSITY_RECENT_WINDOW, FINAL_RECOMMENDATIONS, SEEN_FILTER_TYPES as SEEN_TYPES,
                         SMOKE_SCORE_MATCH, SMOKE_SCORE_OTHER, UNKNOWN_CATEGORY)
 
+USERS_A_TASK = 1 << 16                  # users of one category, or of one list of categories, that meet in a task
+
 
 def seen_filter(candidates: DataFrame, store: DataFrame, types=SEEN_TYPES) -> DataFrame:
     """Drop a candidate if the store has any row of the given types for
@@ -137,14 +140,18 @@ def cold_start_vectors(users: DataFrame, posts: DataFrame, prefs: str = "onboard
     """X-14: mean vector of all posts in the user's selected categories, computed
     as Σ category sums / Σ category counts (categories are disjoint), so users
     are never paired with individual posts."""
+    up = users.select("user_id", F.explode(F.array_distinct(prefs)).alias("category_id"))
+    return mean_of_categories(up, posts, "user_id")
+
+
+def mean_of_categories(chosen: DataFrame, posts: DataFrame, key: str) -> DataFrame:
+    """(key, cold_vector) of the rows (key, category_id)."""
     from pyspark.ml.functions import array_to_vector, vector_to_array
     from pyspark.ml.stat import Summarizer
     stats = category_vector_stats(posts)
-    up = users.select("user_id", F.explode(F.array_distinct(prefs)).alias("category_id"))
-    j = up.join(stats, "category_id")
-    agg = j.groupBy("user_id").agg(Summarizer.sum(array_to_vector("vsum")).alias("__s"),
-                                   F.sum("n").alias("n"))
-    return agg.select("user_id", F.transform(vector_to_array("__s"), lambda x: x / F.col("n")).alias("cold_vector"))
+    j = chosen.join(stats, "category_id")
+    agg = j.groupBy(key).agg(Summarizer.sum(array_to_vector("vsum")).alias("__s"), F.sum("n").alias("n"))
+    return agg.select(key, F.transform(vector_to_array("__s"), lambda x: x / F.col("n")).alias("cold_vector"))
 
 
 def popular_in_categories(users: DataFrame, posts: DataFrame, inter: DataFrame, n: int = 10,
@@ -159,7 +166,9 @@ def popular_in_categories(users: DataFrame, posts: DataFrame, inter: DataFrame,
                                                   F.col("post_id"))
     top = p.withColumn("cat_rank", F.row_number().over(w)).where(F.col("cat_rank") <= n)
     up = users.select("user_id", F.explode(F.array_distinct(prefs)).alias("category_id"))
-    cand = up.join(top, "category_id")
+    # a few categories hold all users: their users are dealt over tasks, each with the category's list
+    lists = top.groupBy("category_id").agg(F.collect_list(F.struct("post_id", "likes", "creation_timestamp")).alias("__top"))
+    cand = split_join(up, lists, "category_id", "user_id", USERS_A_TASK).where("__top is not null").select("user_id", "category_id", F.inline("__top"))
     w2 = Window.partitionBy("user_id").orderBy(F.col("likes").desc(), F.col("creation_timestamp").desc(),
                                                F.col("post_id"))
     return (cand.withColumn("rank", F.row_number().over(w2).cast("bigint")).where(F.col("rank") <= n)
