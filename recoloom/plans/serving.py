@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import knn as K
 from ..operators import rerank as R
 from ..operators import vector_index as VI
+from ..operators.skew import split_join
 from ..sources import io as IO
 from ..sources import views as V
 from ..streaming import ingest as ST
@@ -21,24 +22,37 @@ from ..defaults import (BOOST_FACTOR_CONFIGURED as BOOST_FACTOR, BOOST_HOURS_CON
 REF_TS = "2023-12-13 12:00:00"   # the serving "now" — a parameter, never the wall clock
 
 
-def query_vectors(spark, d):
-    """Personal mean vector, else the cold-start vector of the selected categories."""
+def retrieved(spark, d, top_n, prefiltered=True):
+    """(user_id, post_id, distance, cand_rank): the nearest posts to a user's personal mean
+    vector, else to the cold-start vector of the selected categories, within those if
+    ``prefiltered``.  All that is known of a user without a personal vector are the
+    categories, so each selection is searched once and its users get its list."""
     users = V.users(spark, d)
     posts = V.posts(spark, d, with_text=False)
-    warm = user_vectors(spark, d)
-    without = users.join(warm.select("user_id"), "user_id", "left_anti")
-    cold = R.cold_start_vectors(without, posts)
-    return (warm.join(users.select("user_id"), "user_id", "left_semi").select(F.col("user_id").alias("qid"), F.col("user_vector").alias("qvec"))
-            .union(cold.select("user_id", "cold_vector")).where(F.col("qvec").isNotNull()))
+    items = posts.select(F.col("post_id").alias("item_id"), F.col("embedding").alias("ivec"), F.col("category_id").alias("g"))
+    vectors = user_vectors(spark, d)
+    warm = vectors.join(users.select("user_id"), "user_id", "left_semi").select(F.col("user_id").alias("qid"), F.col("user_vector").alias("qvec"))
+    without = users.join(vectors.select("user_id"), "user_id", "left_anti").where("user_id is not null")
+    cats = F.array_distinct("onboarding_category_ids")
+    chosen = without.groupBy("user_id").agg(F.array_sort(F.flatten(F.collect_list(cats))).alias("key")).checkpoint()
+    each = chosen.select("key").distinct().checkpoint()
+    cold = R.mean_of_categories(each.select("key", F.explode("key").alias("category_id")), posts, "key").select(
+        F.col("key").alias("qid"), F.col("cold_vector").alias("qvec")).where(F.col("qvec").isNotNull())
+    groups = each.select(F.col("key").alias("qid"), F.explode("key").alias("g"))
+    if prefiltered:
+        found = K.knn(warm, items, top_n, "l2", query_groups=category_prefilter(spark, d))
+        shared = K.knn(cold, items, top_n, "l2", query_groups=groups)
+    else:
+        found, shared = (K.knn(q, items.drop("g"), top_n, "l2") for q in (warm, cold))
+    row = [F.col("item_id").alias("post_id"), F.col("score").alias("distance"), F.col("rank").alias("cand_rank")]
+    lists = shared.groupBy(F.col("qid").alias("key")).agg(F.collect_list(F.struct(*row)).alias("list"))       # at most top_n posts each
+    theirs = split_join(chosen, lists, "key", "user_id", R.USERS_A_TASK).where("list is not null").select("user_id", F.inline("list"))
+    return found.select(F.col("qid").alias("user_id"), *row).unionByName(theirs)
 
 
 def candidates(spark, d, top_n=TOP_N):
     """(user_id, post_id, distance, cand_rank): category-pre-filtered kNN."""
-    items = V.posts(spark, d, with_text=False).select(
-        F.col("post_id").alias("item_id"), F.col("embedding").alias("ivec"), F.col("category_id").alias("g"))
-    res = K.knn(query_vectors(spark, d), items, top_n, "l2", query_groups=category_prefilter(spark, d))
-    return res.select(F.col("qid").alias("user_id"), F.col("item_id").alias("post_id"),
-                      F.col("score").alias("distance"), F.col("rank").alias("cand_rank"))
+    return retrieved(spark, d, top_n)
 
 
 def filtered(spark, d, cands=None):
@@ -202,10 +216,7 @@ def diverse_rerank(spark, d):
     """M-11 over unfiltered kNN candidates (many categories), default factor 0.2."""
     users = V.users(spark, d).select("user_id", "onboarding_category_ids")
     posts = V.posts(spark, d, with_text=False).select("post_id", "category_id")
-    items = V.posts(spark, d, with_text=False).select(F.col("post_id").alias("item_id"),
-                                                      F.col("embedding").alias("ivec"))
-    c = K.knn(query_vectors(spark, d), items, TOP_N, "l2").select(
-        F.col("qid").alias("user_id"), F.col("item_id").alias("post_id"), F.col("rank").alias("cand_rank"))
+    c = retrieved(spark, d, TOP_N, prefiltered=False).drop("distance")
     s = c.join(users, "user_id").join(posts, "post_id").withColumn(
         "score", R.smoke_score(R.in_list_flag(F.col("category_id"), F.col("onboarding_category_ids"))))
     return R.diverse_rerank(s, n=FINAL_N, factor=DIVERSITY_FACTOR_DEFAULT)
