@@ -355,7 +355,7 @@ def search_exact(queries: DataFrame, path: str, k: int) -> DataFrame:
     spark = queries.sparkSession
     ensure_checkpoint_dir(spark)
     q, index = load_model(spark, path), rows_of(spark, path)
-    asked = queries.select("qid", F.col("qvec").cast("array<double>").alias("qvec")).where("qvec is not null").checkpoint()
+    asked = queries.select("qid", F.col("qvec").cast("array<double>").alias("qvec")).where("qid is not null and qvec is not null").checkpoint()
     block = min(QUERY_BLOCK, max(SUB_BLOCK, K.KEPT // k))
     blocks = max(1, -(-spark.sparkContext.defaultParallelism // max(1, -(-asked.count() // block))))
     every = asked.withColumn("blk", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
