@@ -41,6 +41,17 @@ def cosine(a, b) -> Column:
     return F.when(ok, F.coalesce(sim, F.lit(0.0))).otherwise(F.lit(0.0))
 
 
+def sparse_dot(a, b) -> Column:
+    """Inner product of two sparse vectors (indices, values); 0.0 when either is missing.
+    The entries of the shorter one are looked up in the other."""
+    a, b = _c(a), _c(b)
+
+    def of(short, long):
+        other = lambda i: F.coalesce(F.get(long["values"], F.array_position(long["indices"], i).cast("int") - 1), F.lit(0.0))
+        return F.aggregate(F.zip_with(short["indices"], short["values"], lambda i, v: v * other(i)), F.lit(0.0), lambda acc, v: acc + v)
+    return F.when(a.isNull() | b.isNull(), 0.0).when(F.size(a["indices"]) <= F.size(b["indices"]), of(a, b)).otherwise(of(b, a))
+
+
 def zero_impute(e, dim: int | Column) -> Column:
     """Keep vectors of the expected length, else a zero vector of that length."""
     e = _c(e)

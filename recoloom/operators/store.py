@@ -13,7 +13,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..session import ensure_checkpoint_dir
 from . import asof
 
 
@@ -81,6 +83,13 @@ class FeatureService:
     features: tuple[str, ...]
 
 
+def is_vector(t: T.DataType) -> bool:
+    """A list of numbers, or a sparse vector (indices, values)."""
+    if isinstance(t, T.StructType):
+        return {"indices", "values"} <= set(t.names)
+    return isinstance(t, T.ArrayType) and isinstance(t.elementType, T.NumericType)
+
+
 class FeatureStore:
     SEP = "__"
 
@@ -107,20 +116,9 @@ class FeatureStore:
         if isinstance(features, FeatureService):
             features = features.features
         wanted = self._parse(features)
-        out, at = entity_df, event_ts
-        if as_of is not None:
-            at = "__as_of"
-            out = out.withColumn(at, F.lit(as_of).cast("timestamp_ntz"))
-        for vname, feats in wanted.items():
-            if vname in self.on_demand:
-                continue
-            v = self.views[vname]
-            before = out.columns
-            got = asof.point_in_time_join(out, v.source.load(), v.join_keys, at, v.source.timestamp_field, feats,
-                                          created_col=v.source.created_timestamp_column, ttl=v.ttl, prefix="__f_")
-            out = got.select(*before, *[F.col(f"__f_{f}").alias(f"{vname}{self.SEP}{f}") for f in feats])
-        if as_of is not None:
-            out = out.drop(at)
+        rows, attach = self.get_historical_rows(entity_df, features, event_ts, as_of)
+        stored = [f"{vname}{self.SEP}{f}" for vname, feats in wanted.items() if vname not in self.on_demand for f in feats]
+        out = attach(rows).select(*entity_df.columns, *stored)
         for vname, feats in wanted.items():
             od = self.on_demand.get(vname)
             if isinstance(od, OnDemandView):
@@ -129,6 +127,37 @@ class FeatureStore:
                 out = self._apply_pandas(out, od, feats)
         return out
 
+    def get_historical_rows(self, entity_df: DataFrame, features, event_ts: str = "event_timestamp",
+                            as_of=None) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+        """The stored features except vectors, and a function that adds the vectors to these
+        rows, or to rows made from them.  Vectors do not ride through the as-of joins, which
+        find the number of a view's row instead, nor need they through joins that follow."""
+        out, at, late = entity_df, event_ts, []
+        if as_of is not None:
+            at = "__as_of"
+            out = out.withColumn(at, F.lit(as_of).cast("timestamp_ntz"))
+        for vname, feats in self._parse(features).items():
+            if vname in self.on_demand:
+                continue
+            v = self.views[vname]
+            before, source = out.columns, v.source.load()
+            wide, row = [f for f in feats if is_vector(source.schema[f].dataType)], f"__row{len(late)}"
+            narrow = [f for f in feats if f not in wide]
+            if wide:
+                ensure_checkpoint_dir(source.sparkSession)
+                source = source.withColumn(row, F.monotonically_increasing_id()).checkpoint()
+                late.append((row, source.select(F.col(row).alias("__number"), *[F.col(f).alias(f"{vname}{self.SEP}{f}") for f in wide])))
+                narrow.append(row)
+            got = asof.point_in_time_join(out, source, v.join_keys, at, v.source.timestamp_field, narrow,
+                                          created_col=v.source.created_timestamp_column, ttl=v.ttl, prefix="__f_")
+            out = got.select(*before, *[F.col(f"__f_{f}").alias(f if f == row else f"{vname}{self.SEP}{f}") for f in narrow])
+
+        def attach(rows: DataFrame) -> DataFrame:
+            for row, vectors in late:
+                rows = rows.join(vectors, F.col(row) == F.col("__number"), "left").drop(row, "__number")
+            return rows
+        return (out.drop(at) if as_of is not None else out), attach
+
     def _apply_pandas(self, df: DataFrame, od: OnDemandPandasView, feats: list[str]) -> DataFrame:
         from pyspark.sql import types as T
         names = [f"{od.name}{self.SEP}{f}" for f in feats]

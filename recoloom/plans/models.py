@@ -180,25 +180,25 @@ CONFIGURED = ["user_profile_features:about_embedding", "user_profile_features:he
 
 def configured_rows(spark, d):
     """E-12: the labelled pairs of both sets with every configured feature as of their
-    time, and the two pair features: text cosine (E-6) and category flag (E-7)."""
+    time, and the two pair features: text cosine (E-6) and category flag (E-7).  Vectors,
+    and the cosine of two, are added to the rows by the function that comes with them."""
     from ..operators import rerank as R
     from .store import feature_store
     _, _, both = _ranking_pairs(spark, d)
-    narrow_first = sorted(CONFIGURED, key=lambda f: f.endswith("_embedding"))       # wide features ride through fewer joins
-    f = feature_store(spark, d).get_historical_features(both.checkpoint(), narrow_first)
+    f, vectors = feature_store(spark, d).get_historical_rows(both.checkpoint(), CONFIGURED)
     about, text = "user_profile_features__about_embedding", "post_details_features__description_embedding"
-    return f.withColumn("cosine_similarity_user_post_embedding", VX.cosine(about, text)).withColumn(
-        "is_post_category_in_onboarding", R.in_list_flag(F.col("post_details_features__category_id"),
-                                                         F.col("user_profile_features__onboarding_category_ids")).cast("int")).checkpoint()
+    rows = f.withColumn("is_post_category_in_onboarding", R.in_list_flag(F.col("post_details_features__category_id"),
+                                                                         F.col("user_profile_features__onboarding_category_ids")).cast("int"))
+    return rows, lambda r: vectors(r).withColumn("cosine_similarity_user_post_embedding", VX.sparse_dot(about, text))       # both have unit length
 
 
 def configured_matrix_rows(spark, d):
     """Sparse rows over all configured features, encoders fitted on train, and the slots' blocks."""
     from ..operators import matrix as MX
-    f = configured_rows(spark, d)
+    f, attach = configured_rows(spark, d)
     names = [c.replace(":", "__") for c in CONFIGURED] + ["cosine_similarity_user_post_embedding", "is_post_category_in_onboarding"]
-    blocks = MX.fit(f.where("split = 'train'"), names, codes=("post_details_features__creator_id",))
-    return MX.assemble(f, blocks), blocks
+    blocks = MX.fit(attach(f.where("split = 'train'")), names, codes=("post_details_features__creator_id",))
+    return MX.assemble(f, blocks, attach), blocks
 
 
 def _matrices(spark, d):

@@ -18,7 +18,7 @@ POST = Entity("post", ("post_id",))
 
 
 def text_embeddings(spark, d):
-    """The users' and posts' text columns, encoded together: (kind, id, vector)."""
+    """The users' and posts' text columns, encoded together: (kind, id, sparse vector)."""
     from ..operators import textvec as TV
     u, p = V.users(spark, d), V.posts(spark, d)
     texts = None
@@ -26,7 +26,7 @@ def text_embeddings(spark, d):
                                   ("description", p, "post_id", "description_text")):
         part = rows.select(F.struct(F.lit(kind).alias("kind"), F.col(key).alias("id")).alias("key"), F.col(text).alias("text"))
         texts = part if texts is None else texts.unionByName(part)
-    return TV.dense_vectors(texts, "key", "text").select("key.kind", "key.id", "vector").checkpoint()
+    return TV.packed_vectors(texts, "key", "text").select("key.kind", "key.id", "vector").checkpoint()
 
 
 def user_profiles(spark, d, vec):
