@@ -26,6 +26,7 @@ from .sampling import broadcast_if_small
 
 ALL = "*"
 BATCH, KEPT = 4096, 1 << 21             # items scored at once; (query, item) places that a tile keeps
+LIST_BYTES = 16 << 20                   # of an Arrow batch of lists of partners
 NO_ID = np.iinfo(np.int64).min          # a null id in sorts: first, as in Spark
 
 
@@ -330,6 +331,7 @@ def pair_scores(pairs: DataFrame, left: DataFrame, right: DataFrame, kind: str,
     ids are dealt into chunks, a chunk gets its own vectors once and of the other side
     each vector that it needs once, with the list of its partners."""
     ensure_checkpoint_dir(pairs.sparkSession)
+    pairs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(LIST_BYTES))     # lists may be long
     rows = left.count()
     n = max(1, -(-rows // chunk), min(_tasks(pairs), rows // 512))
     own: Column = F.pmod(F.xxhash64("lid"), F.lit(n)).cast("int").alias("chunk")

@@ -130,20 +130,27 @@ def pair_features(spark, d, ent, uv, as_of=None):
     policy (PRJ-7).  One function for training and serving."""
     from ..operators import rerank as R
     from .store import feature_store
-    posts = V.posts(spark, d, with_text=False)
+    # each post row has a number, by which its vector is found: neither vector rides through joins with the pairs
+    posts = V.posts(spark, d, with_text=False).withColumn("__row", F.monotonically_increasing_id()).checkpoint()
     users = V.users(spark, d).select("user_id", "onboarding_category_ids")
+    uv = uv.checkpoint()
     f = feature_store(spark, d).get_historical_features(
         ent, ["user_spend:spend", "post_stats:num_likes_on_post", "post_stats:num_views_on_post",
               "post_stats:num_comments_on_post"], as_of=as_of)
-    f = (f.join(uv, "user_id", "left")
-         .join(posts.select("post_id", "embedding", "category_id", "media_type", "creation_timestamp"), "post_id", "left")
+    f = (f.join(posts.select("post_id", "__row", "category_id", "media_type", "creation_timestamp"), "post_id", "left")
          .join(users, "user_id", "left"))
-    return f.select(
-        *ent.columns, "category_id", "creation_timestamp", "media_type",
+    rows = f.select(
+        *ent.columns, "category_id", "creation_timestamp", "media_type", "__row",
         *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in NUMERIC[:4]],
-        VX.cosine("user_vector", "embedding").alias("cosine_similarity_user_post_embedding"),
         R.in_list_flag(F.col("category_id"), F.col("onboarding_category_ids"))
         .cast("double").alias("is_post_category_in_onboarding"))
+    own = [c for c in rows.columns if c not in ("user_id", "__row")]
+    scored = K.pair_scores(rows.select(F.col("user_id").alias("lid"), F.col("__row").alias("rid"), F.struct(*own).alias("value")),
+                           uv.select(F.col("user_id").alias("lid"), F.col("user_vector").alias("lvec")),
+                           posts.where(F.forall("embedding", lambda x: x.isNotNull())).select(F.col("__row").alias("rid"), F.col("embedding").alias("rvec")),
+                           K.COSINE)
+    f = scored.select(F.col("lid").alias("user_id"), "value.*", F.coalesce("score", F.lit(0.0)).alias("cosine_similarity_user_post_embedding"))
+    return f.select(*ent.columns, "category_id", "creation_timestamp", "media_type", *NUMERIC)
 
 
 def ranking_datasets(spark, d):
