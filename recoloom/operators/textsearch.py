@@ -7,9 +7,9 @@ the order of what they can still add to a score.  Once the lists not yet read ca
 longer lift an unlikely document to the k-th place, the few documents left are scored
 exactly and the other lists stay unread.
 
-Each query is first answered by one shard.  Its k-th score there bounds the k-th score
-overall from below, so that the other shards stop early, or at once where all their
-lists together cannot reach it.  Results equal those of scoring every pair.
+Each query is first answered by one shard, of as few shards as keep the queries spread.
+Its k-th score there bounds the k-th score overall from below, so that the other shards
+stop early, or at once where all their lists together cannot reach it.  Results equal those of scoring every pair.
 """
 
 from __future__ import annotations
@@ -19,18 +19,21 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ..session import ensure_checkpoint_dir
+from .textvec import entries
 
 Encoder = Callable[[DataFrame, str, str], DataFrame]       # (rows, key, text) -> (key, bucket, value)
 Model = Callable[[list[str]], list[tuple[np.ndarray, np.ndarray]]]
 
 SHARD_DOCS = 16384                      # documents of a shard, on average
 QUERY_CHUNK = 4096                      # queries that meet a shard in one task, on average
+HOME_QUERIES = 64                       # queries that are first answered by the same shard, on average
 FEW = 64                                # documents that are scored exactly rather than read on for
 
 _LOADED: dict[str, Model] = {}
@@ -43,10 +46,11 @@ def loaded(name: str, load: Callable[[], Model]) -> Model:
     return _LOADED[name]
 
 
-def worker_encoder(name: str, load: Callable[[], Model]) -> Encoder:
-    """An encoder around a model that each Python worker loads once, under ``name``.
-    The model takes a batch of texts and returns (buckets, values) of each; null texts
-    are not given to it and have no rows, nor have zero or non-finite values."""
+def worker_rows(name: str, load: Callable[[], Model]) -> Encoder:
+    """An encoder around a model that each Python worker loads once, under ``name``: one
+    row (key, buckets, values) a text.  The model takes a batch of texts and returns
+    (buckets, values) of each; null texts are not given to it and have no rows.  Zero and
+    non-finite values are left out."""
     def encode(rows: DataFrame, key: str, text: str) -> DataFrame:
         kind = rows.schema[key].dataType
         arrow = to_arrow_type(kind)
@@ -59,14 +63,21 @@ def worker_encoder(name: str, load: Callable[[], Model]) -> Encoder:
                 buckets = np.concatenate([np.empty(0, np.int64), *[x for x, _ in got]]).astype(np.int64)
                 values = np.concatenate([np.empty(0), *[v for _, v in got]]).astype(np.float64)
                 keep = np.isfinite(values) & (values != 0)
-                owner = np.repeat(np.arange(len(got)), n)[keep]
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(owner)).cast(arrow), pa.array(buckets[keep]),
-                                                  pa.array(values[keep])], names=[key, "bucket", "value"])
-        schema = T.StructType([T.StructField(key, kind), T.StructField("bucket", T.LongType()), T.StructField("value", T.DoubleType())])
+                ends = np.r_[0, np.cumsum(np.bincount(np.repeat(np.arange(len(got)), n)[keep], minlength=len(got)))].astype(np.int32)
+                yield pa.RecordBatch.from_arrays([b.column(0).cast(arrow), pa.ListArray.from_arrays(ends, buckets[keep]),
+                                                  pa.ListArray.from_arrays(ends, values[keep])], names=[key, "buckets", "values"])
+        schema = T.StructType([T.StructField(key, kind), T.StructField("buckets", T.ArrayType(T.LongType())),
+                               T.StructField("values", T.ArrayType(T.DoubleType()))])
         return rows.select(key, text).where(F.col(text).isNotNull()).mapInArrow(kernel, schema)
     return encode
 
 
+def worker_encoder(name: str, load: Callable[[], Model]) -> Encoder:
+    """``worker_rows`` with a row (key, bucket, value) for each entry."""
+    encode = worker_rows(name, load)
+    return lambda rows, key, text: entries(encode(rows, key, text), key)
+
+
 def letter_triples(dim: int) -> Model:
     """Hashed triples of neighbouring code points, ln(1 + count), at unit length."""
     def model(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -83,16 +94,39 @@ def letter_triples(dim: int) -> Model:
 
 def build_index(vectors: DataFrame, key: str, n_docs: int, path: str, shard_docs: int = SHARD_DOCS) -> None:
     """Write posting lists to ``path``: one row per (shard, bucket) with the documents
-    and values, strongest first.  A list is bounded by its shard's documents, which are
-    dealt by their key's hash, so a bucket that every text has is many lists.  Rows with
-    a null key cannot be found and are left out."""
+    and values, strongest first.  ``vectors``: (key, bucket, value), or a text's entries in
+    one row (key, buckets, values), which is less to shuffle.  Documents are dealt to shards
+    by their key's hash and a shard is turned around in one task, so a bucket that every
+    text has is many lists.  Rows with a null key cannot be found and are left out."""
     shards = max(1, -(-n_docs // shard_docs))
-    entry = F.struct((-F.col("value")).alias("minus"), F.col(key).alias("doc"))
-    lists = (vectors.where(F.col(key).isNotNull() & (F.col("value") != 0))
-             .withColumn("shard", F.pmod(F.xxhash64(key), F.lit(shards)).cast("int"))
-             .groupBy("shard", "bucket").agg(F.sort_array(F.collect_list(entry)).alias("l")))
-    (lists.select("shard", "bucket", F.col("l.doc").alias("docs"), F.transform("l.minus", lambda x: -x).alias("values"))
-     .write.mode("overwrite").parquet(path))
+    whole = "buckets" in vectors.columns
+    rows = vectors.where(F.col(key).isNotNull() & (F.size("buckets") > 0 if whole else F.col("value") != 0))
+    kind = vectors.schema[key].dataType
+
+    def lists(t: pa.Table) -> pa.Table:
+        t = t.take(pc.sort_indices(t, [(key, "ascending")])).combine_chunks()
+        keys, buckets, values = (pa.concat_arrays(c.chunks) for c in t.columns[1:])
+        row = np.arange(t.num_rows)
+        if whole:
+            row = np.repeat(row, np.diff(np.asarray(buckets.offsets)))
+            buckets, values = buckets.flatten(), values.flatten()
+        keep = np.asarray(values.is_valid()) & np.asarray(buckets.is_valid())
+        value = values.fill_null(0.0).to_numpy(zero_copy_only=False)
+        keep &= value != 0
+        row, value, bucket = row[keep], value[keep], buckets.fill_null(0).to_numpy(zero_copy_only=False)[keep]
+        names, bucket = np.unique(bucket, return_inverse=True)
+        bucket = bucket.reshape(-1).astype(np.min_scalar_type(max(1, len(names))))
+        order = np.argsort(-value, kind="stable")               # equal values stay in the order of the keys
+        order = order[np.argsort(bucket[order], kind="stable")]
+        ends = np.r_[0, np.cumsum(np.bincount(bucket, minlength=len(names)))].astype(np.int32)
+        return pa.Table.from_arrays([pa.array(np.full(len(names), t.column(0)[0].as_py(), np.int32)), pa.array(names.astype(np.int64)),
+                                     pa.ListArray.from_arrays(ends, keys.take(pa.array(row[order]))),
+                                     pa.ListArray.from_arrays(ends, value[order])], names=["shard", "bucket", "docs", "values"])
+
+    schema = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("bucket", T.LongType()),
+                           T.StructField("docs", T.ArrayType(kind)), T.StructField("values", T.ArrayType(T.DoubleType()))])
+    dealt = rows.select(F.pmod(F.xxhash64(key), F.lit(shards)).cast("int").alias("shard"), key, *(["buckets", "values"] if whole else ["bucket", "value"]))
+    dealt.groupBy("shard").applyInArrow(lists, schema).write.mode("overwrite").parquet(path)
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
@@ -202,8 +236,9 @@ def search(queries: DataFrame, index: DataFrame, k: int, key: str = "qid", decim
     qtype = asked.schema["qid"].dataType
     n, of = asked.count(), 1 + (index.agg(F.max("shard")).first()[0] or 0)
     w = Window.partitionBy("qid").orderBy(F.col("score").desc(), "doc_id")
-    home = asked.withColumn("shard", F.pmod(F.xxhash64("qid"), F.lit(of)).cast("int")).withColumn("floor", F.lit(float("-inf")))
-    found = _visit(home, index, max(1, -(-n // (of * query_chunk))), k, decimals, qtype, dtype)
+    homes = min(of, max(1, -(-n // HOME_QUERIES)))               # few queries open few shards twice
+    home = asked.withColumn("shard", F.pmod(F.xxhash64("qid"), F.lit(homes)).cast("int")).withColumn("floor", F.lit(float("-inf")))
+    found = _visit(home, index.where(F.col("shard") < homes), max(1, -(-n // (homes * query_chunk))), k, decimals, qtype, dtype)
     if of > 1:
         # the k-th score of one shard holds for all; it goes with the query to every shard
         floor = found.groupBy("qid").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("floor"))

@@ -425,8 +425,10 @@ def semantic_search(spark, d):
     documents; top-25 by cosine of text vectors fitted on both."""
     from ..operators import textvec as TV
     docs, bench = _search_texts(spark, d)
-    vec = TV.text_vectors(docs.unionByName(bench), "id", "text")
-    return _text_search(spark, d, vec.where(F.col("id").startswith("d")), vec.where(F.col("id").startswith("q")))
+    counts = TV.counted(docs.unionByName(bench), "id", "text")
+    idf = TV.idf(counts)
+    part = lambda kind: TV.weighted(counts.where(F.col("id").startswith(kind)), idf)
+    return _text_search(spark, d, part("d"), part("q"))
 
 
 TRIPLES = 512
@@ -447,7 +449,7 @@ def subword_search(spark, d):
     worker loads once (hashed letter triples)."""
     from ..operators import textsearch as TS
     docs, bench = _search_texts(spark, d)
-    encode = TS.worker_encoder(f"letter triples {TRIPLES}", lambda: TS.letter_triples(TRIPLES))
+    encode = TS.worker_rows(f"letter triples {TRIPLES}", lambda: TS.letter_triples(TRIPLES))
     return _text_search(spark, d, encode(docs, "id", "text"), encode(bench, "id", "text"))
 
 
@@ -458,11 +460,12 @@ def _search_texts(spark, d):
 
 def _text_search(spark, d, docs, queries):
     from ..operators import textsearch as TS
+    from ..operators import textvec as TV
     num = F.substring("id", 2, 30).cast("bigint")
     path = scratch_path(spark, "text-index")
     n = read_table(spark, d, "documents").count()
-    TS.build_index(docs.select(num.alias("doc_id"), "bucket", "value"), "doc_id", n, path)
-    res = TS.search(queries.select(num.alias("qid"), "bucket", "value"), TS.read_index(spark, path), 25)
+    TS.build_index(docs.select(num.alias("doc_id"), "buckets", "values"), "doc_id", n, path)
+    res = TS.search(TV.entries(queries.select(num.alias("qid"), "buckets", "values"), "qid"), TS.read_index(spark, path), 25)
     return res.select(F.col("qid").alias("item_id"), "doc_id", F.round("score", 6).alias("cosine"), "rank")
 
 

@@ -1,5 +1,9 @@
 """Text search by posting lists against scoring every pair."""
 
+import hashlib
+import re
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -76,6 +80,45 @@ def test_text_keys(spark):
     assert [(r["doc_id"], r["rank"]) for r in TS.search(queries, TS.read_index(spark, path), 4).collect()] == [("a", 1), ("b", 2)]
 
 
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_texts_in_one_row_give_the_same_index(spark, kind):
+    """Rows (key, buckets, values) and rows (key, bucket, value): the same lists, strongest
+    first and ties by key; repeated keys, null keys, zero and missing values."""
+    docs = [(1, [3, 5], [1.0, -0.5]), (2, [3], [1.0]), (2, [3, 7], [0.25, 2.0]), (None, [3], [9.0]), (4, [], []), (5, [3, 5], [0.0, None]), (10, [3], [1.0])]
+    whole = spark.createDataFrame(docs, "id long, buckets array<int>, values array<double>").withColumn("id", F.col("id").cast(kind))
+    lists = []
+    for v in (whole, TV.entries(whole, "id")):
+        path = scratch_path(spark, "index")
+        TS.build_index(v, "id", len(docs), path)
+        lists.append(sorted((r["bucket"], [int(i) for i in r["docs"]], r["values"]) for r in TS.read_index(spark, path).collect()))
+    ties = [1, 2, 10, 2] if kind == "long" else [1, 10, 2, 2]
+    assert lists[0] == lists[1] == [(3, ties, [1.0, 1.0, 1.0, 0.25]), (5, [1], [-0.5]), (7, [2], [2.0])]
+
+
+def test_few_queries_open_few_shards_twice(spark, monkeypatch):
+    """The first answers come from one shard for each ``HOME_QUERIES`` queries, whatever the index."""
+    read, visit = [], TS._visit
+    monkeypatch.setattr(TS, "_visit", lambda q, index, *a: read.append(index.select("shard").distinct().count()) or visit(q, index, *a))
+    docs, queries = rows(4, 400, 60, 12), rows(5, 30, 60, 6)
+    assert run(spark, queries, docs, 5, 20) == plain(queries, docs, 5)
+    assert read == [1, 20]
+
+
+def test_a_word_is_hashed_once_a_batch(monkeypatch):
+    """As the digest of each word of each text says, with fewer hashes than words, also
+    when no more words can be remembered."""
+    hashed, bucket = [], TV._bucket
+    monkeypatch.setattr(TV, "_bucket", lambda w, dim: hashed.append(w) or bucket(w, dim))
+    monkeypatch.setattr(TV, "KNOWN_WORDS", 2)
+    monkeypatch.setattr(TV, "_BUCKETS", {})
+    texts = ["The cat, the É9_a cat", None, "", "-- ", "K\u212a \u0130x the\x00dog", *["the bird sat"] * 50]
+    ends, buckets, counts = TV.bucket_counts(texts, 13)
+    for i, t in enumerate(texts):
+        want = Counter(int(hashlib.md5(f"{w}|text".encode()).hexdigest()[:15], 16) % 13 for w in re.findall("[a-z0-9_]+", (t or "").lower()))
+        assert list(zip(buckets[ends[i]:ends[i + 1]].tolist(), counts[ends[i]:ends[i + 1]].tolist())) == sorted(want.items())
+    assert len(hashed) == len(set(hashed))
+
+
 def shard_of(docs):
     lists = {}
     for d, r in docs.items():
