@@ -1,6 +1,7 @@
 """What must not grow with the square of the tables, or carry wide columns through shuffles."""
 
 import numpy as np
+import pyarrow as pa
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
@@ -95,3 +96,19 @@ def test_a_crowded_category_is_dealt_over_tasks(spark, monkeypatch):
     assert "__s" in plan(got)
     want = [(u, i + 1, p) for u in range(200) for i, p in enumerate([3, 7, 39, 38])]
     assert sorted((r.user_id, r.rank, r.post_id) for r in got.collect()) == want
+
+
+def test_a_tile_holds_no_more_for_more_items():
+    """The most that a tile of ``knn`` keeps is set by its queries and k, not by what streams past."""
+    from recoloom.operators import knn as K
+    rng = np.random.default_rng(3)
+    lists = lambda X: pa.ListArray.from_arrays(np.arange(0, X.size + 1, X.shape[1], dtype=np.int32), X.ravel())
+    most = {}
+    for n in (2_000, 40_000):
+        tile = K._Nearest(pa.table({"q": np.arange(60), "v": lists(rng.normal(size=(60, 8)))}), 10, "ip", 16, None, pa.int64(), ["qid", "item_id", "score"])
+        most[n] = 0
+        for a in range(0, n, 500):
+            tile.add(pa.RecordBatch.from_arrays([pa.array(np.arange(a, a + 500)), lists(rng.normal(size=(500, 8)))], names=["i", "v"]))
+            most[n] = max(most[n], sum(len(lot[0]) for best in tile.best for lot in best.lots))
+        assert sum(b.num_rows for b in tile.rows()) == 600
+    assert max(most.values()) <= 3 * 600
