@@ -27,6 +27,7 @@ from .sampling import broadcast_if_small
 ALL = "*"
 BATCH, KEPT = 4096, 1 << 21             # items scored at once; (query, item) places that a tile keeps
 LIST_BYTES = 16 << 20                   # of an Arrow batch of lists of partners
+ACROSS, NARROW = 1024, 1e15             # items and largest norm of a product in single precision
 NO_ID = np.iinfo(np.int64).min          # a null id in sorts: first, as in Spark
 
 
@@ -34,8 +35,9 @@ def _tasks(df: DataFrame) -> int:
     return 2 * df.sparkSession.sparkContext.defaultParallelism
 
 
-def _tile(queries: DataFrame, items: DataFrame, query_groups: DataFrame | None, item_block: int, query_block: int) -> DataFrame:
-    """Queries (side 0) and items (side 1) keyed by their tiles (g, blk, qc)."""
+def _tile(queries: DataFrame, items: DataFrame, query_groups: DataFrame | None, item_block: int, query_block: int) -> tuple[DataFrame, tuple | None]:
+    """Queries (side 0) and items (side 1) keyed by their tiles (g, blk, qc), and how
+    ``over_tiles`` deals them, where their numbers are known."""
     # sizes decide the tiles: both inputs are written once, so that counting them
     # does not run their plans a second time
     ensure_checkpoint_dir(items.sparkSession)
@@ -50,7 +52,9 @@ def _tile(queries: DataFrame, items: DataFrame, query_groups: DataFrame | None,
         nb = max(1, min(-(-items.count() // item_block), -(-_tasks(items) // nq)))
         size = lambda df: df.select(F.lit(0).cast("long").alias("g"), F.lit(nb).alias("nb"), F.lit(nq).alias("nq"), "*")
         it, qt = size(items), size(q)
+        deal = (nb * nq, F.col("blk") * nq + F.col("qc"))
     else:
+        deal = None
         qg = query_groups.select("qid", F.col("g").cast("string").alias("g"))
         # the catch-all group holds every item, for queries without a filter
         it = items.select(F.col("g").cast("string").alias("g"), *extra)
@@ -66,14 +70,16 @@ def _tile(queries: DataFrame, items: DataFrame, query_groups: DataFrame | None,
         qt = qg.join(sizes, "g").drop("g").withColumnRenamed("number", "g").join(q, "qid")
     it = it.select("g", own("item_id", "nb").alias("blk"), each("nq").alias("qc"), F.lit(1).alias("side"), *extra)
     qt = qt.withColumn("qc", own("qid", "nq")).select("g", each("nb").alias("blk"), "qc", F.lit(0).alias("side"), *q.columns)
-    return qt.unionByName(it, allowMissingColumns=True)
+    return qt.unionByName(it, allowMissingColumns=True), deal
 
 
-def over_tiles(tiles: DataFrame, key: list[str], queries: list[str], items: list[str], begin: Callable, schema: T.StructType) -> DataFrame:
+def over_tiles(tiles: DataFrame, key: list[str], queries: list[str], items: list[str], begin: Callable, schema: T.StructType,
+               deal: tuple[int, Column] | None = None) -> DataFrame:
     """Each tile of ``tiles`` (integer ``key`` columns, side, query and item columns) worked
     on as a stream: ``begin(held)`` gets its queries (side 0) as a table and returns an
     object whose ``add(batch)`` gets the items a batch at a time and whose ``rows()``
-    yields the tile's record batches.  ``add`` may return batches, too."""
+    yields the tile's record batches.  ``add`` may return batches, too.  ``deal``: so many
+    tiles, and the number of a row's tile; tiles then go to tasks in turn, else by hash."""
     n = len(key) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,7 +109,13 @@ def over_tiles(tiles: DataFrame, key: list[str], queries: list[str], items: list
         if work is not None:
             yield from work.rows()
     cols = [*key, "side", *queries, *items]
-    return tiles.select(*cols).repartition(*key).sortWithinPartitions(*key, "side").mapInArrow(run, schema)
+    rows = tiles.select(*cols)
+    if deal:
+        most = max(2 * _tasks(tiles), int(tiles.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        rows = rows.repartitionById(max(1, min(deal[0], most)), deal[1].cast("int"))
+    else:
+        rows = rows.repartition(*key)
+    return rows.sortWithinPartitions(*key, "side").mapInArrow(run, schema)
 
 
 def matrix(col: pa.Array, dim: int | None = None) -> np.ndarray:
@@ -132,7 +144,7 @@ def given_ids(ids: np.ndarray, kind: pa.DataType) -> pa.Array:
 
 class Best:
     """The k smallest (score, id) of each of n rows, of candidates that come in lots.  Lots
-    are merged when they have grown to the size of what is kept."""
+    are merged when they have grown to half the size of what is kept."""
 
     def __init__(self, n: int, k: int):
         self.n, self.k = n, k
@@ -145,8 +157,30 @@ class Best:
         if len(row):
             self.lots.append((row, score, *rest))
             self.waiting += len(row)
-            if self.waiting > 2 * self.n * self.k or not self.full.all():
-                self.merge()
+            if self.waiting > self.n * self.k // 2 or not self.full.all():
+                self.trim()
+
+    def trim(self) -> None:
+        """As ``merge``, but what ties with a row's k-th score stays, and nothing is sorted
+        by it; where much ties, or one row has most of the candidates, all is merged."""
+        row, score, *rest = (np.concatenate(c) for c in zip(*self.lots))
+        order = np.argsort(row.astype(np.uint16) if self.n <= 1 << 16 else row, kind="stable")
+        row, score = row[order], score[order]
+        size = np.bincount(row, minlength=self.n)
+        width = max(self.k, size.max())
+        if self.n * width > 4 * max(len(row), self.n * self.k):
+            self.merge()
+            return
+        by_row = np.full((self.n, width), np.inf)
+        by_row[row, np.arange(len(row)) - (np.cumsum(size) - size)[row]] = score
+        kth = np.partition(by_row, self.k - 1, axis=1)[:, self.k - 1]
+        keep = score <= kth[row]
+        if keep.sum() > 1.5 * self.n * self.k:
+            self.merge()
+            return
+        self.full = size >= self.k
+        self.worst = np.where(self.full, kth, np.inf)
+        self.lots, self.waiting = [(row[keep], score[keep], *(c[order[keep]] for c in rest))], 0
 
     def merge(self) -> tuple[np.ndarray, ...]:
         if not self.lots:
@@ -176,47 +210,130 @@ def _candidates(S: np.ndarray, limit: np.ndarray, k: int, slack: np.ndarray) ->
     return np.nonzero(mask)
 
 
+class Screen:
+    """Which inner products of the rows of ``A`` with those of a lot can be at most a limit, by
+    matrix products in single precision.  What these can be off is allowed for, so no
+    place is missed; callers score the picked places from the components."""
+
+    def __init__(self, A: np.ndarray, sub: int):
+        with np.errstate(over="ignore"):
+            self.A, self.size = A.astype(np.float32), np.sqrt(np.einsum("ij,ij->i", A, A))
+        self.S, self.mask = np.empty(sub * ACROSS, np.float32), np.empty(sub * ACROSS, bool)
+
+    def lots(self, B: np.ndarray) -> Iterator[tuple[slice, np.ndarray, float]]:
+        """The rows of ``B`` in lots: which, in single precision, and the largest norm."""
+        with np.errstate(over="ignore"):                        # callers do not use lots that do not fit
+            narrow, size = B.astype(np.float32), np.sqrt(np.einsum("ij,ij->i", B, B))
+        for at in range(0, len(B), ACROSS):
+            own = slice(at, min(len(B), at + ACROSS))
+            yield own, narrow[own], size[own].max()
+
+    def pick(self, rows: slice, lot: np.ndarray, top: float, limit: np.ndarray, slack: np.ndarray, k: int,
+             counted: Callable | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(row, place): at most the row's ``limit`` and ``slack``; where that is infinite, at most
+        the k-th of the lot.  ``counted(open, S)``: the products by which it is the k-th."""
+        n, m = rows.stop - rows.start, len(lot)
+        S, mask = self.S[:n * m].reshape(n, m), self.mask[:n * m]
+        np.matmul(self.A[rows], lot.T, out=S)
+        # a product of d terms is off by at most about d + 2 roundings of 2^-24, relative to the norms
+        off = 2.0 ** -23 * (self.A.shape[1] + 4) * self.size[rows] * top + slack + 1e-30
+        most, free = limit + off, np.flatnonzero(~np.isfinite(limit))
+        if len(free) and m > k:
+            part = S[free] if counted is None else counted(free, S[free])
+            most[free] = np.partition(part, k - 1, axis=1)[:, k - 1] + 2 * off[free]
+        np.less_equal(S, np.nextafter(most.astype(np.float32), np.float32(np.inf))[:, None], out=mask.reshape(n, m))
+        if len(mask) % 8:
+            place = np.flatnonzero(mask)
+        else:                                                   # most are not: eight are passed over at a time
+            some = np.flatnonzero(mask.view(np.uint64))
+            a, b = np.nonzero(mask.reshape(-1, 8)[some])
+            place = some[a] * 8 + b
+        return (place >> 10, place & 1023) if m == 1 << 10 else np.divmod(place, m)
+
+
+def parted(fits: np.ndarray) -> Iterator[tuple[slice | np.ndarray, bool]]:
+    """The places that fit, and those that do not, where there are any."""
+    if fits.all():
+        yield slice(None), True
+        return
+    for some, which in ((fits, True), (~fits, False)):
+        if some.any():
+            yield np.flatnonzero(some), which
+
+
+def of_pairs(score: Callable, i: np.ndarray, j: np.ndarray, step: int = 512) -> np.ndarray:
+    """``score`` of the pairs, in portions whose vectors stay in the cache."""
+    s = np.empty(len(i))
+    for at in range(0, len(i), step):
+        s[at:at + step] = score(i[at:at + step], j[at:at + step])
+    return s
+
+
 class _Nearest:
     """Tile of ``knn``: matrix products pick the candidates of a batch of items, whose scores
-    are then taken from the components, so equal vectors score the same in any tile."""
+    are then taken from the components, so equal vectors score the same in any tile.
+    Queries and items that single precision cannot hold are met in double precision."""
 
     def __init__(self, held: pa.Table, k: int, metric: str, sub_block: int, decimals: int | None, kind: pa.DataType, names: list[str]):
         self.qids, self.Q = held.column(0).combine_chunks(), matrix(held.column(1))
         self.k, self.l2, self.sub, self.decimals, self.kind, self.names = k, metric == "l2", sub_block, decimals, kind, names
-        self.best = [Best(min(sub_block, len(self.Q) - a), k) for a in range(0, len(self.Q), sub_block)]
         self.norm2 = (self.Q * self.Q).sum(1)
-        self.wide = np.hstack([-2 * self.Q, np.ones((len(self.Q), 1))]) if self.l2 else -self.Q
+        order = np.argsort(~(self.norm2 < NARROW ** 2), kind="stable")              # those that do not fit are last
+        self.narrow = int((self.norm2 < NARROW ** 2).sum())
+        if self.narrow < len(order):
+            self.qids, self.Q, self.norm2 = self.qids.take(pa.array(order)), self.Q[order], self.norm2[order]
+        ends = [*range(0, self.narrow, sub_block), *range(self.narrow, len(self.Q), sub_block), len(self.Q)]
+        self.slices = [slice(a, b) for a, b in zip(ends, ends[1:])]
+        self.best = [Best(x.stop - x.start, k) for x in self.slices]
+        self.screen = Screen(self.wide(slice(0, self.narrow)), sub_block)
+
+    def wide(self, rows: slice) -> np.ndarray:
+        Q = self.Q[rows]
+        return np.hstack([-2 * Q, np.ones((len(Q), 1))]) if self.l2 else -Q
 
     def scores(self, q: np.ndarray, x: np.ndarray) -> np.ndarray:
-        s = np.einsum("ij,ij->i", q - x, q - x) if self.l2 else -np.einsum("ij,ij->i", q, x)
+        if self.l2:
+            apart = q - x
+            s = np.einsum("ij,ij->i", apart, apart)
+        else:
+            s = -np.einsum("ij,ij->i", q, x)
         return s if self.decimals is None else np.round(s, self.decimals)
 
     def add(self, items: pa.RecordBatch) -> None:
         ids, X = sort_ids(items.column(0)), matrix(items.column(1), self.Q.shape[1])
         x2 = (X * X).sum(1)
+        for own, fits in parted(x2 < NARROW ** 2):
+            self.meet(ids[own], X[own], x2[own], fits)
+
+    def meet(self, ids: np.ndarray, X: np.ndarray, x2: np.ndarray, fits: bool) -> None:
         wide = np.hstack([X, x2[:, None]]) if self.l2 else X
-        top = x2.max()
-        top = top if np.isfinite(top) else np.nanmax(np.where(np.isfinite(x2), x2, 0))
-        for best, a in zip(self.best, range(0, len(self.Q), self.sub)):
-            rows = slice(a, a + best.n)
-            S, qq = self.wide[rows] @ wide.T, self.norm2[rows]
-            S[np.isnan(S)] = np.inf
-            slack = 1e-9 * (np.where(np.isfinite(qq), qq, 0) + top) + (0 if self.decimals is None else 2 * 10.0 ** -self.decimals)
-            i, j = _candidates(S, best.worst - qq if self.l2 else best.worst, self.k, slack)
-            for at in range(0, len(i), 1 << 16):
-                ii, jj = i[at:at + (1 << 16)], j[at:at + (1 << 16)]
-                s = self.scores(self.Q[a + ii], X[jj])
+        extra = 0 if self.decimals is None else 2 * 10.0 ** -self.decimals
+        for own, lot, size in self.screen.lots(wide):
+            top = x2[own].max()
+            top = top if np.isfinite(top) else np.nanmax(np.where(np.isfinite(x2[own]), x2[own], 0))
+            for best, rows in zip(self.best, self.slices):
+                qq = self.norm2[rows]
+                limit = best.worst - qq if self.l2 else best.worst
+                i, many = None, 4 * best.n * max(self.k, len(lot) // 64)
+                if fits and rows.stop <= self.narrow:
+                    i, j = self.screen.pick(rows, lot, size, limit, 1e-12 * (qq + top) + extra, self.k)
+                if i is None or len(i) > many and len(lot) > self.k:
+                    S = self.wide(rows) @ wide[own].T
+                    S[np.isnan(S)] = np.inf
+                    i, j = _candidates(S, limit, self.k, 1e-9 * (np.where(np.isfinite(qq), qq, 0) + top) + extra)
+                j += own.start
+                s = of_pairs(lambda a, b: self.scores(self.Q.take(rows.start + a, 0), X.take(b, 0)), i, j)
                 s[np.isnan(s)] = np.inf
-                better = (s <= best.worst[ii]) | ~best.full[ii]
-                best.add(ii[better], s[better], ids[jj[better]])
+                better = (s <= best.worst[i]) | ~best.full[i]
+                best.add(i[better], s[better], ids[j[better]])
 
     def rows(self) -> Iterator[pa.RecordBatch]:
-        for best, a in zip(self.best, range(0, len(self.Q), self.sub)):
+        for best, rows in zip(self.best, self.slices):
             kept = best.merge()
             if kept:
                 row, score, ids = kept
                 score = np.where(np.isinf(score), np.nan, score if self.l2 else -score)
-                yield pa.RecordBatch.from_arrays([self.qids.take(pa.array(a + row)), given_ids(ids, self.kind), pa.array(score)], names=self.names)
+                yield pa.RecordBatch.from_arrays([self.qids.take(pa.array(rows.start + row)), given_ids(ids, self.kind), pa.array(score)], names=self.names)
 
 
 def knn(queries: DataFrame, items: DataFrame, k: int, metric: str = "l2",
@@ -240,8 +357,8 @@ def knn(queries: DataFrame, items: DataFrame, k: int, metric: str = "l2",
     scores ``sub_block`` queries against ``BATCH`` items at once.
     """
     item_cols = ["item_id", "ivec", *(["g"] if query_groups is not None else [])]
-    tiles = _tile(queries.select("qid", "qvec").where("qvec is not null"), items.select(*item_cols).where("ivec is not null"),
-                  query_groups, item_block, min(query_block, max(sub_block, KEPT // k)))
+    tiles, deal = _tile(queries.select("qid", "qvec").where("qvec is not null"), items.select(*item_cols).where("ivec is not null"),
+                        query_groups, item_block, min(query_block, max(sub_block, KEPT // k)))
     schema = T.StructType([T.StructField("qid", queries.schema["qid"].dataType), T.StructField("item_id", items.schema["item_id"].dataType),
                            T.StructField("score", T.DoubleType())])
     names = [f.name for f in schema]
@@ -260,7 +377,7 @@ def knn(queries: DataFrame, items: DataFrame, k: int, metric: str = "l2",
         def rows(self):
             return self.work.rows() if self.work else iter(())
 
-    part = over_tiles(tiles, ["g", "blk", "qc"], ["qid", "qvec"], ["item_id", "ivec"], Start, schema)
+    part = over_tiles(tiles, ["g", "blk", "qc"], ["qid", "qvec"], ["item_id", "ivec"], Start, schema, deal)
     if once_per_query:
         part = part.groupBy("qid", "item_id").agg(F.min("score").alias("score"))
     order_col = F.col("score") if metric == "l2" else F.col("score").desc()
@@ -302,12 +419,12 @@ def count_better(queries: DataFrame, items: DataFrame, item_block: int = 16384,
     strictly above each of its thresholds — the exact ranks of a query's true items
     over the whole catalogue without forming pairs (A-12).  A tile scores a query
     once, whatever the number of its thresholds.  Output (qid, pos, n_better)."""
-    tiles = _tile(queries.select("qid", "qvec", "thresholds").where("qvec is not null"),
-                  items.select("item_id", "ivec").where("ivec is not null"), None, item_block, query_block)
+    tiles, deal = _tile(queries.select("qid", "qvec", "thresholds").where("qvec is not null"),
+                        items.select("item_id", "ivec").where("ivec is not null"), None, item_block, query_block)
     schema = T.StructType([T.StructField("qid", queries.schema["qid"].dataType), T.StructField("pos", T.IntegerType()),
                            T.StructField("n_better", T.LongType())])
     names = [f.name for f in schema]
-    part = over_tiles(tiles, ["g", "blk", "qc"], ["qid", "qvec", "thresholds"], ["ivec"], lambda held: _Better(held, sub_block, names), schema)
+    part = over_tiles(tiles, ["g", "blk", "qc"], ["qid", "qvec", "thresholds"], ["ivec"], lambda held: _Better(held, sub_block, names), schema, deal)
     return part.groupBy("qid", "pos").agg(F.sum("n_better").alias("n_better"))
 
 

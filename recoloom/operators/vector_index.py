@@ -13,7 +13,7 @@ indexed.  They are a few megabytes at most (``MOST_CELLS`` centroids), whatever
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,7 +28,7 @@ from .sampling import broadcast_if_small
 
 SAMPLE_ROWS, MOST_CELLS = 65_536, 16_384
 CODES = 256                             # entries of a codebook: a code is one byte
-QUERY_BLOCK, SUB_BLOCK = 8_192, 512
+QUERY_BLOCK, SUB_BLOCK = 16_384, 512
 
 
 def kmeans(X: np.ndarray, k: int, seed: int = 42, rounds: int = 12) -> np.ndarray:
@@ -49,8 +49,10 @@ def squared(Q: np.ndarray, X: np.ndarray) -> np.ndarray:
     return np.maximum((Q * Q).sum(1)[:, None] + (X * X).sum(1) - 2 * (Q @ X.T), 0.0)
 
 
-def nearest(X: np.ndarray, C: np.ndarray, step: int = 4096) -> np.ndarray:
-    return np.concatenate([squared(X[i:i + step], C).argmin(1) for i in range(0, len(X), step)]) if len(X) else np.zeros(0, int)
+def nearest(X: np.ndarray, C: np.ndarray, block: int = 1 << 16) -> np.ndarray:
+    """The row of ``C`` nearest to each row of ``X``, in blocks of products that stay in the cache."""
+    step, half, T = max(1, block // len(C)), (C * C).sum(1) / 2, np.ascontiguousarray(C.T)
+    return np.concatenate([(half - X[i:i + step] @ T).argmin(1) for i in range(0, len(X), step)]) if len(X) else np.zeros(0, int)
 
 
 @dataclass
@@ -81,20 +83,36 @@ def fit(vectors: DataFrame, cells: int | None = None, subspaces: int = 32, sampl
     """Fit on at most ``sample_rows`` of the (id, vec) rows, those with the lowest hash."""
     rows = vectors.where("vec is not null")
     n = rows.count()
-    picked = rows.select(F.xxhash64("id", "vec").alias("h"), "vec").orderBy("h").limit(sample_rows).select("vec").collect()
-    if not picked:
+    picked = rows.select(F.xxhash64("id", "vec").alias("h"), "vec").orderBy("h").limit(sample_rows).select("vec").toArrow()
+    if not picked.num_rows:
         raise ValueError("no vectors to fit an index on")
-    X = np.array([r["vec"] for r in picked], np.float64)
+    X = K.matrix(picked.column("vec"))
     C = kmeans(X, min(MOST_CELLS, cells or max(1, round(n ** 0.5))), seed)
     rest = X - C[nearest(X, C)]
     edges = np.linspace(0, X.shape[1], min(subspaces, X.shape[1]) + 1).astype(int)
-    return Quantizer(C, [kmeans(rest[:, a:b], CODES, seed + a) for a, b in zip(edges, edges[1:])])
+    return Quantizer(C, codebooks(vectors.sparkSession, rest, [slice(a, b) for a, b in zip(edges, edges[1:])], seed))
+
+
+def codebooks(spark: SparkSession, rest: np.ndarray, cuts: list[slice], seed: int) -> list[np.ndarray]:
+    """The codebook of each subspace of the sample, one task a subspace."""
+    sent = spark.sparkContext.broadcast(rest)
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for j in b.column(0).to_pylist():
+                book = kmeans(sent.value[:, cuts[j]], CODES, seed + cuts[j].start)
+                yield pa.RecordBatch.from_arrays([pa.array([j], pa.int64()), pa.array([book.tobytes()], pa.binary())], names=["id", "book"])
+    spaces = spark.range(len(cuts)).repartitionById(len(cuts), F.col("id").cast("int"))
+    books = {r["id"]: np.frombuffer(r["book"]) for r in spaces.mapInArrow(kernel, "id long, book binary").collect()}
+    sent.destroy()
+    return [books[j].reshape(-1, c.stop - c.start).copy() for j, c in enumerate(cuts)]
 
 
 def save_model(spark: SparkSession, q: Quantizer, path: str) -> None:
     parts = [("cell", -1, i, c) for i, c in enumerate(q.centroids)] + [("code", j, i, c) for j, b in enumerate(q.books) for i, c in enumerate(b)]
-    rows = [(k, j, i, [float(x) for x in c]) for k, j, i, c in parts]
-    spark.createDataFrame(rows, "kind string, space int, number int, vec array<double>").coalesce(1).write.parquet(f"{path}/model")
+    kind, space, number, vec = zip(*parts)
+    rows = pa.table({"kind": pa.array(kind), "space": pa.array(space, pa.int32()), "number": pa.array(number, pa.int32()), "vec": pa.array(vec, pa.list_(pa.float64()))})
+    spark.createDataFrame(rows).coalesce(1).write.parquet(f"{path}/model")
 
 
 def load_model(spark: SparkSession, path: str) -> Quantizer:
@@ -197,7 +215,8 @@ class _Coded:
     def __init__(self, held: pa.Table, q: Quantizer, k: int):
         self.qids, self.Q, self.q = held.column("qid").combine_chunks(), K.matrix(held.column("qvec")), q
         self.norm2 = (self.Q * self.Q).sum(1)
-        self.best = [K.Best(min(SUB_BLOCK, len(self.Q) - a), k) for a in range(0, len(self.Q), SUB_BLOCK)]
+        self.k, self.best = k, [K.Best(min(SUB_BLOCK, len(self.Q) - a), k) for a in range(0, len(self.Q), SUB_BLOCK)]
+        self.fits = [bool((self.norm2[rows] < K.NARROW ** 2).all()) for _, rows in self.slices()]
         self.kind = None
 
     def slices(self) -> list[tuple[K.Best, slice]]:
@@ -212,6 +231,20 @@ class _Coded:
     def estimates(self, rows: slice, X: np.ndarray, norm2: np.ndarray) -> np.ndarray:
         return self.norm2[rows, None] + norm2 - 2 * (self.Q[rows] @ X.T)
 
+    def screened(self, screen: K.Screen, B: np.ndarray, norm2: np.ndarray, counted: Callable) -> Iterator[tuple[K.Best, slice, slice, tuple | None]]:
+        """Each portion of queries with each lot of items: the places that can be at most the
+        queries' k-th score so far; none are named where single precision does not do."""
+        for own, lot, size in screen.lots(B):
+            fits = norm2[own].max() < K.NARROW ** 2 and size < 2 * K.NARROW ** 2
+            for (best, rows), holds in zip(self.slices(), self.fits):
+                qq, found = self.norm2[rows], None
+                if fits and holds:
+                    found = screen.pick(rows, lot, size, best.worst - qq, 1e-12 * (qq + norm2[own].max()), best.k,
+                                        lambda free, S: counted(rows, own, free, S))
+                    if len(found[0]) > best.n * max(4 * best.k, len(lot) // 4):
+                        found = None
+                yield best, rows, own, found
+
 
 class _Shortlist(_Coded):
     """Of the probed cells' items each query's ``k`` with the smallest coded distance."""
@@ -221,14 +254,33 @@ class _Shortlist(_Coded):
         bits = held.column("bits").to_pylist()
         self.first = held.column("first")[0].as_py()
         self.asked = np.unpackbits(np.frombuffer(b"".join(bits), np.uint8).reshape(len(bits), -1), axis=1).view(bool)
+        self.screen = K.Screen(np.hstack([-2 * self.Q, np.ones((len(self.Q), 1))]), SUB_BLOCK)
 
     def add(self, items: pa.RecordBatch) -> None:
         ids, X, norm2, _, cell = self.read(items)
-        for best, rows in self.slices():
-            d = self.estimates(rows, X, norm2)
-            d[~self.asked[rows, :][:, cell - self.first]] = np.nan
-            i, j = K._candidates(d, best.worst, best.k, np.zeros(best.n))
-            best.add(i, d[i, j], ids[j], cell[j])
+        for own, _ in K.parted(norm2 < K.NARROW ** 2):
+            self.meet(ids[own], X[own], norm2[own], cell[own])
+
+    def meet(self, ids: np.ndarray, X: np.ndarray, norm2: np.ndarray, cell: np.ndarray) -> None:
+        at = cell - self.first
+
+        def counted(rows, own, free, S):
+            S[~self.asked[rows.start + free][:, at[own]]] = np.inf
+            return S
+        for best, rows, own, found in self.screened(self.screen, np.hstack([X, norm2[:, None]]), norm2, counted):
+            if found is None:
+                d = self.estimates(rows, X[own], norm2[own])
+                d[~self.asked[rows, :][:, at[own]]] = np.nan
+                i, j = K._candidates(d, best.worst, best.k, np.zeros(best.n))
+                best.add(i, d[i, j], ids[own][j], cell[own][j])
+                continue
+            i, j = found
+            j += own.start
+            asked = self.asked[rows.start + i, at[j]]
+            i, j = i[asked], j[asked]
+            d = K.of_pairs(lambda a, b: self.norm2[rows.start + a] + norm2[b] - 2 * np.einsum("ij,ij->i", self.Q.take(rows.start + a, 0), X.take(b, 0)), i, j)
+            better = (d <= best.worst[i]) | ~best.full[i]
+            best.add(i[better], d[better], ids[j[better]], cell[j[better]])
 
     def rows(self) -> Iterator[pa.RecordBatch]:
         for best, rows in self.slices():
@@ -295,15 +347,16 @@ class _Exact(_Coded):
                                                  names=["qid", "item_id", "score"])
 
 
-def _dealt(queries: DataFrame, items: DataFrame, block: int) -> DataFrame:
+def _dealt(queries: DataFrame, items: DataFrame, block: int, blocks: int) -> tuple[DataFrame, tuple]:
     """Queries (side 0) and coded items (side 1), both with ``blk``, as tiles (blk, qc): the
     queries of a block are cut into chunks of about ``block`` rows, and each chunk meets all
-    the block's items."""
+    the block's items.  Also how ``over_tiles`` deals them."""
     sizes = queries.groupBy("blk").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("nq")).checkpoint()      # one row a block
+    most = sizes.agg(F.max("nq")).first()[0] or 1
     sizes = broadcast_if_small(sizes, sizes.count() * 16)
     qt = queries.join(sizes, "blk").withColumn("qc", F.pmod(F.xxhash64("qid"), F.col("nq")).cast("int")).withColumn("side", F.lit(0)).drop("nq")
     it = items.join(sizes, "blk").withColumn("qc", F.explode(F.sequence(F.lit(0), F.col("nq") - 1))).withColumn("side", F.lit(1)).drop("nq")
-    return qt.unionByName(it, allowMissingColumns=True)
+    return qt.unionByName(it, allowMissingColumns=True), (blocks * most, F.col("blk") * most + F.col("qc"))
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
@@ -320,29 +373,31 @@ def shortlisted(queries: DataFrame, path: str, probes: int, shortlist: int) -> D
     q, index = load_model(spark, path), rows_of(spark, path)
     cells, block = len(q.centroids), min(QUERY_BLOCK, max(SUB_BLOCK, K.KEPT // shortlist))
     n = queries.count()
-    blocks = cells if 4 * probes <= cells else min(cells, -(-spark.sparkContext.defaultParallelism // max(1, -(-n // block))))
+    blocks = cells if 4 * probes <= cells else min(cells, -(-K._tasks(queries) // max(1, -(-n // block))))
     asked = probe(queries, q, probes, blocks).checkpoint()
     if n * probes <= 1000:                                      # a few cells: the others' folders are not listed into the scan
         on = [(r["first"], np.unpackbits(np.frombuffer(r["bits"], np.uint8))) for r in asked.select("first", "bits").collect()]
         index = index.where(F.col("cell").isin(sorted({int(first + c) for first, bits in on for c in np.flatnonzero(bits)})))
     blk = F.floor(((F.col("cell") + 1) * blocks - 1) / cells).cast("int").alias("blk")
-    tiles = _dealt(asked, index.select(blk, *CODED), block)
+    tiles, deal = _dealt(asked, index.select(blk, *CODED), block, blocks)
     kind = T.StructType([queries.schema["qid"], index.schema["id"], T.StructField("cell", T.IntegerType()), T.StructField("near", T.DoubleType())])
-    part = K.over_tiles(tiles, ["blk", "qc"], ["qid", "qvec", "first", "bits"], CODED, lambda held: _Shortlist(held, q, shortlist), kind)
+    part = K.over_tiles(tiles, ["blk", "qc"], ["qid", "qvec", "first", "bits"], CODED, lambda held: _Shortlist(held, q, shortlist), kind, deal)
     if blocks > 1:
         w = Window.partitionBy("qid").orderBy("near", "id")
         part = part.withColumn("r", F.row_number().over(w)).where(F.col("r") <= shortlist)
     return part.select("qid", "id", "cell")
 
 
-def search(queries: DataFrame, path: str, k: int, probes: int, shortlist: int) -> DataFrame:
+def search(queries: DataFrame, path: str, k: int, probes: int, shortlist: int, short: DataFrame | None = None) -> DataFrame:
     """(qid, item_id, score, rank): approximate ``k`` nearest items of (qid, qvec) by
-    squared distance, ties by id.  Exact within the shortlist; null vectors match nothing."""
+    squared distance, ties by id.  Exact within the shortlist; null vectors match nothing.
+    ``short``: the rows of ``shortlisted`` for these arguments, if they are there already."""
     spark = queries.sparkSession
     ensure_checkpoint_dir(spark)
     queries = queries.select("qid", "qvec").checkpoint()        # read for the shortlist and the re-rank
     item = F.struct("cell", "id")
-    short = shortlisted(queries, path, probes, shortlist).select(F.col("qid").alias("lid"), item.alias("rid"), F.lit(None).cast("int").alias("value"))
+    short = shortlisted(queries, path, probes, shortlist) if short is None else short
+    short = short.select(F.col("qid").alias("lid"), item.alias("rid"), F.lit(None).cast("int").alias("value"))
     vectors = rows_of(spark, path).select(item.alias("rid"), F.col("vec").alias("rvec"))
     full = K.pair_scores(short, queries.select(F.col("qid").alias("lid"), F.col("qvec").alias("lvec")), vectors, K.SQUARED)
     return _ranked(full.where("score is not null").select(F.col("lid").alias("qid"), F.col("rid.id").alias("item_id"), "score"), k)
@@ -356,16 +411,17 @@ def search_exact(queries: DataFrame, path: str, k: int) -> DataFrame:
     ensure_checkpoint_dir(spark)
     q, index = load_model(spark, path), rows_of(spark, path)
     asked = queries.select("qid", F.col("qvec").cast("array<double>").alias("qvec")).where("qid is not null and qvec is not null").checkpoint()
-    block = min(QUERY_BLOCK, max(SUB_BLOCK, K.KEPT // k))
-    blocks = max(1, -(-spark.sparkContext.defaultParallelism // max(1, -(-asked.count() // block))))
+    n, block = asked.count(), min(QUERY_BLOCK, max(SUB_BLOCK, K.KEPT // k))
+    blocks = max(1, -(-K._tasks(queries) // max(1, -(-n // block))))
     every = asked.withColumn("blk", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    items = index.select(F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("blk"), *CODED)
-    tiles = _dealt(every, items, block)
+    blk = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("blk")
+    found = T.StructType([queries.schema["qid"], T.StructField("item_id", index.schema["id"].dataType), T.StructField("score", T.DoubleType())])
+    exact = lambda tiles, deal: _ranked(K.over_tiles(tiles, ["blk", "qc"], ["qid", "qvec"], [*CODED, "vec"], lambda held: _Exact(held, q, k), found, deal), k)
+    tiles, deal = _dealt(every, index.select(blk, *CODED), block, blocks)
     named = tiles.withColumn("own_blk", F.col("blk")).withColumn("own_qc", F.col("qc"))
     kind = T.StructType([T.StructField("blk", T.IntegerType()), T.StructField("qc", T.IntegerType()), T.StructField("cell", T.IntegerType()), index.schema["id"]])
     needed = K.over_tiles(named, ["blk", "qc"], ["qid", "qvec", "own_blk", "own_qc"], CODED,
-                          lambda held: _Needed(held, q, k, held.select(["own_blk", "own_qc"]).rename_columns(["blk", "qc"])), kind)
+                          lambda held: _Needed(held, q, k, held.select(["own_blk", "own_qc"]).rename_columns(["blk", "qc"])), kind, deal)
     full = needed.join(index.select(*CODED, "vec"), ["cell", "id"]).withColumn("side", F.lit(1))
     both = tiles.where("side = 0").select("blk", "qc", "side", "qid", "qvec").unionByName(full, allowMissingColumns=True)
-    found = T.StructType([queries.schema["qid"], T.StructField("item_id", index.schema["id"].dataType), T.StructField("score", T.DoubleType())])
-    return _ranked(K.over_tiles(both, ["blk", "qc"], ["qid", "qvec"], [*CODED, "vec"], lambda held: _Exact(held, q, k), found), k)
+    return exact(both, deal)

@@ -1,9 +1,11 @@
 """The stored vector index against brute force."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF_ORACLE
 
+from recoloom.operators import knn as K
 from recoloom.operators import vector_index as VI
 from recoloom.plans import QUERIES
 from recoloom.sources import io as IO
@@ -80,3 +82,63 @@ def test_recall_of_the_registered_search(spark):
     approx = QUERIES["knn_ivf"](spark, SF_ORACLE).select("user_id", "post_id")
     recall = exact.join(approx, ["user_id", "post_id"]).count() / exact.count()
     assert recall >= 0.95 and approx.count() == approx.distinct().count()
+
+
+def test_the_recall_makes_its_shortlist_once(spark, monkeypatch):
+    """Before: one to be counted, and another to be re-ranked."""
+    from recoloom.plans import serving
+    lists, real, users, made = [], VI.shortlisted, [], serving._vectors_of_users
+    monkeypatch.setattr(VI, "shortlisted", lambda *a: lists.append(1) or real(*a))
+    monkeypatch.setattr(serving, "_vectors_of_users", lambda *a: users.append(made(*a)) or users[-1])
+    got = QUERIES["knn_ivf_recall"](spark, SF_ORACLE).first()
+    assert tuple(got) == (True, True) and len(lists) == len(users) == 1
+
+
+def batch(ids, X):
+    return pa.record_batch({"i": pa.array(ids), "v": pa.ListArray.from_arrays(pa.array(np.arange(0, X.size + 1, X.shape[1], dtype=np.int32)), pa.array(X.ravel()))})
+
+
+@pytest.mark.parametrize("shift,scale", [(0, 1), (1e6, 1), (0, 1e-25), (0, 1e20), (3, 1e-3)])
+def test_single_precision_misses_no_neighbour(shift, scale):
+    """Scores come from the components whatever the size of the vectors; ties go to the smaller id."""
+    rng = np.random.default_rng(8)
+    X, Q = (rng.normal(size=(n, 6)) * scale + shift for n in (3000, 40))
+    X[1500:] = X[:1500]
+    ids = rng.permutation(3000)
+    tile = K._Nearest(pa.Table.from_batches([batch(np.arange(40), Q)]), 7, "l2", 16, None, pa.int64(), ["qid", "item_id", "score"])
+    for a in range(0, 3000, 1100):
+        tile.add(batch(ids[a:a + 1100], X[a:a + 1100]))
+    got = pa.Table.from_batches(tile.rows()).to_pandas().sort_values(["qid", "score", "item_id"])
+    D = np.array([K._measure(K.SQUARED, np.repeat(q[None], 3000, 0), X) for q in Q])
+    assert [list(g.item_id) for _, g in got.groupby("qid")] == [list(ids[np.lexsort((ids, d))[:7]]) for d in D]
+
+
+def test_vectors_with_nulls_beside_others():
+    """Queries and items that hold no number are met apart and spoil no other's search; such a query finds nothing."""
+    rng = np.random.default_rng(2)
+    X, Q = rng.normal(size=(2500, 5)), rng.normal(size=(30, 5))
+    X[7, 2], X[2400, 0], Q[11, 3] = np.nan, np.inf, np.nan
+    tile = K._Nearest(pa.Table.from_batches([batch(np.arange(30), Q)]), 4, "l2", 8, None, pa.int64(), ["qid", "item_id", "score"])
+    tile.add(batch(np.arange(2500), X))
+    got = pa.Table.from_batches(tile.rows()).to_pandas().sort_values(["qid", "score", "item_id"])
+    D = np.nan_to_num(((Q[:, None] - X[None]) ** 2).sum(2), nan=np.inf)
+    assert [list(g.item_id) for _, g in got.groupby("qid")] == [list(np.argsort(d, kind="stable")[:4]) for i, d in enumerate(D) if i != 11]
+
+
+def test_a_shortlist_holds_the_nearest_codes_of_the_cells_asked():
+    X, Q = clustered(3000), clustered(50, seed=4)
+    q = VI.Quantizer(C := VI.kmeans(X, 30), [VI.kmeans((X - C[VI.nearest(X, C)])[:, a:a + 4], 16) for a in range(0, 24, 4)])
+    cell, codes, error = q.encode(X)
+    asked = np.random.default_rng(1).random((50, len(C))) < 0.7
+    held = pa.table({"qid": np.arange(50), "qvec": batch(np.arange(50), Q).column("v"), "first": pa.array(np.zeros(50, np.int32)),
+                     "bits": pa.array([b.tobytes() for b in np.packbits(asked, axis=1)])})
+    tile = VI._Shortlist(held, q, 9)
+    for a in range(0, 3000, 1300):
+        own = slice(a, a + 1300)
+        tile.add(pa.record_batch({"id": pa.array(np.arange(3000)[own]), "codes": pa.array([c.tobytes() for c in codes[own]]), "norm2": pa.array((X[own] ** 2).sum(1)),
+                                  "error": pa.array(error[own]), "cell": pa.array(cell[own].astype(np.int32))}))
+    got = pa.Table.from_batches(tile.rows()).to_pandas()
+    D = (Q * Q).sum(1)[:, None] + (X * X).sum(1) - 2 * Q @ q.decode(cell, codes).T
+    D[~asked[:, cell]] = np.inf
+    for i, g in got.groupby("qid"):
+        assert len(g) == 9 and np.allclose(np.sort(g.near), np.sort(D[i])[:9]) and (g.cell.to_numpy() == cell[g.id.to_numpy()]).all()
