@@ -29,6 +29,7 @@ from .sampling import broadcast_if_small
 SAMPLE_ROWS, MOST_CELLS = 65_536, 16_384
 CODES = 256                             # entries of a codebook: a code is one byte
 QUERY_BLOCK, SUB_BLOCK = 16_384, 512
+FEW = 512                               # queries that leave most items no place: what they need is found by the codes first
 
 
 def kmeans(X: np.ndarray, k: int, seed: int = 42, rounds: int = 12) -> np.ndarray:
@@ -321,22 +322,36 @@ class _Exact(_Coded):
     """Each query's ``k`` nearest among items read in full, of which the codes' bounds spare
     most pairs the exact work."""
 
+    def __init__(self, held: pa.Table, q: Quantizer, k: int):
+        super().__init__(held, q, k)
+        self.far = 2 * np.sqrt(self.norm2)                      # what an estimate is off for each unit of error
+        self.screen = K.Screen(np.hstack([-2 * self.Q, np.ones((len(self.Q), 1)), -self.far[:, None]]), SUB_BLOCK)
+
     def add(self, items: pa.RecordBatch) -> None:
         ids, X, norm2, error, _ = self.read(items)
         V = K.matrix(items.column("vec"), self.q.dim)
-        for best, rows in self.slices():
-            d, off = self.estimates(rows, X, norm2), 2 * np.sqrt(self.norm2[rows])[:, None] * error
-            far = d + off
-            limit = best.worst
-            if far.shape[1] > best.k:
-                limit = np.minimum(limit, np.partition(far, best.k - 1, axis=1)[:, best.k - 1])
-            i, j = np.nonzero(d - off <= limit[:, None] + 1e-9)
-            for at in range(0, len(i), 1 << 16):
-                ii, jj = i[at:at + (1 << 16)], j[at:at + (1 << 16)]
-                apart = self.Q[rows.start + ii] - V[jj]
-                s = np.einsum("ij,ij->i", apart, apart)
-                better = (s <= best.worst[ii]) | ~best.full[ii]
-                best.add(ii[better], s[better], ids[jj[better]])
+        for own, _ in K.parted((norm2 < K.NARROW ** 2) & (error < K.NARROW)):
+            self.meet(ids[own], X[own], V[own], norm2[own], error[own])
+
+    def meet(self, ids: np.ndarray, X: np.ndarray, V: np.ndarray, norm2: np.ndarray, error: np.ndarray) -> None:
+        counted = lambda rows, own, free, S: S + 2 * self.far[rows][free, None] * error[own]
+        for best, rows, own, found in self.screened(self.screen, np.hstack([X, norm2[:, None], error[:, None]]), norm2, counted):
+            if found is None:
+                d, off = self.estimates(rows, X[own], norm2[own]), self.far[rows, None] * error[own]
+                far, limit = d + off, best.worst
+                if far.shape[1] > best.k:
+                    limit = np.minimum(limit, np.partition(far, best.k - 1, axis=1)[:, best.k - 1])
+                found = np.nonzero(d - off <= limit[:, None] + 1e-9)
+            i, j = found
+            j += own.start
+
+            def exact(a, b):
+                apart = self.Q.take(rows.start + a, 0)
+                apart -= V.take(b, 0)
+                return np.einsum("ij,ij->i", apart, apart)
+            s = K.of_pairs(exact, i, j)
+            better = (s <= best.worst[i]) | ~best.full[i]
+            best.add(i[better], s[better], ids[j[better]])
 
     def rows(self) -> Iterator[pa.RecordBatch]:
         for best, rows in self.slices():
@@ -404,9 +419,10 @@ def search(queries: DataFrame, path: str, k: int, probes: int, shortlist: int, s
 
 
 def search_exact(queries: DataFrame, path: str, k: int) -> DataFrame:
-    """The exact ``k`` nearest: the codes' errors bound every distance, and only items
-    whose bounds leave them a place are read in full, once for each chunk of queries.
-    How many that are depends on how well the codes fit; no cell is passed over."""
+    """The exact ``k`` nearest: the codes' errors bound every distance, and only pairs
+    whose bounds leave them a place are compared in full; no cell is passed over.  For at
+    most ``FEW`` queries the codes alone are sent first, and vectors of the items that some
+    query needs follow; many queries need nearly every item, and vectors come with the codes."""
     spark = queries.sparkSession
     ensure_checkpoint_dir(spark)
     q, index = load_model(spark, path), rows_of(spark, path)
@@ -417,6 +433,9 @@ def search_exact(queries: DataFrame, path: str, k: int) -> DataFrame:
     blk = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("blk")
     found = T.StructType([queries.schema["qid"], T.StructField("item_id", index.schema["id"].dataType), T.StructField("score", T.DoubleType())])
     exact = lambda tiles, deal: _ranked(K.over_tiles(tiles, ["blk", "qc"], ["qid", "qvec"], [*CODED, "vec"], lambda held: _Exact(held, q, k), found, deal), k)
+    if n > FEW:
+        items = index.select("cell", "id").join(index.select(*CODED, "vec"), ["cell", "id"])        # as below, where every item is needed
+        return exact(*_dealt(every, items.select(blk, *CODED, "vec"), block, blocks))
     tiles, deal = _dealt(every, index.select(blk, *CODED), block, blocks)
     named = tiles.withColumn("own_blk", F.col("blk")).withColumn("own_qc", F.col("qc"))
     kind = T.StructType([T.StructField("blk", T.IntegerType()), T.StructField("qc", T.IntegerType()), T.StructField("cell", T.IntegerType()), index.schema["id"]])

@@ -84,6 +84,21 @@ def test_recall_of_the_registered_search(spark):
     assert recall >= 0.95 and approx.count() == approx.distinct().count()
 
 
+@pytest.mark.parametrize("few", [0, 512])
+def test_many_queries_meet_codes_and_vectors_in_one_pass(spark, monkeypatch, few):
+    """Before: two passes over all pairs, of which the first, by codes, found nearly every item needed."""
+    X, Q = clustered(2000), clustered(90, seed=5)
+    items, queries = frames(spark, X, Q)
+    path = IO.scratch_path(spark, f"index-many-{few}")
+    VI.build(items.union(spark.createDataFrame([(None, [0.0] * 24)], items.schema)), path, cells=20, subspaces=6)
+    passes, real = [], VI.K.over_tiles
+    monkeypatch.setattr(VI.K, "over_tiles", lambda *a, **b: passes.append(1) or real(*a, **b))
+    monkeypatch.setattr(VI, "FEW", few)
+    monkeypatch.setattr(VI, "QUERY_BLOCK", 40)
+    assert ranked(VI.search_exact(queries, path, 10)) == brute(X, Q, 10)
+    assert len(passes) == (1 if few == 0 else 2)
+
+
 def test_the_recall_makes_its_shortlist_once(spark, monkeypatch):
     """Before: one to be counted, and another to be re-ranked."""
     from recoloom.plans import serving
